@@ -34,7 +34,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def table_bytes(df: DataFrame, least: int = 1 << 20) -> int:
     """Catalyst's size estimate, without a job: for a table scan the bytes of its files. Pass the unprojected table."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return max(least, min(size, 1 << 60))
 
 

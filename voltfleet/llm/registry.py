@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, substrings
 
-MODULES = [decontaminate]
+MODULES = [decontaminate, substrings]
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
