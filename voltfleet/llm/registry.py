@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, substrings
+from . import bpe_codec, decontaminate, simhash, substrings, token_counts
 
-MODULES = [decontaminate, substrings]
+MODULES = [simhash, substrings, token_counts, decontaminate, bpe_codec]
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
