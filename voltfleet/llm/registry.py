@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, language, simhash, substrings, token_counts
+from . import bpe_codec, decontaminate, language, simhash, substrings, token_counts, toxicity
 
-MODULES = [language, simhash, substrings, token_counts, decontaminate, bpe_codec]
+MODULES = [language, simhash, substrings, token_counts, decontaminate, toxicity, bpe_codec]
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
