@@ -12,6 +12,7 @@ from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,38 +112,43 @@ def _encoder(shared) -> Encoder:  # noqa: ANN001
     return _KEPT[0][1]
 
 
-def _codec(shared, digest: bool):  # noqa: ANN001, ANN202
+#: What can be returned of a document's ids and of the text decoded from them.
+OUTPUTS = {"ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def _codec(shared, outputs: tuple[str, ...]):  # noqa: ANN001, ANN202
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
         for batch in c.slices(batches):
             ids = [encoder.encode(t) for t in batch.column("text").fill_null("").to_pylist()]
             decoded = [encoder.decode(i) for i in ids]
             encoder.forget()
-            counts = pa.array([len(i) // 4 for i in ids], type=pa.int64())
-            if digest:
-                columns = [counts, *(pa.array([hashlib.sha256(x).hexdigest() for x in xs], type=pa.string()) for xs in (ids, [d.encode() for d in decoded]))]
-            else:
-                columns = [counts, pa.array([list(array("I", i)) for i in ids], type=pa.list_(pa.int32())), pa.array(decoded, type=pa.string())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded"))])
+            ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
+            make = {
+                "ids": lambda: pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))),
+                "decoded": lambda: pa.array(decoded, type=pa.string()),
+                "ids_sha256": lambda: pa.array([hashlib.sha256(i).hexdigest() for i in ids], type=pa.string()),
+                "decoded_sha256": lambda: pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], type=pa.string()),
+            }
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(ends).astype(np.int64)), *(make[o]() for o in outputs)], names=["doc_id", "n_tokens", *outputs])
 
     return code
 
 
-def encode_documents(docs: DataFrame, vocabulary_path: str, digest: bool = False) -> DataFrame:
-    """doc_id, n_tokens, and ids and the text decoded from them (or both digests) for each row of ``docs``.
+def encode_documents(docs: DataFrame, vocabulary_path: str, outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """doc_id, n_tokens and the ``outputs`` (of ``OUTPUTS``) for each row of ``docs``.
 
     Null texts are empty: no ids, and an empty decoded text. Nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load(vocabulary_path))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    kinds = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string"
-    return texts.mapInArrow(_codec(shared, digest), f"doc_id long, n_tokens long, {kinds}")
+    return texts.mapInArrow(_codec(shared, outputs), ", ".join(["doc_id long", "n_tokens long", *(f"{o} {OUTPUTS[o]}" for o in outputs)]))
 
 
 def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encode_documents(c.read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), digest=True)
+    return encode_documents(c.read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), outputs=("ids_sha256", "decoded_sha256"))
 
 
 QUERIES = {"op10_bpe_encode_decode": op10_bpe_encode_decode}

@@ -26,7 +26,6 @@ K = 5
 PART_WINDOWS = 1_000_000
 
 _WINDOWS = "item_id long, size int, low long, high long, print long"
-_STATE = "doc_id long, text string, hit binary, items array<long>"
 
 
 class Index(NamedTuple):
@@ -138,15 +137,12 @@ def _finder(shared):  # noqa: ANN001, ANN202
             for d, i in np.unique(np.concatenate(pairs), axis=0).tolist():
                 found.setdefault(d, set()).add(i)
             before = batch.column("items").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("text"),
-                    pa.array([hit[a:b].tobytes() for a, b in zip(w.first[:-1], w.first[1:], strict=True)], type=pa.binary()),
-                    pa.array([sorted(found.get(d, set()) | set(old or ())) for d, old in enumerate(before)], type=pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "text", "hit", "items"],
-            )
+            new = {
+                "hit": pa.array([hit[a:b].tobytes() for a, b in zip(w.first[:-1], w.first[1:], strict=True)], type=pa.binary()),
+                "items": pa.array([sorted(found.get(d, set()) | set(old or ())) for d, old in enumerate(before)], type=pa.list_(pa.int64())),
+            }
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in names], names=names)
 
     return find
 
@@ -167,6 +163,19 @@ def _reporter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _marked(state: DataFrame, benchmark: DataFrame, part_windows: int) -> DataFrame:
+    """Fill hit and items of rows that have a column text, by one part of the benchmark after the other."""
+    spark = state.sparkSession
+    windows = benchmark_windows(benchmark).cache()
+    parts = max(1, -(-windows.count() // part_windows))
+    state = state.withColumns({"hit": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<long>")})
+    for part in range(parts):
+        table = windows.where(F.pmod("low", F.lit(parts)) == part).toArrow()
+        state = state.mapInArrow(_finder(spark.sparkContext.broadcast(_index(table))), state.schema)
+    windows.unpersist()
+    return state
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_WINDOWS) -> DataFrame:
     """doc_id, text, hit (a byte for each word: 1 if it lies in a benchmark window), items (ids with an occurring window).
 
@@ -174,15 +183,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_W
     benchmark gives no hits. The documents are read once and nothing is shuffled: a part of the benchmark of at most
     ``part_windows`` windows is broadcast at a time, and the state of a document passes through all parts.
     """
-    spark = docs.sparkSession
-    windows = benchmark_windows(benchmark).cache()
-    parts = max(1, -(-windows.count() // part_windows))
-    state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast("binary").alias("hit"), F.lit(None).cast("array<long>").alias("items"))
-    for part in range(parts):
-        table = windows.where(F.pmod("low", F.lit(parts)) == part).toArrow()
-        state = state.mapInArrow(_finder(spark.sparkContext.broadcast(_index(table))), _STATE)
-    windows.unpersist()
-    return state
+    return _marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), benchmark, part_windows)
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_WINDOWS) -> DataFrame:
@@ -191,15 +192,10 @@ def leak_report(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_
     return found.mapInArrow(_reporter, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string").withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a benchmark window, all columns kept.
-
-    The verdicts come from one scan, and join back by doc_id and a hash of the text, so that repeated ids stay apart.
-    """
-    marked = find_leaks(docs, benchmark).select("doc_id", F.xxhash64("text").alias("print"), F.size("items").alias("n"))
-    bad = marked.where("n > 0").select("doc_id", "print").distinct()
-    key = docs["doc_id"].cast("long").eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == bad["print"])
-    return docs.join(bad, key, "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_WINDOWS) -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, all columns kept; rows are judged where they lie."""
+    state = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    return _marked(state, benchmark, part_windows).where(F.size("items") == 0).select("row.*")
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,6 +180,26 @@ def predict_languages(docs: DataFrame, learned: DataFrame) -> DataFrame:
     return texts.mapInArrow(_predictor(shared), "doc_id long, lang_pred string, score double")
 
 
+def _keeper(shared, least: float):  # noqa: ANN001, ANN202
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in c.slices(batches):
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
+                names, scores = rank_documents(part.column("text").fill_null("").to_pylist(), shared.value)
+                yield part.filter(pa.array(np.array([n != UNKNOWN for n in names], dtype=bool) & (scores >= least)))
+
+    return keep
+
+
+#: Least score of a recognised language; prose of a learned language scores about twice as much.
+LEAST_SCORE = 0.2
+
+
+def recognised(docs: DataFrame, learned: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` (text a string) whose language is known and near enough, all columns kept; nothing is shuffled."""
+    return docs.mapInArrow(_keeper(docs.sparkSession.sparkContext.broadcast(_profiles(learned)), least), docs.schema)
+
+
 def held_out():  # noqa: ANN201
     """Documents that are not learned from; those with a null id are neither."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))

@@ -32,21 +32,31 @@ BUCKET_ROWS = 200_000
 LEAST_BUCKETS = 512
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """Majority of each bit over the XXH64 of all word shingles, repeats included; 0 without words."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 of each run of ``shingle`` lower-cased words, repeats included; of the whole text if it has fewer, none if none."""
     words = text.translate(c.LOWER).split()
     if not words:
-        return 0
+        return np.empty(0, dtype="<u8")
+    joined = b" ".join(words)
     if len(words) <= shingle:
-        hashes = [xxh64_intdigest(b" ".join(words), SEED)]
-    else:
-        joined = b" ".join(words)
-        ends = np.cumsum([len(x) + 1 for x in words])
-        starts = np.concatenate([[0], ends[:-1]])
-        hashes = [xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - shingle + 1].tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)]
-    bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
-    return int(np.packbits(ones, bitorder="little").view("<u8")[0])
+        return np.array([xxh64_intdigest(joined, SEED)], dtype="<u8")
+    ends = np.cumsum([len(x) + 1 for x in words])
+    starts = np.concatenate([[0], ends[:-1]])
+    return np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - shingle + 1].tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)], dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """The 64 bits that over half of the hashes have set, as one number."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), 255):  # one byte counts up to 255, so eight bits are added at once
+        bits = np.unpackbits(hashes[at : at + 255].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.view(np.uint64).sum(axis=0, dtype=np.uint64).view(np.uint8)
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")
+
+
+def fingerprint(text: bytes, shingle: int) -> int:
+    """Majority of each bit over all shingle hashes; 0 without words."""
+    return int(majority(shingle_hashes(text, shingle))[0])
 
 
 def _fingerprints(shingle: int):  # noqa: ANN202
@@ -175,6 +185,14 @@ def _linker(tau: int):  # noqa: ANN202
     return link
 
 
+def _in_blocks(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """Rows with column task: all rows of a key, or for keys of over ``block`` rows, each pair of blocks of half that size."""
+    hot = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > block).select(key, F.ceil(F.col("n") * 2 / block).alias("blocks"))
+    blocks = F.coalesce("blocks", F.lit(1))
+    dealt = rows.join(hot, key, "left").withColumn("own", F.pmod(F.xxhash64("print", F.lit(7)), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return dealt.withColumn("task", F.xxhash64(key, F.least("own", "other"), F.greatest("own", "other"))).drop("blocks", "own", "other")
+
+
 def links(prints: DataFrame, tau: int) -> DataFrame:
     """Links a-b between distinct fingerprints (column print) that connect all pairs within tau bits.
 
@@ -185,10 +203,7 @@ def links(prints: DataFrame, tau: int) -> DataFrame:
     probes = plan_probes(n, together, tau)
     masks = F.array(*[F.struct(F.lit(i).alias("part"), F.lit(m).cast("long").alias("mask")) for i, m in probes])
     keyed = prints.select("print", F.explode(masks).alias("probe")).select("print", F.xxhash64("probe.part", "probe.mask", F.col("print").bitwiseAND(F.col("probe.mask"))).alias("key"))
-    hot = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("key", F.ceil(F.col("n") * 2 / BLOCK).alias("blocks"))
-    blocks = F.coalesce("blocks", F.lit(1))
-    dealt = keyed.join(hot, "key", "left").withColumn("own", F.pmod(F.xxhash64("print", F.lit(7)), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = dealt.select("print", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"))
+    dealt = _in_blocks(keyed, "key", BLOCK).select("print", F.col("task").alias("key"))
     buckets = max(LEAST_BUCKETS, n * len(probes) // BUCKET_ROWS)
     return dealt.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(buckets))).groupBy("bucket").applyInArrow(_linker(tau), "a long, b long")
 
@@ -207,6 +222,147 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFram
     return own.join(named.join(names, "root").select("print", "component_id"), "print")
 
 
+#: Words of a wide fingerprint, of 64 bits each, and the share of pairs at the least similarity that the probes must meet.
+WIDE, MEET = 8, 0.99
+#: How much less than the least similarity the estimate of a pair to verify may be: 2.5 standard errors of 512 bits.
+MARGIN = 0.1
+#: Documents of a group of candidates that are verified together; larger groups are dealt out in pairs of blocks.
+VERIFY_BLOCK = 1024
+
+
+def turned(similarity: float) -> float:
+    """Expected share of differing bits of two sets of such a Jaccard similarity."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def plan_wide(n: int, similarity: float) -> tuple[int, int]:
+    """Width and number of parts, all with threshold 0, of least estimated cost that meet ``MEET`` of the pairs."""
+    options = []
+    for width in range(8, 25):
+        parts = int(np.ceil(np.log(1 - MEET) / np.log(1 - (1 - turned(similarity)) ** width)))
+        if parts * width <= WIDE * BITS:
+            options.append((n * parts * ROW_S + n * n / 2 * parts / 2**width * PAIR_S, width, parts))
+    return min(options)[1:]
+
+
+def _wide(shingle: int, width: int, parts: int):  # noqa: ANN202
+    """A row for each part of each document's wide fingerprint."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salts = c.mix(np.arange(1, WIDE + 1, dtype=np.uint64) << np.uint64(32))
+        for batch in c.slices(batches):
+            prints = np.zeros((batch.num_rows, WIDE), dtype="<u8")
+            for i, text in enumerate(c.raw_texts(batch.column("text"))):
+                hashes = shingle_hashes(text, shingle)
+                prints[i] = [majority(c.mix(hashes ^ salt))[0] for salt in salts]
+            bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")[:, : parts * width].reshape(-1, parts, width)
+            keys = bits.astype(np.int64) @ (1 << np.arange(width)) + np.arange(parts) * (1 << width)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([p.tobytes() for p in prints], type=pa.binary()), pa.array(keys.tolist(), type=pa.list_(pa.int64()))], names=["doc_id", "print", "keys"])
+
+    return rows
+
+
+def _wide_linker(most: int):  # noqa: ANN202
+    """Link documents whose wide fingerprints differ in at most ``most`` bits; a spanning forest of a bucket's links."""
+
+    def link(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("key").to_numpy(), kind="stable")
+        key, (ids, node) = table.column("key").to_numpy()[order], np.unique(table.column("doc_id").to_numpy()[order], return_inverse=True)
+        prints = np.frombuffer(b"".join(table.column("print").to_pylist()), dtype="<u8").reshape(-1, WIDE)[order]
+        label, at, step, loose = np.arange(len(ids)), np.arange(len(key)), 1, most / WIDE + 12
+        while len(at):
+            at = at[at + step < len(key)]
+            at = at[key[at + step] == key[at]]
+            close = at[np.bitwise_count(prints[at, 0] ^ prints[at + step, 0]) <= loose]
+            close = close[np.bitwise_count(prints[close] ^ prints[close + step]).sum(axis=1, dtype=np.int64) <= most]
+            if len(close):
+                label = forest(len(ids), np.concatenate([np.arange(len(ids)), node[close]]), np.concatenate([label, node[close + step]]))
+            step += 1
+        linked = np.flatnonzero(label != np.arange(len(ids)))
+        return pa.table([pa.array(ids[linked]), pa.array(ids[label[linked]])], names=["a", "b"])
+
+    return link
+
+
+def _sets(shingle: int):  # noqa: ANN202
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in c.slices(batches):
+            sets = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in c.raw_texts(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("doc_id", "group", "print")), pa.array(sets, type=pa.binary())], names=["doc_id", "group", "print", "shingles"])
+
+    return rows
+
+
+def _verifier(similarity: float, most: int):  # noqa: ANN202
+    """Links of at least the least exact Jaccard similarity, but for pairs that are already connected; likeliest pairs first."""
+
+    def verify(table: pa.Table) -> pa.Table:
+        ids = table.column("doc_id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        prints = np.frombuffer(b"".join(table.column("print").to_pylist()), dtype="<u8").reshape(-1, WIDE)[order]
+        raw = table.column("shingles").to_pylist()
+        sets = [np.frombuffer(raw[i], dtype="<u8") for i in order.tolist()]
+        pairs = [np.empty((0, 3), dtype=np.int64)]
+        for i in range(len(ids) - 1):
+            apart = np.bitwise_count(prints[i + 1 :] ^ prints[i]).sum(axis=1, dtype=np.int64)
+            j = np.flatnonzero(apart <= most)
+            pairs.append(np.stack([apart[j], np.full(len(j), i), j + i + 1], axis=1))
+        root = list(range(len(ids)))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        every = np.concatenate(pairs)
+        for _, i, j in every[np.argsort(every[:, 0], kind="stable")].tolist():
+            a, b = find(i), find(j)
+            small, large = sorted((len(sets[i]), len(sets[j])))
+            if a != b and small >= similarity * large:
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if common >= similarity * (small + large - common):
+                    root[max(a, b)] = min(a, b)
+        linked = [x for x in range(len(ids)) if find(x) != x]
+        return pa.table([pa.array(ids[linked]), pa.array(ids[[find(x) for x in linked]])], names=["a", "b"])
+
+    return verify
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, component_id of the documents that have a similar one; component_id is the smallest id of the group.
+
+    Similarity is the Jaccard similarity of word shingles. Candidates come from 512 SimHash bits: at 0.8 pairs differ in a
+    seventh of their bits, too many for a pigeonhole guarantee, so the parts have threshold 0 and meet 99 in 100 of such pairs,
+    and more of nearer ones. Groups of candidates are then verified by their exact shingles. Texts of equal bits share all keys,
+    so they are folded before probing. Documents with a null id or without words have no group.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    n = docs.count()
+    width, parts = plan_wide(max(n, 1), similarity)
+    buckets = max(LEAST_BUCKETS, n * parts // (BUCKET_ROWS // 8))
+    most = int(turned(similarity - MARGIN) * WIDE * BITS)
+    rows = c.cut(texts.mapInArrow(_wide(shingle, width, parts), "doc_id long, print binary, keys array<long>"))
+    copies = rows.groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
+    tasks = _in_blocks(copies.select("doc_id", "print", F.explode("keys").alias("key")), "key", BLOCK).select("doc_id", "print", F.col("task").alias("key"))
+    found = tasks.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(buckets))).groupBy("bucket").applyInArrow(_wide_linker(most), "a long, b long")
+    groups = components(found).select(F.col("node").alias("doc_id"), F.col("root").alias("group"))
+    members = c.cut(rows.select("doc_id", "print").join(groups, "doc_id").join(texts, "doc_id").mapInArrow(_sets(shingle), "doc_id long, group long, print binary, shingles binary"))
+    exact = _in_blocks(members, "group", VERIFY_BLOCK).groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long")
+    least = rows.groupBy("print").agg(F.min("doc_id").alias("b"))
+    equal = rows.join(least, "print").select(F.col("doc_id").alias("a"), "b").where("a <> b")
+    roots = components(exact.unionByName(equal))
+    return roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` without those that have a similar document with a smaller id, all columns kept. Of rows with one id one stays."""
+    losers = similar_groups(docs, shingle, similarity).where("doc_id <> component_id").select("doc_id")
+    kept = docs.join(losers, "doc_id", "left_anti").select(docs.columns)
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(c.read(spark, sf_dir, "documents"), shingle=4, tau=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
