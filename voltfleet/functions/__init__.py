@@ -1 +1 @@
-
+"""Column expressions: scalars, robust statistics, folds."""

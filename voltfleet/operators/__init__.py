@@ -1 +1 @@
-
+"""Operators over telemetry and vehicle-month tables: DataFrame in, DataFrame out."""

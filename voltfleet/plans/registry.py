@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from . import cleaning, events
+
+BOOKS = [cleaning.book, events.book]
+
+QUERIES = {name: query for b in BOOKS for name, query in b.queries.items()}
+ORACLE = {name: text for b in BOOKS for name, text in b.oracle.items()}

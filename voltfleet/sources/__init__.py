@@ -1 +1 @@
-
+"""Scans, sinks and projections of the given tables."""
