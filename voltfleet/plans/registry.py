@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import cleaning, events, joins, monthly, series, soh
+from . import cleaning, events, joins, monthly, quality, series, soh
 
-BOOKS = [cleaning.book, events.book, monthly.book, series.book, soh.book, joins.book]
+BOOKS = [cleaning.book, events.book, monthly.book, series.book, soh.book, joins.book, quality.book]
 
 QUERIES = {name: query for b in BOOKS for name, query in b.queries.items()}
 ORACLE = {name: text for b in BOOKS for name, text in b.oracle.items()}
