@@ -165,7 +165,7 @@ add(
     lambda s, d: sc.second_life(fx.series(s, d).groupBy("vin").agg(F.avg("dod_mean").alias("dod")), F.col("dod") / 1e4, F.lit(1e-7), F.lit(1e-11)).groupBy("vin").agg(F.min(F.when(F.col("soh") <= 20, F.col("cycle"))).alias("end_cycle"), F.avg("soh").alias("mean")),
     SERIES,
     select="SELECT vin, min(c) FILTER (WHERE soh <= 20) AS end_cycle, avg(soh) AS mean FROM (SELECT vin, c, greatest(100 - dod / 1e4 * c - 1e-7 * c ** 2 - 1e-11 * c ** 3, 0) AS soh FROM (SELECT vin, avg(dod_mean) AS dod FROM ser GROUP BY vin), generate_series(0, 9000, 100) AS g(c)) GROUP BY vin",
-    columns="vin:i end_cycle:i mean:d",
+    columns="vin:i end_cycle:d mean:d",
 )
 add("j14_equivalent_cycles", lambda s, d: fx.series(s, d).select("vin", "month", sc.equivalent_cycles(F.col("ah_throughput"), F.lit(133.0)).alias("cycles")), SERIES, select="SELECT vin, month, ah_throughput / 266 AS cycles FROM ser", columns="vin:i month:t cycles:d")
 
