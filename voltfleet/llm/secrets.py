@@ -82,9 +82,12 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
 
 
 def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``versions`` with found: spans (start, kind number, end) of all rules in order, from a complete ledger."""
+    """The rows of ``versions`` with found: spans (start, kind number, end) of all rules in order, from a complete ledger.
+
+    What was found is a table of its own, dealt anew for the join, so that Spark can split a blob that very many rows share.
+    """
     names = [r.key for r in rules]
-    blobs = ledger.where(F.col("rule").isin(names) & (F.size("spans") > 0)).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("found"))
+    blobs = c.cut(ledger.where(F.col("rule").isin(names) & (F.size("spans") > 0)).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("found")))
     return versions.withColumn("blob", blob_of(F.col("text"))).join(blobs, "blob", "left").withColumn("found", F.coalesce("found", F.array().cast(_SPAN))).drop("blob")
 
 
@@ -105,7 +108,7 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame |
 
 def clean_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` in whose text no rule finds a secret, all columns kept."""
-    dirty = scan(docs, None, rules).where(F.size("spans") > 0).select(F.col("blob").alias("dirty_blob")).distinct()
+    dirty = c.cut(scan(docs, None, rules).where(F.size("spans") > 0).select(F.col("blob").alias("dirty_blob")).distinct())
     return docs.join(dirty, blob_of(docs["text"]) == dirty["dirty_blob"], "left_anti")
 
 
