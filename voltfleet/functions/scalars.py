@@ -31,7 +31,12 @@ def health_status(soh: Column, eol: float = 80.0) -> Column:
 
 
 def care_grade(score: Column) -> Column:
-    return F.when(score >= 80, "A").when(score >= 60, "B").when(score >= 40, "C").when(score >= 20, "D").otherwise("E")
+    return F.when(score >= 72, "Gentle").when(score >= 50, "Moderate").when(score >= 35, "Firm").otherwise("Hard")
+
+
+def style_word(gentler: Column) -> Column:
+    """From the share of vehicles that are treated harsher."""
+    return F.when(gentler >= 66, "Gentle").when(gentler >= 33, "Typical").otherwise("Firm")
 
 
 def age_text(months: Column) -> Column:

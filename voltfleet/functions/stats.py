@@ -79,7 +79,7 @@ def detrended_spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """vin, rho_detrended, rho_diff: rank correlation of residuals on age, and of first differences."""
     fits = df.groupBy("vin").agg(*[f(v, "age_months").alias(f"{n}_{v}") for v in (x, y) for n, f in (("slope", F.regr_slope), ("cut", F.regr_intercept))])
     rows = df.join(fits, "vin")
-    rows = rows.select("vin", *[(F.col(v) - F.col(f"slope_{v}") * F.col("age_months") - F.col(f"cut_{v}")).alias(f"res_{v}") for v in (x, y)], *[(F.col(v) - F.lag(v).over(sr.W)).alias(f"dif_{v}") for v in (x, y)])
+    rows = rows.select("vin", *[(F.col(v) - F.col(f"slope_{v}") * F.col("age_months") - F.col(f"cut_{v}")).alias(f"res_{v}") for v in (x, y)], *[(F.col(v) - F.lag(v).over(sr.by_month())).alias(f"dif_{v}") for v in (x, y)])
     a = spearman(rows, f"res_{x}", f"res_{y}", "vin").select("vin", F.col("rho").alias("rho_detrended"))
     return a.join(spearman(rows, f"dif_{x}", f"dif_{y}", "vin").select("vin", F.col("rho").alias("rho_diff")), "vin", "left")
 

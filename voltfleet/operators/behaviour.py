@@ -12,8 +12,8 @@ from . import series as sr
 
 def loss_rate(df: DataFrame, soh: str = "soh", most_gap: float = 3.0, least: int = 2) -> DataFrame:
     """vin, loss_rate: mean monthly loss (at least 0 each) over short gaps, with enough of them."""
-    gap = F.col("age_months") - F.lag("age_months").over(sr.W)
-    rows = df.withColumns({"gap": gap, "loss": F.greatest((F.lag(soh).over(sr.W) - F.col(soh)) / gap, F.lit(0.0))}).where((F.col("gap") > 0) & (F.col("gap") <= most_gap))
+    gap = F.col("age_months") - F.lag("age_months").over(sr.by_month())
+    rows = df.withColumns({"gap": gap, "loss": F.greatest((F.lag(soh).over(sr.by_month()) - F.col(soh)) / gap, F.lit(0.0))}).where((F.col("gap") > 0) & (F.col("gap") <= most_gap))
     return rows.groupBy("vin").agg(F.avg("loss").alias("loss_rate"), F.count("*").alias("k")).where(F.col("k") >= least).drop("k")
 
 

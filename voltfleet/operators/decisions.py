@@ -43,7 +43,7 @@ def persistence(df: DataFrame, soh: str = "soh", months: int = 60) -> DataFrame:
 
 def linear_forecast(df: DataFrame, soh: str = "soh", window: float = 12.0, months: int = 60) -> DataFrame:
     """Slope between the ends of the last ``window`` months carried on."""
-    own = sr.OWN
+    own = sr.own()
     recent = df.withColumn("last_age", F.max("age_months").over(own)).where(F.col("age_months") >= F.col("last_age") - window)
     ends = recent.groupBy("vin").agg(F.min_by(soh, "month").alias("a"), F.max_by(soh, "month").alias("b"), F.min("age_months").alias("ta"), F.max("age_months").alias("tb"))
     slope = F.when(F.col("tb") > F.col("ta"), F.least((F.col("b") - F.col("a")) / (F.col("tb") - F.col("ta")), F.lit(0.0))).otherwise(0.0)
@@ -178,7 +178,7 @@ def soh_at_date(observed: DataFrame, forecast: DataFrame, dates: DataFrame, anch
 
 def start_cohorts(df: DataFrame, soh: str = "soh") -> DataFrame:
     """Vehicles by first month with ages counted from it: number and mean health by rounded age."""
-    first = df.withColumn("start", F.min("month").over(sr.OWN)).withColumn("age0", F.bround(F.datediff("month", "start") / 30.4))
+    first = df.withColumn("start", F.min("month").over(sr.own())).withColumn("age0", F.bround(F.datediff("month", "start") / 30.4))
     return first.groupBy(F.date_format("start", "yyyy").alias("cohort"), "age0").agg(F.count_distinct("vin").alias("vehicles"), F.avg(soh).alias("soh"))
 
 
@@ -206,6 +206,6 @@ def drop_at_distance(df: DataFrame, km: float, stress: list[str], soh: str = "so
 
 def usage_against_loss(df: DataFrame, usage: str = "km_month", soh: str = "soh") -> DataFrame:
     """vin: correlation, rank correlation and slope of monthly loss on monthly usage."""
-    rows = df.withColumn("loss", F.lag(soh).over(sr.W) - F.col(soh)).where("loss is not null")
+    rows = df.withColumn("loss", F.lag(soh).over(sr.by_month()) - F.col(soh)).where("loss is not null")
     a = rows.groupBy("vin").agg(F.corr(usage, "loss").alias("pearson"), F.regr_slope("loss", usage).alias("slope"), F.count("*").alias("n"))
     return a.join(stats.spearman(rows, usage, "loss", "vin").select("vin", F.col("rho").alias("spearman")), "vin", "left")

@@ -87,7 +87,7 @@ def envelope_comparison(df: DataFrame, truth: str, envelopes: dict[str, Callable
     """envelope, mae, flat_share: how far each envelope is from a truth without one, and how often it stands still."""
     out = None
     for name, build in envelopes.items():
-        rows = build(df).withColumn("still", (F.abs(F.col("soh") - F.lag("soh").over(sr.W)) < 0.05).cast("double"))
+        rows = build(df).withColumn("still", (F.abs(F.col("soh") - F.lag("soh").over(sr.by_month())) < 0.05).cast("double"))
         part = rows.agg(F.avg(F.abs(F.col("soh") - F.col(truth))).alias("mae"), F.avg("still").alias("flat_share")).withColumn("envelope", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
@@ -99,7 +99,7 @@ def transfer_matrix(sources: dict[str, DataFrame], features: list[str]) -> DataF
     for name, train in sources.items():
         model, bias = models.fit_rate(samples.transitions(train), features)
         for other, test in sources.items():
-            run = models.free_run(model, bias, test, features).withColumn("start", F.max("soh").over(sr.OWN))
+            run = models.free_run(model, bias, test, features).withColumn("start", F.max("soh").over(sr.own()))
             part = run.agg(F.avg(F.abs(F.col("p50") - F.col("soh"))).alias("mae"), F.avg(F.abs(F.col("start") - F.col("soh"))).alias("mae_persistence"), F.count("*").alias("n")).withColumns({"trained_on": F.lit(name), "tested_on": F.lit(other)})
             out = part if out is None else out.unionByName(part)
     return out
@@ -107,7 +107,7 @@ def transfer_matrix(sources: dict[str, DataFrame], features: list[str]) -> DataF
 
 def learning_curve(model, test: DataFrame, history_months: tuple[int, ...], evaluate_from: int, soh: str = "soh") -> DataFrame:  # noqa: ANN001
     """history, mae, n: the same late months predicted from shorter and longer histories."""
-    rows = test.withColumn("rn", F.row_number().over(sr.W))
+    rows = test.withColumn("rn", F.row_number().over(sr.by_month()))
     actual = rows.where(F.col("rn") > evaluate_from).select("vin", F.col("age_months").alias("age"), F.col(soh).alias("actual"))
     out = None
     for k in history_months:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-W = Window.partitionBy("vin").orderBy("t", "id")
-_SO_FAR = W.rowsBetween(Window.unboundedPreceding, 0)
+
+def by_time() -> WindowSpec:
+    return Window.partitionBy("vin").orderBy("t", "id")
+
+
+def _so_far() -> WindowSpec:
+    return by_time().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def seconds(t: Column) -> Column:
@@ -16,7 +21,7 @@ def seconds(t: Column) -> Column:
 
 def with_step(df: DataFrame) -> DataFrame:
     """dt: seconds since the vehicle's previous sample, null at its first."""
-    return df.withColumn("dt", seconds(F.col("t")) - seconds(F.lag("t").over(W)))
+    return df.withColumn("dt", seconds(F.col("t")) - seconds(F.lag("t").over(by_time())))
 
 
 def sessions(df: DataFrame, gap_s: float = 300.0, break_at_month: bool = True) -> DataFrame:
@@ -25,8 +30,8 @@ def sessions(df: DataFrame, gap_s: float = 300.0, break_at_month: bool = True) -
     df = with_step(df)
     start = F.col("dt").isNull() | (F.col("dt") > gap_s) | (F.col("dt") <= 0)
     if break_at_month:
-        start = start | (F.date_trunc("month", "t") != F.lag(F.date_trunc("month", "t")).over(W))
-    df = df.withColumn("start", start).withColumn("before", F.lag("amps").over(W)).withColumn("sid", F.sum(F.col("start").cast("long")).over(_SO_FAR))
+        start = start | (F.date_trunc("month", "t") != F.lag(F.date_trunc("month", "t")).over(by_time()))
+    df = df.withColumn("start", start).withColumn("before", F.lag("amps").over(by_time())).withColumn("sid", F.sum(F.col("start").cast("long")).over(_so_far()))
     dq = F.when(~F.col("start"), F.coalesce((F.col("amps") + F.col("before")) / 2 * F.col("dt") / 3600, F.lit(0.0))).otherwise(0.0)
     return df.withColumn("dq", dq).drop("start", "before")
 
@@ -66,8 +71,8 @@ def charge_events(df: DataFrame, min_amps: float = 2.0, gap_s: float = 600.0) ->
     df = with_step(df)
     kind = F.when(F.col("amps") > min_amps, 1).when(F.col("amps") < -min_amps, -1).otherwise(0)
     df = df.withColumn("kind", kind)
-    start = F.col("dt").isNull() | (F.col("dt") > gap_s) | (F.col("kind") != F.lag("kind").over(W))
-    df = df.withColumn("start", start).withColumn("before", F.lag("amps").over(W)).withColumn("ev", F.sum(F.col("start").cast("long")).over(_SO_FAR)).where("kind <> 0")
+    start = F.col("dt").isNull() | (F.col("dt") > gap_s) | (F.col("kind") != F.lag("kind").over(by_time()))
+    df = df.withColumn("start", start).withColumn("before", F.lag("amps").over(by_time())).withColumn("ev", F.sum(F.col("start").cast("long")).over(_so_far())).where("kind <> 0")
     step = (F.abs("amps") + F.abs("before")) / 2 * F.col("dt") / 3600
     return df.withColumn("de", F.when(~F.col("start"), step).otherwise(0.0)).drop("start", "before")
 
@@ -116,7 +121,7 @@ def adaptive_window(events: DataFrame, lows: tuple[float, ...] = (0.1, 0.25, 0.4
 
 def resistance_steps(df: DataFrame, least_di: float = 30.0, most_dt: float = 2.0) -> DataFrame:
     """vin, t, soc, r: milliohms of steps with a large change of current in a short time."""
-    df = with_step(df).withColumns({"di": F.col("amps") - F.lag("amps").over(W), "dv": F.col("volts") - F.lag("volts").over(W)})
+    df = with_step(df).withColumns({"di": F.col("amps") - F.lag("amps").over(by_time()), "dv": F.col("volts") - F.lag("volts").over(by_time())})
     steps = df.where((F.abs("di") >= least_di) & (F.col("dt") > 0) & (F.col("dt") <= most_dt))
     return steps.select("vin", "t", "soc", "di", F.abs(F.col("dv") / F.col("di") * 1000).alias("r"))
 
@@ -129,7 +134,7 @@ def sample_per_vehicle(df: DataFrame, cap: int = 2000) -> DataFrame:
 
 def drive_segments(df: DataFrame, km: tuple[float, float] = (0.0, 60.0), drop: tuple[float, float] = (0.0, 100.0), most_s: float = 3600.0) -> DataFrame:
     """Steps with the odometer up and the state of charge down, of bounded size and time: vin, t, dkm, dsoc."""
-    df = with_step(df).withColumns({"dkm": F.col("odo") - F.lag("odo").over(W), "dsoc": F.lag("soc").over(W) - F.col("soc")})
+    df = with_step(df).withColumns({"dkm": F.col("odo") - F.lag("odo").over(by_time()), "dsoc": F.lag("soc").over(by_time()) - F.col("soc")})
     good = (F.col("dkm") > km[0]) & (F.col("dkm") <= km[1]) & (F.col("dsoc") > drop[0]) & (F.col("dsoc") <= drop[1]) & (F.col("dt") > 0) & (F.col("dt") <= most_s)
     return df.where(good).select("vin", "t", "dkm", "dsoc")
 
@@ -139,10 +144,10 @@ def crossing_rates(df: DataFrame, low: float = 30.0, high: float = 70.0, slack:
 
     Several low crossings may end in one high crossing; each counts.
     """
-    before = F.lag("soc").over(W)
+    before = F.lag("soc").over(by_time())
     df = df.withColumns({"up_low": (before < low) & (F.col("soc") >= low), "up_high": (before < high) & (F.col("soc") >= high), "fall": before - F.col("soc") > slack})
-    ahead = W.rowsBetween(0, Window.unboundedFollowing)
-    later = W.rowsBetween(1, Window.unboundedFollowing)
+    ahead = by_time().rowsBetween(0, Window.unboundedFollowing)
+    later = by_time().rowsBetween(1, Window.unboundedFollowing)
     df = df.withColumns({"t_high": F.first(F.when(F.col("up_high"), F.col("t")), ignorenulls=True).over(ahead), "t_fall": F.first(F.when(F.col("fall"), F.col("t")), ignorenulls=True).over(later)})
     hours = (seconds(F.col("t_high")) - seconds(F.col("t"))) / 3600
     good = F.col("up_low") & F.col("t_high").isNotNull() & (F.col("t_fall").isNull() | (F.col("t_fall") > F.col("t_high"))) & (hours > 0)
@@ -151,9 +156,9 @@ def crossing_rates(df: DataFrame, low: float = 30.0, high: float = 70.0, slack:
 
 def falling_rates(df: DataFrame, high: float = 90.0, low: float = 20.0, slack: float = 3.0) -> DataFrame:
     """Kilometres per % between a downward crossing of ``high`` and the next of ``low``, with no rise over ``slack`` between."""
-    before = F.lag("soc").over(W)
+    before = F.lag("soc").over(by_time())
     df = df.withColumns({"down_high": (before > high) & (F.col("soc") <= high), "down_low": (before > low) & (F.col("soc") <= low), "rise": F.col("soc") - before > slack})
-    ahead, later = W.rowsBetween(0, Window.unboundedFollowing), W.rowsBetween(1, Window.unboundedFollowing)
+    ahead, later = by_time().rowsBetween(0, Window.unboundedFollowing), by_time().rowsBetween(1, Window.unboundedFollowing)
     end = F.struct("t", "odo")
     df = df.withColumns({"end": F.first(F.when(F.col("down_low"), end), ignorenulls=True).over(ahead), "t_rise": F.first(F.when(F.col("rise"), F.col("t")), ignorenulls=True).over(later)})
     good = F.col("down_high") & F.col("end").isNotNull() & (F.col("t_rise").isNull() | (F.col("t_rise") > F.col("end.t")))
@@ -184,7 +189,7 @@ def daily_median(df: DataFrame, column: str) -> DataFrame:
 
 def direction(df: DataFrame) -> DataFrame:
     """Samples with way: charging or discharging by the sign of the change of state of charge; others go."""
-    df = df.withColumn("step", F.col("soc") - F.lag("soc").over(W))
+    df = df.withColumn("step", F.col("soc") - F.lag("soc").over(by_time()))
     return df.withColumn("way", F.when(F.col("step") > 0, "charging").when(F.col("step") < 0, "discharging")).where("way is not null").drop("step")
 
 
@@ -192,7 +197,7 @@ def charge_curves(ev: DataFrame, most: int = 8000) -> DataFrame:
     """Cumulative Ah at each sample of each event, cycles numbered, thinned to about ``most`` samples a vehicle by a fixed stride."""
     run = Window.partitionBy("vin", "ev").orderBy("t", "id")
     out = ev.withColumn("ah", F.sum("de").over(run.rowsBetween(Window.unboundedPreceding, 0)))
-    out = out.withColumns({"cycle": F.dense_rank().over(Window.partitionBy("vin").orderBy("ev")), "rn": F.row_number().over(W), "rows": F.count("*").over(Window.partitionBy("vin"))})
+    out = out.withColumns({"cycle": F.dense_rank().over(Window.partitionBy("vin").orderBy("ev")), "rn": F.row_number().over(by_time()), "rows": F.count("*").over(Window.partitionBy("vin"))})
     return out.where((F.col("rn") - 1) % F.ceil(F.col("rows") / most) == 0).select("vin", "cycle", "t", "volts", "ah")
 
 

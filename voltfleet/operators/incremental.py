@@ -8,20 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def plan_days(spark: SparkSession, today: str, last: str | None, lookback: int = 3, most: int = 31, reprocess: tuple[str, str] | None = None) -> DataFrame:
-    """day, why: days to process. First run: today only. Else from the day after the watermark, at most ``most`` days and the
-    oldest first, and the days before it within the look-back, whose late rows are read again; or just a range to reprocess."""
-    if reprocess:
-        a, b = (F.to_date(F.lit(x)) for x in reprocess)
-        return spark.range(1).select(F.explode(F.sequence(a, b)).alias("day"), F.lit("reprocess").alias("why"))
-    now = F.to_date(F.lit(today))
-    if last is None:
-        return spark.range(1).select(now.alias("day"), F.lit("first").alias("why"))
-    mark = F.to_date(F.lit(last))
-    end = F.least(now, F.date_add(mark, most))
-    forward = spark.range(1).where(mark < now).select(F.explode(F.sequence(F.date_add(mark, 1), end)).alias("day"), F.lit("forward").alias("why"))
-    back = spark.range(1).where(F.lit(lookback) > 0).select(F.explode(F.sequence(F.date_sub(mark, lookback - 1), mark)).alias("day"), F.lit("lookback").alias("why"))
-    return back.unionByName(forward).where(F.col("day") <= now)
+def plan_days(spark: SparkSession, day: str, last: str | None, lookback: int = 1, most: int = 14) -> DataFrame:
+    """day, advance_to, clamped: days to process up to ``day``, oldest first.
+
+    A day up to the watermark is reprocessed alone and does not advance it. Else the run starts after the watermark, or a
+    look-back before ``day`` if that is earlier or there is no watermark yet, but at most ``most`` days back.
+    """
+    to = F.to_date(F.lit(day))
+    if last is not None and day <= last:
+        return spark.range(1).select(to.alias("day"), F.lit(None).cast("date").alias("advance_to"), F.lit(False).alias("clamped"))
+    back, floor = F.date_sub(to, lookback - 1), F.date_sub(to, most - 1)
+    start = back if last is None else F.least(F.date_add(F.to_date(F.lit(last)), 1), back)
+    return spark.range(1).select(F.explode(F.sequence(F.greatest(start, floor), to)).alias("day"), to.alias("advance_to"), (start < floor).alias("clamped"))
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -35,7 +35,7 @@ def predict(model: PipelineModel, rows: DataFrame, name: str = "prediction") ->
 def fit_rate(rows: DataFrame, features: list[str]) -> tuple[PipelineModel, float]:
     """Monthly-loss model, weighted towards real losses, and the bias that centres it on the mean loss."""
     model = fit_boosted(rows, features, "loss", "weight")
-    bias = predict(model, rows).agg(F.avg(F.col("loss") - F.col("prediction")).alias("b")).first()["b"]
+    bias = predict(model, rows).agg(F.avg(F.col("loss") - F.greatest("prediction", F.lit(0.0))).alias("b")).first()["b"]
     return model, float(bias or 0.0)
 
 
@@ -57,6 +57,7 @@ def quantile_forest(train: DataFrame, asked: DataFrame, features: list[str], lab
 def anchors(df: DataFrame, soh: str = "soh") -> DataFrame:
     """Each vehicle's last row as forecast anchor, with recent stress and loss."""
     df = df.withColumn("recent_loss", sr.recent_loss_rate(df, soh)).withColumns({f"recent_{c}": sr.trailing_median(c, 6) for c in STRESS})
+    df = df.withColumn("history_drop", F.first(soh).over(sr.so_far()) - F.col(soh))
     return joins.latest(df).withColumn("soh", F.col(soh))
 
 
@@ -70,21 +71,24 @@ def fit_trajectory(rows: DataFrame, trees: int = 12) -> PipelineModel:
     return fit_boosted(rows, TRAJECTORY, "cum_loss", "weight", "absolute", trees)
 
 
-def forecast(model: PipelineModel, at: DataFrame, months: int = 36, band: tuple[float, float] = (-1.5, 1.5), flat: float = 0.02) -> DataFrame:
+def forecast(model: PipelineModel, at: DataFrame, months: int = 36, band: tuple[float, float] = (1.5, 1.5), flat_drop: float = 1.0) -> DataFrame:
     """vin, h, age_months, p10, p50, p90: all vehicles and steps in one pass.
 
     Predicted loss never falls with the horizon; it is blended with the vehicle's own recent slope, the more so the faster it
-    falls; vehicles that hardly lose are kept near flat. The band grows with the root of the horizon.
+    falls. Vehicles near 100, or that lost next to nothing, just keep their slope in half as wide a band. The band grows with the
+    root of the horizon, its lower edge never rises and its upper one stays at or below the present value.
     """
     steps = at.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(months)))).withColumn("horizon", F.col("h").cast("double"))
     steps = predict(model, steps, "raw").withColumn("loss", F.greatest("raw", F.lit(0.0)))
     steps = sr.accumulate_steps(steps, "loss")
     own = F.col("recent_loss") * F.col("horizon")
     share = F.least(F.greatest(F.col("recent_loss") / 0.4, F.lit(0.0)), F.lit(0.7))
-    loss = F.when(F.col("recent_loss") < flat, 0.35 * F.col("loss")).otherwise((1 - share) * F.col("loss") + share * own)
-    steps = steps.withColumn("p50", F.col("soh") - loss)
-    root = F.sqrt("h")
-    return steps.select("vin", "h", (F.col("age_months") + F.col("h")).alias("age_months"), (F.col("p50") + band[0] * root).alias("p10"), "p50", F.least(F.col("p50") + band[1] * root, F.col("soh")).alias("p90"))
+    is_flat = (F.col("soh") >= 99.5) | ((F.col("history_drop") < flat_drop) & (F.col("recent_loss") < 0.05))
+    steps = steps.withColumn("center", F.col("soh") - F.when(is_flat, own).otherwise((1 - share) * F.col("loss") + share * own)).withColumn("width", F.sqrt("h") * F.when(is_flat, 0.5).otherwise(1.0))
+    bounded = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(100.0))
+    steps = steps.withColumn("p10", bounded(F.col("center") - band[0] * F.col("width")))
+    steps = sr.accumulate_steps(steps, "p10", largest=False)
+    return steps.select("vin", "h", (F.col("age_months") + F.col("h")).alias("age_months"), "p10", bounded(F.col("center")).alias("p50"), bounded(F.least(F.col("center") + band[1] * F.col("width"), F.col("soh"))).alias("p90"))
 
 
 def roll_forward(model: PipelineModel, bias: float, at: DataFrame, features: list[str], months: int = 24, most: float = 1.2, gate: tuple[float, float] | None = None, cut=None) -> DataFrame:  # noqa: ANN001
@@ -115,10 +119,10 @@ def free_run(model: PipelineModel, bias: float, df: DataFrame, features: list[st
 
     Predicted monthly losses do not depend on the state here, so the run is a running sum.
     """
-    rows = df.withColumn("rn", F.row_number().over(sr.W)).withColumn("gap", F.coalesce(F.col("age_months") - F.lag("age_months").over(sr.W), F.lit(0.0)))
+    rows = df.withColumn("rn", F.row_number().over(sr.by_month())).withColumn("gap", F.coalesce(F.col("age_months") - F.lag("age_months").over(sr.by_month()), F.lit(0.0)))
     rows = predict(model, rows).withColumn("step", F.when(F.col("rn") > start, F.greatest(F.col("prediction") + bias, F.lit(0.0)) * F.col("gap")).otherwise(0.0))
-    base = F.max(F.when(F.col("rn") == start, F.col("soh"))).over(sr.OWN)
-    return rows.withColumn("p50", base - F.sum("step").over(sr.SO_FAR)).where(F.col("rn") > start).select("vin", "month", "age_months", "soh", "p50")
+    base = F.max(F.when(F.col("rn") == start, F.col("soh"))).over(sr.own())
+    return rows.withColumn("p50", base - F.sum("step").over(sr.so_far())).where(F.col("rn") > start).select("vin", "month", "age_months", "soh", "p50")
 
 
 def reanchored(forecasts: DataFrame, now: DataFrame) -> DataFrame:

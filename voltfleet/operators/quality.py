@@ -9,24 +9,26 @@ from ..functions import folds, stats
 from . import series as sr
 
 
-def manifest(df: DataFrame, soh: str = "soh", min_months: int = 6, min_span: float = 6.0, min_density: float = 0.5, proven_drop: float = 8.0) -> DataFrame:
+def manifest(df: DataFrame, soh: str = "soh", min_months: int = 6, min_span: float = 4.0, exempt_drop: float = 8.0, degrader_drop: float = 2.0, eol: float = 80.0, density: str = "n") -> DataFrame:
     """One row per vehicle: months, span, density, first and last health, class, and a verdict with its reasons.
 
-    A proven degrader is good whatever else is thin.
+    A proven degrader, by a large drop or by having reached end of life, trains whatever else is thin.
     """
     per = df.groupBy("vin").agg(
         F.count("*").alias("months"),
         (F.max("age_months") - F.min("age_months")).alias("span_months"),
-        F.min("age_months").alias("first_age"),
-        F.max("age_months").alias("current_age"),
+        F.min("age_months").alias("first_age_mo"),
+        F.max("age_months").alias("current_age_mo"),
         F.min_by(soh, "month").alias("soh_first"),
         F.max_by(soh, "month").alias("soh_last"),
-        F.avg("n").alias("obs_per_month"),
+        F.median(density).alias("obs_per_month"),
     )
-    per = per.withColumns({"soh_drop": F.col("soh_first") - F.col("soh_last"), "density": F.col("months") / (F.col("span_months") + 1)})
-    reasons = F.concat_ws(";", F.when(F.col("months") < min_months, "few months"), F.when(F.col("span_months") < min_span, "short span"), F.when(F.col("density") < min_density, "sparse"))
-    per = per.withColumn("reasons", reasons).withColumn("vehicle_class", F.when(F.col("soh_drop") >= proven_drop, "degrader").when(F.col("soh_drop") >= 2, "declining").otherwise("flat"))
-    return per.withColumn("quality", F.when((F.col("vehicle_class") == "degrader") | (F.col("reasons") == ""), "good").otherwise("thin"))
+    per = per.withColumn("soh_drop", F.col("soh_first") - F.col("soh_last"))
+    thin = F.concat_ws(";", F.when(F.col("months") < min_months, f"<{min_months}_valid_months"), F.when(F.col("span_months") < min_span, f"<{min_span:.0f}mo_span"))
+    proven = (F.col("soh_drop") >= exempt_drop) | (F.col("soh_last") <= eol)
+    per = per.withColumns({"thin": thin, "vehicle_class": F.when(F.col("soh_drop") >= degrader_drop, "degrader").otherwise("flat")})
+    reasons = F.when((F.col("thin") != "") & proven, F.concat(F.lit("proven-degrader(overrides:"), "thin", F.lit(")"))).otherwise(F.col("thin"))
+    return per.withColumns({"reasons": reasons, "quality": F.when((F.col("thin") == "") | proven, "trainable").otherwise("thin")}).drop("thin")
 
 
 def trainable(df: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -46,12 +48,12 @@ def thick_months(df: DataFrame, sessions: str = "n_sessions", min_months: int =
 
 def audit(df: DataFrame, soh: str = "soh", raw: str = "soh_raw", eol: float = 80.0, cliff: float = 6.0, stuck: int = 5) -> DataFrame:
     """Artifact flags per vehicle: a cliff, a stuck floor after a real drop, a floor far below the raw values, and their union."""
-    steps = df.withColumn("step", F.lag(soh).over(sr.W) - F.col(soh))
-    per = steps.groupBy("vin").agg(F.max("step").alias("worst"), F.max(F.col(raw) - F.col(soh)).alias("gap"), F.min(soh).alias("low"), F.max(soh).alias("high"), F.max_by(soh, "month").alias("last"), F.max("age_months").alias("age"))
+    steps = df.withColumn("step", F.lag(soh).over(sr.by_month()) - F.col(soh))
+    per = steps.groupBy("vin").agg(F.max("step").alias("worst"), F.max(F.col(raw) - F.col(soh)).alias("gap"), F.min(soh).alias("low"), F.min_by(soh, "month").alias("first"), F.max_by(soh, "month").alias("last"), F.count("*").alias("n")).where("n >= 2")
     per = per.join(sr.trailing_run(df, soh), "vin")
     yes = lambda c: F.coalesce(c, F.lit(False))
-    per = per.withColumns({"is_cliff": yes(F.col("worst") >= cliff), "is_stuck": (F.col("run") >= stuck) & (F.col("last") == F.col("low")) & (F.col("high") - F.col("low") >= 3), "is_floor": yes(F.col("gap") >= 2)})
-    return per.withColumns({"tainted": F.col("is_cliff") | F.col("is_stuck") | F.col("is_floor"), "aged": F.col("last") <= eol})
+    per = per.withColumns({"is_cliff": yes(F.col("worst") >= cliff), "is_stuck": (F.col("run") >= stuck) & (F.col("last") == F.col("low")) & (F.col("first") - F.col("last") >= 3), "is_floor": yes(F.col("gap") >= 2)})
+    return per.withColumns({"tainted": F.col("is_cliff") | F.col("is_stuck") | F.col("is_floor"), "aged": F.col("low") <= eol})
 
 
 def audit_summary(audited: DataFrame) -> DataFrame:
@@ -60,22 +62,32 @@ def audit_summary(audited: DataFrame) -> DataFrame:
     return audited.agg(F.count("*").alias("vehicles"), *[F.count_if(F.col(f)).alias(f) for f in flags], F.count_if(F.col("tainted") & F.col("aged")).alias("tainted_aged"))
 
 
-def curate(df: DataFrame, soh: str = "soh", eol: float = 80.0, warranty_months: float = 60.0, flat: float = 2.0, steep: float = 40.0) -> DataFrame:
-    """Bucket per vehicle from a robust root-of-age trend projected to the warranty's end."""
-    df = df.withColumn("root", F.sqrt(F.greatest("age_months", F.lit(0.0))))
-    fit = stats.theil_sen(df, "root", soh)
-    last = df.groupBy("vin").agg(F.max_by(soh, "month").alias("last"), F.min_by(soh, "month").alias("first"), F.max("age_months").alias("age"), F.max("root").alias("root_last"))
-    per = fit.join(last, "vin").withColumn("projected", F.col("last") + F.least("slope", F.lit(0.0)) * F.greatest(F.sqrt(F.lit(warranty_months)) - F.col("root_last"), F.lit(0.0)))
-    bucket = F.when(F.col("n") < 4, "EXCLUDED").when(F.abs(F.col("first") - F.col("last")) < flat, "FLAT").when(F.col("projected") < eol - steep, "PROBABLE_OOR").when(F.col("projected") < eol, "AT_RISK").otherwise("GRACEFUL")
-    return per.select("vin", "projected", bucket.alias("bucket"))
-
+def curate(df: DataFrame, soh: str = "soh", eol: float = 80.0, warranty_months: float = 60.0, min_months: int = 6, min_span: float = 6.0, near_share: float = 0.6, min_decline: float = 3.0, flat_decline: float = 2.0) -> DataFrame:
+    """Bucket per vehicle from a robust trend on the root of age, never rising, read at the warranty's end.
 
-def recovery_inliers(df: DataFrame, soh: str = "soh_raw", rise: float = 3.5, most_per_year: float = 10.0) -> DataFrame:
-    """Adds inlier: not a dip that later months recover from (but for the last two months), nor a fade steeper than plausible."""
-    df = df.withColumns({"later": sr.suffix_median(soh), "left": F.row_number().over(Window.partitionBy("vin").orderBy(F.desc("month"))), "top": F.max(soh).over(sr.OWN), "age0": F.min("age_months").over(sr.OWN)})
-    dip = (F.col("left") > 2) & (F.col("later") > F.col(soh) + rise)
-    fast = (F.col("top") - F.col(soh)) / F.greatest(F.col("age_months") - F.col("age0"), F.lit(1.0)) * 12 > most_per_year
-    return df.withColumn("inlier", ~F.coalesce(dip, F.lit(False)) & ~fast).drop("later", "left", "top", "age0")
+    Of those projected to survive it, aged or nearly aged ones that declined are GRACEFUL, those that hardly did FLAT, the rest
+    PROBABLE_OOR; the others are AT_RISK, and those seen too little EXCLUDED.
+    """
+    df = df.withColumn("root", F.sqrt(F.greatest("age_months", F.lit(0.0))))
+    per = df.groupBy("vin").agg(F.count("*").alias("months"), F.min("age_months").alias("age0"), F.max("age_months").alias("age"), F.min(soh).alias("low"), F.median(soh).alias("middle"))
+    per = per.join(stats.theil_sen(df, "root", soh).drop("n"), "vin")
+    rises = F.col("slope") > 0
+    per = per.withColumns({"b": F.when(rises, 0.0).otherwise(F.col("slope")), "c": F.when(rises, F.col("middle")).otherwise(F.col("intercept"))})
+    at = lambda age: F.col("c") + F.col("b") * F.sqrt(age)
+    per = per.withColumns({"projected": at(F.lit(warranty_months)), "decline": at(F.col("age0")) - at(F.col("age")), "close": (F.col("low") <= eol) | (F.col("age") >= near_share * warranty_months)})
+    survives = F.col("projected") >= eol
+    bucket = F.when((F.col("months") < min_months) | (F.col("age") - F.col("age0") < min_span), "EXCLUDED").when(survives & F.col("close") & (F.col("decline") >= min_decline), "GRACEFUL")
+    bucket = bucket.when(survives & (F.col("decline") < flat_decline), "FLAT").when(survives, "PROBABLE_OOR").otherwise("AT_RISK")
+    return per.select("vin", "projected", "decline", bucket.alias("bucket"))
+
+
+def recovery_inliers(df: DataFrame, soh: str = "soh_raw", margin: float = 3.5, most_per_year: float = 10.0) -> DataFrame:
+    """Adds inlier: not a dip that later months recover from (but for the last two months), nor a fade from 100 steeper than
+    plausible."""
+    df = df.withColumns({"later": sr.suffix_median(soh), "left": F.row_number().over(Window.partitionBy("vin").orderBy(F.desc("month")))})
+    dip = (F.col("left") > 2) & (F.col("later") > F.col(soh) + margin)
+    fast = (100 - F.col(soh)) / F.greatest(F.col("age_months") / 12, F.lit(0.25)) > most_per_year
+    return df.withColumn("inlier", ~F.coalesce(dip, F.lit(False)) & ~fast).drop("later", "left")
 
 
 def clean_label(df: DataFrame, soh: str = "soh_raw") -> DataFrame:
@@ -103,7 +115,7 @@ def confirmed_decliners(coulomb: DataFrame, other: DataFrame, third: DataFrame,
 
 def flatness(df: DataFrame, soh: str = "soh", same: float = 0.05, share: float = 0.8) -> DataFrame:
     """Per vehicle the share of months that barely change, and whether it is over ``share``."""
-    steps = df.withColumn("same", (F.abs(F.col(soh) - F.lag(soh).over(sr.W)) < same).cast("double"))
+    steps = df.withColumn("same", (F.abs(F.col(soh) - F.lag(soh).over(sr.by_month())) < same).cast("double"))
     return steps.groupBy("vin").agg(F.avg("same").alias("flat_share")).withColumn("flat", F.coalesce(F.col("flat_share") > share, F.lit(False)))
 
 

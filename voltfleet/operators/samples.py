@@ -11,7 +11,7 @@ from . import series as sr
 
 def transitions(df: DataFrame, soh: str = "soh", most_gap: float = 3.0, glitch: float | None = None) -> DataFrame:
     """A row for each month and the next: loss per month (at least 0), gap and weight; with ``glitch`` steps beyond it lose at most 4."""
-    nxt = df.withColumns({"next_soh": F.lead(soh).over(sr.W), "gap": (F.lead("age_months").over(sr.W) - F.col("age_months"))})
+    nxt = df.withColumns({"next_soh": F.lead(soh).over(sr.by_month()), "gap": (F.lead("age_months").over(sr.by_month()) - F.col("age_months"))})
     rows = nxt.where((F.col("gap") > 0) & (F.col("gap") <= most_gap))
     loss = F.greatest((F.col(soh) - F.col("next_soh")) / F.col("gap"), F.lit(0.0))
     if glitch is not None:
@@ -57,7 +57,7 @@ def tail_vehicles(df: DataFrame, share: float = 0.2) -> DataFrame:
 
 def history(df: DataFrame, tail: float = 0.4, least: int = 4) -> DataFrame:
     """Adds past: whether a month is history, the rest being the held-out tail; vehicles too short for both go."""
-    df = df.withColumns({"rn": F.row_number().over(sr.W), "months": F.count(F.lit(1)).over(sr.OWN)})
+    df = df.withColumns({"rn": F.row_number().over(sr.by_month()), "months": F.count(F.lit(1)).over(sr.own())})
     cut = F.greatest(F.floor(F.col("months") * (1 - tail)), F.lit(least))
     return df.withColumn("cut", cut).where("months > cut").withColumn("past", F.col("rn") <= F.col("cut")).drop("rn", "months", "cut")
 

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import folds
 
-W = Window.partitionBy("vin").orderBy("month")
-SO_FAR = W.rowsBetween(Window.unboundedPreceding, 0)
-OWN = Window.partitionBy("vin")
+
+def by_month() -> WindowSpec:
+    return Window.partitionBy("vin").orderBy("month")
+
+
+def so_far() -> WindowSpec:
+    return by_month().rowsBetween(Window.unboundedPreceding, 0)
+
+
+def own() -> WindowSpec:
+    return Window.partitionBy("vin")
 
 
 def centred(k: int):  # noqa: ANN201
-    return W.rowsBetween(-(k // 2), k // 2)
+    return by_month().rowsBetween(-(k // 2), k // 2)
 
 
 def rolling_median(column: str | Column, k: int) -> Column:
@@ -25,25 +33,25 @@ def rolling_mean(column: str, k: int) -> Column:
 
 
 def trailing_median(column: str | Column, k: int) -> Column:
-    return F.percentile(column, 0.5).over(W.rowsBetween(-(k - 1), 0))
+    return F.percentile(column, 0.5).over(by_month().rowsBetween(-(k - 1), 0))
 
 
 def gap_months(per_month: float = 30.4) -> Column:
     """Months since the vehicle's last row; 1 at its first."""
-    return F.coalesce(F.datediff("month", F.lag("month").over(W)) / per_month, F.lit(1.0))
+    return F.coalesce(F.datediff("month", F.lag("month").over(by_month())) / per_month, F.lit(1.0))
 
 
 def km_from_odometer(odo: str = "odo_max", most: float | None = None) -> Column:
     """Distance since the last month, never negative, 0 at the first; of the running maximum and capped if ``most`` is given."""
-    column = F.col(odo) if most is None else F.max(odo).over(SO_FAR)
-    step = column - F.lag(column).over(W) if most is None else column - F.coalesce(F.max(odo).over(W.rowsBetween(Window.unboundedPreceding, -1)), column)
+    column = F.col(odo) if most is None else F.max(odo).over(so_far())
+    step = column - F.lag(column).over(by_month()) if most is None else column - F.coalesce(F.max(odo).over(by_month().rowsBetween(Window.unboundedPreceding, -1)), column)
     out = F.coalesce(F.greatest(step, F.lit(0.0)), F.lit(0.0))
     return out if most is None else F.least(out, F.lit(most))
 
 
 def cumulative(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Running sums under new names."""
-    return df.withColumns({new: F.sum(old).over(SO_FAR) for old, new in columns.items()})
+    return df.withColumns({new: F.sum(old).over(so_far()) for old, new in columns.items()})
 
 
 def ages(df: DataFrame, anchor: str) -> DataFrame:
@@ -53,11 +61,11 @@ def ages(df: DataFrame, anchor: str) -> DataFrame:
 
 
 def running_min(column: str) -> Column:
-    return F.min(column).over(SO_FAR)
+    return F.min(column).over(so_far())
 
 
 def running_max(column: str) -> Column:
-    return F.max(column).over(SO_FAR)
+    return F.max(column).over(so_far())
 
 
 def greedy_envelope(df: DataFrame, raw: str = "soh_raw", max_drop: float = 6.0) -> DataFrame:
@@ -96,7 +104,7 @@ def last_values(df: DataFrame, column: str, k: int = 6) -> DataFrame:
 
 def recent_loss_rate(df: DataFrame, soh: str = "soh", k: int = 8, least: int = 3) -> Column:
     """Health lost per month over the last k rows up to each row, at least 0; 0 with fewer than ``least`` rows or no time passed."""
-    recent = W.rowsBetween(-(k - 1), 0)
+    recent = by_month().rowsBetween(-(k - 1), 0)
     span = F.col("age_months") - F.first("age_months").over(recent)
     rate = F.greatest((F.first(soh).over(recent) - F.col(soh)) / span, F.lit(0.0))
     return F.when((F.count(F.lit(1)).over(recent) >= least) & (span > 0), rate).otherwise(0.0)
@@ -104,7 +112,7 @@ def recent_loss_rate(df: DataFrame, soh: str = "soh", k: int = 8, least: int = 3
 
 def suffix_median(column: str) -> Column:
     """Median of all later values; null at the last row."""
-    return F.percentile(column, 0.5).over(W.rowsBetween(1, Window.unboundedFollowing))
+    return F.percentile(column, 0.5).over(by_month().rowsBetween(1, Window.unboundedFollowing))
 
 
 def trailing_run(df: DataFrame, column: str) -> DataFrame:
@@ -143,8 +151,8 @@ def group_at_least(df: DataFrame, k: int, by: str = "vin") -> DataFrame:
 
 def fill_both(column: str) -> Column:
     """Last known value, before the first one the next known."""
-    last = F.last(column, ignorenulls=True).over(SO_FAR)
-    return F.coalesce(last, F.first(column, ignorenulls=True).over(W.rowsBetween(0, Window.unboundedFollowing)))
+    last = F.last(column, ignorenulls=True).over(so_far())
+    return F.coalesce(last, F.first(column, ignorenulls=True).over(by_month().rowsBetween(0, Window.unboundedFollowing)))
 
 
 def accumulate_steps(df: DataFrame, column: str, step: str = "h", largest: bool = True) -> DataFrame:

@@ -29,7 +29,7 @@ def anchor_dates(months: DataFrame, registration: DataFrame) -> DataFrame:
 def capacity_to_soh(months: DataFrame, registration: DataFrame, capacity: str = "capacity_ah", method: str = "isotonic", max_drop: float = 6.0, early: float = 11.0) -> DataFrame:
     """Health from monthly capacity, 100 at the anchor date: smoothed, over an early base grossed up by the fade of the months
     between the anchor and the first reading, then an envelope (``isotonic`` or ``greedy``)."""
-    own = sr.OWN
+    own = sr.own()
     df = months.join(anchor_dates(months, registration), "vin")
     df = df.withColumn("age_months", F.datediff("month", "anchor") / 30.4).withColumn("smooth", sr.rolling_median(capacity, 5))
     df = df.withColumns({"first_age": F.min("age_months").over(own), "span": F.max("age_months").over(own) - F.min("age_months").over(own), "months": F.count(F.lit(1)).over(own), "slope": F.regr_slope("smooth", "age_months").over(own)})
@@ -52,8 +52,8 @@ def remaining_capacity_soh(readings: DataFrame, min_readings: int = 15, min_mont
     mid = F.median("full_cap").over(Window.partitionBy("vin"))
     good = readings.withColumn("mid", mid).where((F.col("mid") >= floor) & F.col("full_cap").between(window[0] * F.col("mid"), window[1] * F.col("mid")))
     months = good.groupBy("vin", "month").agg(F.median("full_cap").alias("full_cap"), F.count("*").alias("n")).where(F.col("n") >= min_readings)
-    months = sr.group_at_least(months, min_months).withColumn("rn", F.row_number().over(sr.W))
-    months = months.withColumn("nominal", F.percentile(F.when(F.col("rn") <= nominal_months, F.col("full_cap")), nominal_q).over(sr.OWN))
+    months = sr.group_at_least(months, min_months).withColumn("rn", F.row_number().over(sr.by_month()))
+    months = months.withColumn("nominal", F.percentile(F.when(F.col("rn") <= nominal_months, F.col("full_cap")), nominal_q).over(sr.own()))
     fitted = sr.isotonic_envelope(months.drop("rn"), "full_cap", None)
     return fitted.withColumn("soh", F.least(100 * F.col("soh") / F.col("nominal"), F.lit(100.0)))
 
@@ -71,14 +71,14 @@ def distance_proxy(segments: DataFrame, min_segments: int = 3, bounds: tuple[flo
     """Distance per full charge by month, relative to the median of the first months; bounded, no envelope."""
     months = segments.groupBy("vin", F.date_trunc("month", "t").alias("month")).agg((100 * F.sum("dkm") / F.sum("dsoc")).alias("range_km"), F.count("*").alias("n"))
     months = sr.group_at_least(months.where((F.col("n") >= min_segments) & F.col("range_km").between(*bounds)), min_months)
-    months = months.withColumn("rn", F.row_number().over(sr.W))
-    base = F.median(F.when(F.col("rn") <= base_months, F.col("range_km"))).over(sr.OWN)
+    months = months.withColumn("rn", F.row_number().over(sr.by_month()))
+    base = F.median(F.when(F.col("rn") <= base_months, F.col("range_km"))).over(sr.own())
     return months.withColumn("soh", F.greatest(F.least(100 * F.col("range_km") / base, F.lit(clip[1])), F.lit(clip[0]))).drop("rn")
 
 
 def first_month_proxy(months: DataFrame, value: str) -> DataFrame:
     """Value relative to the first month's, running minimum, capped at 100."""
-    base = F.first(value).over(sr.SO_FAR)
+    base = F.first(value).over(sr.so_far())
     raw = months.withColumn("soh_raw", F.least(100 * F.col(value) / base, F.lit(100.0)))
     return raw.withColumn("soh", sr.running_min("soh_raw"))
 
@@ -95,8 +95,8 @@ def full_charge_soh(charges: DataFrame, cap: str = "cap", low_age: float = 1.0,
 def upper_quartile_soh(sessions: DataFrame, min_sessions: int = 3) -> DataFrame:
     """Monthly upper quartile of session capacity, smoothed, over the median of the first three months; at most 102, never rising."""
     months = sessions.groupBy("vin", F.date_trunc("month", "t0").alias("month")).agg(F.percentile("cap", 0.75).alias("cap"), F.count("*").alias("n")).where(F.col("n") >= min_sessions)
-    months = months.withColumn("smooth", sr.rolling_median("cap", 3)).withColumn("rn", F.row_number().over(sr.W))
-    base = F.median(F.when(F.col("rn") <= 3, F.col("smooth"))).over(sr.OWN)
+    months = months.withColumn("smooth", sr.rolling_median("cap", 3)).withColumn("rn", F.row_number().over(sr.by_month()))
+    base = F.median(F.when(F.col("rn") <= 3, F.col("smooth"))).over(sr.own())
     months = months.withColumn("soh_raw", F.least(100 * F.col("smooth") / base, F.lit(102.0)))
     return months.withColumn("soh", sr.running_min("soh_raw")).drop("rn", "smooth")
 
@@ -119,7 +119,7 @@ def charge_rate_proxy(df: DataFrame, low: float = 30.0, high: float = 70.0) -> D
 def daily_fade(df: DataFrame, value: str, k: int = 7) -> DataFrame:
     """Trend of the smoothed daily median: points per year and per 1000 km."""
     days = df.groupBy("vin", F.date_trunc("day", "t").alias("month")).agg(F.median(value).alias("x"), F.max("odo").alias("odo"))
-    days = days.withColumn("smooth", sr.trailing_median("x", k)).withColumn("years", F.datediff("month", F.min("month").over(sr.OWN)) / 365.25)
+    days = days.withColumn("smooth", sr.trailing_median("x", k)).withColumn("years", F.datediff("month", F.min("month").over(sr.own())) / 365.25)
     return days.groupBy("vin").agg(F.regr_slope("smooth", "years").alias("per_year"), (F.regr_slope("smooth", "odo") * 1000).alias("per_1000_km"), F.count("*").alias("days"))
 
 
@@ -158,7 +158,7 @@ def simple_soh(df: DataFrame, method: str, **options) -> DataFrame:  # noqa: ANN
     """Health by a named method from its own input: coulomb (good sessions), bms_capacity (readings) or reported (samples)."""
     if method == "coulomb":
         months = pooled_capacity(df, **options)
-        top = F.max("capacity_ah").over(sr.OWN)
+        top = F.max("capacity_ah").over(sr.own())
         return sr.isotonic_envelope(months.withColumn("soh_raw", 100 * F.col("capacity_ah") / top))
     return {"bms_capacity": remaining_capacity_soh, "reported": reported_soh}[method](df, **options)
 

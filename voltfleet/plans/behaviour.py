@@ -35,7 +35,7 @@ DRV = "drv AS (SELECT metric, corr(rx, ry) AS rho, count(*) AS n FROM (SELECT me
 add("q04_ranked_drivers", lambda s, d: be.ranked_drivers(table(s, d), NAMES), *BASE, DRV, select="SELECT * FROM drv", columns="metric:s rho:d n:i")
 PCT = "pct AS (SELECT vin, metric, value, (rank() OVER (PARTITION BY metric ORDER BY value) - 1) / count(*) OVER (PARTITION BY metric) * 100 AS pct, (value - avg(value) OVER (PARTITION BY metric)) / stddev_samp(value) OVER (PARTITION BY metric) AS z FROM lon)"
 add("q07_percentiles", lambda s, d: be.percentiles(table(s, d), NAMES), *BASE, PCT, select="SELECT *, CASE WHEN pct >= 80 THEN 'harsh' WHEN pct >= 60 THEN 'above average' WHEN pct >= 40 THEN 'typical' ELSE 'gentle' END AS verdict FROM pct", columns="vin:i metric:s value:d pct:d z:d verdict:s")
-add("q08_care_scores", lambda s, d: be.care_scores(be.percentiles(table(s, d), NAMES)), *BASE, PCT, select="SELECT vin, score, CASE WHEN score >= 80 THEN 'A' WHEN score >= 60 THEN 'B' WHEN score >= 40 THEN 'C' WHEN score >= 20 THEN 'D' ELSE 'E' END AS grade FROM (SELECT vin, avg(100 - pct) AS score FROM pct GROUP BY vin)", columns="vin:i score:d grade:s")
+add("q08_care_scores", lambda s, d: be.care_scores(be.percentiles(table(s, d), NAMES)), *BASE, PCT, select="SELECT vin, score, CASE WHEN score >= 72 THEN 'Gentle' WHEN score >= 50 THEN 'Moderate' WHEN score >= 35 THEN 'Firm' ELSE 'Hard' END AS grade FROM (SELECT vin, avg(100 - pct) AS score FROM pct GROUP BY vin)", columns="vin:i score:d grade:s")
 add(
     "q09_levers",
     lambda s, d: be.levers(be.percentiles(table(s, d), NAMES), be.ranked_drivers(table(s, d), NAMES)),
@@ -54,7 +54,7 @@ add(
 )
 add(
     "r01_robust_km_month",
-    lambda s, d: po.robust_km_month(fx.series(s, d).withColumn("odo_max", F.sum("km_month").over(sr.SO_FAR))),
+    lambda s, d: po.robust_km_month(fx.series(s, d).withColumn("odo_max", F.sum("km_month").over(sr.so_far()))),
     SERIES,
     "od AS (SELECT vin, age_months, sum(km_month) OVER (PARTITION BY vin ORDER BY month) AS odo FROM ser)",
     select="SELECT vin, CASE WHEN (max(odo) - min(odo)) / (max(age_months) - min(age_months)) BETWEEN 10 AND 8000 THEN (max(odo) - min(odo)) / (max(age_months) - min(age_months)) END AS km_month FROM od GROUP BY vin",

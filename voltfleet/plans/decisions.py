@@ -21,7 +21,7 @@ EOL = 70.0
 
 def recent(s: SparkSession, d: str) -> DataFrame:
     """Labelled series of each vehicle's first 40 months, with a running odometer."""
-    return labelled(s, d).where("age_months < 40").withColumn("odo_max", F.sum("km_month").over(sr.SO_FAR))
+    return labelled(s, d).where("age_months < 40").withColumn("odo_max", F.sum("km_month").over(sr.so_far()))
 
 
 def now(s: SparkSession, d: str) -> DataFrame:

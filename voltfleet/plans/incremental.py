@@ -48,13 +48,13 @@ add("a21_cohort_span", lambda s, d: scans.within_cohort_span(fx.telemetry(s, d),
 def planned(s: SparkSession, d: str) -> DataFrame:
     """S1: the table's last day is today, five days before it was the last run; and how many samples each day has."""
     last = fx.table(s, d, "events").agg(F.to_date(F.max("ts")).alias("d")).first()["d"]
-    plan = inc.plan_days(s, str(last), str(last - timedelta(days=5)), 3, 4)
+    plan = inc.plan_days(s, str(last), str(last - timedelta(days=5)), 7, 6)
     counts = fx.table(s, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-    return plan.join(counts, "day", "left")
+    return plan.join(counts, "day", "left").withColumn("clamped", F.col("clamped").cast("int"))
 
 
-add("s01_plan_days", planned, "mx AS (SELECT max(ts)::DATE AS d FROM events)", "pl AS (SELECT (d - 5 + i::INT)::DATE AS day, CASE WHEN i <= 0 THEN 'lookback' ELSE 'forward' END AS why FROM mx, generate_series(-2, 4) AS g(i))",
-    select="SELECT day::TIMESTAMP AS day, why, n FROM pl LEFT JOIN (SELECT ts::DATE AS day, count(*) AS n FROM events GROUP BY 1) USING (day)", columns="day:t why:s n:i")
+add("s01_plan_days", planned, "mx AS (SELECT max(ts)::DATE AS d FROM events)", "pl AS (SELECT (d - i::INT)::DATE AS day, d AS advance_to, 1 AS clamped FROM mx, generate_series(0, 5) AS g(i))",
+    select="SELECT day::TIMESTAMP AS day, advance_to::TIMESTAMP AS advance_to, clamped, n FROM pl LEFT JOIN (SELECT ts::DATE AS day, count(*) AS n FROM events GROUP BY 1) USING (day)", columns="day:t advance_to:t clamped:i n:i")
 add(
     "s02_upsert",
     lambda s, d: inc.upsert(fx.telemetry(s, d).where("id % 3 > 0").select("vin", "t", F.lit(0).alias("load"), "soc"), fx.telemetry(s, d).where("id % 3 < 2").select("vin", "t", F.lit(1).alias("load"), (F.col("soc") + 1).alias("soc")), ["vin", "t"], "load"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import bounded as bd
 from ..functions import scalars as sc
 from ..functions import stats as st
 from ..operators import joins as j
@@ -91,7 +92,7 @@ add(
     columns="vin:i month:t soh_raw:d km_month:d shared:i",
 )
 add("h02_h04_top_vehicles", lambda s, d: fx.series(s, d).groupBy("vin").agg(F.count("*").alias("months"), F.sum("n").alias("n_rows")).orderBy(F.desc("months"), F.desc("n_rows"), "vin").limit(10), SERIES, select="SELECT vin, count(*) AS months, sum(n) AS n_rows FROM ser GROUP BY vin ORDER BY months DESC, n_rows DESC, vin LIMIT 10", columns="vin:i months:i n_rows:i")
-add("h03_h09_largest_losses", lambda s, d: j.top_per_group(fx.series(s, d).withColumn("loss", F.lag("soh_raw").over(sr.W) - F.col("soh_raw")).where("loss is not null"), "vin", [F.desc("loss"), F.col("month")], 3).select("vin", "month", "loss", "place"), SERIES, select="SELECT * FROM (SELECT vin, month, loss, row_number() OVER (PARTITION BY vin ORDER BY loss DESC, month) AS place FROM (SELECT *, lag(soh_raw) OVER (PARTITION BY vin ORDER BY month) - soh_raw AS loss FROM ser) WHERE loss IS NOT NULL) WHERE place <= 3", columns="vin:i month:t loss:d place:i")
+add("h03_h09_largest_losses", lambda s, d: j.top_per_group(fx.series(s, d).withColumn("loss", F.lag("soh_raw").over(sr.by_month()) - F.col("soh_raw")).where("loss is not null"), "vin", [F.desc("loss"), F.col("month")], 3).select("vin", "month", "loss", "place"), SERIES, select="SELECT * FROM (SELECT vin, month, loss, row_number() OVER (PARTITION BY vin ORDER BY loss DESC, month) AS place FROM (SELECT *, lag(soh_raw) OVER (PARTITION BY vin ORDER BY month) - soh_raw AS loss FROM ser) WHERE loss IS NOT NULL) WHERE place <= 3", columns="vin:i month:t loss:d place:i")
 add("h05_latest_row", lambda s, d: j.latest(fx.series(s, d)).select("vin", "month", "soh_raw"), SERIES, select="SELECT vin, max(month) AS month, arg_max(soh_raw, month) AS soh_raw FROM ser GROUP BY vin", columns="vin:i month:t soh_raw:d")
 add(
     "h06_h07_h08_worst_first",
@@ -149,7 +150,7 @@ add(
     lambda s, d: fx.series(s, d).select("vin", "month", sc.estimated_range(F.col("soh_raw"), F.lit(7.4), F.when(F.col("n") > 8, F.col("temp_max") + 30), F.lit(120.0)).alias("range_km"), sc.health_status(F.col("soh_raw")).alias("status"), sc.care_grade(F.col("soh_raw")).alias("grade"), sc.age_text(F.col("age_months")).alias("age")),
     SERIES,
     select="""SELECT vin, month, CASE WHEN n > 8 THEN 7400 * soh_raw / 100 / (temp_max + 30) ELSE 120 * soh_raw / 100 END AS range_km, CASE WHEN soh_raw - 80 >= 15 THEN 'excellent' WHEN soh_raw - 80 >= 8 THEN 'good' WHEN soh_raw - 80 >= 3 THEN 'fair' WHEN soh_raw - 80 >= 0 THEN 'watch' ELSE 'below' END AS status,
-      CASE WHEN soh_raw >= 80 THEN 'A' WHEN soh_raw >= 60 THEN 'B' WHEN soh_raw >= 40 THEN 'C' ELSE 'D' END AS grade, (floor(round_even(age_months, 0) / 12)::INT)::VARCHAR || ' yr ' || (round_even(age_months, 0)::INT % 12)::VARCHAR || ' mo' AS age FROM ser""",
+      CASE WHEN soh_raw >= 72 THEN 'Gentle' WHEN soh_raw >= 50 THEN 'Moderate' WHEN soh_raw >= 35 THEN 'Firm' ELSE 'Hard' END AS grade, (floor(round_even(age_months, 0) / 12)::INT)::VARCHAR || ' yr ' || (round_even(age_months, 0)::INT % 12)::VARCHAR || ' mo' AS age FROM ser""",
     columns="vin:i month:t range_km:d status:s grade:s age:s",
 )
 add(
@@ -199,4 +200,21 @@ add("k12_detrended_spearman", lambda s, d: st.detrended_spearman(fx.series(s, d)
 add("k13_sqrt_fade", lambda s, d: st.sqrt_fade(fx.series(s, d), "soh_raw"), SERIES, select="SELECT vin, k, CASE WHEN k > 0 THEN (20 / k) ** 2 END AS eol_age FROM (SELECT vin, sum((100 - soh_raw) * sqrt(age_months)) / sum(age_months) AS k FROM ser WHERE age_months > 0 GROUP BY vin)", columns="vin:i k:d eol_age:d")
 add("k14_bootstrap_median", lambda s, d: st.bootstrap_median(fx.series(s, d).groupBy("vin").agg(F.min("soh_raw").alias("low_soh")).withColumnRenamed("vin", "id"), "low_soh"))
 add("k15_relative_slopes", lambda s, d: st.relative_slopes(fx.series(s, d), "soh_raw"), SERIES, select="SELECT vin, regr_slope(soh_raw, age_months) / avg(soh_raw) * 100 AS rel_slope, count(*) AS n FROM ser GROUP BY vin HAVING count(*) >= 6", columns="vin:i rel_slope:d n:i")
-add("k20_errors", lambda s, d: st.errors(fx.series(s, d).withColumn("p", F.lag("soh_raw").over(sr.W)), "p", "soh_raw", ("vin",)), SERIES, select="SELECT vin, sqrt(avg((p - soh_raw) ** 2)) AS rmse, avg(abs(p - soh_raw)) AS mae, avg(p - soh_raw) AS bias, count(*) AS n FROM (SELECT *, lag(soh_raw) OVER (PARTITION BY vin ORDER BY month) AS p FROM ser) WHERE p IS NOT NULL GROUP BY vin", columns="vin:i rmse:d mae:d bias:d n:i")
+add("k20_errors", lambda s, d: st.errors(fx.series(s, d).withColumn("p", F.lag("soh_raw").over(sr.by_month())), "p", "soh_raw", ("vin",)), SERIES, select="SELECT vin, sqrt(avg((p - soh_raw) ** 2)) AS rmse, avg(abs(p - soh_raw)) AS mae, avg(p - soh_raw) AS bias, count(*) AS n FROM (SELECT *, lag(soh_raw) OVER (PARTITION BY vin ORDER BY month) AS p FROM ser) WHERE p IS NOT NULL GROUP BY vin", columns="vin:i rmse:d mae:d bias:d n:i")
+add("k16_decreasing_cubic", lambda s, d: bd.decreasing_cubic(fx.series(s, d), "soh_raw"))
+add("k17_anchored_cubic", lambda s, d: bd.evaluate(bd.decreasing_cubic(fx.series(s, d), "soh_raw", anchored=True), fx.series(s, d).select("vin", "age_months"), anchored=True))
+add(
+    "k18_greyed",
+    lambda s, d: bd.greyed(fx.series(s, d), "soh_raw").select("vin", "month", F.col("inlier").cast("int").alias("inlier")),
+    SERIES,
+    "gr0 AS (SELECT *, soh_raw >= 99.95 AS top FROM ser)",
+    "gr1 AS (SELECT *, (top AND row_number() OVER (PARTITION BY vin, top ORDER BY month) > 1) OR (100 - soh_raw) / greatest(age_months / 12, 0.25) > 10 AS gone FROM gr0)",
+    "gr2 AS (SELECT * FROM gr1 WHERE NOT gone)",
+    "gr3 AS (SELECT a.vin, median((b.soh_raw - a.soh_raw) / (b.age_months - a.age_months)) AS slope FROM gr2 a JOIN gr2 b ON a.vin = b.vin AND b.age_months > a.age_months GROUP BY a.vin)",
+    "gr4 AS (SELECT g.vin, month, soh_raw - coalesce(slope, 0) * age_months AS r, count(*) OVER (PARTITION BY g.vin) AS n FROM gr2 g LEFT JOIN gr3 t ON t.vin = g.vin)",
+    "gr5 AS (SELECT *, abs(r - median(r) OVER (PARTITION BY vin)) AS off FROM gr4)",
+    "gr6 AS (SELECT vin, month FROM (SELECT *, greatest(3.5 * 1.4826 * median(off) OVER (PARTITION BY vin), 3.0) AS lim FROM gr5) WHERE n >= 4 AND off > lim)",
+    select="SELECT g.vin, g.month, CAST(NOT gone AND h.vin IS NULL AS INT) AS inlier FROM gr1 g LEFT JOIN gr6 h ON h.vin = g.vin AND h.month = g.month",
+    columns="vin:i month:t inlier:i",
+)
+add("l12_fitted_drops", lambda s, d: (lambda a, b: a.join(b, "vin"))(*[bd.decreasing_cubic(fx.series(s, d), y).select("vin", (F.col("c1") * (F.col("x1") - F.col("x0")) + F.col("c2") * F.pow(F.col("x1") - F.col("x0"), F.lit(2.0)) + F.col("c3") * F.pow(F.col("x1") - F.col("x0"), F.lit(3.0))).alias(f"drop_{y}")) for y in ("soh_raw", "cap_raw")]))

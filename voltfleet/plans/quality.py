@@ -24,13 +24,13 @@ def labelled(s: SparkSession, d: str) -> DataFrame:
 
 
 LAB = "lab AS (SELECT *, min(soh_raw) OVER (PARTITION BY vin ORDER BY month) AS soh FROM ser)"
-MAN = """man0 AS (SELECT vin, count(*) AS months, max(age_months) - min(age_months) AS span_months, arg_min(soh, month) - arg_max(soh, month) AS soh_drop, avg(n) AS obs_per_month FROM lab GROUP BY vin),
-man1 AS (SELECT *, concat_ws(';', CASE WHEN months < 83 THEN 'few months' END, CASE WHEN span_months < 80.5 THEN 'short span' END, CASE WHEN months / (span_months + 1) < 0.5 THEN 'sparse' END) AS reasons FROM man0),
-man AS (SELECT *, CASE WHEN soh_drop >= 42 THEN 'degrader' WHEN soh_drop >= 2 THEN 'declining' ELSE 'flat' END AS vehicle_class, CASE WHEN soh_drop >= 42 OR reasons = '' THEN 'good' ELSE 'thin' END AS quality FROM man1)"""
+MAN = """man0 AS (SELECT vin, count(*) AS months, max(age_months) - min(age_months) AS span_months, arg_min(soh, month) - arg_max(soh, month) AS soh_drop, arg_max(soh, month) AS soh_last, median(n) AS obs_per_month FROM lab GROUP BY vin),
+man1 AS (SELECT *, concat_ws(';', CASE WHEN months < 83 THEN '<83_valid_months' END, CASE WHEN span_months < 80.5 THEN '<80mo_span' END) AS thin, soh_drop >= 42 OR soh_last <= 55 AS proven FROM man0),
+man AS (SELECT *, CASE WHEN thin <> '' AND proven THEN 'proven-degrader(overrides:' || thin || ')' ELSE thin END AS reasons, CASE WHEN soh_drop >= 35 THEN 'degrader' ELSE 'flat' END AS vehicle_class, CASE WHEN thin = '' OR proven THEN 'trainable' ELSE 'thin' END AS quality FROM man1)"""
 
 
 def verdicts(s: SparkSession, d: str) -> DataFrame:
-    return q.manifest(labelled(s, d), min_months=83, min_span=80.5, proven_drop=42.0)
+    return q.manifest(labelled(s, d), min_months=83, min_span=80.5, exempt_drop=42.0, degrader_drop=35.0, eol=55.0)
 
 
 add("l01_manifest", verdicts, SERIES, LAB, MAN, select="SELECT * FROM man", columns="vin:i months:i span_months:d soh_drop:d obs_per_month:d reasons:s vehicle_class:s quality:s")
@@ -39,8 +39,8 @@ add("l02_exclusion_log", lambda s, d: q.excluded(verdicts(s, d)), SERIES, LAB, M
 add("l03_thick_months", lambda s, d: q.thick_months(fx.series(s, d).withColumn("n_sessions", F.col("n") - 6), min_months=50).select("vin", "month"), SERIES, select="SELECT vin, month FROM (SELECT *, count(*) OVER (PARTITION BY vin) AS c FROM ser WHERE n > 6) WHERE c >= 50", columns="vin:i month:t")
 AUD = """aud0 AS (SELECT *, lag(soh) OVER (PARTITION BY vin ORDER BY month) - soh AS step, lag(soh) OVER (PARTITION BY vin ORDER BY month DESC) AS nxt FROM lab),
 aud1 AS (SELECT *, sum(CAST(coalesce(soh <> nxt, false) AS INT)) OVER (PARTITION BY vin ORDER BY month DESC) AS seen FROM aud0),
-aud2 AS (SELECT vin, max(step) AS worst, max(soh_raw - soh) AS gap, min(soh) AS low, max(soh) AS high, arg_max(soh, month) AS last, count(*) FILTER (WHERE seen = 0) AS run FROM aud1 GROUP BY vin),
-aud AS (SELECT *, coalesce(worst >= 6, false) AS is_cliff, run >= 5 AND last = low AND high - low >= 3 AS is_stuck, gap >= 2 AS is_floor, last <= 80 AS aged FROM aud2)"""
+aud2 AS (SELECT vin, max(step) AS worst, max(soh_raw - soh) AS gap, min(soh) AS low, arg_min(soh, month) AS first, arg_max(soh, month) AS last, count(*) FILTER (WHERE seen = 0) AS run FROM aud1 GROUP BY vin),
+aud AS (SELECT *, coalesce(worst >= 6, false) AS is_cliff, run >= 5 AND last = low AND first - last >= 3 AS is_stuck, gap >= 2 AS is_floor, low <= 80 AS aged FROM aud2)"""
 add(
     "l04_artifact_audit",
     lambda s, d: q.audit(labelled(s, d)).withColumns({f: F.col(f).cast("int") for f in ("is_cliff", "is_stuck", "is_floor", "tainted")}),
@@ -51,17 +51,18 @@ add(
 add("l05_audit_summary", lambda s, d: q.audit_summary(q.audit(labelled(s, d))), SERIES, LAB, AUD, select="SELECT count(*) AS vehicles, count(*) FILTER (WHERE is_cliff) AS is_cliff, count(*) FILTER (WHERE is_stuck) AS is_stuck, count(*) FILTER (WHERE aged) AS aged FROM aud", columns="vehicles:i is_cliff:i is_stuck:i aged:i")
 add(
     "l06_curate",
-    lambda s, d: q.curate(labelled(s, d), "soh_raw", warranty_months=120.0),
+    lambda s, d: q.curate(fx.series(s, d), "soh_raw", eol=79.0, warranty_months=120.0),
     SERIES,
     "cu0 AS (SELECT *, sqrt(greatest(age_months, 0)) AS root FROM ser)",
     "cu1 AS (SELECT a.vin, median((b.soh_raw - a.soh_raw) / (b.root - a.root)) AS slope FROM cu0 a JOIN cu0 b ON a.vin = b.vin AND b.root > a.root GROUP BY a.vin)",
-    "cu2 AS (SELECT c.vin, slope, count(*) AS n, arg_max(soh_raw, month) AS last, arg_min(soh_raw, month) AS first, max(root) AS rl FROM cu0 c JOIN cu1 t ON t.vin = c.vin GROUP BY 1, 2)",
-    "cu3 AS (SELECT *, last + least(slope, 0) * greatest(sqrt(120.0) - rl, 0) AS projected FROM cu2)",
-    select="SELECT vin, projected, CASE WHEN n < 4 THEN 'EXCLUDED' WHEN abs(first - last) < 2 THEN 'FLAT' WHEN projected < 40 THEN 'PROBABLE_OOR' WHEN projected < 80 THEN 'AT_RISK' ELSE 'GRACEFUL' END AS bucket FROM cu3",
-    columns="vin:i projected:d bucket:s",
+    "cu2 AS (SELECT c.vin, slope, median(soh_raw - slope * root) AS cut, median(soh_raw) AS mid, count(*) AS months, min(age_months) AS age0, max(age_months) AS age, min(soh_raw) AS low FROM cu0 c JOIN cu1 t ON t.vin = c.vin GROUP BY 1, 2)",
+    "cu3 AS (SELECT *, CASE WHEN slope > 0 THEN 0 ELSE slope END AS b, CASE WHEN slope > 0 THEN mid ELSE cut END AS c FROM cu2)",
+    "cu4 AS (SELECT *, c + b * sqrt(120.0) AS projected, b * (sqrt(age0) - sqrt(age)) AS decline, low <= 79 OR age >= 72 AS near FROM cu3)",
+    select="""SELECT vin, projected, decline, CASE WHEN months < 6 OR age - age0 < 6 THEN 'EXCLUDED' WHEN projected >= 79 AND near AND decline >= 3 THEN 'GRACEFUL' WHEN projected >= 79 AND decline < 2 THEN 'FLAT' WHEN projected >= 79 THEN 'PROBABLE_OOR' ELSE 'AT_RISK' END AS bucket FROM cu4""",
+    columns="vin:i projected:d decline:d bucket:s",
 )
-INL = """inl0 AS (SELECT *, median(soh_raw) OVER (PARTITION BY vin ORDER BY month ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later, row_number() OVER (PARTITION BY vin ORDER BY month DESC) AS lft, max(soh_raw) OVER (PARTITION BY vin) AS top, min(age_months) OVER (PARTITION BY vin) AS age0 FROM ser),
-inl AS (SELECT *, NOT coalesce(lft > 2 AND later > soh_raw + 3.5, false) AND NOT (top - soh_raw) / greatest(age_months - age0, 1) * 12 > 10 AS inlier FROM inl0)"""
+INL = """inl0 AS (SELECT *, median(soh_raw) OVER (PARTITION BY vin ORDER BY month ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later, row_number() OVER (PARTITION BY vin ORDER BY month DESC) AS lft FROM ser),
+inl AS (SELECT *, NOT coalesce(lft > 2 AND later > soh_raw + 3.5, false) AND NOT (100 - soh_raw) / greatest(age_months / 12, 0.25) > 10 AS inlier FROM inl0)"""
 add("l07_recovery_inliers", lambda s, d: q.recovery_inliers(fx.series(s, d)).select("vin", "month", F.col("inlier").cast("int").alias("inlier")), SERIES, INL, select="SELECT vin, month, CAST(inlier AS INT) AS inlier FROM inl", columns="vin:i month:t inlier:i")
 add(
     "l08_clean_label",

@@ -25,7 +25,7 @@ def pava(source: str, value: str, name: str) -> str:
 
 add(
     "f01_f02_lag_lead",
-    lambda s, d: fx.series(s, d).select("vin", "month", (F.col("soh_raw") - F.lag("soh_raw").over(sr.W)).alias("step"), (F.lead("soh_raw").over(sr.W) - F.col("soh_raw")).alias("next")),
+    lambda s, d: fx.series(s, d).select("vin", "month", (F.col("soh_raw") - F.lag("soh_raw").over(sr.by_month())).alias("step"), (F.lead("soh_raw").over(sr.by_month()) - F.col("soh_raw")).alias("next")),
     SERIES,
     select=f"SELECT vin, month, soh_raw - lag(soh_raw) OVER w AS step, lead(soh_raw) OVER w - soh_raw AS next FROM ser {W}",
     columns="vin:i month:t step:d next:d",
@@ -41,7 +41,7 @@ add(
 add(
     "f05_f06_f07_cumulative_and_ages",
     lambda s, d: sr.ages(
-        sr.cumulative(fx.series(s, d).withColumn("km_step", sr.km_from_odometer("km_month")).withColumn("soh", F.col("soh_raw")), {"ah_throughput": "cum_ah", "km_month": "cum_km"}).withColumn("anchor", F.min("month").over(sr.OWN)), "anchor"
+        sr.cumulative(fx.series(s, d).withColumn("km_step", sr.km_from_odometer("km_month")).withColumn("soh", F.col("soh_raw")), {"ah_throughput": "cum_ah", "km_month": "cum_km"}).withColumn("anchor", F.min("month").over(sr.own())), "anchor"
     ),
     SERIES,
     select=f"""SELECT vin, month, sum(ah_throughput) OVER w AS cum_ah, sum(km_month) OVER w AS cum_km, coalesce(greatest(km_month - lag(km_month) OVER w, 0), 0) AS km_step, age_months, 1 / sqrt(age_months + 1) AS inv_sqrt_age, 100 - soh_raw AS soh_deficit FROM ser {W}""",
@@ -119,7 +119,7 @@ add(
 )
 add(
     "f19_f20_z_score_and_group_median",
-    lambda s, d: fx.series(s, d).select("vin", "month", sr.z_score("soh_raw").alias("z"), F.median("soh_raw").over(sr.OWN).alias("mid")),
+    lambda s, d: fx.series(s, d).select("vin", "month", sr.z_score("soh_raw").alias("z"), F.median("soh_raw").over(sr.own()).alias("mid")),
     SERIES,
     select="SELECT vin, month, CASE WHEN stddev_samp(soh_raw) OVER o > 0 THEN (soh_raw - avg(soh_raw) OVER o) / stddev_samp(soh_raw) OVER o ELSE 0 END AS z, median(soh_raw) OVER o AS mid FROM ser WINDOW o AS (PARTITION BY vin)",
     columns="vin:i month:t z:d mid:d",
@@ -140,7 +140,7 @@ add(
 )
 add(
     "f24_accumulated_steps",
-    lambda s, d: sr.accumulate_steps(fx.series(s, d).select("vin", F.row_number().over(sr.W).alias("h"), (100 - F.col("soh_raw")).alias("loss")), "loss"),
+    lambda s, d: sr.accumulate_steps(fx.series(s, d).select("vin", F.row_number().over(sr.by_month()).alias("h"), (100 - F.col("soh_raw")).alias("loss")), "loss"),
     SERIES,
     select="SELECT vin, h, max(loss) OVER (PARTITION BY vin ORDER BY h) AS loss FROM (SELECT vin, row_number() OVER (PARTITION BY vin ORDER BY month) AS h, 100 - soh_raw AS loss FROM ser)",
     columns="vin:i h:i loss:d",

@@ -100,7 +100,7 @@ add(
 )
 add(
     "e09_simple_coulomb",
-    lambda s, d: sr.isotonic_envelope(months(s, d).withColumn("soh_raw", 100 * F.col("capacity_ah") / F.max("capacity_ah").over(sr.OWN))),
+    lambda s, d: sr.isotonic_envelope(months(s, d).withColumn("soh_raw", 100 * F.col("capacity_ah") / F.max("capacity_ah").over(sr.own()))),
     SERIES,
     "num AS (SELECT vin, month, 100 * cap_raw / max(cap_raw) OVER (PARTITION BY vin) AS soh_raw, row_number() OVER (PARTITION BY vin ORDER BY month) AS rn FROM ser)",
     pava("num", "soh_raw", "iso"),
