@@ -69,6 +69,7 @@ def _grams(texts: list[str], group: np.ndarray) -> _Grams:
     s = codes[points]
     keep = s != 1
     keep[1:] |= s[:-1] != 1
+    keep[0] = True
     s, of = s[keep], of[keep]
     bits = int(len(present) + 2).bit_length()
     inner = s[1:-1]
