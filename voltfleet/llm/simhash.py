@@ -350,7 +350,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     groups = components(found).select(F.col("node").alias("doc_id"), F.col("root").alias("group"))
     members = c.cut(rows.select("doc_id", "print").join(groups, "doc_id").join(texts, "doc_id").mapInArrow(_sets(shingle), "doc_id long, group long, print binary, shingles binary"))
     exact = _in_blocks(members, "group", VERIFY_BLOCK).groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long")
-    least = rows.groupBy("print").agg(F.min("doc_id").alias("b"))
+    least = c.cut(rows.groupBy("print").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n"))
     equal = rows.join(least, "print").select(F.col("doc_id").alias("a"), "b").where("a <> b")
     roots = components(exact.unionByName(equal))
     return roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
