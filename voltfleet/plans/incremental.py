@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import timedelta
 
@@ -16,6 +15,7 @@ from ..operators import series as sr
 from ..operators import soh as so
 from ..sources import fixtures as fx
 from ..sources import scans
+from ..sources.shared import shared_folder
 from ..streaming import live
 from .base import SERIES, TELEMETRY, Book
 from .events import GAP_S, SESSIONS, clean_samples
@@ -100,17 +100,9 @@ add("s07_safety_net", lambda s, d: inc.safety_net(inc.touched(old_and_new(s, d)[
 add("t03_rejects", lambda s, d: inc.rejects(fx.telemetry(s, d), {"soc": F.col("soc").between(0, 100), "amps": F.abs("amps") <= 400}, "clean")[1].groupBy("stage", "reason").agg(F.count("*").alias("n")), TELEMETRY, select="SELECT 'clean' AS stage, CASE WHEN soc NOT BETWEEN 0 AND 100 THEN 'soc' ELSE 'amps' END AS reason, count(*) AS n FROM tel WHERE NOT (soc BETWEEN 0 AND 100 AND abs(amps) <= 400) GROUP BY 2", columns="stage:s reason:s n:i")
 
 
-def _folder(s: SparkSession) -> str:
-    """A new folder that all executors share."""
-    context = s.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return f"{context.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
-
-
 def _run(s: SparkSession, samples: DataFrame, build, mode: str = "append") -> DataFrame:  # noqa: ANN001
     """Write samples as files in order of time, stream them to their end, and return what the sink holds."""
-    root = _folder(s)
+    root = f"{shared_folder(s)}/stream-{uuid.uuid4().hex}"
     samples.repartitionByRange(4, "t").sortWithinPartitions("t").write.parquet(f"{root}/in")
     stream = s.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     query = build(stream).writeStream.outputMode(mode).option("checkpointLocation", f"{root}/state").format("parquet").option("path", f"{root}/out").trigger(availableNow=True).start()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,7 @@ from ..operators import models as md
 from ..operators import samples as sm
 from ..operators import series as sr
 from ..sources import fixtures as fx
+from ..sources.shared import cut, shared_folder
 from .base import Book
 from .quality import kinds, labelled
 
@@ -36,13 +36,6 @@ def transitions(s: SparkSession, d: str) -> DataFrame:
     return sm.transitions(table(s, d), glitch=6.0)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint()
-
-
 def past(s: SparkSession, d: str) -> DataFrame:
     return table(s, d).where("age_months < 40")
 
@@ -58,8 +51,8 @@ def forecasts(s: SparkSession, d: str) -> DataFrame:
 add("n01_n03_rate_model", lambda s, d: (lambda t: (lambda m: md.predict(m[0], t).select("vin", "month", "loss", (F.col("prediction") + m[1]).alias("predicted")))(md.fit_rate(t, RATE)))(transitions(s, d)))
 add("n02_quantile_forest", lambda s, d: md.quantile_forest(transitions(s, d), j.latest(transitions(s, d)).withColumn("id", F.col("vin")), RATE, "loss").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))
 add("n04_n05_trajectory_forecast", forecasts)
-add("n06_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 6, cut=_cut))(md.fit_rate(transitions(s, d), RATE)))
-add("n07_gated_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 6, gate=(0.05, 0.4), cut=_cut))(md.fit_rate(transitions(s, d), RATE)))
+add("n06_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 6, cut=cut))(md.fit_rate(transitions(s, d), RATE)))
+add("n07_gated_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 6, gate=(0.05, 0.4), cut=cut))(md.fit_rate(transitions(s, d), RATE)))
 add("n08_free_run", lambda s, d: (lambda m: md.free_run(m[0], m[1], table(s, d), ["age_months", *md.STRESS]))(md.fit_rate(transitions(s, d), ["age_months", *md.STRESS])))
 add("n13_reanchored", lambda s, d: md.reanchored(forecasts(s, d), j.latest(past(s, d)).select("vin", "soh", F.col("soh_raw").alias("raw"))))
 add("n16_importance", lambda s, d: md.importance(s, trajectory(s, d), md.TRAJECTORY))
@@ -69,18 +62,11 @@ add("n18_scored_histories", lambda s, d: md.forecast(trajectory(s, d), md.anchor
 
 def registered(s: SparkSession, d: str) -> DataFrame:
     """N19: save, register, load the latest and score with it."""
-    root = f"{_root(s)}/models-{uuid.uuid4().hex}"
+    root = f"{shared_folder(s)}/models-{uuid.uuid4().hex}"
     md.register(s, trajectory(s, d), root, "fleet", {"rmse": 0.0})
     return md.forecast(md.load_latest(s, root, "fleet"), md.anchors(past(s, d)), 6)
 
 
-def _root(s: SparkSession) -> str:
-    context = s.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return context.getCheckpointDir()
-
-
 add("n19_registered_model", registered)
 add("n20_estimated_soh", lambda s, d: (lambda t: md.predict(md.fit_boosted(t[0].where(sm.fold_of(F.col("vin"), 3) > 0), t[1], "soh"), t[0].where(sm.fold_of(F.col("vin"), 3) == 0)).select("vin", "month", "soh", "prediction"))(sm.imputed(table(s, d).withColumn("temp_max", F.when(F.col("n") > 4, F.col("temp_max"))), ["age_months", *md.STRESS])))
 add("o01_o02_folds_backtest", lambda s, d: evl.folds_backtest(table(s, d), 2).select("vin", "h", "actual", "model", "persistence", "trend", "fold"))

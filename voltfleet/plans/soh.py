@@ -12,7 +12,7 @@ from ..operators import soh
 from ..sources import fixtures as fx
 from .base import REGISTRATION, SERIES, TELEMETRY, Book
 from .events import GAP_S, SESSIONS, capacities, clean_samples, event_table, sessions
-from .series import HAMPEL, NUM, pava
+from .series import HAMPEL, pava
 
 book = Book()
 add = book.add
