@@ -351,9 +351,11 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     members = c.cut(rows.select("doc_id", "print").join(groups, "doc_id").join(texts, "doc_id").mapInArrow(_sets(shingle), "doc_id long, group long, print binary, shingles binary"))
     exact = _in_blocks(members, "group", VERIFY_BLOCK).groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long")
     least = c.cut(rows.groupBy("print").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    equal = rows.join(least, "print").select(F.col("doc_id").alias("a"), "b").where("a <> b")
-    roots = components(exact.unionByName(equal))
-    return roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+    roots = components(exact).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+    copies_of = rows.join(least, "print").select("doc_id", "b").where("doc_id <> b")
+    named = copies_of.join(roots.select(F.col("doc_id").alias("b"), "component_id"), "b", "left").select("doc_id", F.coalesce("component_id", "b").alias("component_id"))
+    alone = least.select(F.col("b").alias("doc_id")).join(roots, "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("component_id"))
+    return roots.unionByName(named).unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
