@@ -209,6 +209,15 @@ def test_similar_groups_verify_exact_similarity(spark):
     assert kept == set(label.tolist())
 
 
+def test_equal_prints_of_different_shingles_are_no_copies(spark):
+    """A line repeated a hundred times decides every bit of a print over repeats; the articles beside it differ."""
+    line = " ".join(f"l{x}" for x in range(9))
+    texts = [" ".join([line] * 100 + [f"{t}x{k}" for k in range(304)]) for t in "abcd"]
+    texts += [" ".join(["again"] * 100 + [f"{t}y{k}" for k in range(90)]) for t in "ab"] + [texts[0].upper()]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.one_of_each(docs).collect()} == set(range(6))
+
+
 def brute_repeats(docs):
     first = {}
     for i in sorted(docs):

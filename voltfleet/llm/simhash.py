@@ -9,6 +9,7 @@ threshold t is probed by its bits with any t of them masked out; candidates of e
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import combinations
 from math import comb, inf
 
@@ -185,11 +186,11 @@ def _linker(tau: int):  # noqa: ANN202
     return link
 
 
-def _in_blocks(rows: DataFrame, key: str, block: int) -> DataFrame:
-    """Rows with column task: all rows of a key, or for keys of over ``block`` rows, each pair of blocks of half that size."""
+def _in_blocks(rows: DataFrame, key: str, block: int, by: str = "print") -> DataFrame:
+    """Rows with column task: all rows of a key, or for keys of over ``block`` rows, each pair of blocks of half that size, dealt by ``by``."""
     hot = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > block).select(key, F.ceil(F.col("n") * 2 / block).alias("blocks"))
     blocks = F.coalesce("blocks", F.lit(1))
-    dealt = rows.join(hot, key, "left").withColumn("own", F.pmod(F.xxhash64("print", F.lit(7)), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = rows.join(hot, key, "left").withColumn("own", F.pmod(F.xxhash64(by, F.lit(7)), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     return dealt.withColumn("task", F.xxhash64(key, F.least("own", "other"), F.greatest("own", "other"))).drop("blocks", "own", "other")
 
 
@@ -245,19 +246,26 @@ def plan_wide(n: int, similarity: float) -> tuple[int, int]:
     return min(options)[1:]
 
 
+def _digest(hashes: np.ndarray) -> bytes:
+    """128 bits that stand for a set of shingles."""
+    return blake2b(np.unique(hashes).tobytes(), digest_size=16).digest()
+
+
 def _wide(shingle: int, width: int, parts: int):  # noqa: ANN202
     """A row for each part of each document's wide fingerprint."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salts = c.mix(np.arange(1, WIDE + 1, dtype=np.uint64) << np.uint64(32))
         for batch in c.slices(batches):
-            prints = np.zeros((batch.num_rows, WIDE), dtype="<u8")
+            prints, digests = np.zeros((batch.num_rows, WIDE), dtype="<u8"), []
             for i, text in enumerate(c.raw_texts(batch.column("text"))):
                 hashes = shingle_hashes(text, shingle)
                 prints[i] = [majority(c.mix(hashes ^ salt))[0] for salt in salts]
+                digests.append(_digest(hashes))
             bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")[:, : parts * width].reshape(-1, parts, width)
             keys = bits.astype(np.int64) @ (1 << np.arange(width)) + np.arange(parts) * (1 << width)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([p.tobytes() for p in prints], type=pa.binary()), pa.array(keys.tolist(), type=pa.list_(pa.int64()))], names=["doc_id", "print", "keys"])
+            columns = [pa.array(digests, type=pa.binary()), pa.array([p.tobytes() for p in prints], type=pa.binary()), pa.array(keys.tolist(), type=pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "digest", "print", "keys"])
 
     return rows
 
@@ -335,24 +343,24 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
 
     Similarity is the Jaccard similarity of word shingles. Candidates come from 512 SimHash bits: at 0.8 pairs differ in a
     seventh of their bits, too many for a pigeonhole guarantee, so the parts have threshold 0 and meet 99 in 100 of such pairs,
-    and more of nearer ones. Groups of candidates are then verified by their exact shingles. Texts of equal bits share all keys,
-    so they are folded before probing. Documents with a null id or without words have no group.
+    and more of nearer ones. Groups of candidates are then verified by their exact shingles. Texts of equal shingle sets are folded
+    before probing; those that only have equal bits are not. Documents with a null id or without words have no group.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     n = docs.count()
     width, parts = plan_wide(max(n, 1), similarity)
     buckets = max(LEAST_BUCKETS, n * parts // (BUCKET_ROWS // 8))
     most = int(turned(similarity - MARGIN) * WIDE * BITS)
-    rows = c.cut(texts.mapInArrow(_wide(shingle, width, parts), "doc_id long, print binary, keys array<long>"))
-    copies = rows.groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
-    tasks = _in_blocks(copies.select("doc_id", "print", F.explode("keys").alias("key")), "key", BLOCK).select("doc_id", "print", F.col("task").alias("key"))
+    rows = c.cut(texts.mapInArrow(_wide(shingle, width, parts), "doc_id long, digest binary, print binary, keys array<long>"))
+    copies = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("print").alias("print"), F.first("keys").alias("keys"))
+    tasks = _in_blocks(copies.select("doc_id", "print", F.explode("keys").alias("key")), "key", BLOCK, "doc_id").select("doc_id", "print", F.col("task").alias("key"))
     found = tasks.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(buckets))).groupBy("bucket").applyInArrow(_wide_linker(most), "a long, b long")
     groups = components(found).select(F.col("node").alias("doc_id"), F.col("root").alias("group"))
     members = c.cut(rows.select("doc_id", "print").join(groups, "doc_id").join(texts, "doc_id").mapInArrow(_sets(shingle), "doc_id long, group long, print binary, shingles binary"))
-    exact = _in_blocks(members, "group", VERIFY_BLOCK).groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long")
-    least = c.cut(rows.groupBy("print").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    exact = _in_blocks(members, "group", VERIFY_BLOCK, "doc_id").groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long")
+    least = c.cut(rows.groupBy("digest").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n"))
     roots = components(exact).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
-    copies_of = rows.join(least, "print").select("doc_id", "b").where("doc_id <> b")
+    copies_of = rows.join(least, "digest").select("doc_id", "b").where("doc_id <> b")
     named = copies_of.join(roots.select(F.col("doc_id").alias("b"), "component_id"), "b", "left").select("doc_id", F.coalesce("component_id", "b").alias("component_id"))
     alone = least.select(F.col("b").alias("doc_id")).join(roots, "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("component_id"))
     return roots.unionByName(named).unionByName(alone)
