@@ -218,6 +218,19 @@ def test_equal_prints_of_different_shingles_are_no_copies(spark):
     assert {r["doc_id"] for r in simhash.one_of_each(docs).collect()} == set(range(6))
 
 
+def test_near_copies_that_repeat_a_line_are_found(spark):
+    rng = np.random.default_rng(6)
+    texts = []
+    for times in (1, 2, 5, 20, 100):
+        for _ in range(8):
+            base = " ".join(f"w{x}" for x in rng.integers(0, 10**6, 104))
+            line = " ".join(f"l{x}" for x in rng.integers(0, 10**6, 10))
+            texts += [base, " ".join([base, *[line] * times])]
+    assert all(0.8 <= jaccard(*texts[i : i + 2]) < 0.95 for i in range(0, len(texts), 2))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.one_of_each(docs).collect()} == set(range(0, len(texts), 2))
+
+
 def brute_repeats(docs):
     first = {}
     for i in sorted(docs):

@@ -247,19 +247,19 @@ def plan_wide(n: int, similarity: float) -> tuple[int, int]:
 
 
 def _digest(hashes: np.ndarray) -> bytes:
-    """128 bits that stand for a set of shingles."""
-    return blake2b(np.unique(hashes).tobytes(), digest_size=16).digest()
+    """128 bits that stand for a sorted set of shingles."""
+    return blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
 def _wide(shingle: int, width: int, parts: int):  # noqa: ANN202
-    """A row for each part of each document's wide fingerprint."""
+    """Digest, wide fingerprint and keys of each document's set of shingles; like the similarity they take a repeated one once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salts = c.mix(np.arange(1, WIDE + 1, dtype=np.uint64) << np.uint64(32))
         for batch in c.slices(batches):
             prints, digests = np.zeros((batch.num_rows, WIDE), dtype="<u8"), []
             for i, text in enumerate(c.raw_texts(batch.column("text"))):
-                hashes = shingle_hashes(text, shingle)
+                hashes = np.unique(shingle_hashes(text, shingle))
                 prints[i] = [majority(c.mix(hashes ^ salt))[0] for salt in salts]
                 digests.append(_digest(hashes))
             bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")[:, : parts * width].reshape(-1, parts, width)
