@@ -175,6 +175,23 @@ def test_model_beats_persistence_on_a_fading_fleet(spark):
     assert error["model"] < error["persistence"]
 
 
+def test_trajectory_trains_on_all_later_months_of_all_vehicles(spark, monkeypatch):
+    df = fading(spark, 6, 40)
+    assert models.trajectory_rows(df).agg(F.max("horizon")).first()[0] == 36
+    assert models.trajectory_rows(df).count() == 6 * sum(range(1, 37))
+    seen = []
+    monkeypatch.setattr(plans, "past", lambda s, d: df)
+    monkeypatch.setattr(plans.md, "fit_trajectory", seen.append)
+    plans.trajectory(spark, FOLDER)
+    assert seen[0].select("vin").distinct().count() == 6
+    assert seen[0].agg(F.max("horizon")).first()[0] == 36
+
+
+def test_learning_curve_covers_all_vehicles(spark):
+    rows = evaluate.learning_curve(fading(spark, 8, 30), (6, 12), 20, 2).collect()
+    assert {(r["history"], r["n"]) for r in rows} == {(6, 80), (12, 80)}
+
+
 def test_forecast_bands_are_ordered(spark):
     out = plans.forecasts(spark, "/root/testdata/sf0.001")
     assert out.where("p10 > p50 + 1e-9 or p50 > p90 + 1e-9 or p10 < 0 or p90 > 100").count() == 0

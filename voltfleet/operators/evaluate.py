@@ -105,18 +105,21 @@ def transfer_matrix(sources: dict[str, DataFrame], features: list[str]) -> DataF
     return out
 
 
-def learning_curve(model, test: DataFrame, history_months: tuple[int, ...], evaluate_from: int, soh: str = "soh") -> DataFrame:  # noqa: ANN001
-    """history, mae, n: the same late months predicted from shorter and longer histories."""
-    rows = test.withColumn("rn", F.row_number().over(sr.by_month()))
+def learning_curve(df: DataFrame, history_months: tuple[int, ...], evaluate_from: int, k: int = 3, soh: str = "soh") -> DataFrame:
+    """history, mae, n: the same late months predicted from shorter and longer histories, each vehicle by a model that saw none of its fold."""
+    rows = df.withColumn("rn", F.row_number().over(sr.by_month()))
     actual = rows.where(F.col("rn") > evaluate_from).select("vin", F.col("age_months").alias("age"), F.col(soh).alias("actual"))
+    fold = samples.fold_of(F.col("vin"), k)
     out = None
-    for k in history_months:
-        at = models.anchors(rows.where(F.col("rn") <= k).drop("rn"), soh)
-        steps = models.forecast(model, at, 90).select("vin", "h", "p50")
-        pairs = joins.rounded_step_join(steps, actual.join(at.select("vin", F.col("age_months").alias("start")), "vin"), "age", "start")
-        part = pairs.agg(F.avg(F.abs(F.col("p50") - F.col("actual"))).alias("mae"), F.count("*").alias("n")).withColumn("history", F.lit(k))
-        out = part if out is None else out.unionByName(part)
-    return out
+    for i in range(k):
+        model = models.fit_trajectory(models.trajectory_rows(df.where(fold != i), soh))
+        for months in history_months:
+            at = models.anchors(rows.where((fold == i) & (F.col("rn") <= months)).drop("rn"), soh)
+            steps = models.forecast(model, at, 90).select("vin", "h", "p50")
+            pairs = joins.rounded_step_join(steps, actual.join(at.select("vin", F.col("age_months").alias("start")), "vin"), "age", "start")
+            part = pairs.select(F.lit(months).alias("history"), F.abs(F.col("p50") - F.col("actual")).alias("off"))
+            out = part if out is None else out.unionByName(part)
+    return out.groupBy("history").agg(F.avg("off").alias("mae"), F.count("*").alias("n"))
 
 
 def ablation(rows: DataFrame, parts: DataFrame, sets: dict[str, list[str]], seeds: tuple[int, ...] = (0, 1)) -> DataFrame:

@@ -61,7 +61,7 @@ def anchors(df: DataFrame, soh: str = "soh") -> DataFrame:
     return joins.latest(df).withColumn("soh", F.col(soh))
 
 
-def trajectory_rows(df: DataFrame, soh: str = "soh", most: int | None = 24) -> DataFrame:
+def trajectory_rows(df: DataFrame, soh: str = "soh", most: int | None = None) -> DataFrame:
     rows = samples.trajectory_samples(df, STRESS, soh, most=most)
     return rows if soh == "soh" else rows.withColumn("soh", F.col(soh))
 

@@ -41,7 +41,7 @@ def past(s: SparkSession, d: str) -> DataFrame:
 
 
 def trajectory(s: SparkSession, d: str):  # noqa: ANN201
-    return md.fit_trajectory(md.trajectory_rows(past(s, d).where("vin % 5 > 0"), most=12))
+    return md.fit_trajectory(md.trajectory_rows(past(s, d)))
 
 
 def forecasts(s: SparkSession, d: str) -> DataFrame:
@@ -77,5 +77,5 @@ add("o07_acceptance_gate", lambda s, d: evl.gate(forecasts(s, d), de.sqrt_foreca
 add("o08_o09_training_sets", lambda s, d: (lambda t, c: evl.compare_training({"all": t.where("vin % 2 = 0"), "degraders": t.where("vin % 2 = 0").join(c.where("degrader").select("vin"), "vin", "left_semi")}, t.where("vin % 2 = 1")))(table(s, d), cohorts(s, d)))
 add("o10_envelopes", lambda s, d: evl.envelope_comparison(fx.series(s, d), "soh_raw", {"greedy": sr.greedy_envelope, "isotonic": sr.robust_isotonic}))
 add("o11_transfer_matrix", lambda s, d: (lambda t: evl.transfer_matrix({"even": t.where("vin % 2 = 0"), "odd": t.where("vin % 2 = 1")}, ["age_months", *md.STRESS]))(table(s, d)))
-add("o12_o13_learning_curve", lambda s, d: evl.learning_curve(trajectory(s, d), table(s, d), (6, 12, 24), 40))
+add("o12_o13_learning_curve", lambda s, d: evl.learning_curve(table(s, d), (6, 12, 24), 40, 2))
 add("o15_ablation", lambda s, d: evl.ablation(transitions(s, d), sm.split(kinds(s, d)), {"age": ["age_months", "soh"], "all": RATE}, (0,)))
