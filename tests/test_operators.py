@@ -187,6 +187,14 @@ def test_trajectory_trains_on_all_later_months_of_all_vehicles(spark, monkeypatc
     assert seen[0].agg(F.max("horizon")).first()[0] == 36
 
 
+def test_scored_histories_cover_all_vehicles(spark, monkeypatch):
+    df = fading(spark, 6, 12)
+    monkeypatch.setattr(plans, "past", lambda s, d: df)
+    assert {(r["vin"], r["count"]) for r in plans.book.queries["n18_scored_histories"](spark, FOLDER).groupBy("vin").count().collect()} == {(v, 6) for v in range(6)}
+    blank = models.with_defaults(df.withColumn("month", F.when(F.col("vin") % 2 == 0, F.col("month"))))
+    assert blank.exceptAll(df).count() == 0
+
+
 def test_learning_curve_covers_all_vehicles(spark):
     rows = evaluate.learning_curve(fading(spark, 8, 30), (6, 12), 20, 2).collect()
     assert {(r["history"], r["n"]) for r in rows} == {(6, 80), (12, 80)}

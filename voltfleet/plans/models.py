@@ -57,7 +57,7 @@ add("n08_free_run", lambda s, d: (lambda m: md.free_run(m[0], m[1], table(s, d),
 add("n13_reanchored", lambda s, d: md.reanchored(forecasts(s, d), j.latest(past(s, d)).select("vin", "soh", F.col("soh_raw").alias("raw"))))
 add("n16_importance", lambda s, d: md.importance(s, trajectory(s, d), md.TRAJECTORY))
 add("n17_fleet_scores", lambda s, d: md.score_fleet(forecasts(s, d), md.anchors(past(s, d)), past(s, d).select("vin").distinct().withColumn("deadline", F.lit(60.0)), 70.0)[0])
-add("n18_scored_histories", lambda s, d: md.forecast(trajectory(s, d), md.anchors(md.with_defaults(past(s, d).where("vin % 3 = 0").withColumn("month", F.when(F.col("vin") % 2 == 0, F.col("month"))))), 6))
+add("n18_scored_histories", lambda s, d: md.forecast(trajectory(s, d), md.anchors(md.with_defaults(past(s, d))), 6))
 
 
 def registered(s: SparkSession, d: str) -> DataFrame:
