@@ -8,6 +8,7 @@ from array import array
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -83,6 +84,27 @@ def test_neighbours_on_odd_vectors(spark):
     assert neighbours.nearest(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_ranking_holds_few_distances(monkeypatch):
+    sizes, squares = [], neighbours._squares
+    monkeypatch.setattr(neighbours, "_squares", lambda x, y: (lambda out: (sizes.append(out.size), out)[1])(squares(x, y)))
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(12_000, 4))
+    rows = pa.table({"vec_id": np.arange(len(x)), "vector": pa.array(x.tolist()), "second": np.zeros(len(x), dtype=np.int32)})
+    queries = pa.table({"query_id": np.arange(400), "vector": pa.array(x[:400].tolist()), "seconds": pa.array([[0]] * 400)})
+    got = neighbours._rank(3)(rows, queries).to_pydict()
+    assert max(sizes) <= 1 << 21 and sum(sizes) == 400 * len(x)
+    d = np.sqrt(((x[399] - x) ** 2).sum(1))
+    assert got["query_id"][-3:] == [399] * 3 and got["vec_id"][-3:] == np.argsort(d)[1:4].tolist()
+
+
+def test_queries_in_blocks_find_the_same(spark, monkeypatch):
+    vectors = common.read(spark, FOLDER, "embeddings").select("vec_id", F.col("embedding").alias("vector")).limit(300).cache()
+    find = lambda: sorted(tuple(r) for r in neighbours.nearest(vectors, F.col("vec_id") % 5 == 0).collect())
+    whole = find()
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 7)
+    assert whole and find() == whole
+
+
 def test_traversal_orders_all_cells():
     rng = np.random.default_rng(0)
     near, far = rng.random(5), rng.random(7)

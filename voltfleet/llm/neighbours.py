@@ -28,6 +28,8 @@ TRIALS, RECALL = 256, 0.97
 LEAST_VISITS, CENTROIDS = 1024, (4, 256)
 #: Rows of one half's centroid that are compared in one task; more are dealt to several.
 PART_ROWS = (2048, 65_536)
+#: Queries that meet a part's rows in one task, about, and the distances that are held at once.
+QUERY_ROWS, HELD = 32_768, 1 << 21
 ROUNDS, SEED = 12, 5
 
 
@@ -157,13 +159,15 @@ def _rank(k: int):  # noqa: ANN202
         out: tuple[list, list, list] = ([], [], [])
         if rows.num_rows and queries.num_rows:
             x, ids, second = _matrix(rows.column("vector").combine_chunks()), rows.column("vec_id").to_numpy(), rows.column("second").to_numpy()
-            near = _squares(_matrix(queries.column("vector").combine_chunks()), x)
-            points = _matrix(queries.column("vector").combine_chunks())
+            points, block = _matrix(queries.column("vector").combine_chunks()), max(1, HELD // len(x))
             for q, (query, seconds) in enumerate(zip(queries.column("query_id").to_pylist(), queries.column("seconds").to_pylist(), strict=True)):
+                if q % block == 0:
+                    near = _squares(points[q : q + block], x)
                 at = np.flatnonzero(np.isin(second, seconds) & (ids != query))
                 if len(at) > k:  # all that rounding might put among the nearest
-                    edge = np.partition(near[q, at], k - 1)[k - 1]
-                    at = at[near[q, at] <= edge + 1e-9 * (1 + edge + (points[q] ** 2).sum())]
+                    own = near[q % block, at]
+                    edge = np.partition(own, k - 1)[k - 1]
+                    at = at[own <= edge + 1e-9 * (1 + edge + (points[q] ** 2).sum())]
                 exact = np.sqrt(((x[at] - points[q]) ** 2).sum(1))
                 best = np.lexsort((ids[at], exact))[:k]
                 out[0].extend([query] * len(best))
@@ -196,11 +200,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     part_rows = int(np.clip(n // 64, *PART_ROWS))
     parts = np.maximum(1, -(-counts.sum(1) // part_rows))
     index = Index(first, second, counts, max(LEAST_VISITS, int(np.ceil(_visited_share(x, first, second) * n))), parts)
-    each = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), F.col("first") + 1)
-    dealt = indexed.withColumn("part", F.pmod(F.xxhash64("vec_id"), each).cast("int"))
+    each = lambda numbers: F.element_at(F.array(*[F.lit(int(p)) for p in numbers]), F.col("first") + 1)
     queries = good.where(is_query).mapInArrow(_probes(spark.sparkContext.broadcast(index)), "query_id long, vector array<double>, first int, seconds array<int>, parts int")
+    queries = c.cut(queries)
+    blocks = np.ones(len(first), dtype=np.int64)
+    for row in queries.groupBy("first").count().collect():  # a number for each centroid
+        blocks[row["first"]] = -(-row["count"] // QUERY_ROWS)
+    dealt = indexed.withColumn("part", F.pmod(F.xxhash64("vec_id"), each(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), each(blocks) - 1)))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(SEED)), each(blocks)).cast("int"))
     queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    found = dealt.groupBy("first", "part").cogroup(queries.groupBy("first", "part")).applyInArrow(_rank(k), "query_id long, vec_id long, score double")
+    found = dealt.groupBy("first", "part", "block").cogroup(queries.groupBy("first", "part", "block")).applyInArrow(_rank(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
