@@ -253,6 +253,20 @@ def test_near_copies_that_repeat_a_line_are_found(spark):
     assert {r["doc_id"] for r in simhash.one_of_each(docs).collect()} == set(range(0, len(texts), 2))
 
 
+def test_near_copies_of_few_shingles_are_all_found(spark):
+    """Pairs at the least similarity: n shingles against the same and a quarter more, beside a line that many of them have."""
+    rng = np.random.default_rng(8)
+    word = lambda k: [f"w{x}" for x in rng.integers(0, 10**9, k)]
+    texts, line = [], [f"l{x}" for x in range(8)]
+    for n in (4, 8, 12, 16, 20, 40, 48):
+        for turn in range(30):
+            base = [*line, *word(n - 4)] if turn % 2 and n > 4 else word(n + 4)
+            texts += [" ".join(base), " ".join([*base, *word(n // 4)])]
+    assert all(jaccard(*texts[i : i + 2]) == 0.8 for i in range(0, len(texts), 2))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.one_of_each(docs).collect()} == set(range(0, len(texts), 2))
+
+
 def brute_repeats(docs):
     first = {}
     for i in sorted(docs):

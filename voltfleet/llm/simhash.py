@@ -229,6 +229,10 @@ WIDE, MEET = 8, 0.99
 MARGIN = 0.1
 #: Documents of a group of candidates that are verified together; larger groups are dealt out in pairs of blocks.
 VERIFY_BLOCK = 1024
+#: Shingles up to which bits say too little: pairs whose smaller set has no more are found by shared shingles instead.
+SMALL = 48
+#: Expected documents of the sample that tells common shingles, and the fewest that make a shingle one.
+SAMPLE, COMMON = 16_384, 8
 
 
 def turned(similarity: float) -> float:
@@ -251,21 +255,64 @@ def _digest(hashes: np.ndarray) -> bytes:
     return blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def _wide(shingle: int, width: int, parts: int):  # noqa: ANN202
-    """Digest, wide fingerprint and keys of each document's set of shingles; like the similarity they take a repeated one once."""
+def parity(hashes: np.ndarray) -> int:
+    """64 bits, each the parity of the shingles that fall on it: maps of two sets differ in no more bits than the sets do in shingles."""
+    return int(np.bitwise_xor.reduce(np.uint64(1) << (c.mix(hashes) & np.uint64(63)), initial=np.uint64(0)))
 
+
+def may_be_similar(a, b, maps, similarity: float):  # noqa: ANN001, ANN201
+    """Whether sets of a and b shingles can be similar, by their sizes and the bits in which their parity maps differ; never false for those that are."""
+    return (np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9) & (np.bitwise_count(maps) <= (1 - similarity) / (1 + similarity) * (a + b) + 1e-9)
+
+
+def rarest(hashes: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The rarest shingles of a set, as many as it takes for two similar sets to share one; correct in any order that all sets have."""
+    kinds, counts = common
+    at = np.minimum(np.searchsorted(kinds, hashes), max(0, len(kinds) - 1))
+    often = np.where(kinds[at] == hashes, counts[at], 0) if len(kinds) else np.zeros(len(hashes), dtype=np.int64)
+    return hashes[np.lexsort((hashes, often))[: len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1]]
+
+
+def _small_shingles(shingle: int, largest: int):  # noqa: ANN202
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salts = c.mix(np.arange(1, WIDE + 1, dtype=np.uint64) << np.uint64(32))
         for batch in c.slices(batches):
-            prints, digests = np.zeros((batch.num_rows, WIDE), dtype="<u8"), []
+            sets = [np.unique(shingle_hashes(t, shingle)) for t in c.raw_texts(batch.column("text")) if len(t) < largest * 200]
+            sets = [x for x in sets if len(x) <= largest]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, dtype="<u8"), *sets]).view(np.int64))], names=["hash"])
+
+    return rows
+
+
+def common_shingles(texts: DataFrame, n: int, shingle: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles, sorted, and their counts, of those that several small documents of a sample have; only an order depends on them."""
+    sample = texts.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(max(n, 1))) < SAMPLE)
+    found = sample.mapInArrow(_small_shingles(shingle, largest), "hash long").groupBy("hash").count().where(F.col("count") >= COMMON).toArrow()
+    kinds = found.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(kinds)
+    return kinds[order], found.column("count").to_numpy()[order]
+
+
+def _wide(shingle: int, width: int, parts: int, similarity: float, common):  # noqa: ANN001, ANN202
+    """Digest, size, wide fingerprint with its keys, and parity map with rarest shingles, of each document's set of shingles; like the
+    similarity they take a repeated one once. Sets of up to ``SMALL`` have no keys, and those that are too large to be similar to one no shingles."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salts, largest = c.mix(np.arange(1, WIDE + 1, dtype=np.uint64) << np.uint64(32)), int(SMALL / similarity + 1e-9)
+        for batch in c.slices(batches):
+            prints, digests, sizes, maps, rare = np.zeros((batch.num_rows, WIDE), dtype="<u8"), [], [], [], []
             for i, text in enumerate(c.raw_texts(batch.column("text"))):
                 hashes = np.unique(shingle_hashes(text, shingle))
-                prints[i] = [majority(c.mix(hashes ^ salt))[0] for salt in salts]
+                if len(hashes) > SMALL:
+                    prints[i] = [majority(c.mix(hashes ^ salt))[0] for salt in salts]
                 digests.append(_digest(hashes))
+                sizes.append(len(hashes))
+                maps.append(parity(hashes))
+                rare.append(rarest(hashes, similarity, common.value).view(np.int64).tolist() if len(hashes) <= largest else [])
             bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")[:, : parts * width].reshape(-1, parts, width)
             keys = bits.astype(np.int64) @ (1 << np.arange(width)) + np.arange(parts) * (1 << width)
-            columns = [pa.array(digests, type=pa.binary()), pa.array([p.tobytes() for p in prints], type=pa.binary()), pa.array(keys.tolist(), type=pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "digest", "print", "keys"])
+            columns = [pa.array(digests, type=pa.binary()), pa.array([p.tobytes() for p in prints], type=pa.binary()), pa.array([k if n > SMALL else [] for k, n in zip(keys.tolist(), sizes, strict=True)], type=pa.list_(pa.int64()))]
+            columns += [pa.array(sizes, type=pa.int32()), pa.array(np.array(maps, dtype=np.uint64).view(np.int64)), pa.array(rare, type=pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "digest", "print", "keys", "size", "map", "rare"])
 
     return rows
 
@@ -292,6 +339,27 @@ def _wide_linker(most: int):  # noqa: ANN202
     return link
 
 
+def _small_linker(similarity: float):  # noqa: ANN202
+    """Link documents that share a key and may be similar; a spanning forest of a bucket's links."""
+
+    def link(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("key").to_numpy(), kind="stable")
+        key, size, maps = (table.column(x).to_numpy()[order] for x in ("key", "size", "map"))
+        ids, node = np.unique(table.column("doc_id").to_numpy()[order], return_inverse=True)
+        maps, label, at, step = maps.view(np.uint64), np.arange(len(ids)), np.arange(len(key)), 1
+        while len(at):
+            at = at[at + step < len(key)]
+            at = at[key[at + step] == key[at]]
+            close = at[may_be_similar(size[at], size[at + step], maps[at] ^ maps[at + step], similarity)]
+            if len(close):
+                label = forest(len(ids), np.concatenate([np.arange(len(ids)), node[close]]), np.concatenate([label, node[close + step]]))
+            step += 1
+        linked = np.flatnonzero(label != np.arange(len(ids)))
+        return pa.table([pa.array(ids[linked]), pa.array(ids[label[linked]])], names=["a", "b"])
+
+    return link
+
+
 def _sets(shingle: int):  # noqa: ANN202
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in c.slices(batches):
@@ -311,10 +379,11 @@ def _verifier(similarity: float, most: int):  # noqa: ANN202
         prints = np.frombuffer(b"".join(table.column("print").to_pylist()), dtype="<u8").reshape(-1, WIDE)[order]
         raw = table.column("shingles").to_pylist()
         sets = [np.frombuffer(raw[i], dtype="<u8") for i in order.tolist()]
+        sizes, maps = np.array([len(x) for x in sets]), np.array([parity(x) for x in sets], dtype=np.uint64)
         pairs = [np.empty((0, 3), dtype=np.int64)]
         for i in range(len(ids) - 1):
             apart = np.bitwise_count(prints[i + 1 :] ^ prints[i]).sum(axis=1, dtype=np.int64)
-            j = np.flatnonzero(apart <= most)
+            j = np.flatnonzero(np.where(np.minimum(sizes[i], sizes[i + 1 :]) <= SMALL, may_be_similar(sizes[i], sizes[i + 1 :], maps[i + 1 :] ^ maps[i], similarity), apart <= most))
             pairs.append(np.stack([apart[j], np.full(len(j), i), j + i + 1], axis=1))
         root = list(range(len(ids)))
 
@@ -343,7 +412,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
 
     Similarity is the Jaccard similarity of word shingles. Candidates come from 512 SimHash bits: at 0.8 pairs differ in a
     seventh of their bits, too many for a pigeonhole guarantee, so the parts have threshold 0 and meet 99 in 100 of such pairs,
-    and more of nearer ones. Groups of candidates are then verified by their exact shingles. Texts of equal shingle sets are folded
+    and more of nearer ones. Bits of few shingles say too little, so pairs whose smaller set has at most ``SMALL`` are all found, by
+    a shared one of their rarest shingles. Groups of candidates are then verified by their exact shingles. Texts of equal shingle sets are folded
     before probing; those that only have equal bits are not. Documents with a null id or without words have no group.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
@@ -351,10 +421,14 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     width, parts = plan_wide(max(n, 1), similarity)
     buckets = max(LEAST_BUCKETS, n * parts // (BUCKET_ROWS // 8))
     most = int(turned(similarity - MARGIN) * WIDE * BITS)
-    rows = c.cut(texts.mapInArrow(_wide(shingle, width, parts), "doc_id long, digest binary, print binary, keys array<long>"))
-    copies = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("print").alias("print"), F.first("keys").alias("keys"))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, n, shingle, int(SMALL / similarity + 1e-9)))
+    rows = c.cut(texts.mapInArrow(_wide(shingle, width, parts, similarity, common), "doc_id long, digest binary, print binary, keys array<long>, size int, map long, rare array<long>"))
+    copies = rows.where(F.size("keys") > 0).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *[F.first(x).alias(x) for x in ("print", "keys")])
     tasks = _in_blocks(copies.select("doc_id", "print", F.explode("keys").alias("key")), "key", BLOCK, "doc_id").select("doc_id", "print", F.col("task").alias("key"))
     found = tasks.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(buckets))).groupBy("bucket").applyInArrow(_wide_linker(most), "a long, b long")
+    few = rows.where(F.size("rare") > 0).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *[F.first(x).alias(x) for x in ("size", "map", "rare")])
+    tasks = _in_blocks(few.select("doc_id", "size", "map", F.explode("rare").alias("key")), "key", BLOCK, "doc_id").select("doc_id", "size", "map", F.col("task").alias("key"))
+    found = found.unionByName(tasks.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(buckets))).groupBy("bucket").applyInArrow(_small_linker(similarity), "a long, b long"))
     groups = components(found).select(F.col("node").alias("doc_id"), F.col("root").alias("group"))
     members = c.cut(rows.select("doc_id", "print").join(groups, "doc_id").join(texts, "doc_id").mapInArrow(_sets(shingle), "doc_id long, group long, print binary, shingles binary"))
     exact = _in_blocks(members, "group", VERIFY_BLOCK, "doc_id").groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long")
