@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Stands for a null id inside numpy code.
 NO_ID = np.iinfo(np.int64).min
 #: Text bytes handled at once inside a Python task; bounds numpy temporaries to some tens of MB.
 SLICE_BYTES = 1 << 21
-#: Estimated text bytes for a byte of the compressed input.
-EXPANSION = 1.8
+#: Rows of one key that no table is too small for.
+FEW = 512
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,10 +39,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def table_bytes(df: DataFrame, least: int = 1 << 20) -> int:
-    """Catalyst's size estimate, without a job: for a table scan the bytes of its files. Pass the unprojected table."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(least, min(size, 1 << 60))
+def hot_keys(rows: DataFrame, key: Column, size: Column) -> tuple[list, int]:
+    """Keys that hold over a thousandth of all rows, thus fewer than a thousand of them, and the total of ``size``."""
+    counts = rows.groupBy(key.alias("hot_key")).agg(F.count("*").alias("n"), F.sum(size).alias("size"))
+    counts = cut(counts)
+    total = counts.agg(F.sum("n").alias("n"), F.sum("size").alias("size")).first()
+    hot = counts.where(F.col("hot_key").isNotNull() & (F.col("n") > F.greatest(F.lit(FEW), F.lit((total["n"] or 0) / 1000)))).collect()
+    return [r["hot_key"] for r in hot], int(total["size"] or 0)
+
+
+def join_one(rows: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join rows (left) with the one row that each key has in ``unique``; the few rows of hot keys are broadcast, so no task gets all rows of one."""
+    hot, _ = hot_keys(rows, F.col(key), F.lit(0))
+    if not hot:
+        return rows.join(unique, key, how)
+    many = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    return rows.where(~many).join(unique.where(~many), key, how).unionByName(rows.where(many).join(F.broadcast(unique.where(many)), key, how))
 
 
 def ids_of(column: pa.Array) -> np.ndarray:
@@ -71,25 +84,24 @@ def raw_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 
 class Words(NamedTuple):
-    """Words of several texts: byte spans in ``data``, the text each belongs to, and each text's first word."""
+    """Words of several texts: the text each belongs to, each text's first word, the words' bytes on end, and where each begins there."""
 
-    data: np.ndarray
-    start: np.ndarray
-    end: np.ndarray
     doc: np.ndarray
     first: np.ndarray
+    letters: np.ndarray
+    offsets: np.ndarray
 
 
 def words_of(texts: list[bytes], is_word: np.ndarray) -> Words:
     """Maximal runs of bytes for which the 256-entry table ``is_word`` holds; runs never cross texts."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    inside = is_word[data].astype(np.int8)
-    edges = np.flatnonzero(np.diff(inside, prepend=np.int8(0)))
+    inside = is_word[data]
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
     start, end = edges[::2], edges[1::2]
     begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
     first = np.searchsorted(start, begins)
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
-    return Words(data, start, end, doc, first)
+    return Words(doc, first, data[inside], np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64))
 
 
 #: Word bytes when words are runs of anything but ASCII white space.
@@ -99,9 +111,6 @@ ALPHANUMERIC = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 #: A-Z to a-z, other bytes unchanged.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit changes every output bit with probability near one half."""
     x = x ^ (x >> np.uint64(30))
@@ -111,38 +120,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
-def _byte_codes() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(n, _BASE, dtype=np.uint64)
-    down = np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-def word_hashes(w: Words) -> np.ndarray:
-    """A 64-bit hash of each word's bytes: differences of prefix sums of a polynomial modulo 2**64, then mixed."""
-    n = 1 << max(22, int(len(w.data)).bit_length())
-    up, down = _powers(n)
-    sums = np.zeros(len(w.data) + 1, dtype=np.uint64)
-    np.cumsum(_byte_codes()[w.data] * up[: len(w.data)], out=sums[1:])
-    return mix((sums[w.end] - sums[w.start]) * down[w.start] + (w.end - w.start).astype(np.uint64))
+def word_hashes(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each word, the halves of a BLAKE2 digest; equal words are told by their bytes and digested once."""
+    column = pa.Array.from_buffers(pa.large_binary(), len(w.doc), [None, pa.py_buffer(w.offsets), pa.py_buffer(w.letters)]).dictionary_encode()
+    digests = b"".join(blake2b(x, digest_size=16).digest() for x in column.dictionary.to_pylist())
+    both = np.frombuffer(digests, dtype="<u8").reshape(-1, 2)[column.indices.to_numpy()]
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
 
 
-def gram_hashes(hashes: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
-    """Hash of each run of k consecutive words (of whatever texts), one for each start."""
-    n = len(hashes) - k + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.uint64)
-    factor = np.uint64((0xC2B2AE3D27D4EB4F + 2 * salt) | 1)
-    out = np.full(n, np.uint64(salt), dtype=np.uint64)
+def gram_hashes(hashes: np.ndarray, k: int, starts: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """Hash of each run of k consecutive words (of whatever texts), one for each start, or for the given ``starts``."""
+    n = max(0, len(hashes) - k + 1)
+    out = np.zeros(n, dtype=np.uint64)[starts]
     for j in range(k):
-        out *= factor
-        out += hashes[j : j + n]
+        out *= np.uint64(0xC2B2AE3D27D4EB4F)
+        out += hashes[j : j + n][starts]
     return mix(out)
 
 

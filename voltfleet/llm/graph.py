@@ -22,6 +22,18 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
+#: A node with more links than this and than a thousandth of all links is a hub; there are at most two thousand hubs.
+HUB = 512
+
+
+def _pulled(rows: DataFrame, least: DataFrame, hubs: list[int]) -> DataFrame:
+    """Rows (a, b) with the m of a; hubs' m are broadcast, so that no task gets all links of a hub."""
+    if not hubs:
+        return rows.join(least, "a")
+    hub = F.col("a").isin(hubs)
+    return rows.where(~hub).join(least.where(~hub), "a").unionByName(rows.where(hub).join(F.broadcast(least.where(hub)), "a"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node that a link (a long, b long) to another node touches; root is the component's smallest node.
 
@@ -29,15 +41,16 @@ def components(links: DataFrame) -> DataFrame:
     ones; the number of rounds grows with the logarithm of a component's size. A round is one checkpointed table.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
+    seen, most = None, edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        sums = both.groupBy("a").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"))
+        now = sums.agg(F.sum("n"), F.bit_xor("x"), F.collect_list(F.when(F.col("n") > max(HUB, most // 1000), F.col("a")))).first()
+        if now[:2] == seen:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        seen, hubs = now[:2], now[2]
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = _pulled(both.where("b > a"), least, hubs).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = _pulled(large, low, hubs).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        seen = now

@@ -218,9 +218,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFram
     own = c.cut(fingerprints(docs, shingle))
     kinds = c.cut(own.groupBy("print").agg(F.min("doc_id").alias("least")))
     roots = components(links(kinds, tau))
-    named = kinds.join(roots, kinds["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
+    named = c.cut(kinds.join(roots, kinds["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root")))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return own.join(named.join(names, "root").select("print", "component_id"), "print")
+    return c.join_one(own, c.cut(c.join_one(named, names, "root").select("print", "component_id")), "print")
 
 
 #: Words of a wide fingerprint, of 64 bits each, and the share of pairs at the least similarity that the probes must meet.

@@ -3,10 +3,10 @@
 {0, 1, 3} is a difference cover modulo 7: for any two word positions there is a shift of at most 6 that brings both to a
 cover position. So two documents that share ``WINDOW`` = 13 words share a 7-gram that starts at a cover position in both
 (6 + 7 = 13), and only three of seven positions need to be hashed. Anchors that stand in two documents at least are extended:
-every window around them gets a 96-bit hash, and of equal windows those of the smallest doc_id stay.
+only windows around them are hashed, and of equal windows those of the smallest doc_id stay.
 
-Documents are dealt to batches by ranges of doc_id, so the first batch that holds a window also holds its smallest document:
-batches exchange bare hashes, at most one for each distinct anchor or window, however often it occurs.
+Documents are dealt to batches by a hash of the whole row. Batches exchange bare hashes, at most one for each distinct anchor or
+window, however often it occurs; a window goes with the smallest doc_id that holds it in the batch.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as c
@@ -32,31 +33,12 @@ BUCKET_BYTES = 8 << 20
 #: Fewest batches and buckets.
 LEAST_BATCHES = 256
 LEAST_BUCKETS = 1024
-#: doc_id quantiles that bound the ranges; more batches than these divide a range evenly.
-RANGES = 256
 
-_SENT = "bucket int, batch long, data binary"
+#: What batches and buckets send each other: hashes, and of windows the documents (byte planes of their ids).
+_SENT = "bucket int, batch long, data binary, docs binary"
 _WINDOW_HASH = np.dtype([("low", "<u8"), ("high", "<u4")])
 
 
-def _bounds(docs: DataFrame) -> list[int]:
-    shares = [i / RANGES for i in range(RANGES + 1)]
-    found = docs.select(F.percentile_approx("doc_id", shares, 10 * RANGES).alias("q")).first()["q"]
-    return sorted(set(found or [])) or [0]
-
-
-def _batch(bounds: list[int], batches: int) -> Column:
-    """Batch number that never falls as doc_id grows; null ids come first."""
-    parts = max(1, -(-batches // len(bounds)))
-    edges = F.array(*[F.lit(b).cast("long") for b in bounds])
-    ends = F.array(*[F.lit(b).cast("long") for b in [*bounds[1:], bounds[-1] + 1]])
-    doc = F.coalesce(F.col("doc_id"), F.lit(bounds[0]))
-    cell = F.greatest(F.size(F.filter(edges, lambda b: b <= doc)), F.lit(1))
-    low, high = F.element_at(edges, cell), F.element_at(ends, cell)
-    inside = F.floor((doc - low).cast("double") * parts / F.greatest(high - low, F.lit(1)))
-    return (cell * parts + F.least(F.greatest(inside, F.lit(0)), F.lit(parts - 1))).cast("long")
-
-
 def _text_slices(table: pa.Table):  # noqa: ANN202
     """Rows of a batch in order of doc_id, some MB of text at a time: ids, texts, words, hashes."""
     ids = c.ids_of(table.column("doc_id").combine_chunks())
@@ -82,11 +64,27 @@ def _anchors(w: c.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, grams[at]
 
 
-def _sent(batch: int, buckets: np.ndarray, data: np.ndarray) -> pa.Table:
+def _planes(ids: np.ndarray) -> bytes:
+    """Ids with equal bytes of all of them on end, which compresses well."""
+    return np.ascontiguousarray(ids.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
+
+
+def _rows(bucket: np.ndarray, batch: np.ndarray, by: np.ndarray, data: np.ndarray, docs: np.ndarray | None = None) -> pa.Table:
+    """A row for each value of ``by`` (sorted), which is the bucket or the batch."""
+    starts = np.flatnonzero(np.diff(by, prepend=by[0] - 1)) if len(by) else np.empty(0, dtype=np.int64)
+    ends = np.append(starts[1:], len(by))
+    cut = [data[a:b].tobytes() for a, b in zip(starts, ends, strict=False)]
+    own = [None if docs is None else _planes(docs[a:b]) for a, b in zip(starts, ends, strict=False)]
+    return pa.table([pa.array(bucket[starts].astype(np.int32)), pa.array(batch[starts].astype(np.int64)), pa.array(cut, type=pa.binary()), pa.array(own, type=pa.binary())], names=["bucket", "batch", "data", "docs"])
+
+
+def _sent(batch: int, buckets: np.ndarray, data: np.ndarray, docs: np.ndarray | None = None) -> pa.Table:
     """A row for each bucket; data is sorted by bucket."""
-    kinds, starts = np.unique(buckets, return_index=True)
-    rows = [x.tobytes() for x in np.split(data, starts[1:])] if len(kinds) else []
-    return pa.table([pa.array(kinds.astype(np.int32)), pa.array(np.full(len(kinds), batch)), pa.array(rows, type=pa.binary())], names=["bucket", "batch", "data"])
+    return _rows(buckets, np.full(len(buckets), batch), buckets, data, docs)
 
 
 def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -99,7 +97,7 @@ def _emit_anchors(buckets: int):  # noqa: ANN202
     def emit(table: pa.Table) -> pa.Table:
         keys, docs = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
         for ids, _, w, hashes in _text_slices(table):
-            at, grams = _anchors(w, hashes)
+            at, grams = _anchors(w, hashes[0])
             keys.append(grams)
             docs.append(ids[w.doc[at]])
         key, doc = np.concatenate(keys), np.concatenate(docs)
@@ -124,9 +122,7 @@ def _gathered(table: pa.Table, kind: np.dtype | str) -> tuple[np.ndarray, np.nda
 
 def _returned(bucket: int, batch: np.ndarray, data: np.ndarray) -> pa.Table:
     order = np.argsort(batch, kind="stable")
-    kinds, starts = np.unique(batch[order], return_index=True)
-    rows = [x.tobytes() for x in np.split(data[order], starts[1:])] if len(kinds) else []
-    return pa.table([pa.array(np.full(len(kinds), bucket, dtype=np.int32)), pa.array(kinds.astype(np.int64)), pa.array(rows, type=pa.binary())], names=["bucket", "batch", "data"])
+    return _rows(np.full(len(batch), bucket), batch[order], batch[order], data[order])
 
 
 def _shared_anchors(table: pa.Table) -> pa.Table:
@@ -139,95 +135,101 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
     return _returned(table.column("bucket")[0].as_py(), batch[keep], key[keep])
 
 
-def _window_hashes(hashes: np.ndarray) -> np.ndarray:
-    out = np.empty(max(0, len(hashes) - WINDOW + 1), dtype=_WINDOW_HASH)
-    out["low"] = c.gram_hashes(hashes, WINDOW)
-    out["high"] = (c.gram_hashes(hashes, WINDOW, 1) & np.uint64(0xFFFFFFFF)).astype("<u4")
-    return out
+def _known_anchors(shared: pa.Table) -> np.ndarray:
+    rows = shared.column("data").to_pylist()
+    return np.sort(np.frombuffer(b"".join(rows), dtype="<u4").astype(np.int64) | np.repeat(shared.column("bucket").to_numpy().astype(np.int64), [len(r) // 4 for r in rows]) << 31)
+
+
+def _extended(w: c.Words, hashes: tuple[np.ndarray, np.ndarray], known: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows that hold a known anchor."""
+    at, grams = _anchors(w, hashes[0])
+    short = _bucket_of(grams, buckets) << 31 | (grams & np.uint64(0x7FFFFFFF)).astype(np.int64)
+    at = at[known[np.minimum(np.searchsorted(known, short), len(known) - 1)] == short] if len(known) else at[:0]
+    whole = c.whole(w, WINDOW)
+    near = c.covered(np.maximum(at - PERIOD + 1, 0), PERIOD, len(w.doc))[: len(whole)]
+    starts = np.flatnonzero(near & whole)
+    out = np.empty(len(starts), dtype=_WINDOW_HASH)
+    out["low"] = c.gram_hashes(hashes[0], WINDOW, starts)
+    out["high"] = (c.gram_hashes(hashes[1], WINDOW, starts) & np.uint64(0xFFFFFFFF)).astype("<u4")
+    return starts, out
+
+
+def _owners(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct windows and the smallest document of each."""
+    data, doc = (np.concatenate(x) for x in zip((np.empty(0, dtype=_WINDOW_HASH), np.empty(0, dtype=np.int64)), *parts, strict=True))
+    order = np.lexsort((doc, data["high"], data["low"]))
+    data, doc = data[order], doc[order]
+    first = np.ones(len(data), dtype=bool)
+    first[1:] = data[1:] != data[:-1]
+    return data[first], doc[first]
 
 
 def _emit_windows(buckets: int):  # noqa: ANN202
-    """Extend shared anchors: hashes of the distinct windows of a batch that hold one."""
+    """Extend shared anchors: the distinct windows of a batch that hold one, with their smallest document."""
 
     def emit(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        if not docs.num_rows or not shared.num_rows:
-            return _sent(0, np.empty(0, dtype=np.int64), np.empty(0, dtype=_WINDOW_HASH))
-        rows = shared.column("data").to_pylist()
-        known = np.sort(np.frombuffer(b"".join(rows), dtype="<u4").astype(np.int64) | np.repeat(shared.column("bucket").to_numpy().astype(np.int64), [len(r) // 4 for r in rows]) << 31)
-        found = [np.empty(0, dtype=_WINDOW_HASH)]
-        for _, _, w, hashes in _text_slices(docs):
-            at, grams = _anchors(w, hashes)
-            short = _bucket_of(grams, buckets) << 31 | (grams & np.uint64(0x7FFFFFFF)).astype(np.int64)
-            at = at[known[np.minimum(np.searchsorted(known, short), len(known) - 1)] == short]
-            windows = _window_hashes(hashes)
-            near = c.covered(np.maximum(at - PERIOD + 1, 0), PERIOD, len(hashes))[: len(windows)] if len(windows) else np.empty(0, dtype=bool)
-            found.append(np.unique(windows[near & c.whole(w, WINDOW)]))
-        own = np.unique(np.concatenate(found))
+        found, batch = [], 0
+        if docs.num_rows and shared.num_rows:
+            known, batch = _known_anchors(shared), docs.column("batch")[0].as_py()
+            for ids, _, w, hashes in _text_slices(docs):
+                starts, windows = _extended(w, hashes, known, buckets)
+                found.append(_owners([(windows, ids[w.doc[starts]])]))
+        own, doc = _owners(found)
         bucket = _bucket_of(own["low"], buckets)
         order = np.argsort(bucket, kind="stable")
-        return _sent(docs.column("batch")[0].as_py(), bucket[order], own[order])
+        return _sent(batch, bucket[order], own[order], doc[order])
 
     return emit
 
 
 def _later_windows(table: pa.Table) -> pa.Table:
-    """To each batch, those of its windows that an earlier batch, thus a smaller doc_id, holds too."""
+    """To each batch, those of its windows of which another batch holds a smaller document than all of its own."""
     data, batch = _gathered(table, _WINDOW_HASH)
-    order = np.lexsort((batch, data["high"], data["low"]))
-    data, batch = data[order], batch[order]
-    later = np.zeros(len(data), dtype=bool)
-    later[1:] = data[1:] == data[:-1]
-    return _returned(table.column("bucket")[0].as_py(), batch[later], data[later])
-
-
-def _local_repeats(parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Windows that two documents of one batch hold, and the smallest of their ids."""
-    data, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(data["low"], kind="stable")  # ids rise within equal windows
-    data, doc = data[order], doc[order]
+    doc = np.concatenate([np.empty(0, dtype=np.int64), *map(_from_planes, table.column("docs").to_pylist())])
+    order = np.lexsort((doc, data["high"], data["low"]))
+    data, batch, doc = data[order], batch[order], doc[order]
     first = np.ones(len(data), dtype=bool)
-    first[1:] = data["low"][1:] != data["low"][:-1]
-    starts = np.flatnonzero(first)
-    several = doc[starts] != doc[np.append(starts[1:], len(doc)) - 1] if len(starts) else np.empty(0, dtype=bool)
-    return data["low"][starts[several]], doc[starts[several]]
+    first[1:] = data[1:] != data[:-1]
+    later = doc > doc[first][np.cumsum(first) - 1]
+    return _returned(table.column("bucket")[0].as_py(), batch[later], data[later])
 
 
 _RESULT = "doc_id long, n_words long, n_removed long, kept string"
 _DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def _remover(digest: bool):  # noqa: ANN202
-    def remove(docs: pa.Table, later: pa.Table) -> pa.Table:
-        out: tuple[list, ...] = ([], [], [], [])
-        known = np.unique(np.concatenate([np.empty(0, dtype=_WINDOW_HASH), *(np.frombuffer(r, dtype=_WINDOW_HASH) for r in later.column("data").to_pylist())]))
+def _remover(digest: bool, buckets: int):  # noqa: ANN202
+    def remove(docs: pa.Table, incoming: pa.Table) -> pa.Table:
+        out: tuple[list, ...] = ([], [], [], [], [])
+        kind = incoming.column("kind")
+        known = _known_anchors(incoming.filter(pc.equal(kind, 0)))
+        later = np.concatenate([np.empty(0, dtype=_WINDOW_HASH), *(np.frombuffer(r, dtype=_WINDOW_HASH) for r in incoming.filter(pc.equal(kind, 1)).column("data").to_pylist())])
+        later = later[np.argsort(later["low"])]
         windows = []
-        if docs.num_rows:
-            for ids, _, w, hashes in _text_slices(docs):
-                whole = c.whole(w, WINDOW)
-                windows.append((_window_hashes(hashes)[whole], ids[w.doc[: len(whole)][whole]]))
-            low, owner = _local_repeats(windows)
-            for (ids, texts, w, _), (own, doc) in zip(_text_slices(docs), windows, strict=True):
-                gone = np.zeros(len(own), dtype=bool)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known["low"], own["low"]), len(known) - 1)
-                    gone |= known[at] == own
-                if len(low):
-                    at = np.minimum(np.searchsorted(low, own["low"]), len(low) - 1)
-                    gone |= (low[at] == own["low"]) & (owner[at] < doc)
-                starts = np.flatnonzero(c.whole(w, WINDOW))[gone]
-                hit = c.covered(starts, WINDOW, len(w.doc))
-                removed = np.add.reduceat(np.append(hit, False).astype(np.int64), w.first[:-1]) * (np.diff(w.first) > 0)
-                for i, text in enumerate(texts):
-                    words = text.split()
-                    if removed[i]:
-                        words = list(compress(words, ~hit[w.first[i] : w.first[i + 1]]))
-                    kept = b" ".join(words)
-                    out[3].append(hashlib.sha256(kept).hexdigest() if digest else kept.decode())
-                out[0].append(ids)
-                out[1].append(np.diff(w.first))
-                out[2].append(removed)
+        for ids, _, w, hashes in _text_slices(docs) if docs.num_rows else ():
+            starts, own = _extended(w, hashes, known, buckets)
+            windows.append((starts, own, ids[w.doc[starts]]))
+        kinds, owner = _owners([x[1:] for x in windows])
+        taken = np.zeros(len(kinds), dtype=bool)
+        if len(later):
+            taken = later[np.minimum(np.searchsorted(later["low"], kinds["low"]), len(later) - 1)] == kinds
+        copies = docs.column("copies").to_numpy() if docs.num_rows else np.empty(0, dtype=np.int64)
+        for (ids, texts, w, _), (starts, own, doc) in zip(_text_slices(docs) if docs.num_rows else (), windows, strict=True):
+            at = np.searchsorted(kinds["low"], own["low"])
+            hit = c.covered(starts[taken[at] | (owner[at] < doc)], WINDOW, len(w.doc))
+            removed = np.add.reduceat(np.append(hit, False).astype(np.int64), w.first[:-1]) * (np.diff(w.first) > 0)
+            for i, text in enumerate(texts):
+                words = text.split()
+                if removed[i]:
+                    words = list(compress(words, ~hit[w.first[i] : w.first[i + 1]]))
+                kept = b" ".join(words)
+                out[3].append(hashlib.sha256(kept).hexdigest() if digest else kept.decode())
+            out[0].append(ids)
+            out[1].append(np.diff(w.first))
+            out[2].append(removed)
         ids, n, gone = (np.concatenate([np.empty(0, dtype=np.int64), *x]) for x in out[:3])
-        return pa.table([c.ids_back(ids), pa.array(n), pa.array(gone), pa.array(out[3], type=pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256" if digest else "kept"])
+        order = np.argsort(c.ids_of(docs.column("doc_id").combine_chunks()), kind="stable") if docs.num_rows else []
+        return pa.table([c.ids_back(ids), pa.array(n), pa.array(gone), pa.array(out[3], type=pa.string()), pa.array(copies[order])], names=["doc_id", "n_words", "n_removed", "kept_sha256" if digest else "kept", "copies"])
 
     return remove
 
@@ -239,17 +241,25 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     doc_id count as one document. A null doc_id counts as smaller than any other and stays null. Null texts have no words.
 
     The text is shuffled once, to its batch; that exchange serves all three readings. Each batch sends an anchor or window
-    once, so one that stands in a third of all documents is as many short hashes as there are batches.
+    once, so one that stands in a third of all documents is as many short hashes as there are batches. Batches are dealt by
+    id and text together, so neither copies nor an id of very many rows fill one; rows equal in both are folded where they are many.
     """
-    size = c.table_bytes(docs) * c.EXPANSION
-    batches, buckets = max(LEAST_BATCHES, int(size / BATCH_BYTES)), max(LEAST_BUCKETS, int(size / BUCKET_BYTES))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.withColumn("batch", _batch(_bounds(texts), batches))
+    row = F.xxhash64("doc_id", "text")
+    hot, size = c.hot_keys(texts, row, F.coalesce(F.octet_length("text"), F.lit(0)))
+    texts = texts.withColumn("copies", F.lit(1).cast("long"))
+    if hot:
+        many = row.isin(hot)
+        texts = texts.where(~many).unionByName(texts.where(many).groupBy("doc_id", "text").agg(F.sum("copies").alias("copies")))
+    batches, buckets = max(LEAST_BATCHES, size // BATCH_BYTES), max(LEAST_BUCKETS, size // BUCKET_BYTES)
+    texts = texts.withColumn("batch", F.pmod(row, F.lit(batches)))
     anchors = texts.groupBy("batch").applyInArrow(_emit_anchors(buckets), _SENT)
     shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors, _SENT)
     windows = texts.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(_emit_windows(buckets), _SENT)
     later = windows.groupBy("bucket").applyInArrow(_later_windows, _SENT)
-    return texts.groupBy("batch").cogroup(later.groupBy("batch")).applyInArrow(_remover(digest), _DIGEST if digest else _RESULT)
+    incoming = shared.withColumn("kind", F.lit(0)).unionByName(later.withColumn("kind", F.lit(1)))
+    result = texts.groupBy("batch").cogroup(incoming.groupBy("batch")).applyInArrow(_remover(digest, buckets), f"{_DIGEST if digest else _RESULT}, copies long")
+    return result.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy", "copies") if hot else result.drop("copies")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

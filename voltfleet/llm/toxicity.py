@@ -27,7 +27,7 @@ ALPHA, BETA, L1 = 2.0, 1.0, 8.0
 def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(text, feature) of every word, pair and skip-pair, with repeats."""
     w = c.words_of([t.translate(c.LOWER) for t in texts], c.ALPHANUMERIC)
-    hashes = c.word_hashes(w)
+    hashes = c.word_hashes(w)[0]
     docs, keys = [w.doc], [c.mix(hashes ^ np.uint64(1))]
     for gap in (1, 2):
         n = max(0, len(hashes) - gap)
