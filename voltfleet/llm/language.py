@@ -56,7 +56,7 @@ def _run_lengths(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _grams(texts: list[str], group: np.ndarray) -> _Grams:
-    """Count n-grams of texts by group number."""
+    """Count n-grams of texts by group number; a text's number may come more than once where groups rise and fall."""
     lower = [t.lower() for t in texts]
     points = np.frombuffer((" " + " ".join(lower) + " ").encode("utf-32-le", "surrogatepass"), dtype="<u4")
     of = np.repeat(group, [len(t) + 1 for t in lower])
@@ -72,6 +72,10 @@ def _grams(texts: list[str], group: np.ndarray) -> _Grams:
     keep[0] = True
     s, of = s[keep], of[keep]
     bits = int(len(present) + 2).bit_length()
+    if len(texts) > 1 and 3 * bits + int(group.max() - group.min()).bit_length() > 63:  # one number can't hold a text and three letters
+        half = len(texts) // 2
+        return _added([_grams(texts[:half], group[:half]), _grams(texts[half:], group[half:])])
+    base, of = group.min(), of - group.min()
     inner = s[1:-1]
     letter = s != 1
     keys = [
@@ -84,7 +88,7 @@ def _grams(texts: list[str], group: np.ndarray) -> _Grams:
     back = np.concatenate([[0, 1], present]).astype(np.int64)
     mask = (1 << bits) - 1
     a, b, d = (back[unique >> i * bits & mask] for i in (2, 1, 0))
-    return _Grams(unique >> 3 * bits, a << 2 * CODE_BITS | b << CODE_BITS | d, count)
+    return _Grams((unique >> 3 * bits) + base, a << 2 * CODE_BITS | b << CODE_BITS | d, count)
 
 
 def _added(parts: list[_Grams]) -> _Grams:
@@ -138,8 +142,7 @@ def rank_documents(texts: list[str], profiles: Profiles) -> tuple[list[str], np.
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
     if not len(found.text) or not profiles.names:
         return names, scores
-    most = (1 << 22) - 1
-    order = np.sort(found.text << 46 | (most - np.minimum(found.count, most)) << 24 | np.arange(len(found.text))) & ((1 << 24) - 1)
+    order = np.lexsort((-found.count, found.text))  # stable, so equal counts stay in order of their n-grams
     text, gram = found.text[order], found.gram[order]
     starts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
     sizes = np.diff(np.append(starts, len(text)))

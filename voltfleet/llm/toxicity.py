@@ -20,6 +20,8 @@ from . import common as c
 FEATURE_BITS = 20
 #: Expected number of labelled documents in the training sample, the most that is learned from.
 MAX_TRAIN = 16_384
+#: Most text bytes that are learned from; cells of ids by a hash, in order, as many as stay within it (but one at least).
+MAX_BYTES, CELLS = 128 << 20, 4096
 PASSES = 3
 ALPHA, BETA, L1 = 2.0, 1.0, 8.0
 
@@ -67,15 +69,23 @@ def _learn(table: pa.Table) -> pa.Table:
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dict[int, float]:
     """Weights by feature from labelled documents: ``labels`` has doc_id and label (0 or 1).
 
-    Labels that are null or of unknown documents teach nothing; of several labels of one id the larger holds. With more than
-    ``max_train`` labels, a sample by a hash of the id is taken.
+    Labels that are null or of unknown documents teach nothing; of several labels of one id the larger holds, of several texts
+    the one that sorts first. With more than ``max_train`` labels, or more than ``MAX_BYTES`` of their texts, a sample by a hash
+    of the id is taken.
     """
     known = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
     n = known.count()
     sample = known.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(max(n, 1))) < max_train)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").withColumn("all", F.lit(0))
-    learned = rows.groupBy("all").applyInArrow(_learn, "feature long, weight double").toArrow()
+    rows = c.cut(texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")))
+    cell = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(CELLS))
+    sizes = np.zeros(CELLS)
+    for row in rows.groupBy(cell.alias("cell")).agg(F.sum(F.octet_length("text")).alias("size")).collect():  # a number for each cell
+        sizes[row["cell"]] = row["size"] or 0
+    within = max(1, int(np.searchsorted(np.cumsum(sizes), MAX_BYTES, "right")))
+    while not sizes[:within].any() and within < CELLS:
+        within += 1
+    learned = rows.where(cell < within).withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_learn, "feature long, weight double").toArrow()
     return dict(zip(learned.column("feature").to_pylist(), learned.column("weight").to_pylist(), strict=True))
 
 

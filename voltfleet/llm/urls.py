@@ -37,6 +37,8 @@ RULES = (Rule("allow", "com/"), Rule("block", "example.com/en/"), Rule("allow",
 
 #: Expected number of judged urls to learn from, the most that is used.
 MAX_TRAIN = 20_000
+#: Partitions of the training sample, whose size is bounded.
+TRAIN_PARTS = 8
 TREES, DEPTH, SEED = 12, 4, 7
 #: A suffix's block rate counts as if so many urls of average rate were added.
 SMOOTHING = 10.0
@@ -98,14 +100,16 @@ def _rates(judged: DataFrame, column: str, overall: float) -> DataFrame:
     return judged.groupBy(column).agg(((blocked + overall * SMOOTHING) / (F.count("*") + SMOOTHING)).alias(f"{column}_rate"))
 
 
-def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, max_train: int = MAX_TRAIN) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, max_train: int = MAX_TRAIN, held_out: Column | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, block_score for each row of ``pages``.
 
     A rule's verdict holds where one fits, else the trees'. Without judged urls everything else is allowed; with one verdict
-    only, that one holds. Suffix rates come from all judged urls, the trees from a sample by a hash of the url's parts.
+    only, that one holds. Suffix rates come from all judged urls, the trees from a sample by a hash of the url's parts. Urls for
+    which ``held_out`` holds (a condition on host, path and page_id) are not learned from, so that block_score can be tried on them.
     """
     rows = lexical(pages, rules)
-    judged = rows.where("judged is not null")
+    learned_from = F.col("judged").isNotNull() & (F.lit(True) if held_out is None else ~held_out)
+    judged = rows.where(learned_from)
     totals = judged.agg(F.count("*").alias("n"), F.coalesce(F.avg((F.col("judged") == "block").cast("double")), F.lit(0.0)).alias("blocked")).first()
     overall = totals["blocked"]
     for column in ("suffix", "site"):
@@ -113,8 +117,8 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, max_train: int
     rows = rows.fillna(overall, ["suffix_rate", "site_rate"])
     rows = VectorAssembler(inputCols=list(NUMBERS), outputCol="features").transform(rows)
     if 0 < overall < 1:
-        sample = rows.where(F.col("judged").isNotNull() & (F.pmod(F.xxhash64("host", "path", "page_id"), F.lit(totals["n"])) < max_train))
-        sample = c.cut(sample.select("features", (F.col("judged") == "block").cast("double").alias("label")).repartition(8))
+        sample = rows.where(learned_from & (F.pmod(F.xxhash64("host", "path", "page_id"), F.lit(totals["n"])) < max_train))
+        sample = c.cut(sample.select("features", (F.col("judged") == "block").cast("double").alias("label")).repartition(TRAIN_PARTS))
         model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32).fit(sample)
         score = F.element_at(vector_to_array("probability"), 2)
         rows = model.transform(rows).withColumn("block_score", score)
