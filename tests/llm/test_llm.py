@@ -3,6 +3,7 @@ extra columns."""
 
 import hashlib
 import re
+import time
 import zlib
 from array import array
 
@@ -85,26 +86,50 @@ def test_neighbours_on_odd_vectors(spark):
 
 
 def test_ranking_holds_few_distances(monkeypatch):
-    sizes, squares = [], neighbours._squares
-    monkeypatch.setattr(neighbours, "_squares", lambda x, y: (lambda out: (sizes.append(out.size), out)[1])(squares(x, y)))
+    monkeypatch.setattr(neighbours, "HELD", 1 << 16)
     rng = np.random.default_rng(2)
-    x = rng.normal(size=(12_000, 4))
-    rows = pa.table({"vec_id": np.arange(len(x)), "vector": pa.array(x.tolist()), "second": np.zeros(len(x), dtype=np.int32)})
-    queries = pa.table({"query_id": np.arange(400), "vector": pa.array(x[:400].tolist()), "seconds": pa.array([[0]] * 400)})
-    got = neighbours._rank(3)(rows, queries).to_pydict()
-    assert max(sizes) <= 1 << 21 and sum(sizes) == 400 * len(x)
-    d = np.sqrt(((x[399] - x) ** 2).sum(1))
-    assert got["query_id"][-3:] == [399] * 3 and got["vec_id"][-3:] == np.argsort(d)[1:4].tolist()
-
-
-def test_queries_in_blocks_find_the_same(spark, monkeypatch):
+    x, first, second = rng.normal(size=(12_000, 4)), rng.normal(size=(5, 2)), rng.normal(size=(7, 2))
+    i, j = neighbours._assign(x, first, second)
+    rows = pa.table({"vec_id": np.arange(len(x)), "vector": pa.array(x.tolist()), "first": i.astype(np.int32), "second": j.astype(np.int32)})
+    sums = neighbours._squares(x[:400, :2], first)[:, i] + neighbours._squares(x[:400, 2:], second)[:, j]
+    ends = np.quantile(sums, 0.3, axis=1)
+    queries = pa.table({"query_id": np.arange(400), "vector": pa.array(x[:400].tolist()), "end": ends})
+    got = neighbours._rank(3, first, second)(rows, queries).to_pydict()
+    for q in (0, 7, 399):
+        d = np.where(sums[q] <= ends[q], np.sqrt(((x[q] - x) ** 2).sum(1)), np.inf)
+        d[q] = np.inf
+        mine = [k for k, own in enumerate(got["query_id"]) if own == q]
+        assert [got["vec_id"][k] for k in mine] == np.argsort(d)[:3].tolist()
+        assert {got["visited"][k] for k in mine} <= {int(np.isfinite(d).sum()), int(np.isfinite(d).sum()) - 1, int(np.isfinite(d).sum()) + 1}
+
+
+def test_queries_and_rows_in_small_parts_find_the_same(spark, monkeypatch):
     vectors = common.read(spark, FOLDER, "embeddings").select("vec_id", F.col("embedding").alias("vector")).limit(300).cache()
-    find = lambda: sorted(tuple(r) for r in neighbours.nearest(vectors, F.col("vec_id") % 5 == 0).collect())
+    find = lambda: sorted(tuple(r)[:4] for r in neighbours.nearest(vectors, F.col("vec_id") % 5 == 0).collect())
     whole = find()
     monkeypatch.setattr(neighbours, "QUERY_ROWS", 7)
+    monkeypatch.setattr(neighbours, "PART_ROWS", (20, 20))
     assert whole and find() == whole
 
 
+def test_clustered_vectors_visit_few_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 16))[rng.integers(0, 300, 9000)] + 0.1 * rng.normal(size=(9000, 16))
+    x[4000:6500] = x[4000]  # more than a quarter of all rows are equal
+    vectors = spark.createDataFrame([(i, v, 1, 2, 3) for i, v in enumerate(x.tolist())], "vec_id long, vector array<double>, first int, bin int, rank int")
+    got = neighbours.nearest(vectors, F.col("vec_id") % 97 == 0).toPandas()
+    hits = 0
+    for q, part in got.groupby("query_id"):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        hits += int((part["score"] <= np.sort(d)[9] + 1e-9).sum())
+        assert list(part["rank"]) == list(range(1, 11))
+    assert len(got) == 10 * len(range(0, 9000, 97)) and hits >= 0.9 * len(got)
+    few = vectors.where("vec_id < 4000").select("vec_id", "vector")
+    index, _ = neighbours.build(*neighbours._good(few))
+    assert index.visits <= 0.03 * 4000
+
+
 def test_traversal_orders_all_cells():
     rng = np.random.default_rng(0)
     near, far = rng.random(5), rng.random(7)
@@ -122,6 +147,59 @@ def test_language_accuracy_and_rank_distance(spark, real):
     assert got["score"].between(0, 1).all()
 
 
+def brute_language(texts, labelled):
+    """Out-of-place distances with dictionaries."""
+
+    def profile(parts):
+        counts = {}
+        for t in parts:
+            s = re.sub(r"[^\W\d_]", lambda m: m.group(), "".join(ch if ch.isalpha() else "_" for ch in t.lower()))
+            for word in filter(None, s.split("_")):
+                for n in (1, 2, 3):
+                    for g in ((f"_{word}_")[k : k + n] for k in range(len(word) + 3 - n)):
+                        if g != "_":
+                            counts[g] = counts.get(g, 0) + 1
+        code = lambda g: tuple([1 if ch == "_" else ord(ch) for ch in g] + [0] * (3 - len(g)))
+        return sorted(counts, key=lambda g: (-counts[g], code(g)))[:300]
+
+    known = {lang: {g: r for r, g in enumerate(profile(parts))} for lang, parts in labelled.items()}
+    out = []
+    for t in texts:
+        own = profile([t])
+        if not own or not known:
+            out.append(("und", 0.0))
+            continue
+        distance = {lang: sum(abs(r - ranks[g]) if g in ranks else 300 for r, g in enumerate(own)) for lang, ranks in known.items()}
+        best = min(sorted(distance), key=distance.get)
+        out.append((best, 1 - distance[best] / (300 * len(own))))
+    return out
+
+
+def test_language_equals_brute_force(spark, real):
+    rows = common.read(spark, FOLDER, "documents").orderBy("doc_id").collect()
+    labelled = {}
+    for r in rows:
+        if r["lang"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            labelled.setdefault(r["lang"], []).append(r["text"])
+    got = {r["doc_id"]: r for r in registry.QUERIES["op2_language_id"](spark, FOLDER).collect()}
+    for i, (lang, score) in zip(sorted(real), brute_language([real[i] for i in sorted(real)], labelled), strict=True):
+        assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - score) < 1e-9, i
+
+
+def test_language_ranks_very_frequent_grams_and_very_many_letters(spark):
+    """Counts beyond 22 bits still rank; texts of very many distinct letters are taken apart."""
+    learned = language.learn_profiles(spark.createDataFrame([("aab", "x"), ("bba", "y")], "text string, lang string"))
+    profiles = language._profiles(learned)
+    names, _ = language.rank_documents(["a" * 4_300_000 + " b" * 4_200_000, "b" * 4_300_000 + " a" * 4_200_000], profiles)
+    assert names == ["x", "y"]
+    letters = [chr(i) for i in range(0x20000) if chr(i).isalpha()]
+    texts = ["".join(letters[k::40]) for k in range(40)]
+    whole = language._grams(texts, np.arange(40) + (1 << 20))
+    for k in (0, 39):
+        alone = language._grams(texts[k : k + 1], np.array([k + (1 << 20)]))
+        assert (whole.gram[whole.text == k + (1 << 20)] == alone.gram).all()
+
+
 def test_language_profiles_by_hand(spark):
     learned = language.learn_profiles(spark.createDataFrame([("ab ab", "x"), ("zz", "y"), (None, "x"), ("q", None)], "text string, lang string"))
     top = [r["gram"] for r in learned.where("lang = 'x'").orderBy("rank").collect()]
@@ -156,6 +234,26 @@ def test_secret_spans_and_ledger(spark):
     assert secrets.clean_documents(docs).count() == 2
 
 
+def test_secrets_of_a_text_with_very_many(spark):
+    text = " ".join(f"token = abcdef{i}" for i in range(100_000))
+    start = time.monotonic()
+    got = secrets.report(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert got[0]["n_assign"] == 100_000 and got[1]["n_assign"] == 0
+    assert got[0]["spans"].rsplit(",", 1)[1] == f"assign:{text.rindex('token')}:{len(text)}"
+    assert time.monotonic() - start < 60
+
+
+def test_ledger_keeps_historical_versions_and_skips_what_was_seen(spark, tmp_path):
+    folder = str(tmp_path / "ledger")
+    frame_ = lambda rows: spark.createDataFrame(rows, "path string, version int, text string, blob string, at int")
+    secrets.record(spark, folder, frame_([("a", 1, "token = abcdef1", "z", 1), ("b", 1, "clean", "z", 1), ("c", 1, None, "z", 1)]))
+    assert secrets.scans(spark, folder).count() == 9
+    secrets.record(spark, folder, frame_([("a", 2, "clean", "z", 1), ("d", 2, "token = abcdef1", "z", 1), ("e", 2, "secret: 1234567", "z", 1)]))
+    assert secrets.scans(spark, folder).count() == 12  # of three texts one was new
+    found = {(r["path"], r["version"]): len(r["found"]) for r in secrets.recorded(spark, folder).collect()}
+    assert found == {("a", 1): 1, ("b", 1): 0, ("c", 1): 0, ("a", 2): 0, ("d", 2): 1, ("e", 2): 1}
+
+
 def brute_print(text, k):
     ws = (text or "").translate({i: i + 32 for i in range(65, 91)})
     ws = words(ws)
@@ -293,6 +391,39 @@ def test_substrings_at_every_alignment(spark):
     assert got == brute_repeats(docs)
 
 
+def thue_morse(a, b, n=1024):
+    return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
+
+
+def test_words_that_defeat_polynomial_hashes_differ(spark):
+    x, y, tail = thue_morse("a", "b"), thue_morse("b", "a"), " ".join(f"t{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"{x} {tail}"), (2, f"{y} {tail}"), (3, f"{x} {tail}")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in substrings.remove_repeats(docs).collect()} == {1: 0, 2: 0, 3: 13}
+    for part in (10**6, 0):
+        got = decontaminate.leak_report(docs, spark.createDataFrame([(7, y)], "item_id long, text string"), part).collect()
+        assert {r["doc_id"]: r["n_hit"] for r in got} == {1: 0, 2: 1, 3: 0}
+
+
+def test_substrings_of_hot_ids_and_rows(spark, monkeypatch):
+    monkeypatch.setattr(common, "FEW", 5)
+    rng = np.random.default_rng(9)
+    lines = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 14)) for _ in range(30)]
+    rows = [(None, lines[0])] * 9 + [(None, lines[k]) for k in range(12)] + [(5, lines[k % 20]) for k in range(40)] + [(i, " ".join(lines[int(k)] for k in rng.integers(0, 30, 3))) for i in range(6, 40)]
+    first = {}
+    for i, t in sorted(rows, key=lambda r: -1 if r[0] is None else r[0]):
+        for j in range(len(words(t)) - 12):
+            first.setdefault(tuple(words(t)[j : j + 13]), -1 if i is None else i)
+    expected = []
+    for i, t in rows:
+        ws, hit = words(t), set()
+        for j in range(len(ws) - 12):
+            if first[tuple(ws[j : j + 13])] < (-1 if i is None else i):
+                hit |= set(range(j, j + 13))
+        expected.append((str(i), len(ws), len(hit)))
+    got = [(str(r["doc_id"]), r["n_words"], r["n_removed"]) for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(expected)
+
+
 def test_substring_cover_meets_every_shift():
     for i in range(7):
         for j in range(7):
@@ -322,7 +453,7 @@ def test_leaks_equal_brute_force_in_one_and_several_parts(spark):
     texts = [(i, "-".join(rng.choice(vocabulary_, rng.integers(0, 60))).upper()) for i in range(40)] + [(90, None), (91, "ZZ top"), (91, "ZZ top")]
     docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     expected = sorted((i, *brute_leaks(t, items)[:2], hashlib.sha256(",".join(brute_leaks(t, items)[2]).encode()).hexdigest()) for i, t in texts)
-    for part in (10**6, 7):
+    for part in (10**6, 7):  # broadcast, and joined as tables
         got = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["items_sha256"]) for r in decontaminate.leak_report(docs, bench, part).collect())
         assert got == expected
     assert decontaminate.leak_report(docs, bench.where("false")).where("contaminated").count() == 0
@@ -373,6 +504,50 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in urls.judge_urls(pages.where("page_id > 3")).where("rule is null").collect()} <= {"allow", "block"}
 
 
+def test_url_scores_on_held_out_urls_and_odd_ones(spark):
+    rng = np.random.default_rng(11)
+    pages = [(i, f"https://{rng.choice(['a', 'news', 'shop'])}{rng.integers(99)}.{rng.choice(['com', 'net'])}/{rng.choice(['es', 'fr'])}/{rng.integers(10**6)}", 1) for i in range(1500)]
+    pages += [(3000, "http://" + "x" * 100_000 + ".org/" + "y" * 100_000, 1), (3001, "https://a1.com/es/1", 1), (3001, "https://a1.com/es/1", 1), (None, "http://b.net/fr/1", 1)]
+    held = F.coalesce(F.col("page_id") % 2 == 0, F.lit(False))
+    got = urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string, suffix_rate int"), held_out=held).collect()
+    assert len(got) == len(pages)
+    tried = [r for r in got if r["rule"] and r["page_id"] is not None and r["page_id"] % 2 == 0]
+    assert len(tried) > 500 and sum((r["block_score"] >= 0.5) == (r["verdict"] == "block") for r in tried) > 0.95 * len(tried)
+
+
+def brute_ftrl(rows):
+    """Sparse dictionaries, one document after the other."""
+    z, n, out = {}, {}, {}
+
+    def weight(i):
+        zi, least = z.get(i, 0.0), toxicity.L1 if i >= 0 else 0.0
+        return 0.0 if abs(zi) <= least else (np.sign(zi) * least - zi) * toxicity.ALPHA / (toxicity.BETA + n.get(i, 0.0) ** 0.5)
+
+    rows = sorted(rows, key=lambda r: int(common.mix(np.array([r[0]], dtype=np.uint64))[0]))
+    for _ in range(toxicity.PASSES):
+        for _, text, label in rows:
+            at = [*{int(k) for k in toxicity._features([text.encode()])[1]}, -1]
+            ws = {i: weight(i) for i in at}
+            g = 1 / (1 + np.exp(-sum(ws.values()))) - label
+            for i in at:
+                z[i] = z.get(i, 0.0) + g - ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / toxicity.ALPHA * ws[i]
+                n[i] = n.get(i, 0.0) + g * g
+    out = {i: weight(i) for i in z}
+    return {i: w for i, w in out.items() if w}
+
+
+def test_toxicity_weights_equal_brute_force_and_repeated_ids_count_once(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(rng.choice([f"w{j}" for j in range(30)], 12)) + (" vile" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(150)]
+    more = rows + [(7, "zzz later text", 1)] * 40 + [(None, "vile", 0)]
+    docs = spark.createDataFrame(more, "doc_id long, text string, label int")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, label int")
+    expected, got = brute_ftrl(rows), toxicity.train(docs, labels)
+    assert expected.keys() == got.keys() and all(abs(expected[i] - got[i]) < 1e-9 for i in got)
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 2000)
+    assert toxicity.train(docs, labels).keys() != got.keys()
+
+
 def test_toxicity_finds_planted_words(spark):
     rng = np.random.default_rng(6)
     rows = []
