@@ -607,3 +607,37 @@ def test_pipeline_stages_equal_brute_force(spark, real, tokenizer, tmp_path):
     out = corpus_pipeline.run(spark, FOLDER).collect()
     assert out and all(r["ids"] == tokenizer.encode(real[r["doc_id"]], add_special_tokens=False).ids for r in out)
     assert all(r["decoded_sha256"] == hashlib.sha256(real[r["doc_id"]].encode()).hexdigest() for r in out)
+
+
+def test_hot_keys_join_like_others(spark, monkeypatch):
+    monkeypatch.setattr(common, "FEW", 3)
+    rows = spark.createDataFrame([(bytes([k % 5]), k) for k in range(60)] + [(None, 99)] * 5 + [(b"zz", 1)], "key binary, k int")
+    unique = spark.createDataFrame([(bytes([k]), k * 10) for k in range(4)], "key binary, v int")
+    for how in ("inner", "left"):
+        expected = sorted(map(str, rows.join(unique, "key", how).collect()))
+        assert sorted(map(str, common.join_one(rows, unique, "key", how).collect())) == expected
+
+
+def test_groups_of_stragglers_are_verified_in_blocks(spark, monkeypatch):
+    """A group whose links are a chain, beside near copies of one text; blocks are small, hubs few."""
+    monkeypatch.setattr(simhash, "VERIFY_BLOCK", 8)
+    monkeypatch.setattr(common, "FEW", 3)
+    monkeypatch.setattr(graph, "HUB", 3)
+    rng = np.random.default_rng(14)
+    ws = [f"w{x}" for x in rng.integers(0, 10**6, 3000)]
+    texts = [" ".join(ws[k : k + 400]) for k in range(0, 1200, 40)]
+    for _ in range(25):
+        own = ws[2000:2400]
+        own[int(rng.integers(400))] = f"e{rng.integers(10**9)}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8]
+    label = graph.forest(len(texts), np.array([a for a, _ in pairs]), np.array([b for _, b in pairs]))
+    assert len(set(label.tolist())) < 10
+    assert {r["doc_id"] for r in simhash.one_of_each(docs).collect()} == set(label.tolist())
+
+
+def test_of_repeated_ids_the_first_text_stays(spark):
+    docs = spark.createDataFrame([(1, "b b b", "x"), (1, "a a a", "y"), (1, "a a a", "x"), (2, "c", "x"), (None, "d", "x"), (None, "d", "x")], "doc_id long, text string, lang string")
+    got = sorted(map(str, (tuple(r) for r in simhash.one_of_each(docs).collect())))
+    assert got == sorted(map(str, [(1, "a a a", "x"), (2, "c", "x"), (None, "d", "x"), (None, "d", "x")]))

@@ -224,9 +224,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFram
 
 
 #: Words of a wide fingerprint, of 64 bits each, and the share of pairs at the least similarity that the probes must meet.
-WIDE, MEET = 8, 0.99
-#: How much less than the least similarity the estimate of a pair to verify may be: 2.5 standard errors of 512 bits.
-MARGIN = 0.1
+WIDE, MEET = 8, 0.999
+#: How much less than the least similarity the estimate of a pair to verify may be: 3.7 standard errors of 512 bits.
+MARGIN = 0.15
+#: Documents of a group of candidates that each other one is compared with first.
+LEADERS = 4
 #: Documents of a group of candidates that are verified together; larger groups are dealt out in pairs of blocks.
 VERIFY_BLOCK = 1024
 #: Shingles up to which bits say too little: pairs whose smaller set has no more are found by shared shingles instead.
@@ -369,6 +371,55 @@ def _sets(shingle: int):  # noqa: ANN202
     return rows
 
 
+def _similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets have the least Jaccard similarity."""
+    small, large = sorted((len(a), len(b)))
+    if small < similarity * large:
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= similarity * (small + large - common)
+
+
+def _led(similarity: float):  # noqa: ANN202
+    """Links of documents to their group's leaders."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in c.slices(batches, "shingles"):
+            a, b = [], []
+            ids, sets = batch.column("doc_id").to_pylist(), batch.column("shingles").to_pylist()
+            for i, own in enumerate(sets):
+                mine = np.frombuffer(own, dtype="<u8")
+                for leader in batch.column("leaders")[i].as_py():
+                    if leader["doc_id"] != ids[i] and _similar(mine, np.frombuffer(leader["shingles"], dtype="<u8"), similarity):
+                        a.append(ids[i])
+                        b.append(leader["doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
+
+    return rows
+
+
+def _left_to_verify(members: DataFrame, led: DataFrame) -> DataFrame:
+    """Members with label and task, of the groups that leaders did not make one component.
+
+    Documents of a group's largest component so far need no comparison with each other: each block of the others meets each
+    block of all. So a large group of near copies of one text costs a row for each document, and one for each block of stragglers.
+    """
+    named = c.cut(members.select("doc_id", "group").join(led, "doc_id", "left").select("doc_id", "group", F.coalesce("root", "doc_id").alias("label")))
+    counts = named.groupBy("group", "label").agg(F.count("*").alias("n"))
+    most = counts.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("in_main"), F.sum("n").alias("n"))
+    blocks = lambda n: F.ceil(n * 2 / VERIFY_BLOCK)
+    open_ = c.cut(most.where("n > in_main").select("group", "main", blocks(F.col("in_main")).alias("mains"), blocks(F.col("n") - F.col("in_main")).alias("others")))
+    rows = members.join(c.join_one(named, open_, "group").drop("group"), "doc_id")
+    deal = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(7)), n)
+    row = lambda *cells: F.struct(*[x.cast("long").alias(n) for x, n in zip(cells, "xyz", strict=True)])
+    other, every = F.col("label") != F.col("main"), lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    with_others = F.transform(every(F.col("others")), lambda o: row(F.lit(0), F.least(o, deal(F.col("others"))), F.greatest(o, deal(F.col("others")))))
+    with_mains = F.transform(every(F.col("mains")), lambda m: row(F.lit(1), deal(F.col("others")), m))
+    from_main = F.transform(every(F.col("others")), lambda o: row(F.lit(1), o, deal(F.col("mains"))))
+    tasks = F.when(other, F.concat(with_others, with_mains)).otherwise(from_main)
+    return rows.withColumn("cell", F.explode(tasks)).withColumn("task", F.xxhash64("group", "cell")).drop("cell", "main", "mains", "others")
+
+
 def _verifier(similarity: float, most: int):  # noqa: ANN202
     """Links of at least the least exact Jaccard similarity, but for pairs that are already connected; likeliest pairs first."""
 
@@ -380,12 +431,15 @@ def _verifier(similarity: float, most: int):  # noqa: ANN202
         raw = table.column("shingles").to_pylist()
         sets = [np.frombuffer(raw[i], dtype="<u8") for i in order.tolist()]
         sizes, maps = np.array([len(x) for x in sets]), np.array([parity(x) for x in sets], dtype=np.uint64)
+        labels = table.column("label").to_numpy()[order]
         pairs = [np.empty((0, 3), dtype=np.int64)]
         for i in range(len(ids) - 1):
             apart = np.bitwise_count(prints[i + 1 :] ^ prints[i]).sum(axis=1, dtype=np.int64)
-            j = np.flatnonzero(np.where(np.minimum(sizes[i], sizes[i + 1 :]) <= SMALL, may_be_similar(sizes[i], sizes[i + 1 :], maps[i + 1 :] ^ maps[i], similarity), apart <= most))
+            near = np.where(np.minimum(sizes[i], sizes[i + 1 :]) <= SMALL, may_be_similar(sizes[i], sizes[i + 1 :], maps[i + 1 :] ^ maps[i], similarity), apart <= most)
+            j = np.flatnonzero(near & (labels[i + 1 :] != labels[i]))
             pairs.append(np.stack([apart[j], np.full(len(j), i), j + i + 1], axis=1))
-        root = list(range(len(ids)))
+        _, root = np.unique(labels, return_index=True)  # documents of a label are connected already
+        root = root[np.searchsorted(np.unique(labels), labels)].tolist()
 
         def find(x: int) -> int:
             while root[x] != x:
@@ -393,16 +447,14 @@ def _verifier(similarity: float, most: int):  # noqa: ANN202
                 x = root[x]
             return x
 
-        every = np.concatenate(pairs)
+        every, a, b = np.concatenate(pairs), [], []
         for _, i, j in every[np.argsort(every[:, 0], kind="stable")].tolist():
-            a, b = find(i), find(j)
-            small, large = sorted((len(sets[i]), len(sets[j])))
-            if a != b and small >= similarity * large:
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if common >= similarity * (small + large - common):
-                    root[max(a, b)] = min(a, b)
-        linked = [x for x in range(len(ids)) if find(x) != x]
-        return pa.table([pa.array(ids[linked]), pa.array(ids[[find(x) for x in linked]])], names=["a", "b"])
+            p, q = find(i), find(j)
+            if p != q and _similar(sets[i], sets[j], similarity):
+                root[max(p, q)] = min(p, q)
+                a.append(ids[i])
+                b.append(ids[j])
+        return pa.table([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
 
     return verify
 
@@ -411,9 +463,10 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     """doc_id, component_id of the documents that have a similar one; component_id is the smallest id of the group.
 
     Similarity is the Jaccard similarity of word shingles. Candidates come from 512 SimHash bits: at 0.8 pairs differ in a
-    seventh of their bits, too many for a pigeonhole guarantee, so the parts have threshold 0 and meet 99 in 100 of such pairs,
+    seventh of their bits, too many for a pigeonhole guarantee, so the parts have threshold 0 and meet 999 in 1000 of such pairs,
     and more of nearer ones. Bits of few shingles say too little, so pairs whose smaller set has at most ``SMALL`` are all found, by
-    a shared one of their rarest shingles. Groups of candidates are then verified by their exact shingles. Texts of equal shingle sets are folded
+    a shared one of their rarest shingles. Groups of candidates are then verified by their exact shingles: each document with a few
+    leaders of its group, then what these leave apart with all others, in blocks. Texts of equal shingle sets are folded
     before probing; those that only have equal bits are not. Documents with a null id or without words have no group.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
@@ -431,20 +484,36 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     found = found.unionByName(tasks.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(buckets))).groupBy("bucket").applyInArrow(_small_linker(similarity), "a long, b long"))
     groups = components(found).select(F.col("node").alias("doc_id"), F.col("root").alias("group"))
     members = c.cut(rows.select("doc_id", "print").join(groups, "doc_id").join(texts, "doc_id").mapInArrow(_sets(shingle), "doc_id long, group long, print binary, shingles binary"))
-    exact = _in_blocks(members, "group", VERIFY_BLOCK, "doc_id").groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long")
+    leaders = F.array_distinct(F.array(F.min("doc_id"), *[F.min_by("doc_id", F.xxhash64("doc_id", F.lit(k))) for k in range(1, LEADERS)]))
+    chosen = members.groupBy("group").agg(leaders.alias("leaders")).select(F.explode("leaders").alias("doc_id"))
+    leading = members.join(chosen, "doc_id").groupBy("group").agg(F.collect_list(F.struct("doc_id", "shingles")).alias("leaders"))
+    near = c.cut(c.join_one(members.select("doc_id", "group", "shingles"), leading, "group").mapInArrow(_led(similarity), "a long, b long"))
+    led = components(near).select(F.col("node").alias("doc_id"), "root")
+    exact = near.unionByName(_left_to_verify(members, led).groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long"))
     least = c.cut(rows.groupBy("digest").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    roots = components(exact).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
-    copies_of = rows.join(least, "digest").select("doc_id", "b").where("doc_id <> b")
-    named = copies_of.join(roots.select(F.col("doc_id").alias("b"), "component_id"), "b", "left").select("doc_id", F.coalesce("component_id", "b").alias("component_id"))
+    roots = c.cut(components(exact).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id")))
+    copies_of = c.cut(c.join_one(rows.select("doc_id", "digest"), least, "digest").select("doc_id", "b").where("doc_id <> b"))
+    named = c.join_one(copies_of, roots.select(F.col("doc_id").alias("b"), "component_id"), "b", "left").select("doc_id", F.coalesce("component_id", "b").alias("component_id"))
     alone = least.select(F.col("b").alias("doc_id")).join(roots, "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("component_id"))
     return roots.unionByName(named).unionByName(alone)
 
 
+def one_row_of_each_id(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row for each repeated id, the one whose text sorts first; rows with a null id stay. Nothing is shuffled where ids are unique."""
+    repeated = c.cut(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return docs
+    row = F.struct(*docs.columns)
+    least = F.min_by(row, F.struct(F.col("text"), F.to_json(row))).alias("row")
+    folded = docs.join(repeated, "doc_id", "left_semi").select(docs.columns)
+    return c.cut(docs.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(folded.groupBy(F.col("doc_id").alias("id")).agg(least).select("row.*")))
+
+
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` without those that have a similar document with a smaller id, all columns kept. Of rows with one id one stays."""
+    """``docs`` without those that have a similar document with a smaller id, all columns kept. Of rows with one id one stays, see :func:`one_row_of_each_id`."""
+    docs = one_row_of_each_id(docs)
     losers = similar_groups(docs, shingle, similarity).where("doc_id <> component_id").select("doc_id")
-    kept = docs.join(losers, "doc_id", "left_anti").select(docs.columns)
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    return docs.join(losers, "doc_id", "left_anti").select(docs.columns)
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
