@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFram
     roots = components(links(kinds, tau))
     named = c.cut(kinds.join(roots, kinds["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root")))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return c.join_one(own, c.cut(c.join_one(named, names, "root").select("print", "component_id")), "print")
+    return own.join(c.cut(c.join_one(named, names, "root").select("print", "component_id")), "print")
 
 
 #: Words of a wide fingerprint, of 64 bits each, and the share of pairs at the least similarity that the probes must meet.
@@ -381,43 +381,46 @@ def _similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 
 
 def _led(similarity: float):  # noqa: ANN202
-    """Links of documents to their group's leaders."""
+    """Links of documents to their group's leaders, with the group."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in c.slices(batches, "shingles"):
-            a, b = [], []
-            ids, sets = batch.column("doc_id").to_pylist(), batch.column("shingles").to_pylist()
+            a, b, which = [], [], []
+            ids, sets, groups = (batch.column(x).to_pylist() for x in ("doc_id", "shingles", "group"))
             for i, own in enumerate(sets):
                 mine = np.frombuffer(own, dtype="<u8")
                 for leader in batch.column("leaders")[i].as_py():
                     if leader["doc_id"] != ids[i] and _similar(mine, np.frombuffer(leader["shingles"], dtype="<u8"), similarity):
                         a.append(ids[i])
                         b.append(leader["doc_id"])
-            yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
+                        which.append(groups[i])
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in (a, b, which)], names=["a", "b", "group"])
 
     return rows
 
 
-def _left_to_verify(members: DataFrame, led: DataFrame) -> DataFrame:
-    """Members with label and task, of the groups that leaders did not make one component.
+def _left_to_verify(members: DataFrame, near: DataFrame) -> DataFrame:
+    """Members with label and task, of the groups in which no leader is near all others.
 
-    Documents of a group's largest component so far need no comparison with each other: each block of the others meets each
-    block of all. So a large group of near copies of one text costs a row for each document, and one for each block of stragglers.
+    Documents near the leader with most of them have its label and need no comparison with each other: each block of the others
+    meets each block of all. So a large group of near copies of one text costs a row for each document, and one for each block of stragglers.
     """
-    named = c.cut(members.select("doc_id", "group").join(led, "doc_id", "left").select("doc_id", "group", F.coalesce("root", "doc_id").alias("label")))
-    counts = named.groupBy("group", "label").agg(F.count("*").alias("n"))
-    most = counts.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("in_main"), F.sum("n").alias("n"))
-    blocks = lambda n: F.ceil(n * 2 / VERIFY_BLOCK)
-    open_ = c.cut(most.where("n > in_main").select("group", "main", blocks(F.col("in_main")).alias("mains"), blocks(F.col("n") - F.col("in_main")).alias("others")))
+    main = near.groupBy("group", "b").agg(F.count("*").alias("n")).groupBy("group").agg(F.max_by("b", F.struct("n", "b")).alias("main"))
+    led = near.join(main, "group").where("b = main").select(F.col("a").alias("doc_id"), F.lit(True).alias("led"))
+    label = F.when(F.coalesce("led", F.lit(False)) | (F.col("doc_id") == F.col("main")), F.col("main")).otherwise(F.col("doc_id"))
+    named = c.cut(members.select("doc_id", "group").join(main, "group", "left").join(led, "doc_id", "left").select("doc_id", "group", label.alias("label"), (label == F.col("main")).alias("in_main")))
+    blocks = lambda n: F.greatest(F.ceil(n * 2 / VERIFY_BLOCK), F.lit(1))
+    counts = named.groupBy("group").agg(F.count_if("in_main").alias("mains"), F.count_if(~F.coalesce("in_main", F.lit(False))).alias("others"))
+    open_ = c.cut(counts.where("others > 0").select("group", blocks(F.col("mains")).alias("mains"), blocks(F.col("others")).alias("others")))
     rows = members.join(c.join_one(named, open_, "group").drop("group"), "doc_id")
     deal = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(7)), n)
     row = lambda *cells: F.struct(*[x.cast("long").alias(n) for x, n in zip(cells, "xyz", strict=True)])
-    other, every = F.col("label") != F.col("main"), lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    other, every = ~F.coalesce("in_main", F.lit(False)), lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     with_others = F.transform(every(F.col("others")), lambda o: row(F.lit(0), F.least(o, deal(F.col("others"))), F.greatest(o, deal(F.col("others")))))
     with_mains = F.transform(every(F.col("mains")), lambda m: row(F.lit(1), deal(F.col("others")), m))
     from_main = F.transform(every(F.col("others")), lambda o: row(F.lit(1), o, deal(F.col("mains"))))
     tasks = F.when(other, F.concat(with_others, with_mains)).otherwise(from_main)
-    return rows.withColumn("cell", F.explode(tasks)).withColumn("task", F.xxhash64("group", "cell")).drop("cell", "main", "mains", "others")
+    return rows.withColumn("cell", F.explode(tasks)).withColumn("task", F.xxhash64("group", "cell")).drop("cell", "in_main", "mains", "others")
 
 
 def _verifier(similarity: float, most: int):  # noqa: ANN202
@@ -459,14 +462,24 @@ def _verifier(similarity: float, most: int):  # noqa: ANN202
     return verify
 
 
+def _large_groups(members: DataFrame, similarity: float, most: int) -> DataFrame:
+    """Links of groups of over ``VERIFY_BLOCK`` documents: with leaders, and of what these leave apart with all others, in blocks."""
+    members = c.cut(members)
+    leaders = F.array_distinct(F.array(F.min("doc_id"), *[F.min_by("doc_id", F.xxhash64("doc_id", F.lit(k))) for k in range(1, LEADERS)]))
+    chosen = members.groupBy("group").agg(leaders.alias("leaders")).select(F.explode("leaders").alias("doc_id"))
+    leading = members.join(chosen, "doc_id").groupBy("group").agg(F.collect_list(F.struct("doc_id", "shingles")).alias("leaders"))
+    near = c.cut(c.join_one(members.select("doc_id", "group", "shingles"), leading, "group").mapInArrow(_led(similarity), "a long, b long, group long"))
+    return near.select("a", "b").unionByName(_left_to_verify(members, near).groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long"))
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id of the documents that have a similar one; component_id is the smallest id of the group.
 
     Similarity is the Jaccard similarity of word shingles. Candidates come from 512 SimHash bits: at 0.8 pairs differ in a
     seventh of their bits, too many for a pigeonhole guarantee, so the parts have threshold 0 and meet 999 in 1000 of such pairs,
     and more of nearer ones. Bits of few shingles say too little, so pairs whose smaller set has at most ``SMALL`` are all found, by
-    a shared one of their rarest shingles. Groups of candidates are then verified by their exact shingles: each document with a few
-    leaders of its group, then what these leave apart with all others, in blocks. Texts of equal shingle sets are folded
+    a shared one of their rarest shingles. Groups of candidates are then verified by their exact shingles: of large ones each document
+    with a few leaders, then what these leave apart with all others, in blocks. Texts of equal shingle sets are folded
     before probing; those that only have equal bits are not. Documents with a null id or without words have no group.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
@@ -484,16 +497,15 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     found = found.unionByName(tasks.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(buckets))).groupBy("bucket").applyInArrow(_small_linker(similarity), "a long, b long"))
     groups = components(found).select(F.col("node").alias("doc_id"), F.col("root").alias("group"))
     members = c.cut(rows.select("doc_id", "print").join(groups, "doc_id").join(texts, "doc_id").mapInArrow(_sets(shingle), "doc_id long, group long, print binary, shingles binary"))
-    leaders = F.array_distinct(F.array(F.min("doc_id"), *[F.min_by("doc_id", F.xxhash64("doc_id", F.lit(k))) for k in range(1, LEADERS)]))
-    chosen = members.groupBy("group").agg(leaders.alias("leaders")).select(F.explode("leaders").alias("doc_id"))
-    leading = members.join(chosen, "doc_id").groupBy("group").agg(F.collect_list(F.struct("doc_id", "shingles")).alias("leaders"))
-    near = c.cut(c.join_one(members.select("doc_id", "group", "shingles"), leading, "group").mapInArrow(_led(similarity), "a long, b long"))
-    led = components(near).select(F.col("node").alias("doc_id"), "root")
-    exact = near.unionByName(_left_to_verify(members, led).groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long"))
+    big = c.cut(groups.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > VERIFY_BLOCK).select("group"))
+    small = members.join(big, "group", "left_anti").withColumn("label", F.col("doc_id"))
+    exact = small.groupBy("group").applyInArrow(_verifier(similarity, most), "a long, b long")
+    if not big.isEmpty():
+        exact = exact.unionByName(_large_groups(members.join(big, "group", "left_semi"), similarity, most))
     least = c.cut(rows.groupBy("digest").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    roots = c.cut(components(exact).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id")))
-    copies_of = c.cut(c.join_one(rows.select("doc_id", "digest"), least, "digest").select("doc_id", "b").where("doc_id <> b"))
-    named = c.join_one(copies_of, roots.select(F.col("doc_id").alias("b"), "component_id"), "b", "left").select("doc_id", F.coalesce("component_id", "b").alias("component_id"))
+    roots = components(exact).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+    copies_of = rows.join(least, "digest").select("doc_id", "b").where("doc_id <> b")
+    named = copies_of.join(roots.select(F.col("doc_id").alias("b"), "component_id"), "b", "left").select("doc_id", F.coalesce("component_id", "b").alias("component_id"))
     alone = least.select(F.col("b").alias("doc_id")).join(roots, "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("component_id"))
     return roots.unionByName(named).unionByName(alone)
 
