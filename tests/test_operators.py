@@ -214,15 +214,22 @@ def test_registered_models_load_again(spark, tmp_path):
     assert models.predict(models.load_latest(spark, str(tmp_path), "x"), df).count() == df.count()
 
 
-def test_streamed_sessions_equal_batch_sessions(spark, tmp_path):
+@pytest.mark.parametrize(("order", "delay"), [("unix_micros(t)", "1 second"), ("pmod(hash(id), 97)", "4000 days")])
+def test_streamed_sessions_equal_batch_sessions(spark, tmp_path, order, delay):
+    """In order of time, and in no order at all within the delay; a last heartbeat ends the open sessions."""
     df = clean.keep_inside(fx.telemetry(spark, FOLDER), {"soc": (0, 100), "amps": (-400, 400)})
-    df.repartitionByRange(3, "t").sortWithinPartitions("t").write.parquet(f"{tmp_path}/in")
+    cuts = df.select(F.percentile_approx(F.expr(order), [0.3, 0.6])).first()[0]
+    for low, high in ((None, cuts[0]), (cuts[0], cuts[1]), (cuts[1], None)):  # one file after the other, as their times of change order them
+        key = F.expr(order)
+        part = df.where((F.lit(low is None) | (key > F.lit(low))) & (F.lit(high is None) | (key <= F.lit(high))))
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    live.heartbeat(df, "9000 days").write.mode("append").parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    query = live.ordered_sessions(stream, 43_200, "1 second").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    query = live.ordered_sessions(stream, 43_200, delay).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    got = {(r["vin"], r["n"], round(r["ah"], 3)) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
-    batch = {(r["vin"], r["n"], round(r["ah"], 3)) for r in events.session_rollup(events.sessions(df, 43_200, break_at_month=False)).collect()}
-    assert got and got <= batch
+    got = sorted((r["vin"], r["n"], round(r["ah"], 3)) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    batch = sorted((r["vin"], r["n"], round(r["ah"], 3)) for r in events.session_rollup(events.sessions(df, 43_200, break_at_month=False)).collect())
+    assert got == batch
 
 
 def test_quantile_forest_orders_quantiles(spark):
@@ -235,3 +242,25 @@ def test_simple_method_dispatch(spark):
     readings = spark.createDataFrame([(1, dt.datetime(2024, m, 1), 100.0 - m) for m in range(1, 9) for _ in range(15)], "vin long, month timestamp, full_cap double")
     out = so.simple_soh(readings, "bms_capacity")
     assert out.count() == 8 and out.where("soh > 100").count() == 0
+
+
+def test_zero_bases_give_no_health(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    charges = spark.createDataFrame([(1, t0, 0.0, 2.0), (1, t0, 0.0, 3.0), (2, t0, 50.0, 2.0), (2, t0, 40.0, 3.0)], "vin long, t0 timestamp, cap double, age_months double")
+    got = sorted((r["vin"], r["soh_full"]) for r in so.full_charge_soh(charges).collect() if r["vin"] == 2)
+    assert [round(x[1], 3) for x in got] == [88.889, 100.0]
+    assert so.full_charge_soh(charges).where("vin = 1 and soh_full is not null").count() == 0
+    segments = spark.createDataFrame([(1, t0, 5.0, 0.0)] * 4, "vin long, t timestamp, dkm double, dsoc double")
+    assert so.distance_proxy(segments, min_months=1).count() == 0
+
+
+def test_ranks_over_cells_equal_sorting(spark, monkeypatch):
+    from voltfleet.operators import series
+
+    monkeypatch.setattr(series, "CELLS", 7)
+    rows = [("a" if k % 3 else "b", float(k * 37 % 101 // 4)) for k in range(300)] + [("a", None)]
+    got = {(r["g"], r["v"]): (r["below"], r["ties"], r["of"]) for r in series.with_ranks(spark.createDataFrame(rows, "g string, v double"), "v", ["g"]).collect()}
+    for g, v in rows:
+        own = [x for h, x in rows if h == g and x is not None]
+        if v is not None:
+            assert got[g, v] == (sum(x < v for x in own), own.count(v), len(own))

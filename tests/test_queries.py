@@ -40,6 +40,14 @@ def test_query_equals_sql(spark, duck, name):
             assert u == v or abs(float(u) - float(v)) < 2e-4, (x, y)
 
 
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE)))
+def test_query_without_sql_gives_rows(spark, name):
+    """Rows, no column without a name, and no column that is null throughout."""
+    got = registry.QUERIES[name](spark, FOLDER).toPandas()
+    assert len(got) and len(set(got.columns)) == len(got.columns)
+    assert not [c for c in got.columns if got[c].isna().all() and c not in ("dte_mean", "months", "crossing")]
+
+
 def test_entry_has_every_query_and_runs(spark):
     names = __spark_entry__.queries()
     assert set(registry.QUERIES) <= set(names)

@@ -37,15 +37,19 @@ def distributions(table: DataFrame, metrics: list[str]) -> DataFrame:
 def ranked_drivers(table: DataFrame, metrics: list[str], least: int = 10, distinct: int = 3) -> DataFrame:
     """metric, rho, n: rank correlation with the loss rate, of metrics with enough vehicles and values."""
     rows = _long(table, metrics, ["loss_rate"]).where("value is not null and loss_rate is not null")
-    ranked = rows.select("metric", "value", sr.average_rank("value", "metric").alias("rx"), sr.average_rank("loss_rate", "metric").alias("ry"))
+    rank = F.col("below") + (F.col("ties") + 1) / 2  # ties share their mean rank
+    ranked = sr.with_ranks(rows, "value", ["metric"]).withColumn("rx", rank).drop("below", "ties", "of")
+    ranked = sr.with_ranks(ranked, "loss_rate", ["metric"]).withColumn("ry", rank)
     return ranked.groupBy("metric").agg(F.corr("rx", "ry").alias("rho"), F.count("*").alias("n"), F.count_distinct("value").alias("kinds")).where((F.col("n") >= least) & (F.col("kinds") > distinct)).drop("kinds")
 
 
 def percentiles(table: DataFrame, metrics: list[str]) -> DataFrame:
     """vin, metric, value, pct (share of vehicles strictly below), z, verdict."""
     rows = _long(table, metrics, []).where("value is not null")
-    own = Window.partitionBy("metric")
-    rows = rows.withColumns({"pct": sr.percentile_below("value", "metric"), "z": F.coalesce(F.try_divide(F.col("value") - F.avg("value").over(own), F.stddev_samp("value").over(own)), F.lit(0.0))})
+    moments = rows.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
+    z = F.coalesce(F.try_divide(F.col("value") - F.col("mean"), F.col("sd")), F.lit(0.0))
+    rows = sr.with_ranks(rows, "value", ["metric"]).withColumn("pct", F.col("below") / F.col("of") * 100).drop("below", "ties", "of")
+    rows = rows.join(F.broadcast(moments), "metric").withColumn("z", z).drop("mean", "sd")  # a row for each metric
     return rows.withColumn("verdict", F.when(F.col("pct") >= 80, "harsh").when(F.col("pct") >= 60, "above average").when(F.col("pct") >= 40, "typical").otherwise("gentle"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .series import with_ranks
+
 
 def interpolate(knots: DataFrame, probes: DataFrame, x: str, y: str, by: str = "vin") -> DataFrame:
     """Probe rows with y: linear between the neighbouring knots, constant beyond the ends; null without knots.
@@ -23,10 +25,21 @@ def interpolate(knots: DataFrame, probes: DataFrame, x: str, y: str, by: str = "
 
 
 def nearest(rows: DataFrame, probes: DataFrame, x: str, at: str, values: list[str], by: str = "vin") -> DataFrame:
-    """For each probe the row of its group with x nearest to ``at``; of two as near the smaller x."""
-    pairs = probes.join(rows.select(by, x, *values), by)
-    best = F.min_by(F.struct(x, *values), F.struct(F.abs(F.col(x) - F.col(at)), F.col(x)))
-    return pairs.groupBy(*probes.columns).agg(best.alias("best")).select(*probes.columns, "best.*")
+    """For each probe the row of its group with x nearest to ``at``; of two as near the smaller x. Probes of groups without rows go.
+
+    Rows and probes are one sorted run per group, as in :func:`interpolate`, so no probe meets all rows.
+    """
+    point = F.struct(F.col(x).alias("x"), F.struct(x, *values).alias("row"))
+    none = rows.select(point.alias("p")).schema["p"].dataType
+    kinds = "struct<" + ",".join(f"`{n}`:{t}" for n, t in probes.dtypes) + ">"
+    both = rows.where(F.col(x).isNotNull()).select(by, F.col(x).cast("double").alias("px"), point.alias("point"), F.lit(None).cast(kinds).alias("asked"))
+    asked = probes.select(by, F.col(at).cast("double").alias("px"), F.lit(None).cast(none).alias("point"), F.struct(*probes.columns).alias("asked"))
+    w = Window.partitionBy(by).orderBy("px", F.col("asked").isNotNull())
+    back = F.last("point", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.first("point", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    met = both.unionByName(asked).withColumns({"a": back, "b": ahead}).where("asked is not null and (a is not null or b is not null)")
+    nearer = F.when(F.col("b").isNull() | (F.col("px") - F.col("a.x") <= F.col("b.x") - F.col("px")), F.col("a.row")).otherwise(F.col("b.row"))
+    return met.select("asked.*", nearer.alias("best")).select(*probes.columns, "best.*")
 
 
 def later_pairs(df: DataFrame, order: str, by: str = "vin", most: int | None = None) -> DataFrame:
@@ -56,10 +69,12 @@ def fuzzy_spec(rows: DataFrame, name: str, specs: DataFrame) -> DataFrame:
 
     ``specs``: source, model, spec_id; ``rows``: source, ``name``.
     """
-    pairs = rows.join(specs.select("source", "model", "spec_id"), "source", "left")
+    names = rows.select("source", name).distinct()  # a dimension, however many rows carry the names
+    pairs = names.join(specs.select("source", "model", "spec_id"), "source")
     low, model = F.lower(F.col(name)), F.lower(F.col("model"))
     rank = F.when(F.contains(low, model), 0).when(F.split_part(low, F.lit(" "), F.lit(1)) == F.split_part(model, F.lit(" "), F.lit(1)), 1).otherwise(2)
-    return pairs.groupBy(*rows.columns).agg(F.min_by("spec_id", F.struct(rank, "spec_id")).alias("spec_id"))
+    found = pairs.groupBy("source", F.col(name).alias("spec_name")).agg(F.min_by("spec_id", F.struct(rank, "spec_id")).alias("spec_id")).withColumnRenamed("source", "spec_source")
+    return rows.join(found, F.col("source").eqNullSafe(F.col("spec_source")) & F.col(name).eqNullSafe(F.col("spec_name")), "left").drop("spec_source", "spec_name")
 
 
 def peer_rank(df: DataFrame, value: str, age: str = "age_months", by: str = "oem", band: float = 6.0, least: int = 10) -> DataFrame:
@@ -72,9 +87,8 @@ def peer_rank(df: DataFrame, value: str, age: str = "age_months", by: str = "oem
     b = df.select(by, F.col(age).alias("age_b"), F.col(value).alias("value_b"), cell.alias("cell"))
     peers = a.join(b, [by, "cell"]).where(F.abs(F.col("age_a") - F.col("age_b")) <= band)
     peers = peers.groupBy("vin").agg(F.count("*").alias("peers"), (F.count_if(F.col("value_b") < F.col("value_a")) / F.count("*") * 100).alias("share"))
-    own = Window.partitionBy(by)
-    fleet = (F.rank().over(own.orderBy(value)) - 1) / F.count(F.lit(1)).over(own) * 100
-    return df.withColumn("fleet", fleet).join(peers, "vin").withColumn("rank", F.when(F.col("peers") >= least, F.col("share")).otherwise(F.col("fleet"))).drop("share", "fleet")
+    fleet = with_ranks(df, value, [by]).withColumn("fleet", F.col("below") / F.col("of") * 100).drop("below", "ties", "of")
+    return fleet.join(peers, "vin").withColumn("rank", F.when(F.col("peers") >= least, F.col("share")).otherwise(F.col("fleet"))).drop("share", "fleet")
 
 
 def contrasting_pair(df: DataFrame, near: str, far: str, tolerance: float, by: str) -> DataFrame:

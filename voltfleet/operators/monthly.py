@@ -175,3 +175,14 @@ def age_classes(df: DataFrame, value: str, flat: float = 2.0) -> DataFrame:
     per = df.groupBy("vin").agg(F.max("age_months").alias("age"), (F.max_by(value, F.col("month")) - F.min_by(value, F.col("month"))).alias("change"))
     band = F.when(F.abs("change") < flat, "flat").when(F.col("age") < 24, "young").when(F.col("age") < 48, "middle").otherwise("old")
     return per.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.avg("change").alias("change"))
+
+
+def distance_to_empty(feed: DataFrame, value: str = "dte", bounds: tuple[float, float] = (0.0, 1000.0)) -> DataFrame:
+    """vin, month, dte_mean: monthly mean of the distance to empty that a second feed reports, within plausible bounds."""
+    return feed.where(F.col(value).between(*bounds)).groupBy("vin", F.date_trunc("month", "t").alias("month")).agg(F.avg(value).alias("dte_mean"))
+
+
+def share_below(df: DataFrame, value: str, limit: float, by: str) -> DataFrame:
+    """Per group: vehicles, how many have a latest value below a limit, and their share."""
+    now = df.groupBy("vin", by).agg(F.max_by(value, "month").alias("now"))
+    return now.groupBy(by).agg(F.count("*").alias("n"), F.count_if(F.col("now") < limit).alias("n_risk")).withColumn("share", F.col("n_risk") / F.col("n"))

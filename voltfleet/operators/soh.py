@@ -5,17 +5,24 @@ Each returns vin, month and soh with what it is made of. Thresholds are paramete
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import events
 from . import series as sr
 
 
+def _percent(value: str | Column, base: str | Column, most: float | None = None) -> Column:
+    """Value in % of a base, at most ``most``; null where the base is zero or null."""
+    value, base = (F.col(x) if isinstance(x, str) else x for x in (value, base))
+    share = F.try_divide(100 * value, base)
+    return share if most is None else F.when(share.isNotNull(), F.least(share, F.lit(most)))
+
+
 def pooled_capacity(sessions: DataFrame, min_month_dsoc: float = 30.0, bounds: tuple[float, float] = (40.0, 400.0)) -> DataFrame:
     """Monthly capacity: charge of all good sessions by their pooled swing, so that wide sessions weigh most."""
     months = sessions.groupBy("vin", F.date_trunc("month", "t0").alias("month")).agg(F.sum(F.abs("ah")).alias("ah"), F.sum("dsoc").alias("tot_dsoc"), F.count("*").alias("n_sessions"))
-    out = months.withColumn("capacity_ah", F.col("ah") / (F.col("tot_dsoc") / 100))
+    out = months.withColumn("capacity_ah", F.try_divide(F.col("ah"), F.col("tot_dsoc") / 100))
     return out.where((F.col("tot_dsoc") >= min_month_dsoc) & F.col("capacity_ah").between(*bounds)).drop("ah")
 
 
@@ -36,7 +43,7 @@ def capacity_to_soh(months: DataFrame, registration: DataFrame, capacity: str =
     base = F.median(F.when(F.col("age_months") <= F.col("first_age") + early, F.col("smooth"))).over(own)
     rate = F.when((F.col("months") >= 4) & (F.col("span") > 0), F.least(F.greatest(-F.col("slope") / F.greatest("base", F.lit(1e-9)), F.lit(0.0)), F.lit(0.01))).otherwise(0.0)
     df = df.withColumn("base", base).withColumn("cap0", F.col("base") * (1 + rate * F.greatest("first_age", F.lit(0.0))))
-    df = df.withColumn("soh_raw", F.least(100 * F.col("smooth") / F.col("cap0"), F.lit(100.0))).drop("smooth", "first_age", "span", "months", "slope", "base", "anchor")
+    df = df.withColumn("soh_raw", _percent("smooth", "cap0", 100.0)).drop("smooth", "first_age", "span", "months", "slope", "base", "anchor")
     return sr.robust_isotonic(df, max_drop=max_drop) if method == "isotonic" else sr.greedy_envelope(df, max_drop=max_drop)
 
 
@@ -55,7 +62,7 @@ def remaining_capacity_soh(readings: DataFrame, min_readings: int = 15, min_mont
     months = sr.group_at_least(months, min_months).withColumn("rn", F.row_number().over(sr.by_month()))
     months = months.withColumn("nominal", F.percentile(F.when(F.col("rn") <= nominal_months, F.col("full_cap")), nominal_q).over(sr.own()))
     fitted = sr.isotonic_envelope(months.drop("rn"), "full_cap", None)
-    return fitted.withColumn("soh", F.least(100 * F.col("soh") / F.col("nominal"), F.lit(100.0)))
+    return fitted.withColumn("soh", _percent("soh", "nominal", 100.0))
 
 
 def reported_soh(df: DataFrame, value: str, bounds: tuple[float, float] = (40.0, 110.0), min_readings: int = 15, min_months: int = 4, smooth: int = 3) -> DataFrame:
@@ -69,17 +76,17 @@ def reported_soh(df: DataFrame, value: str, bounds: tuple[float, float] = (40.0,
 
 def distance_proxy(segments: DataFrame, min_segments: int = 3, bounds: tuple[float, float] = (20.0, 400.0), min_months: int = 4, base_months: int = 6, clip: tuple[float, float] = (40.0, 110.0)) -> DataFrame:
     """Distance per full charge by month, relative to the median of the first months; bounded, no envelope."""
-    months = segments.groupBy("vin", F.date_trunc("month", "t").alias("month")).agg((100 * F.sum("dkm") / F.sum("dsoc")).alias("range_km"), F.count("*").alias("n"))
+    months = segments.groupBy("vin", F.date_trunc("month", "t").alias("month")).agg(_percent(F.sum("dkm"), F.sum("dsoc")).alias("range_km"), F.count("*").alias("n"))
     months = sr.group_at_least(months.where((F.col("n") >= min_segments) & F.col("range_km").between(*bounds)), min_months)
     months = months.withColumn("rn", F.row_number().over(sr.by_month()))
     base = F.median(F.when(F.col("rn") <= base_months, F.col("range_km"))).over(sr.own())
-    return months.withColumn("soh", F.greatest(F.least(100 * F.col("range_km") / base, F.lit(clip[1])), F.lit(clip[0]))).drop("rn")
+    return months.withColumn("soh", F.greatest(_percent("range_km", base, clip[1]), F.lit(clip[0]))).drop("rn")
 
 
 def first_month_proxy(months: DataFrame, value: str) -> DataFrame:
     """Value relative to the first month's, running minimum, capped at 100."""
     base = F.first(value).over(sr.so_far())
-    raw = months.withColumn("soh_raw", F.least(100 * F.col(value) / base, F.lit(100.0)))
+    raw = months.withColumn("soh_raw", _percent(value, base, 100.0))
     return raw.withColumn("soh", sr.running_min("soh_raw"))
 
 
@@ -89,7 +96,7 @@ def full_charge_soh(charges: DataFrame, cap: str = "cap", low_age: float = 1.0,
     early = F.col("age_months").between(low_age, high_age)
     base = charges.withColumn("rn", rn).groupBy("vin").agg(F.count_if(early).alias("k"), F.median(F.when(early, F.col(cap))).alias("a"), F.median(F.when(F.col("rn") <= first, F.col(cap))).alias("b"))
     base = base.select("vin", F.when(F.col("k") >= least, F.col("a")).otherwise(F.col("b")).alias("cap0"))
-    return charges.join(base, "vin").withColumn("soh_full", F.least(100 * F.col(cap) / F.col("cap0"), F.lit(100.0)))
+    return charges.join(base, "vin").withColumn("soh_full", _percent(cap, "cap0", 100.0))
 
 
 def upper_quartile_soh(sessions: DataFrame, min_sessions: int = 3) -> DataFrame:
@@ -97,7 +104,7 @@ def upper_quartile_soh(sessions: DataFrame, min_sessions: int = 3) -> DataFrame:
     months = sessions.groupBy("vin", F.date_trunc("month", "t0").alias("month")).agg(F.percentile("cap", 0.75).alias("cap"), F.count("*").alias("n")).where(F.col("n") >= min_sessions)
     months = months.withColumn("smooth", sr.rolling_median("cap", 3)).withColumn("rn", F.row_number().over(sr.by_month()))
     base = F.median(F.when(F.col("rn") <= 3, F.col("smooth"))).over(sr.own())
-    months = months.withColumn("soh_raw", F.least(100 * F.col("smooth") / base, F.lit(102.0)))
+    months = months.withColumn("soh_raw", _percent("smooth", base, 102.0))
     return months.withColumn("soh", sr.running_min("soh_raw")).drop("rn", "smooth")
 
 
@@ -159,7 +166,7 @@ def simple_soh(df: DataFrame, method: str, **options) -> DataFrame:  # noqa: ANN
     if method == "coulomb":
         months = pooled_capacity(df, **options)
         top = F.max("capacity_ah").over(sr.own())
-        return sr.isotonic_envelope(months.withColumn("soh_raw", 100 * F.col("capacity_ah") / top))
+        return sr.isotonic_envelope(months.withColumn("soh_raw", _percent("capacity_ah", top)))
     return {"bms_capacity": remaining_capacity_soh, "reported": reported_soh}[method](df, **options)
 
 

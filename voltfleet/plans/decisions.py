@@ -131,9 +131,9 @@ add(
     lambda s, d: de.soh_at_date(recent(s, d), forecast(s, d), fx.resales(s, d).select("vin", F.expr("resale_date - interval 1000 days").alias("date")), recent(s, d).groupBy("vin").agg(F.min("month").alias("anchor"))).select("vin", "soh", F.col("observed").cast("int").alias("observed")),
     *BASE,
     "rs AS (SELECT l_suppkey AS vin, (max(o_orderdate)::TIMESTAMP - INTERVAL 1000 DAY) AS date FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1)",
-    "ask AS (SELECT r.vin, date_diff('day', anchor, date) / 30.4 AS x FROM rs r JOIN (SELECT vin, min(month) AS anchor FROM rec GROUP BY vin) a ON a.vin = r.vin)",
-    "kn AS (SELECT vin, age_months AS a, soh AS p FROM rec UNION ALL SELECT vin, age_months, p50 FROM fc)",
-    "br AS (SELECT d.vin, x, max(a) FILTER (WHERE a <= x) AS xa, min(a) FILTER (WHERE a > x) AS xb FROM ask d JOIN kn k ON k.vin = d.vin GROUP BY 1, 2)",
+    "ask AS MATERIALIZED (SELECT r.vin, date_diff('day', anchor, date) / 30.4 AS x FROM rs r JOIN (SELECT vin, min(month) AS anchor FROM rec GROUP BY vin) a ON a.vin = r.vin)",
+    "kn AS MATERIALIZED (SELECT vin, age_months AS a, soh AS p FROM rec UNION ALL SELECT vin, age_months, p50 FROM fc)",
+    "br AS MATERIALIZED (SELECT d.vin, x, max(a) FILTER (WHERE a <= x) AS xa, min(a) FILTER (WHERE a > x) AS xb FROM ask d JOIN kn k ON k.vin = d.vin GROUP BY 1, 2)",
     select="SELECT b.vin, CASE WHEN xa IS NULL THEN q.p WHEN xb IS NULL THEN r.p ELSE r.p + (q.p - r.p) * (x - xa) / (xb - xa) END AS soh, CAST(x <= n.age AS INT) AS observed FROM br b JOIN now n ON n.vin = b.vin LEFT JOIN kn r ON r.vin = b.vin AND r.a = xa LEFT JOIN kn q ON q.vin = b.vin AND q.a = xb",
     columns="vin:i soh:d observed:i",
 )

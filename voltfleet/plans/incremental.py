@@ -90,7 +90,7 @@ def rebuilt(s: SparkSession, d: str) -> DataFrame:
     """S5: touched vehicles' cumulative columns over all months."""
     store = fx.series(s, d).select("vin", "month", "ah_throughput", "soh_raw")
     build = lambda df: sr.cumulative(df, {"ah_throughput": "cum_ah"})
-    marks = store.where("vin % 4 = 0").select("vin", "month").limit(50)
+    marks = store.where("vin % 4 = 0").select("vin", "month")
     return inc.rebuild_vehicles(build(store.withColumn("ah_throughput", F.when(F.col("vin") % 4 == 0, 0.0).otherwise(F.col("ah_throughput")))).join(marks.select("vin").distinct(), "vin", "left_anti"), store, store.where("vin % 4 = 0").select("vin", "month"), build)
 
 
@@ -100,18 +100,47 @@ add("s07_safety_net", lambda s, d: inc.safety_net(inc.touched(old_and_new(s, d)[
 add("t03_rejects", lambda s, d: inc.rejects(fx.telemetry(s, d), {"soc": F.col("soc").between(0, 100), "amps": F.abs("amps") <= 400}, "clean")[1].groupBy("stage", "reason").agg(F.count("*").alias("n")), TELEMETRY, select="SELECT 'clean' AS stage, CASE WHEN soc NOT BETWEEN 0 AND 100 THEN 'soc' ELSE 'amps' END AS reason, count(*) AS n FROM tel WHERE NOT (soc BETWEEN 0 AND 100 AND abs(amps) <= 400) GROUP BY 2", columns="stage:s reason:s n:i")
 
 
-def _run(s: SparkSession, samples: DataFrame, build, mode: str = "append") -> DataFrame:  # noqa: ANN001
-    """Write samples as files in order of time, stream them to their end, and return what the sink holds."""
+def _run(s: SparkSession, samples: DataFrame, build, mode: str = "append", flush: bool = False) -> DataFrame:  # noqa: ANN001
+    """Deliver samples in four steps in order of time, stream each to its end from one checkpoint, and return what the sink holds.
+
+    A step's files come in no order, but all in one batch. ``flush`` adds a last step of one row that ends what is still open.
+    """
     root = f"{shared_folder(s)}/stream-{uuid.uuid4().hex}"
-    samples.repartitionByRange(4, "t").sortWithinPartitions("t").write.parquet(f"{root}/in")
-    stream = s.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    query = build(stream).writeStream.outputMode(mode).option("checkpointLocation", f"{root}/state").format("parquet").option("path", f"{root}/out").trigger(availableNow=True).start()
-    query.awaitTermination()
+    cuts = samples.select(F.percentile_approx(F.unix_micros("t"), [0.25, 0.5, 0.75], 1000).alias("q")).first()["q"] or []
+    step = F.size(F.filter(F.array(*[F.lit(q).cast("long") for q in cuts]), lambda q: q < F.unix_micros("t"))) if cuts else F.lit(0)
+    steps = [samples.where(step == k) for k in range(len(cuts) + 1)]
+    for part in [*steps, live.heartbeat(samples)] if flush else steps:
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = s.readStream.schema(samples.schema).parquet(f"{root}/in")
+        query = build(stream).writeStream.outputMode(mode).option("checkpointLocation", f"{root}/state").format("parquet").option("path", f"{root}/out").trigger(availableNow=True).start()
+        query.awaitTermination()
     return s.read.schema(build(stream).schema).parquet(f"{root}/out")
 
 
 add("s09_stream_deduplicated", lambda s, d: _run(s, (lambda x: x.unionByName(x.where("id % 2 = 0")))(fx.telemetry(s, d).select("vin", "t", "id", "soc", "amps", "volts", "odo")), lambda x: live.deduplicated(x, "40 days")).select("id"), TELEMETRY, select="SELECT id FROM tel", columns="id:i")
-add("s10_stream_buckets", lambda s, d: _run(s, clean_samples(s, d), lambda x: live.bucket_aggregates(x, "1 day", "2 days")))
-add("s11_stream_gap_sessions", lambda s, d: _run(s, clean_samples(s, d), lambda x: live.gap_sessions(x, "12 hours", "2 days")))
-add("s11_stream_ordered_sessions", lambda s, d: _run(s, clean_samples(s, d), lambda x: live.ordered_sessions(x, GAP_S, "2 days")))
+add(
+    "s10_stream_buckets",
+    lambda s, d: _run(s, clean_samples(s, d), lambda x: live.bucket_aggregates(x, "1 day", "2 days"), flush=True).where("vin is not null"),
+    TELEMETRY,
+    select="SELECT vin, date_trunc('day', t)::TIMESTAMP AS bucket, count(*) AS n, avg(soc) AS soc, avg(volts) AS volts, avg(amps) AS amps, max(odo) AS odo_max FROM ok GROUP BY 1, 2",
+    columns="vin:i bucket:t n:i soc:d volts:d amps:d odo_max:d",
+)
+add(
+    "s11_stream_gap_sessions",
+    lambda s, d: _run(s, clean_samples(s, d), lambda x: live.gap_sessions(x, "12 hours", "2 days"), flush=True).where("vin is not null"),
+    TELEMETRY,
+    "gp AS (SELECT *, sum(CAST(coalesce(epoch_us(t) - epoch_us(before) >= 43200000000, true) AS BIGINT)) OVER (PARTITION BY vin ORDER BY t, id) AS sid FROM (SELECT *, lag(t) OVER (PARTITION BY vin ORDER BY t, id) AS before FROM ok))",
+    select="SELECT vin, min(t) AS t0, count(*) AS n FROM gp GROUP BY vin, sid",
+    columns="vin:i t0:t n:i",
+)
+add(
+    "s11_stream_ordered_sessions",
+    lambda s, d: _run(s, clean_samples(s, d), lambda x: live.ordered_sessions(x, GAP_S, "2 days"), flush=True),
+    TELEMETRY,
+    "os0 AS (SELECT *, epoch_us(t) / 1e6 - epoch_us(lag(t) OVER w) / 1e6 AS dt, lag(amps) OVER w AS prev FROM ok WINDOW w AS (PARTITION BY vin ORDER BY t, id))",
+    f"os1 AS (SELECT *, dt IS NULL OR dt > {GAP_S} OR dt <= 0 AS start FROM os0)",
+    "os2 AS (SELECT *, sum(CAST(start AS BIGINT)) OVER (PARTITION BY vin ORDER BY t, id) AS sid, CASE WHEN NOT start THEN (amps + prev) / 2 * dt / 3600 ELSE 0 END AS dq FROM os1)",
+    select="SELECT vin, min(t) AS t0, arg_min(soc, (t, id)) AS soc0, arg_max(soc, (t, id)) AS soc1, sum(dq) AS ah, count(*) AS n FROM os2 GROUP BY vin, sid",
+    columns="vin:i t0:t soc0:d soc1:d ah:e n:i",
+)
 add("s12_late_rows", lambda s, d: live.split_late(fx.telemetry(s, d), "2024-01-05")[1].select("id"), TELEMETRY, select="SELECT id FROM tel WHERE t < TIMESTAMP '2024-01-05'", columns="id:i")

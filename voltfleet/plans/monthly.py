@@ -130,3 +130,5 @@ add(
     select="""SELECT CASE WHEN abs(change) < 2 THEN 'flat' WHEN age < 24 THEN 'young' WHEN age < 48 THEN 'middle' ELSE 'old' END AS band, count(*) AS n, avg(change) AS change FROM (SELECT max(age_months) AS age, arg_max(soh_raw, month) - arg_min(soh_raw, month) AS change FROM ser GROUP BY vin) GROUP BY 1""",
     columns="band:s n:i change:d",
 )
+add("d08_distance_to_empty", lambda s, d: m.distance_to_empty(fx.telemetry(s, d).withColumn("dte", F.col("rem_cap") * 0.8 - 5)), TELEMETRY, select="SELECT vin, date_trunc('month', t)::TIMESTAMP AS month, avg(rem_cap * 0.8 - 5) AS dte_mean FROM tel WHERE rem_cap * 0.8 - 5 BETWEEN 0 AND 1000 GROUP BY 1, 2", columns="vin:i month:t dte_mean:d")
+add("d30_share_below", lambda s, d: m.share_below(fx.series(s, d).join(fx.registration(s, d).select("vin", "oem"), "vin"), "soh_raw", 80.0, "oem"), SERIES, REGISTRATION, select="SELECT oem, count(*) AS n, count(*) FILTER (WHERE now < 80) AS n_risk, avg(CAST(now < 80 AS DOUBLE)) AS share FROM (SELECT vin, oem, arg_max(soh_raw, month) AS now FROM ser JOIN reg USING (vin) GROUP BY 1, 2) GROUP BY oem", columns="oem:s n:i n_risk:i share:d")

@@ -11,7 +11,7 @@ from ..operators import series as sr
 from ..operators import soh
 from ..sources import fixtures as fx
 from .base import REGISTRATION, SERIES, TELEMETRY, Book
-from .events import GAP_S, SESSIONS, capacities, clean_samples, event_table, sessions
+from .events import CROSS, GAP_S, SESSIONS, capacities, clean_samples, event_table, sessions
 from .series import HAMPEL, pava
 
 book = Book()
@@ -151,7 +151,15 @@ add(
     select="SELECT vin, month, p.soh AS proxy, r.soh AS reported FROM (SELECT vin, month, greatest(least(100 * range_km / base, 110.0), 40.0) AS soh FROM pro) p FULL JOIN (SELECT vin, month, min(soh_raw) OVER (PARTITION BY vin ORDER BY month) AS soh FROM rep) r USING (vin, month)",
     columns="vin:i month:t proxy:d reported:d",
 )
-add("e15_charge_rate_proxy", lambda s, d: soh.charge_rate_proxy(clean_samples(s, d)))
+add(
+    "e15_charge_rate_proxy",
+    lambda s, d: soh.charge_rate_proxy(clean_samples(s, d)),
+    TELEMETRY, SESSIONS, CROSS,
+    select="""SELECT vin, date_trunc('month', t)::TIMESTAMP AS month, median(rate) AS rate, count(*) AS n FROM (SELECT *, rate / median(rate) OVER (PARTITION BY vin) AS rel FROM (SELECT vin, t, 40 / ((epoch_us(t_high) - epoch_us(t)) / 1e6 / 3600) AS rate
+      FROM (SELECT c.*, (SELECT min(h.t) FROM crs h WHERE h.vin = c.vin AND h.up_high AND (h.t, h.id) >= (c.t, c.id)) AS t_high, (SELECT min(h.t) FROM crs h WHERE h.vin = c.vin AND h.fall AND (h.t, h.id) > (c.t, c.id)) AS t_fall FROM crs c WHERE c.up_low)
+      WHERE t_high IS NOT NULL AND t_high > t AND (t_fall IS NULL OR t_fall > t_high))) WHERE rel BETWEEN 0.75 AND 1.33 GROUP BY 1, 2""",
+    columns="vin:i month:t rate:d n:i",
+)
 add(
     "e16_e17_daily_fade",
     lambda s, d: soh.daily_fade(clean_samples(s, d), "rem_cap"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,34 +31,43 @@ def gap_sessions(stream: DataFrame, gap: str = "5 minutes", delay: str = "1 day"
 def ordered_sessions(stream: DataFrame, gap_s: float = 300.0, delay: str = "1 day") -> DataFrame:
     """Sessions with trapezoid charge, as the batch operator cuts them: at gaps and at steps that are not positive.
 
-    A vehicle's open session is its state: start, last sample, first and last state of charge, charge so far, rows. A batch's
-    rows are folded in order of time; a session is given out when the next one starts, or when the watermark passes its end.
+    A vehicle's state is its rows that the watermark has not passed, in no order, and its open session. What the watermark
+    passes is sorted and folded, so rows may come in any order within the delay. A session is given out when the next one
+    starts or the watermark passes its end; rows without a vin only move the watermark, see :func:`heartbeat`.
     """
-    state = "t0 double, t double, amps double, soc0 double, soc1 double, ah double, n double"
+    state = "t0 double, t double, amps double, soc0 double, soc1 double, ah double, n double, waiting array<double>"
     out = "vin long, t0 double, soc0 double, soc1 double, ah double, n long"
 
     def row(vin: int, s: tuple) -> dict:
         return {"vin": int(vin), "t0": s[0], "soc0": s[3], "soc1": s[4], "ah": s[5], "n": int(s[6])}
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        vin, closed = key[0], []
-        if held.hasTimedOut:
-            closed.append(row(vin, held.get))
+        if key[0] is None or key[0] != key[0]:
+            return
+        vin, closed, before = key[0], [], held.getOption
+        s = None if before is None or before[6] == 0 else tuple(before[:7])
+        waiting = np.array([] if before is None else before[7], dtype=float).reshape(-1, 4)
+        if not held.hasTimedOut:
+            waiting = np.concatenate([waiting, *(f[["seconds", "id", "amps", "soc"]].to_numpy(dtype=float) for f in frames)])
+        passed = held.getCurrentWatermarkMs() / 1000
+        ready = waiting[:, 0] < passed
+        rows, waiting = waiting[ready], waiting[~ready]
+        for t, _, amps, soc in rows[np.lexsort((rows[:, 1], rows[:, 0]))].tolist():
+            if s is not None and 0 < t - s[1] <= gap_s:
+                s = (s[0], t, amps, s[3], soc, s[5] + (amps + s[2]) / 2 * (t - s[1]) / 3600, s[6] + 1.0)
+            else:
+                if s is not None:
+                    closed.append(row(vin, s))
+                s = (t, t, amps, soc, soc, 0.0, 1.0)
+        if s is not None and s[1] + gap_s < passed:
+            closed.append(row(vin, s))
+            s = None
+        if s is None and not len(waiting):
             held.remove()
         else:
-            s = held.getOption
-            rows = pd.concat(list(frames)).sort_values(["t", "id"], kind="stable")
-            for t, amps, soc in rows[["seconds", "amps", "soc"]].astype(float).itertuples(index=False):
-                t, amps, soc = float(t), float(amps), float(soc)
-                if s is not None and 0 < t - s[1] <= gap_s:
-                    s = (s[0], t, amps, s[3], soc, s[5] + (amps + s[2]) / 2 * (t - s[1]) / 3600, s[6] + 1.0)
-                else:
-                    if s is not None:
-                        closed.append(row(vin, s))
-                    s = (t, t, amps, soc, soc, 0.0, 1.0)
-            held.update(s)
-            due = int((s[1] + gap_s) * 1000)
-            held.setTimeoutTimestamp(max(due, held.getCurrentWatermarkMs() + 1))
+            held.update((*(s or (0.0,) * 7), waiting.reshape(-1).tolist()))
+            due = min([*waiting[:, 0].tolist(), *([s[1] + gap_s] if s else [])])
+            held.setTimeoutTimestamp(max(int(due * 1000) + 1, held.getCurrentWatermarkMs() + 1))
         if closed:
             yield pd.DataFrame(closed)
 
@@ -66,6 +76,12 @@ def ordered_sessions(stream: DataFrame, gap_s: float = 300.0, delay: str = "1 da
     return done.withColumn("t0", F.timestamp_micros((F.col("t0") * 1e6).cast("long")))
 
 
+def heartbeat(samples: DataFrame, ahead: str = "3650 days") -> DataFrame:
+    """One row without a vin, far after all samples: last of a stream, it moves the watermark past everything that is still open."""
+    last = samples.agg((F.max("t") + F.expr(f"interval {ahead}")).alias("t"))
+    return last.select(*[F.col("t") if n == "t" else F.lit(None).cast(kind).alias(n) for n, kind in samples.dtypes])
+
+
 def split_late(batch: DataFrame, oldest: str) -> tuple[DataFrame, DataFrame]:
     """(rows to process, late rows): late ones are older than the look-back and go to a report."""
     late = F.col("t") < F.to_timestamp(F.lit(oldest))
