@@ -116,7 +116,7 @@ add(
     "fk AS (SELECT *, coalesce(greatest(odo - lag(odo) OVER (PARTITION BY vin ORDER BY month), 0), 0) AS km FROM fe)",
     select="""SELECT vin::VARCHAR AS vin, strftime(month, '%Y-%m-%d') AS ymd, cap_raw AS capacity_ah, NULL AS n_sessions, NULL AS temp_max, NULL AS dte_mean, soh_raw AS soh, ah AS ah_throughput, dod_mean, odo AS odo_max, km AS km_month,
       sum(ah) OVER w AS cum_ah, sum(km) OVER w AS cum_km, 1 / sqrt(greatest(age_months, 0) + 1) AS inv_sqrt_age, 100 - soh_raw AS soh_deficit FROM fk WINDOW w AS (PARTITION BY vin ORDER BY month)""",
-    columns="vin:s ymd:s capacity_ah:d n_sessions:i temp_max:d dte_mean:d soh:d ah_throughput:d dod_mean:d odo_max:d km_month:d cum_ah:e cum_km:e inv_sqrt_age:d soh_deficit:d",
+    columns="vin:s ymd:s capacity_ah:d n_sessions:i temp_max:d dte_mean:d soh:d ah_throughput:d dod_mean:d odo_max:d km_month:d cum_ah:d cum_km:d inv_sqrt_age:d soh_deficit:d",
 )
 
 def fallen(rows: pd.DataFrame) -> pd.DataFrame:
