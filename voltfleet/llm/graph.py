@@ -48,13 +48,13 @@ def components(links: DataFrame) -> DataFrame:
     parts = max(LEAST_PARTS, most // PART_LINKS)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        nodes = cut(both.repartition(parts, "a").groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")))
+        nodes = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")))
         hub = F.when(F.col("n") > max(HUB, most // 1000), F.col("a"))
         middle, hubs = nodes.agg(F.count_if((F.col("m") < F.col("a")) & (F.col("n") > 1)), F.collect_list(hub)).first()
         if not middle:  # each node is a root or has its root as its only neighbour
             return nodes.select(F.col("a").alias("node"), F.col("m").alias("root"))
         large = _pulled(both.where("b > a"), nodes.select("a", "m"), hubs, parts).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = cut(large.repartition(parts, "a", "b").dropDuplicates())
-        low = large.repartition(parts, "a").groupBy("a").agg(F.min("b").alias("m"))
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = _pulled(large, low, hubs, parts).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(small.unionByName(low.select("a", F.col("m").alias("b"))).repartition(parts, "a", "b").dropDuplicates())
