@@ -93,7 +93,8 @@ def sqrt_fade(df: DataFrame, value: str, eol: float = 80.0) -> DataFrame:
 
 def bootstrap_median(df: DataFrame, column: str, draws: int = 200, low: float = 0.025, high: float = 0.975) -> DataFrame:
     """One row: median and its bootstrap interval. Each row's weight in each draw is Poisson(1) of a hash of its key column ``id``."""
-    uniform = F.pmod(F.xxhash64("id", "draw"), F.lit(1_000_000)) / 1e6
+    digits = F.substring(F.md5(F.concat_ws(":", "id", "draw")), 1, 8)
+    uniform = F.conv(digits, 16, 10).cast("long") % 1_000_000 / 1e6
     weight = F.lit(0)
     for limit in (0.36788, 0.73576, 0.91970, 0.98101, 0.99634, 0.99941):
         weight = weight + (uniform >= limit).cast("int")

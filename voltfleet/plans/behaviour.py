@@ -11,6 +11,7 @@ from ..operators import pooled as po
 from ..operators import samples as sm
 from ..operators import series as sr
 from ..sources import fixtures as fx
+from ..sources.shared import cut
 from .base import REGISTRATION, SERIES, Book
 from .quality import LAB, labelled
 
@@ -70,15 +71,64 @@ def statistics(s: SparkSession, d: str) -> DataFrame:
 
 
 DESIGN = ["one", "z_temp_max", "z_km_month"]
+AGES = [6.0, 12.0, 24.0, 36.0, 60.0]
+
+STATS = """dsg AS (SELECT vin, 1.0::DOUBLE AS x0, CASE WHEN stddev_pop(a) OVER () > 0 THEN (a - avg(a) OVER ()) / stddev_pop(a) OVER () ELSE 0 END AS x1, CASE WHEN stddev_pop(b) OVER () > 0 THEN (b - avg(b) OVER ()) / stddev_pop(b) OVER () ELSE 0 END AS x2
+  FROM (SELECT vin, coalesce(temp_max, 0) AS a, coalesce(km_month, 0) AS b FROM tab)),
+sta AS MATERIALIZED (SELECT *, ('0x' || substr(md5(vin::VARCHAR || ':0'), 1, 8))::BIGINT % 5 AS fold FROM (SELECT vin, count(*)::DOUBLE AS n, sum(age_months ** 2) AS saa, sum(age_months * (soh - 100)) AS say, sum((soh - 100) ** 2) AS syy FROM lab GROUP BY vin HAVING count(*) >= 5) JOIN dsg USING (vin))"""
+MU = "b0 * x0 + b1 * x1 + b2 * x2"
+SPREAD = "sv * (i00 * x0 ** 2 + i11 * x1 ** 2 + i22 * x2 ** 2 + 2 * (i01 * x0 * x1 + i02 * x0 * x2 + i12 * x1 * x2))"
+
+
+def em(rounds: int, folds: int = 1) -> list[str]:
+    """Expectation-maximisation of ``pooled.fit`` by recursion: est has a row for each group g, which leaves out fold g if there are several."""
+    rows = "sta" if folds == 1 else "sta WHERE fold <> g"
+    return [
+        f"trn AS MATERIALIZED (SELECT g, sta.* FROM generate_series(0, {folds - 1}) AS s(g), {rows})",
+        "grm AS (SELECT g, sum(x0 * x0) + 1e-9 AS a, sum(x0 * x1) AS b, sum(x0 * x2) AS c, sum(x1 * x1) + 1e-9 AS d, sum(x1 * x2) AS e, sum(x2 * x2) + 1e-9 AS f FROM trn GROUP BY g)",
+        "inv AS MATERIALIZED (SELECT *, (d * f - e * e) / det AS i00, (c * e - b * f) / det AS i01, (b * e - c * d) / det AS i02, (a * f - c * c) / det AS i11, (b * c - a * e) / det AS i12, (a * d - b * b) / det AS i22 FROM (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM grm))",
+        f"""emi AS (SELECT g, 0 AS k, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.1::DOUBLE AS sv, 4.0::DOUBLE AS nv FROM inv UNION ALL
+  SELECT g, k + 1, b0, b1, b2, greatest((bb - 2 * (b0 * y0 + b1 * y1 + b2 * y2) + (a - 1e-9) * b0 * b0 + (d - 1e-9) * b1 * b1 + (f - 1e-9) * b2 * b2 + 2 * (b * b0 * b1 + c * b0 * b2 + e * b1 * b2)) / vehicles, 1e-6), greatest(error / n, 1e-6)
+  FROM (SELECT *, i00 * y0 + i01 * y1 + i02 * y2 AS b0, i01 * y0 + i11 * y1 + i12 * y2 AS b1, i02 * y0 + i12 * y1 + i22 * y2 AS b2
+    FROM (SELECT g, k, sum(x0 * w) AS y0, sum(x1 * w) AS y1, sum(x2 * w) AS y2, sum(syy - 2 * w * say + (w * w + v) * saa) AS error, sum(n) AS n, count(*) AS vehicles, sum(w * w + v) AS bb
+      FROM (SELECT t.*, k, (say / nv + ({MU}) / sv) / (saa / nv + 1 / sv) AS w, 1 / (saa / nv + 1 / sv) AS v FROM emi JOIN trn t USING (g) WHERE k < {rounds}) GROUP BY g, k) JOIN inv USING (g)))""",
+        f"est AS MATERIALIZED (SELECT * FROM emi JOIN inv USING (g) WHERE k = {rounds})",
+    ]
+
+
+CURVE = f"""crv AS (SELECT vin, age, p50, parameter_sd, vehicle_sd, p50 - 1.2815515655446004 * sd AS p10, p50 + 1.2815515655446004 * sd AS p90 FROM (SELECT vin, age, 100 + ({MU}) * age AS p50, age * sqrt({SPREAD}) AS parameter_sd, age * sqrt(sv) AS vehicle_sd, age * sqrt({SPREAD} + sv) AS sd
+  FROM sta, est, (SELECT unnest({AGES}::DOUBLE[]) AS age)))"""
+HELD = f"""srm AS (SELECT g, oem, avg(say / saa) AS source_mean FROM trn JOIN reg USING (vin) GROUP BY 1, 2),
+hel AS (SELECT vin, r.oem, fold, say / saa AS rate, {MU} AS predicted, source_mean FROM sta JOIN reg r USING (vin) JOIN est ON est.g = fold LEFT JOIN srm ON srm.g = fold AND srm.oem = r.oem)"""
 add("r02_r03_sufficient_statistics", lambda s, d: po.sufficient_statistics(sr.group_at_least(labelled(s, d), 5)), SERIES, LAB, select="SELECT vin, count(*)::DOUBLE AS n, sum(age_months ** 2) AS saa, sum(age_months * (soh - 100)) AS say, sum((soh - 100) ** 2) AS syy FROM lab GROUP BY vin HAVING count(*) >= 5", columns="vin:i n:d saa:e say:e syy:e")
-add("r04_pooled_slopes", lambda s, d: (lambda t: po.slopes(t, po.fit(t, DESIGN, 12)).select("vin", "predicted", "slope"))(statistics(s, d)))
-add("r05_r09_predictive_curves", lambda s, d: (lambda t: po.predictive_curve(t, po.fit(t, DESIGN, 12), [6.0, 12.0, 24.0, 36.0, 60.0]))(statistics(s, d)))
-add("r06_effects", lambda s, d: po.effects(s, po.fit(statistics(s, d), DESIGN, 12)))
+add(
+    "r04_pooled_slopes",
+    lambda s, d: (lambda t: po.slopes(t, po.fit(t, DESIGN, 12)).select("vin", "predicted", "slope"))(statistics(s, d)),
+    *BASE, STATS, *em(12),
+    select=f"SELECT vin, {MU} AS predicted, (say / nv + ({MU}) / sv) / (saa / nv + 1 / sv) AS slope FROM sta JOIN est ON g = 0",
+    columns="vin:i predicted:d slope:d",
+)
+add(
+    "r05_r09_predictive_curves",
+    lambda s, d: (lambda t: po.predictive_curve(t, po.fit(t, DESIGN, 12), AGES))(statistics(s, d)),
+    *BASE, STATS, *em(12), CURVE,
+    select="SELECT * FROM crv",
+    columns="vin:i age:d p10:d p50:d p90:d parameter_sd:d vehicle_sd:d",
+)
+add(
+    "r06_effects",
+    lambda s, d: po.effects(s, po.fit(statistics(s, d), DESIGN, 12)),
+    *BASE, STATS, *em(12),
+    "eff AS (SELECT unnest(['one', 'z_temp_max', 'z_km_month']) AS name, unnest([b0, b1, b2]) AS effect, 1.96 * sqrt(sv * unnest([i00, i11, i22])) AS half FROM est)",
+    select="SELECT name, effect, effect - half AS low, effect + half AS high FROM eff",
+    columns="name:s effect:d low:d high:d",
+)
 
 
 def held_out_errors(s: SparkSession, d: str) -> DataFrame:
     """R8 and R10: five folds by vehicle; error of the rate from behaviour, and of the source's mean rate."""
-    rows = statistics(s, d).join(fx.registration(s, d).select("vin", "oem"), "vin").withColumns({"fold": sm.fold_of(F.col("vin"), 5), "rate": F.col("say") / F.col("saa")}).persist()
+    rows = statistics(s, d).join(fx.registration(s, d).select("vin", "oem"), "vin").withColumns({"fold": sm.fold_of(F.col("vin"), 5), "rate": F.col("say") / F.col("saa")})
+    rows = cut(rows)
     out = None
     for k in range(5):
         train, test = rows.where(F.col("fold") != k), rows.where(F.col("fold") == k)
@@ -89,12 +139,22 @@ def held_out_errors(s: SparkSession, d: str) -> DataFrame:
     return out
 
 
-add("r08_r10_held_out_rates", held_out_errors)
+add("r08_r10_held_out_rates", held_out_errors, *BASE, STATS, REGISTRATION, *em(8, 5), HELD, select="SELECT * FROM hel", columns="vin:i oem:s fold:i rate:d predicted:d source_mean:d")
 add("r07_usage_and_rate_by_source", lambda s, d: statistics(s, d).join(fx.registration(s, d), "vin").groupBy("oem").agg(F.corr("z_km_month", F.col("say") / F.col("saa")).alias("r"), F.count("*").alias("n")).where("n >= 8"), *BASE, REGISTRATION,
     "kz AS (SELECT vin, coalesce(km_month, 0) AS k FROM tab)",
     select="SELECT oem, corr(k, rate) AS r, count(*) AS n FROM kz JOIN (SELECT vin, sum(age_months * (soh - 100)) / sum(age_months ** 2) AS rate FROM lab GROUP BY vin) USING (vin) JOIN reg USING (vin) GROUP BY oem HAVING count(*) >= 8", columns="oem:s r:d n:i")
 add(
     "r11_truncated_curves",
-    lambda s, d: (lambda t: po.truncate_at_age(po.predictive_curve(t, po.fit(t, DESIGN, 10), [6.0, 12.0, 24.0, 36.0, 60.0]), fx.series(s, d).groupBy("vin").agg(F.max("age_months").alias("age_months")), fx.series(s, d).groupBy("vin").agg(F.min("month").alias("anchor"))))(statistics(s, d)),
-)
-add("r10_light_and_heavy_usage", lambda s, d: st.errors(held_out_errors(s, d), "predicted", "rate", ("oem",)))
+    lambda s, d: (lambda t: po.truncate_at_age(po.predictive_curve(t, po.fit(t, DESIGN, 10), AGES), fx.series(s, d).groupBy("vin").agg(F.max("age_months").alias("age_months")), fx.series(s, d).groupBy("vin").agg(F.min("month").alias("anchor"))))(statistics(s, d)),
+    *BASE, STATS, *em(10), CURVE,
+    "own AS (SELECT vin, max(age_months) AS oldest, min(month) AS anchor FROM ser GROUP BY vin)",
+    select="SELECT c.*, anchor + to_months(round_even(age, 0)::INT) AS month FROM crv c JOIN own o ON o.vin = c.vin AND age <= oldest",
+    columns="vin:i age:d p10:d p50:d p90:d parameter_sd:d vehicle_sd:d month:t",
+)
+add(
+    "r10_light_and_heavy_usage",
+    lambda s, d: st.errors(held_out_errors(s, d), "predicted", "rate", ("oem",)),
+    *BASE, STATS, REGISTRATION, *em(8, 5), HELD,
+    select="SELECT oem, sqrt(avg((predicted - rate) ** 2)) AS rmse, avg(abs(predicted - rate)) AS mae, avg(predicted - rate) AS bias, count(*) AS n FROM hel GROUP BY oem",
+    columns="oem:s rmse:d mae:d bias:d n:i",
+)

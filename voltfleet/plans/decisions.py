@@ -11,6 +11,7 @@ from ..operators import series as sr
 from ..sources import fixtures as fx
 from .base import REGISTRATION, SERIES, Book
 from .quality import LAB, labelled
+from .series import pava
 
 book = Book()
 add = book.add
@@ -63,7 +64,17 @@ def residuals(s: SparkSession, d: str) -> DataFrame:
 
 
 add("n09_calibrate_band", lambda s, d: de.calibrate_band(residuals(s, d)), *BASE, ACT, select="SELECT least(quantile_cont(residual / sqrt(h), 0.1), -0.3) AS lo, greatest(quantile_cont(residual / sqrt(h), 0.9), 0.3) AS hi FROM act", columns="lo:d hi:d")
-add("n10_compact_rate", lambda s, d: de.compact_rate(labelled(s, d), "soh_raw"))
+add(
+    "n10_compact_rate",
+    lambda s, d: de.compact_rate(labelled(s, d), "soh_raw"),
+    SERIES,
+    "num AS (SELECT vin, month, age_months, soh_raw, row_number() OVER (PARTITION BY vin ORDER BY month) AS rn FROM ser)",
+    pava("num", "soh_raw", "iso"),
+    "fit AS (SELECT * FROM num JOIN iso USING (vin, rn))",
+    "rat AS (SELECT (arg_max(fit, rn) - arg_min(fit, rn)) / greatest(max(age_months) - min(age_months), 1) AS rate FROM fit GROUP BY vin)",
+    select="SELECT (SELECT median(rate) FROM rat) AS rate, quantile_cont(soh_raw - fit, 0.1) AS q10, quantile_cont(soh_raw - fit, 0.9) AS q90 FROM fit",
+    columns="rate:d q10:d q90:d",
+)
 add(
     "o01_o03_holdout_errors",
     lambda s, d: residuals(s, d).groupBy("vin").agg(F.sqrt(F.avg(F.pow("residual", F.lit(2.0)))).alias("rmse"), F.avg(-F.col("residual")).alias("bias"), F.avg((F.col("soh_raw") >= F.col("p10")).cast("double")).alias("above_p10"), F.count("*").alias("n")),
@@ -118,7 +129,15 @@ add(
     select="SELECT vin, deadline, soh_at_expiry, odo + greatest(deadline - age, 0) * km_per_month AS km_at_expiry, breach_age, CASE WHEN deadline - age <= 12 THEN 'high' WHEN deadline - age <= 36 THEN 'medium' ELSE 'low' END AS confidence, CASE WHEN soh_at_expiry < 70 THEN 'AT-RISK' WHEN soh_at_expiry < 72 THEN 'WATCH' ELSE 'OK' END AS status FROM wt JOIN now USING (vin) JOIN pac USING (vin)",
     columns="vin:i deadline:d soh_at_expiry:d km_at_expiry:e breach_age:d confidence:s status:s",
 )
-add("p10_vehicle_index", lambda s, d: de.vehicle_index(recent(s, d), deadlines(s, d), eol=EOL).select("vin", "drop", "months", F.col("at_risk").cast("int").alias("at_risk"), F.col("flat").cast("int").alias("flat"), "score"))
+add(
+    "p10_vehicle_index",
+    lambda s, d: de.vehicle_index(recent(s, d), deadlines(s, d), eol=EOL).withColumns({"at_risk": F.col("at_risk").cast("int"), "flat": F.col("flat").cast("int")}),
+    *BASE,
+    "edg AS (SELECT vin, avg(soh) FILTER (WHERE u <= 3) - avg(soh) FILTER (WHERE v <= 3) AS drop, count(*) AS seen FROM (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY month) AS u, row_number() OVER (PARTITION BY vin ORDER BY month DESC) AS v FROM rec) GROUP BY vin)",
+    "lif AS (SELECT n.vin, age, CASE WHEN soh <= 70 THEN 0 WHEN b < 0 THEN (sqrt(age) + (70 - soh) / b) ** 2 - age END AS months FROM now n JOIN fit f ON f.vin = n.vin)",
+    select="SELECT vin, drop, months, CAST(coalesce(age + months < deadline, false) AS INT) AS at_risk, CAST(drop < 2 AS INT) AS flat, seen + 5 * greatest(drop, 0) AS score FROM edg JOIN lif USING (vin) JOIN dea USING (vin)",
+    columns="vin:i drop:d months:e at_risk:i flat:i score:d",
+)
 add(
     "p11_cycles_to_eol",
     lambda s, d: de.cycles_to_eol(recent(s, d).withColumn("cycles", F.col("odo_max") / 90), "cycles", eol=EOL),

@@ -19,6 +19,8 @@ from ..sources.shared import shared_folder
 from ..streaming import live
 from .base import SERIES, TELEMETRY, Book
 from .events import GAP_S, SESSIONS, clean_samples
+from .series import pava
+from .soh import READINGS, bms
 
 book = Book()
 add = book.add
@@ -95,7 +97,13 @@ def rebuilt(s: SparkSession, d: str) -> DataFrame:
 
 
 add("s05_rebuilt_vehicles", rebuilt, SERIES, select="SELECT vin, month, sum(ah_throughput) OVER (PARTITION BY vin ORDER BY month) AS cum_ah FROM ser", columns="vin:i month:t cum_ah:d")
-add("s04_s05_two_tier_samples", lambda s, d: so.remaining_capacity_soh(inc.spread_samples(inc.month_samples(fx.table(s, d, "lineitem").select(F.col("l_suppkey").alias("vin"), F.col("l_shipdate").cast("timestamp").alias("t"), (110 - F.col("l_quantity") / 2).alias("full_cap")), F.col("full_cap"), "fullcap_hi"), "fullcap_hi", "full_cap"), 8))
+add(
+    "s04_s05_two_tier_samples",
+    lambda s, d: so.remaining_capacity_soh(inc.spread_samples(inc.month_samples(fx.table(s, d, "lineitem").select(F.col("l_suppkey").alias("vin"), F.col("l_shipdate").cast("timestamp").alias("t"), (110 - F.col("l_quantity") / 2).alias("full_cap")), F.col("full_cap"), "fullcap_hi"), "fullcap_hi", "full_cap"), 8),
+    READINGS, bms(8, 6, 6, 0.9), pava("num", "full_cap", "iso"),
+    select="SELECT vin, month, n, least(100 * fit / nominal, 100.0) AS soh FROM num JOIN iso USING (vin, rn) JOIN nom USING (vin)",
+    columns="vin:i month:t n:i soh:d",
+)
 add("s07_safety_net", lambda s, d: inc.safety_net(inc.touched(old_and_new(s, d)[1]), fx.telemetry(s, d).where("vin > 10")), SHIFTED, select="SELECT (SELECT count(DISTINCT vin) FROM ok WHERE id % 37 = 0) AS touched, (SELECT count(DISTINCT vin) FROM tel WHERE vin > 10) AS built, CASE WHEN (SELECT count(DISTINCT vin) FROM tel WHERE vin > 10) < (SELECT count(DISTINCT vin) FROM ok WHERE id % 37 = 0) THEN 'shortfall' ELSE 'ok' END AS state", columns="touched:i built:i state:s")
 add("t03_rejects", lambda s, d: inc.rejects(fx.telemetry(s, d), {"soc": F.col("soc").between(0, 100), "amps": F.abs("amps") <= 400}, "clean")[1].groupBy("stage", "reason").agg(F.count("*").alias("n")), TELEMETRY, select="SELECT 'clean' AS stage, CASE WHEN soc NOT BETWEEN 0 AND 100 THEN 'soc' ELSE 'amps' END AS reason, count(*) AS n FROM tel WHERE NOT (soc BETWEEN 0 AND 100 AND abs(amps) <= 400) GROUP BY 2", columns="stage:s reason:s n:i")
 

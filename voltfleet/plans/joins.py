@@ -196,9 +196,29 @@ add(
     select="SELECT corr(x - sx * a - cx, y - sy * a - cy) AS r, count(*) AS n FROM z, zf",
     columns="r:d n:i",
 )
-add("k12_detrended_spearman", lambda s, d: st.detrended_spearman(fx.series(s, d), "km_month", "soh_raw"))
+add(
+    "k12_detrended_spearman",
+    lambda s, d: st.detrended_spearman(fx.series(s, d), "km_month", "soh_raw"),
+    SERIES,
+    "lin AS (SELECT vin, regr_slope(km_month, age_months) AS a1, regr_intercept(km_month, age_months) AS a0, regr_slope(soh_raw, age_months) AS b1, regr_intercept(soh_raw, age_months) AS b0 FROM ser GROUP BY vin)",
+    "dtr AS (SELECT s.vin, km_month - a1 * age_months - a0 AS rx, soh_raw - b1 * age_months - b0 AS ry, km_month - lag(km_month) OVER w AS dx, soh_raw - lag(soh_raw) OVER w AS dy FROM ser s JOIN lin l ON l.vin = s.vin WINDOW w AS (PARTITION BY s.vin ORDER BY month))",
+    "bth AS (SELECT vin, 'res' AS what, rx AS x, ry AS y FROM dtr UNION ALL SELECT vin, 'dif', dx, dy FROM dtr)",
+    "rnk AS (SELECT vin, what, rank() OVER (PARTITION BY vin, what ORDER BY x) + (count(*) OVER (PARTITION BY vin, what, x) - 1) / 2 AS x, rank() OVER (PARTITION BY vin, what ORDER BY y) + (count(*) OVER (PARTITION BY vin, what, y) - 1) / 2 AS y FROM bth WHERE x IS NOT NULL AND y IS NOT NULL)",
+    select="SELECT vin, corr(x, y) FILTER (WHERE what = 'res') AS rho_detrended, corr(x, y) FILTER (WHERE what = 'dif') AS rho_diff FROM rnk GROUP BY vin",
+    columns="vin:i rho_detrended:d rho_diff:d",
+)
 add("k13_sqrt_fade", lambda s, d: st.sqrt_fade(fx.series(s, d), "soh_raw"), SERIES, select="SELECT vin, k, CASE WHEN k > 0 THEN (20 / k) ** 2 END AS eol_age FROM (SELECT vin, sum((100 - soh_raw) * sqrt(age_months)) / sum(age_months) AS k FROM ser WHERE age_months > 0 GROUP BY vin)", columns="vin:i k:d eol_age:d")
-add("k14_bootstrap_median", lambda s, d: st.bootstrap_median(fx.series(s, d).groupBy("vin").agg(F.min("soh_raw").alias("low_soh")).withColumnRenamed("vin", "id"), "low_soh"))
+add(
+    "k14_bootstrap_median",
+    lambda s, d: st.bootstrap_median(fx.series(s, d).groupBy("vin").agg(F.min("soh_raw").alias("low_soh")).withColumnRenamed("vin", "id"), "low_soh"),
+    SERIES,
+    "low AS (SELECT vin AS id, min(soh_raw) AS low_soh FROM ser GROUP BY vin)",
+    "uni AS (SELECT low_soh, draw, ('0x' || substr(md5(id::VARCHAR || ':' || draw::VARCHAR), 1, 8))::BIGINT % 1000000 / 1e6 AS u FROM low, generate_series(1, 200) AS g(draw))",
+    "wei AS (SELECT *, (u >= 0.36788)::INT + (u >= 0.73576)::INT + (u >= 0.91970)::INT + (u >= 0.98101)::INT + (u >= 0.99634)::INT + (u >= 0.99941)::INT AS w FROM uni)",
+    "mid AS (SELECT draw, median(low_soh) AS m FROM (SELECT draw, low_soh, unnest(range(w)) FROM wei) GROUP BY draw)",
+    select="SELECT (SELECT median(low_soh) FROM low) AS median, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM mid",
+    columns="median:d low:d high:d",
+)
 add("k15_relative_slopes", lambda s, d: st.relative_slopes(fx.series(s, d), "soh_raw"), SERIES, select="SELECT vin, regr_slope(soh_raw, age_months) / avg(soh_raw) * 100 AS rel_slope, count(*) AS n FROM ser GROUP BY vin HAVING count(*) >= 6", columns="vin:i rel_slope:d n:i")
 add("k20_errors", lambda s, d: st.errors(fx.series(s, d).withColumn("p", F.lag("soh_raw").over(sr.by_month())), "p", "soh_raw", ("vin",)), SERIES, select="SELECT vin, sqrt(avg((p - soh_raw) ** 2)) AS rmse, avg(abs(p - soh_raw)) AS mae, avg(p - soh_raw) AS bias, count(*) AS n FROM (SELECT *, lag(soh_raw) OVER (PARTITION BY vin ORDER BY month) AS p FROM ser) WHERE p IS NOT NULL GROUP BY vin", columns="vin:i rmse:d mae:d bias:d n:i")
 add("k16_decreasing_cubic", lambda s, d: bd.decreasing_cubic(fx.series(s, d), "soh_raw"))

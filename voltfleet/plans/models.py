@@ -1,4 +1,4 @@
-"""Queries of MLlib models and their evaluation. Their rows have no SQL form; tests hold them to yardsticks."""
+"""Queries of MLlib models and their evaluation. Most rows have no SQL form; tests hold them to yardsticks."""
 
 from __future__ import annotations
 
@@ -15,12 +15,15 @@ from ..operators import samples as sm
 from ..operators import series as sr
 from ..sources import fixtures as fx
 from ..sources.shared import cut, shared_folder
-from .base import Book
+from .base import SERIES, Book
 from .quality import kinds, labelled
+from .series import HAMPEL, NUM, pava
+from .soh import WALK
 
 book = Book()
 add = book.add
 
+LIMITED = "lim AS (SELECT h.*, CASE WHEN months = 1 THEN least(soh_raw, 100.0) ELSE least(fit, 100.0) END AS y FROM ham h JOIN iso USING (vin, rn))"
 RATE = ["age_months", "soh", *md.STRESS]
 
 
@@ -91,7 +94,14 @@ add("o03_coverage", lambda s, d: evl.coverage(both_halves(s, d), cohorts(s, d)).
 add("o04_split_diagnostics", lambda s, d: evl.split_diagnostics(transitions(s, d), sm.split(kinds(s, d)), RATE))
 add("o07_acceptance_gate", lambda s, d: evl.gate(forecasts(s, d), de.sqrt_forecast(past(s, d), months=24), table(s, d).where("age_months >= 40").select("vin", "age_months", F.col("soh_raw").alias("soh")), cohorts(s, d)))
 add("o08_o09_training_sets", lambda s, d: (lambda t, c: evl.compare_training({"all": t.where("vin % 2 = 0"), "degraders": t.where("vin % 2 = 0").join(c.where("degrader").select("vin"), "vin", "left_semi")}, t.where("vin % 2 = 1")))(table(s, d), cohorts(s, d)))
-add("o10_envelopes", lambda s, d: evl.envelope_comparison(fx.series(s, d), "soh_raw", {"greedy": sr.greedy_envelope, "isotonic": sr.robust_isotonic}))
+add(
+    "o10_envelopes",
+    lambda s, d: evl.envelope_comparison(fx.series(s, d), "soh_raw", {"greedy": sr.greedy_envelope, "isotonic": sr.robust_isotonic}),
+    SERIES, NUM, HAMPEL, pava("ham", "clipped", "iso"), LIMITED, WALK.format(t="num", y="soh_raw").replace("walk", "wlg"), WALK.format(t="lim", y="y").replace("walk", "wli"),
+    "env AS (SELECT *, abs(soh - lag(soh) OVER (PARTITION BY envelope, vin ORDER BY rn)) < 0.05 AS still FROM (SELECT 'greedy' AS envelope, vin, rn, soh FROM wlg UNION ALL SELECT 'isotonic', vin, rn, soh FROM wli))",
+    select="SELECT envelope, avg(abs(soh - soh_raw)) AS mae, avg(CAST(still AS DOUBLE)) AS flat_share FROM env JOIN num USING (vin, rn) GROUP BY envelope",
+    columns="envelope:s mae:d flat_share:d",
+)
 add("o11_transfer_matrix", lambda s, d: (lambda t: evl.transfer_matrix({"even": t.where("vin % 2 = 0"), "odd": t.where("vin % 2 = 1")}, ["age_months", *md.STRESS]))(table(s, d)))
 add("o12_o13_learning_curve", lambda s, d: evl.learning_curve(table(s, d), (6, 12, 24), 40, 2))
 add("o15_ablation", lambda s, d: evl.ablation(transitions(s, d), sm.split(kinds(s, d)), {"age": ["age_months", "soh"], "all": RATE}, (0,)))

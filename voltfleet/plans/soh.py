@@ -11,7 +11,8 @@ from ..operators import series as sr
 from ..operators import soh
 from ..sources import fixtures as fx
 from .base import REGISTRATION, SERIES, TELEMETRY, Book
-from .events import CROSS, GAP_S, SESSIONS, capacities, clean_samples, event_table, sessions
+from .events import CHARGE, CROSS, GAP_S, SESSIONS, capacities, clean_samples, event_table, sessions
+from .monthly import DOD, FEATURES
 from .series import HAMPEL, pava
 
 book = Book()
@@ -193,5 +194,25 @@ def feature_store(s: SparkSession, d: str) -> DataFrame:
     return soh.assemble(health, features)
 
 
-add("e20_feature_store", feature_store)
-add("e12_charge_events_to_soh", lambda s, d: soh.full_charge_soh(event_table(s, d).where("kind = 1").withColumn("cap", F.col("ah")).withColumn("age_months", F.lit(0.0))).select("vin", "ev", "soh_full"))
+add(
+    "e20_feature_store",
+    lambda s, d: feature_store(s, d).withColumn("used_reg", F.col("used_reg").cast("int")),
+    TELEMETRY, SESSIONS, POOLED, REGISTRATION,
+    "ser AS (SELECT vin, month, capacity_ah AS cap_raw FROM poo)",
+    ANCHOR, TO_SOH, WALK.format(y="soh_raw", t="num"), DOD, FEATURES,
+    "sto AS (SELECT p.*, age_months, used_reg, n.soh_raw, w.soh, fea.* EXCLUDE (vin, month) FROM poo p JOIN num n USING (vin, month) JOIN walk w USING (vin, month) JOIN anc USING (vin) LEFT JOIN fea USING (vin, month))",
+    "kms AS (SELECT *, coalesce(greatest(odo_max - lag(odo_max) OVER (PARTITION BY vin ORDER BY month), 0), 0) AS km_month FROM sto)",
+    select="""SELECT * REPLACE (vin::VARCHAR AS vin, used_reg::INT AS used_reg, coalesce(ah_throughput, 0) AS ah_throughput), strftime(month, '%Y-%m-%d') AS ymd, n_rows AS n_rows_ic, NULL AS dte_mean, sum(coalesce(ah_throughput, 0)) OVER w AS cum_ah, sum(km_month) OVER w AS cum_km,
+      1 / sqrt(greatest(age_months, 0) + 1) AS inv_sqrt_age, 100 - soh AS soh_deficit FROM kms WINDOW w AS (PARTITION BY vin ORDER BY month)""",
+    columns="vin:s ymd:s capacity_ah:d n_sessions:i tot_dsoc:d age_months:d used_reg:i soh_raw:d soh:d ah_throughput:d cur_abs_mean:d cur_dis_mean:d cur_chg_mean:d soc_mean:d frac_soc_high:d frac_soc_low:d volt_mean:d volt_min:d volt_max:d "
+    "n_rows_ic:i cur_abs_p95:d dod_mean:d temp_mean:d temp_max:d dte_mean:d odo_max:d km_month:d cum_ah:d cum_km:d inv_sqrt_age:d soh_deficit:d",
+)
+add(
+    "e12_charge_events_to_soh",
+    lambda s, d: soh.full_charge_soh(event_table(s, d).where("kind = 1").withColumn("cap", F.col("ah")).withColumn("age_months", F.lit(0.0))),
+    TELEMETRY, SESSIONS, CHARGE,
+    "cha AS (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY t0) AS rn FROM evt JOIN (SELECT DISTINCT vin, ev, kind FROM che) USING (vin, ev) WHERE kind = 1)",
+    "bas AS (SELECT vin, median(ah) FILTER (WHERE rn <= 5) AS cap0 FROM cha GROUP BY vin)",
+    select="SELECT vin, ev, CASE WHEN cap0 <> 0 THEN least(100 * ah / cap0, 100.0) END AS soh_full FROM cha JOIN bas USING (vin)",
+    columns="vin:i ev:i soh_full:d",
+)
