@@ -40,6 +40,12 @@ def solve(gram: np.ndarray, right: np.ndarray, free: int) -> np.ndarray:
     return best
 
 
+def _scaled(gram: np.ndarray, right: np.ndarray, span: float, powers: range, free: int) -> list[float]:
+    """:func:`solve` with ages in units of ``span``, since sums of high powers of months would cost most of the digits."""
+    unit = np.array([span**-k for k in powers])
+    return list(solve(gram * np.outer(unit, unit), right * unit, free) * unit)
+
+
 def _solver(anchored: bool):  # noqa: ANN202
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -49,12 +55,12 @@ def _solver(anchored: bool):  # noqa: ANN202
                 if anchored:
                     degree = min(_DEGREE, max(1, row.n))
                     gram = np.array([[sx[i + j] for j in range(1, degree + 1)] for i in range(1, degree + 1)])
-                    c = [100.0, *solve(gram, np.array([100 * sx[i] - sxy[i] for i in range(1, degree + 1)]), 0)]
+                    c = [100.0, *_scaled(gram, np.array([100 * sx[i] - sxy[i] for i in range(1, degree + 1)]), row.x1 / 12, range(1, degree + 1), 0)]
                 else:
                     degree = min(_DEGREE, max(1, row.n // 4))
                     sign = np.array([1.0, *[-1.0] * degree])
                     gram = np.array([[sx[i + j] for j in range(degree + 1)] for i in range(degree + 1)]) * np.outer(sign, sign)
-                    c = [*solve(gram, np.array(sxy[: degree + 1]) * sign, 1)]
+                    c = _scaled(gram, np.array(sxy[: degree + 1]) * sign, row.x1 - row.x0, range(degree + 1), 1)
                 c += [0.0] * (_DEGREE + 1 - len(c))
                 out.append((row.vin, row.n, row.x0, row.x1, *map(float, c)))
             yield pd.DataFrame(out, columns=["vin", "n", "x0", "x1", "c0", "c1", "c2", "c3"])

@@ -221,8 +221,40 @@ add(
 )
 add("k15_relative_slopes", lambda s, d: st.relative_slopes(fx.series(s, d), "soh_raw"), SERIES, select="SELECT vin, regr_slope(soh_raw, age_months) / avg(soh_raw) * 100 AS rel_slope, count(*) AS n FROM ser GROUP BY vin HAVING count(*) >= 6", columns="vin:i rel_slope:d n:i")
 add("k20_errors", lambda s, d: st.errors(fx.series(s, d).withColumn("p", F.lag("soh_raw").over(sr.by_month())), "p", "soh_raw", ("vin",)), SERIES, select="SELECT vin, sqrt(avg((p - soh_raw) ** 2)) AS rmse, avg(abs(p - soh_raw)) AS mae, avg(p - soh_raw) AS bias, count(*) AS n FROM (SELECT *, lag(soh_raw) OVER (PARTITION BY vin ORDER BY month) AS p FROM ser) WHERE p IS NOT NULL GROUP BY vin", columns="vin:i rmse:d mae:d bias:d n:i")
-add("k16_decreasing_cubic", lambda s, d: bd.decreasing_cubic(fx.series(s, d), "soh_raw"))
-add("k17_anchored_cubic", lambda s, d: bd.evaluate(bd.decreasing_cubic(fx.series(s, d), "soh_raw", anchored=True), fx.series(s, d).select("vin", "age_months"), anchored=True))
+
+
+def cubic(y: str, name: str, anchored: bool = False) -> str:
+    """Bounded cubic fits: normal equations for each choice of the coefficients that may be above 0, solved by elimination; the best feasible one stays.
+
+    u is age over its span, so c1 to c3 of ``name`` are falls over the whole span.
+    """
+    u, least, degree, constant = ("age_months / max(age_months) OVER w", 2, "n", 0) if anchored else ("(age_months - min(age_months) OVER w) / (max(age_months) OVER w - min(age_months) OVER w)", 3, "n // 4", 1)
+    right = [f"{constant} * t0", *[(f"m{k} * (100 * s{k} - t{k})" if anchored else f"m{k} * -t{k}") for k in (1, 2, 3)]]
+    return f"""{name}_p AS (SELECT vin, age_months, {u} AS u, {y} AS y FROM ser WINDOW w AS (PARTITION BY vin)),
+{name}_m AS (SELECT vin, count(*) AS n, min(age_months) AS x0, max(age_months) AS x1, {", ".join(f"sum(u ** {k}) AS s{k}" for k in range(7))}, {", ".join(f"sum(u ** {k} * y) AS t{k}" for k in range(4))} FROM {name}_p GROUP BY vin HAVING count(*) >= {least} AND max(age_months) > {"0" if anchored else "min(age_months)"}),
+{name}_a AS (SELECT vin, n, x0, x1, {"1.0" if anchored else "s0"} AS a00, {constant} * -m1 * s1 AS a01, {constant} * -m2 * s2 AS a02, {constant} * -m3 * s3 AS a03, CASE WHEN m1 THEN s2 ELSE 1 END AS a11, m1 * m2 * s3 AS a12, m1 * m3 * s4 AS a13,
+  CASE WHEN m2 THEN s4 ELSE 1 END AS a22, m2 * m3 * s5 AS a23, CASE WHEN m3 THEN s6 ELSE 1 END AS a33, {", ".join(f"{r} AS r{k}" for k, r in enumerate(right))}
+  FROM {name}_m, (SELECT unnest([0, 1]) AS m1), (SELECT unnest([0, 1]) AS m2), (SELECT unnest([0, 1]) AS m3) WHERE (m2 = 0 OR {degree} >= 2) AND (m3 = 0 OR {degree} >= 3)),
+{name}_b AS (SELECT *, a11 - a01 * a01 / a00 AS b11, a12 - a01 * a02 / a00 AS b12, a13 - a01 * a03 / a00 AS b13, a22 - a02 * a02 / a00 AS b22, a23 - a02 * a03 / a00 AS b23, a33 - a03 * a03 / a00 AS b33, r1 - a01 / a00 * r0 AS q1, r2 - a02 / a00 * r0 AS q2, r3 - a03 / a00 * r0 AS q3 FROM {name}_a),
+{name}_c AS (SELECT *, b22 - b12 * b12 / b11 AS d22, b23 - b12 * b13 / b11 AS d23, b33 - b13 * b13 / b11 AS d33, q2 - b12 / b11 * q1 AS p2, q3 - b13 / b11 * q1 AS p3 FROM {name}_b),
+{name}_d AS (SELECT *, (p3 - d23 / d22 * p2) / (d33 - d23 * d23 / d22) AS c3, (p2 - d23 * c3) / d22 AS c2, (q1 - b12 * c2 - b13 * c3) / b11 AS c1, (r0 - a01 * c1 - a02 * c2 - a03 * c3) / a00 AS c0 FROM {name}_c),
+{name} AS (SELECT vin, n, x0, x1, c0, c1, c2, c3 FROM {name}_d WHERE c1 >= -1e-12 AND c2 >= -1e-12 AND c3 >= -1e-12 QUALIFY row_number() OVER (PARTITION BY vin ORDER BY c0 * r0 + c1 * r1 + c2 * r2 + c3 * r3 DESC) = 1)"""
+
+
+add(
+    "k16_decreasing_cubic",
+    lambda s, d: bd.decreasing_cubic(fx.series(s, d), "soh_raw"),
+    SERIES, cubic("soh_raw", "cub"),
+    select="SELECT vin, n, x0, x1, c0, c1 / (x1 - x0) AS c1, c2 / (x1 - x0) ** 2 AS c2, c3 / (x1 - x0) ** 3 AS c3 FROM cub",
+    columns="vin:i n:i x0:d x1:d c0:d c1:d c2:d c3:d",
+)
+add(
+    "k17_anchored_cubic",
+    lambda s, d: bd.evaluate(bd.decreasing_cubic(fx.series(s, d), "soh_raw", anchored=True), fx.series(s, d).select("vin", "age_months"), anchored=True),
+    SERIES, cubic("soh_raw", "cub", anchored=True),
+    select="SELECT vin, age_months, 100 - c1 * age_months / x1 - c2 * (age_months / x1) ** 2 - c3 * (age_months / x1) ** 3 AS fitted FROM ser JOIN cub USING (vin)",
+    columns="vin:i age_months:d fitted:d",
+)
 add(
     "k18_greyed",
     lambda s, d: bd.greyed(fx.series(s, d), "soh_raw").select("vin", "month", F.col("inlier").cast("int").alias("inlier")),
@@ -237,4 +269,10 @@ add(
     select="SELECT g.vin, g.month, CAST(NOT gone AND h.vin IS NULL AS INT) AS inlier FROM gr1 g LEFT JOIN gr6 h ON h.vin = g.vin AND h.month = g.month",
     columns="vin:i month:t inlier:i",
 )
-add("l12_fitted_drops", lambda s, d: (lambda a, b: a.join(b, "vin"))(*[bd.decreasing_cubic(fx.series(s, d), y).select("vin", (F.col("c1") * (F.col("x1") - F.col("x0")) + F.col("c2") * F.pow(F.col("x1") - F.col("x0"), F.lit(2.0)) + F.col("c3") * F.pow(F.col("x1") - F.col("x0"), F.lit(3.0))).alias(f"drop_{y}")) for y in ("soh_raw", "cap_raw")]))
+add(
+    "l12_fitted_drops",
+    lambda s, d: (lambda a, b: a.join(b, "vin"))(*[bd.decreasing_cubic(fx.series(s, d), y).select("vin", (F.col("c1") * (F.col("x1") - F.col("x0")) + F.col("c2") * F.pow(F.col("x1") - F.col("x0"), F.lit(2.0)) + F.col("c3") * F.pow(F.col("x1") - F.col("x0"), F.lit(3.0))).alias(f"drop_{y}")) for y in ("soh_raw", "cap_raw")]),
+    SERIES, cubic("soh_raw", "cub"), cubic("cap_raw", "cap"),
+    select="SELECT vin, a.c1 + a.c2 + a.c3 AS drop_soh_raw, b.c1 + b.c2 + b.c3 AS drop_cap_raw FROM cub a JOIN cap b USING (vin)",
+    columns="vin:i drop_soh_raw:d drop_cap_raw:d",
+)
