@@ -153,6 +153,14 @@ def test_bounded_cubic_recovers_and_never_rises(spark):
     assert anchored.first()["fitted"] == pytest.approx(100.0)
 
 
+def test_bounded_cubic_keeps_its_digits_over_a_long_life(spark):
+    """Fifteen years of months: sixth powers of age reach 3e13."""
+    rows = [(1, float(a), float(100 - 0.15 * a - 1e-4 * a**2 - 2e-6 * a**3)) for a in range(181)]
+    df = spark.createDataFrame(rows, "vin long, age_months double, y double")
+    fit = bounded.decreasing_cubic(df, "y").first()
+    assert np.allclose([fit[c] for c in ("c0", "c1", "c2", "c3")], [100, 0.15, 1e-4, 2e-6], rtol=1e-6, atol=0)
+
+
 def test_pooled_model_recovers_effects(spark):
     rng = np.random.default_rng(3)
     rows = []
