@@ -16,7 +16,8 @@ from ..operators import soh as so
 from ..sources import fixtures as fx
 from ..sources import scans
 from ..sources.shared import shared_folder
-from ..streaming import live
+from ..sources.store import MonthStore, merge
+from ..streaming import ingest, live
 from .base import SERIES, TELEMETRY, Book
 from .events import GAP_S, SESSIONS, clean_samples
 from .series import pava
@@ -66,6 +67,18 @@ add(
 )
 
 
+def stored_upsert(s: SparkSession, d: str) -> DataFrame:
+    """All items, then corrections of a year's, merged into a table of months of which only that year's are rewritten."""
+    items = fx.table(s, d, "lineitem").select(F.col("l_orderkey").alias("vin"), F.col("l_linenumber").cast("long").alias("line"), F.col("l_shipdate").cast("timestamp").alias("t"), F.lit(1).alias("load"), "l_quantity")
+    store = MonthStore(s, f"{shared_folder(s)}/upsert-{uuid.uuid4().hex}", ("vin", "line"), "load", parts=1)
+    merge(store, 1, items)
+    merge(store, 2, items.where("year(t) = 1995 and vin % 3 = 0").withColumns({"load": F.lit(2), "l_quantity": F.col("l_quantity") + 1}))
+    return store.read().select("vin", "line", "month", F.col("l_quantity").alias("quantity"), "load")
+
+
+add("s02_stored_upsert", stored_upsert, select="SELECT l_orderkey AS vin, l_linenumber AS line, date_trunc('month', l_shipdate)::TIMESTAMP AS month, l_quantity + CAST(fixed AS INT) AS quantity, 1 + CAST(fixed AS INT) AS load FROM (SELECT *, year(l_shipdate) = 1995 AND l_orderkey % 3 = 0 AS fixed FROM lineitem)", columns="vin:i line:i month:t quantity:d load:i")
+
+
 def old_and_new(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     samples = clean_samples(s, d).withColumn("t", F.expr("t + make_interval(0, cast(id % 3 as int))"))
     return samples, samples.where("id % 37 = 0")
@@ -152,3 +165,30 @@ add(
     columns="vin:i t0:t soc0:d soc1:d ah:e n:i",
 )
 add("s12_late_rows", lambda s, d: live.split_late(fx.telemetry(s, d), "2024-01-05")[1].select("id"), TELEMETRY, select="SELECT id FROM tel WHERE t < TIMESTAMP '2024-01-05'", columns="id:i")
+
+
+def ingested(s: SparkSession, d: str) -> MonthStore:
+    """Samples that come in four micro-batches: every seventh two batches late, every fifth once more with another reading."""
+    samples = fx.telemetry(s, d).select("vin", "t", "id", "soc")
+    last = samples.agg(F.max("id")).first()[0] or 0
+    step = F.floor(F.col("id") * 4 / (last + 1))
+    first = samples.withColumns({"load": F.lit(0), "step": F.least(step + F.when(F.col("id") % 7 == 0, 2).otherwise(0), F.lit(3))})
+    again = samples.where("id % 5 = 0").withColumns({"soc": F.col("soc") + 1, "load": F.lit(1), "step": F.least(step + 1, F.lit(3))})
+    root = f"{shared_folder(s)}/ingest-{uuid.uuid4().hex}"
+    store, rows = MonthStore(s, f"{root}/store", ("vin", "t"), "load", parts=1), first.unionByName(again)
+    for k in range(4):
+        part = rows.where(F.col("step") == k).drop("step")
+        part.write.mode("append").parquet(f"{root}/in")
+        ingest.start(s.readStream.schema(part.schema).parquet(f"{root}/in"), store, "7 days").awaitTermination()
+    return store
+
+
+DELIVERED = (
+    TELEMETRY,
+    "stp AS (SELECT vin, t, id, soc, CAST(floor(id * 4 / ((SELECT max(id) FROM tel) + 1)) AS BIGINT) AS step FROM tel)",
+    "dl AS (SELECT vin, t, id, soc, 0 AS load, least(step + CASE WHEN id % 7 = 0 THEN 2 ELSE 0 END, 3) AS step FROM stp UNION ALL SELECT vin, t, id, soc + 1, 1, least(step + 1, 3) FROM stp WHERE id % 5 = 0)",
+    "hi AS (SELECT k, (SELECT max(t) FROM dl WHERE step < k) AS high FROM generate_series(0, 3) AS g(k))",
+    "jd AS (SELECT *, coalesce(t < high - INTERVAL 7 DAY, false) AS late FROM dl JOIN hi ON k = step)",
+)
+add("s09_streamed_ingest", lambda s, d: ingested(s, d).read().select("vin", "t", "id", "soc", "load"), *DELIVERED, select="SELECT vin, t, arg_max(id, load) AS id, arg_max(soc, load) AS soc, max(load) AS load FROM jd WHERE NOT late GROUP BY vin, t", columns="vin:i t:t id:i soc:d load:i")
+add("s12_streamed_late_rows", lambda s, d: ingest.late_rows(ingested(s, d), "vin long, t timestamp, id long, soc double, load int, missed timestamp, batch long"), *DELIVERED, select="SELECT id, load, step AS batch, high AS missed FROM jd WHERE late", columns="id:i load:i batch:i missed:t")

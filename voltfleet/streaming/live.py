@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 
 def deduplicated(stream: DataFrame, delay: str = "3 days", keys: tuple[str, ...] = ("vin", "t")) -> DataFrame:
@@ -28,51 +28,78 @@ def gap_sessions(stream: DataFrame, gap: str = "5 minutes", delay: str = "1 day"
     return groups.agg(F.count("*").alias("n"), F.min_by("soc", "t").alias("soc0"), F.max_by("soc", "t").alias("soc1")).select("vin", F.col("w.start").alias("t0"), "n", "soc0", "soc1")
 
 
+#: Seconds of a bucket of waiting rows.
+BUCKET_S = 3600
+_OPEN = "t0 double, t double, amps double, soc0 double, soc1 double, ah double, n long"
+
+
+def _session_processor(gap_s: float) -> StatefulProcessor:
+    """The state function as a value of its own, which workers without this package can unpickle too."""
+
+    class OrderedSessions(StatefulProcessor):
+        """A vehicle's open session, and its waiting rows as one list for each bucket of time.
+
+        A batch writes the buckets that its rows fall into, whatever else waits; a timer at a bucket's end folds it in order of time.
+        """
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.open = handle.getValueState("open", _OPEN)
+            self.waiting = handle.getMapState("waiting", "bucket long", "rows array<double>")
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+            for frame in rows:
+                if key[0] is None or key[0] != key[0]:
+                    continue
+                for bucket, part in frame.groupby(frame["seconds"] // BUCKET_S):
+                    at = (int(bucket),)
+                    held = list(self.waiting.getValue(at)[0]) if self.waiting.containsKey(at) else []
+                    self.waiting.updateValue(at, (held + part[["seconds", "id", "amps", "soc"]].to_numpy(dtype=float).reshape(-1).tolist(),))
+                    self.handle.registerTimer((int(bucket) + 1) * BUCKET_S * 1000)
+            return iter(())
+
+        def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+            passed = timerValues.getCurrentWatermarkInMs() / 1000
+            closed, s = [], self.open.get() if self.open.exists() else None
+            done = sorted(k[0] for k in list(self.waiting.keys()) if (k[0] + 1) * BUCKET_S <= passed)
+            for bucket in done:
+                rows = np.array(self.waiting.getValue((bucket,))[0], dtype=float).reshape(-1, 4)
+                self.waiting.removeKey((bucket,))
+                for t, _, amps, soc in rows[np.lexsort((rows[:, 1], rows[:, 0]))].tolist():
+                    if s is not None and 0 < t - s[1] <= gap_s:
+                        s = (s[0], t, amps, s[3], soc, s[5] + (amps + s[2]) / 2 * (t - s[1]) / 3600, s[6] + 1)
+                    else:
+                        closed += [s] if s is not None else []
+                        s = (t, t, amps, soc, soc, 0.0, 1)
+            # rows up to the end of the last whole bucket are known, so what can still come is later than that
+            if s is not None and s[1] + gap_s < passed // BUCKET_S * BUCKET_S:
+                closed.append(s)
+                s = None
+            if s is not None:
+                if done:
+                    self.open.update(tuple(s))
+                self.handle.registerTimer(int((s[1] + gap_s) // BUCKET_S + 1) * BUCKET_S * 1000)
+            elif self.open.exists():
+                self.open.clear()
+            if closed:
+                yield pd.DataFrame([{"vin": int(key[0]), "t0": c[0], "soc0": c[3], "soc1": c[4], "ah": c[5], "n": int(c[6])} for c in closed])
+
+        def close(self) -> None:
+            pass
+
+    return OrderedSessions()
+
+
 def ordered_sessions(stream: DataFrame, gap_s: float = 300.0, delay: str = "1 day") -> DataFrame:
     """Sessions with trapezoid charge, as the batch operator cuts them: at gaps and at steps that are not positive.
 
-    A vehicle's state is its rows that the watermark has not passed, in no order, and its open session. What the watermark
-    passes is sorted and folded, so rows may come in any order within the delay. A session is given out when the next one
-    starts or the watermark passes its end; rows without a vin only move the watermark, see :func:`heartbeat`.
+    Rows may come in any order within the delay. They wait in buckets of time until the watermark has passed a bucket's end. A
+    session is given out when the next one starts or the watermark has passed the bucket of its end; rows without a vin only
+    move the watermark, see :func:`heartbeat`. The session's streams keep their state in RocksDB from then on.
     """
-    state = "t0 double, t double, amps double, soc0 double, soc1 double, ah double, n double, waiting array<double>"
-    out = "vin long, t0 double, soc0 double, soc1 double, ah double, n long"
-
-    def row(vin: int, s: tuple) -> dict:
-        return {"vin": int(vin), "t0": s[0], "soc0": s[3], "soc1": s[4], "ah": s[5], "n": int(s[6])}
-
-    def fold(key: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        if key[0] is None or key[0] != key[0]:
-            return
-        vin, closed, before = key[0], [], held.getOption
-        s = None if before is None or before[6] == 0 else tuple(before[:7])
-        waiting = np.array([] if before is None else before[7], dtype=float).reshape(-1, 4)
-        if not held.hasTimedOut:
-            waiting = np.concatenate([waiting, *(f[["seconds", "id", "amps", "soc"]].to_numpy(dtype=float) for f in frames)])
-        passed = held.getCurrentWatermarkMs() / 1000
-        ready = waiting[:, 0] < passed
-        rows, waiting = waiting[ready], waiting[~ready]
-        for t, _, amps, soc in rows[np.lexsort((rows[:, 1], rows[:, 0]))].tolist():
-            if s is not None and 0 < t - s[1] <= gap_s:
-                s = (s[0], t, amps, s[3], soc, s[5] + (amps + s[2]) / 2 * (t - s[1]) / 3600, s[6] + 1.0)
-            else:
-                if s is not None:
-                    closed.append(row(vin, s))
-                s = (t, t, amps, soc, soc, 0.0, 1.0)
-        if s is not None and s[1] + gap_s < passed:
-            closed.append(row(vin, s))
-            s = None
-        if s is None and not len(waiting):
-            held.remove()
-        else:
-            held.update((*(s or (0.0,) * 7), waiting.reshape(-1).tolist()))
-            due = min([*waiting[:, 0].tolist(), *([s[1] + gap_s] if s else [])])
-            held.setTimeoutTimestamp(max(int(due * 1000) + 1, held.getCurrentWatermarkMs() + 1))
-        if closed:
-            yield pd.DataFrame(closed)
-
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     marked = stream.withWatermark("t", delay).select("vin", "t", "id", "amps", "soc", (F.unix_micros("t") / 1e6).alias("seconds"))
-    done = marked.groupBy("vin").applyInPandasWithState(fold, out, state, "append", GroupStateTimeout.EventTimeTimeout)
+    done = marked.groupBy("vin").transformWithStateInPandas(_session_processor(gap_s), "vin long, t0 double, soc0 double, soc1 double, ah double, n long", "Append", "EventTime")
     return done.withColumn("t0", F.timestamp_micros((F.col("t0") * 1e6).cast("long")))
 
 
