@@ -68,15 +68,15 @@ add(
 
 
 def stored_upsert(s: SparkSession, d: str) -> DataFrame:
-    """All items, then corrections of a year's, merged into a table of months of which only that year's are rewritten."""
-    items = fx.table(s, d, "lineitem").select(F.col("l_orderkey").alias("vin"), F.col("l_linenumber").cast("long").alias("line"), F.col("l_shipdate").cast("timestamp").alias("t"), F.lit(1).alias("load"), "l_quantity")
-    store = MonthStore(s, f"{shared_folder(s)}/upsert-{uuid.uuid4().hex}", ("vin", "line"), "load", parts=1)
-    merge(store, 1, items)
-    merge(store, 2, items.where("year(t) = 1995 and vin % 3 = 0").withColumns({"load": F.lit(2), "l_quantity": F.col("l_quantity") + 1}))
-    return store.read().select("vin", "line", "month", F.col("l_quantity").alias("quantity"), "load")
+    """All orders, then corrections of a year's, merged into a table of months of which only that year's are rewritten."""
+    orders = fx.table(s, d, "orders").select(F.col("o_orderkey").alias("vin"), F.col("o_orderdate").cast("timestamp").alias("t"), F.lit(1).alias("load"), F.col("o_totalprice").alias("price"))
+    store = MonthStore(s, f"{shared_folder(s)}/upsert-{uuid.uuid4().hex}", ("vin",), "load", parts=1)
+    merge(store, 1, orders)
+    merge(store, 2, orders.where("year(t) = 1995 and vin % 3 = 0").withColumns({"load": F.lit(2), "price": F.col("price") + 1}))
+    return store.read().select("vin", "t", "month", "price", "load")
 
 
-add("s02_stored_upsert", stored_upsert, select="SELECT l_orderkey AS vin, l_linenumber AS line, date_trunc('month', l_shipdate)::TIMESTAMP AS month, l_quantity + CAST(fixed AS INT) AS quantity, 1 + CAST(fixed AS INT) AS load FROM (SELECT *, year(l_shipdate) = 1995 AND l_orderkey % 3 = 0 AS fixed FROM lineitem)", columns="vin:i line:i month:t quantity:d load:i")
+add("s02_stored_upsert", stored_upsert, select="SELECT o_orderkey AS vin, o_orderdate AS t, date_trunc('month', o_orderdate)::TIMESTAMP AS month, o_totalprice + CAST(fixed AS INT) AS price, 1 + CAST(fixed AS INT) AS load FROM (SELECT *, year(o_orderdate) = 1995 AND o_orderkey % 3 = 0 AS fixed FROM orders)", columns="vin:i t:t month:t price:d load:i")
 
 
 def old_and_new(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
