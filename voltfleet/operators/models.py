@@ -12,7 +12,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import joins, samples
+from . import ensembles, joins, samples
 from . import series as sr
 
 STRESS = ["temp_max", "km_month", "frac_soc_high", "dod_mean"]
@@ -79,8 +79,12 @@ def forecast(model: PipelineModel, at: DataFrame, months: int = 36, band: tuple[
     root of the horizon, its lower edge never rises and its upper one stays at or below the present value.
     """
     steps = at.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(months)))).withColumn("horizon", F.col("h").cast("double"))
-    steps = predict(model, steps, "raw").withColumn("loss", F.greatest("raw", F.lit(0.0)))
-    steps = sr.accumulate_steps(steps, "loss")
+    return blended(predict(model, steps, "raw"), band, flat_drop)
+
+
+def blended(steps: DataFrame, band: tuple[float, float] = (1.5, 1.5), flat_drop: float = 1.0) -> DataFrame:
+    """The forecast of :func:`forecast` from anchors exploded by h and horizon, with the model's loss as raw."""
+    steps = sr.accumulate_steps(steps.withColumn("loss", F.greatest("raw", F.lit(0.0))), "loss")
     own = F.col("recent_loss") * F.col("horizon")
     share = F.least(F.greatest(F.col("recent_loss") / 0.4, F.lit(0.0)), F.lit(0.7))
     is_flat = (F.col("soh") >= 99.5) | ((F.col("history_drop") < flat_drop) & (F.col("recent_loss") < 0.05))
@@ -91,27 +95,17 @@ def forecast(model: PipelineModel, at: DataFrame, months: int = 36, band: tuple[
     return steps.select("vin", "h", (F.col("age_months") + F.col("h")).alias("age_months"), "p10", bounded(F.col("center")).alias("p50"), bounded(F.least(F.col("center") + band[1] * F.col("width"), F.col("soh"))).alias("p90"))
 
 
-def roll_forward(model: PipelineModel, bias: float, at: DataFrame, features: list[str], months: int = 24, most: float = 1.2, gate: tuple[float, float] | None = None, cut=None) -> DataFrame:  # noqa: ANN001
+def roll_forward(model: PipelineModel, bias: float, at: DataFrame, features: list[str], months: int = 24, most: float = 1.2, gate: tuple[float, float] | None = None) -> DataFrame:
     """vin, h, p50: the monthly model applied to its own output, recent stress frozen. A step loses between 0 and ``most``.
 
     With ``gate`` (low, high observed loss) flat vehicles lose 0.35 of the prediction, fast ones at least 1.25 of what was
-    observed, others a blend. ``cut`` shortens the lineage every tenth step.
+    observed, others a blend. The model's trees are broadcast as arrays, and a task takes its vehicles through all steps: the
+    plan is the same whatever the horizon. A vehicle with a null among its features has no forecast (null).
     """
-    state = at.select("vin", "soh", "age_months", "recent_loss", *[c for c in features if c not in ("soh", "age_months", "recent_loss")])
-    out = None
-    for h in range(1, months + 1):
-        step = F.least(F.greatest(F.col("prediction") + bias, F.lit(0.0)), F.lit(most))
-        if gate:
-            low, high = gate
-            obs = F.col("recent_loss")
-            share = F.least(F.greatest((obs - low) / (high - low), F.lit(0.0)), F.lit(1.0))
-            step = F.least((1 - share) * 0.35 * step + share * F.greatest(step, 1.25 * obs), F.lit(most))
-        state = predict(model, state).withColumn("soh", F.col("soh") - step).withColumn("age_months", F.col("age_months") + 1).drop("prediction")
-        if cut is not None and h % 10 == 0:
-            state = cut(state)
-        part = state.select("vin", F.lit(h).alias("h"), F.col("soh").alias("p50"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    shared = at.sparkSession.sparkContext.broadcast(ensembles.flatten(model.stages[-1]))
+    state = at.select("vin", *dict.fromkeys(["soh", "age_months", "recent_loss", *features]))
+    kind = dict(at.dtypes)["vin"]
+    return state.mapInArrow(ensembles.rolled(shared, bias, features, months, most, gate), f"vin {kind}, h int, p50 double")
 
 
 def free_run(model: PipelineModel, bias: float, df: DataFrame, features: list[str], start: int = 4) -> DataFrame:

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ..operators import decisions as de
 from ..operators import evaluate as evl
 from ..operators import joins as j
+from ..operators import leave_one_out as loo
 from ..operators import models as md
 from ..operators import samples as sm
 from ..operators import series as sr
 from ..sources import fixtures as fx
-from ..sources.shared import cut, shared_folder
+from ..sources.shared import shared_folder
 from .base import SERIES, Book
 from .quality import kinds, labelled
 from .series import HAMPEL, NUM, pava
@@ -40,6 +41,7 @@ def transitions(s: SparkSession, d: str) -> DataFrame:
 
 
 def past(s: SparkSession, d: str) -> DataFrame:
+    """What a backtest knows of each vehicle: its first 40 months, the later ones being the truth."""
     return table(s, d).where("age_months < 40")
 
 
@@ -54,8 +56,8 @@ def forecasts(s: SparkSession, d: str) -> DataFrame:
 add("n01_n03_rate_model", lambda s, d: (lambda t: (lambda m: md.predict(m[0], t).select("vin", "month", "loss", (F.col("prediction") + m[1]).alias("predicted")))(md.fit_rate(t, RATE)))(transitions(s, d)))
 add("n02_quantile_forest", lambda s, d: md.quantile_forest(transitions(s, d), j.latest(transitions(s, d)).withColumn("id", F.col("vin")), RATE, "loss").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))
 add("n04_n05_trajectory_forecast", forecasts)
-add("n06_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 6, cut=cut))(md.fit_rate(transitions(s, d), RATE)))
-add("n07_gated_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 6, gate=(0.05, 0.4), cut=cut))(md.fit_rate(transitions(s, d), RATE)))
+add("n06_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 24))(md.fit_rate(transitions(s, d), RATE)))
+add("n07_gated_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 24, gate=(0.05, 0.4)))(md.fit_rate(transitions(s, d), RATE)))
 add("n08_free_run", lambda s, d: (lambda m: md.free_run(m[0], m[1], table(s, d), ["age_months", *md.STRESS]))(md.fit_rate(transitions(s, d), ["age_months", *md.STRESS])))
 add("n13_reanchored", lambda s, d: md.reanchored(forecasts(s, d), j.latest(past(s, d)).select("vin", "soh", F.col("soh_raw").alias("raw"))))
 add("n16_importance", lambda s, d: md.importance(s, trajectory(s, d), md.TRAJECTORY))
@@ -89,6 +91,7 @@ def estimated(s: SparkSession, d: str) -> DataFrame:
 
 add("n20_estimated_soh", estimated)
 add("o01_o02_folds_backtest", lambda s, d: evl.folds_backtest(table(s, d), 2).select("vin", "h", "actual", "model", "persistence", "trend", "fold"))
+add("o02_leave_one_out", lambda s, d: loo.backtest(table(s, d)))
 add("o05_summary", lambda s, d: evl.summary(both_halves(s, d), cohorts(s, d)).withColumn("degrader", F.col("degrader").cast("int")))
 add("o03_coverage", lambda s, d: evl.coverage(both_halves(s, d), cohorts(s, d)).withColumn("degrader", F.col("degrader").cast("int")))
 add("o04_split_diagnostics", lambda s, d: evl.split_diagnostics(transitions(s, d), sm.split(kinds(s, d)), RATE))
