@@ -74,11 +74,15 @@ def gate(candidate: DataFrame, production: DataFrame, truth: DataFrame, kinds: D
     return both.withColumn("verdict", F.when(good, "PASS").otherwise("FAIL"))
 
 
-def compare_training(sets: dict[str, DataFrame], test: DataFrame, **options) -> DataFrame:  # noqa: ANN003
-    """training, rmse, mae, bias, n on the same test vehicles for each training set."""
+def compare_training(sets: dict[str, list[tuple[DataFrame, DataFrame]]], **options) -> DataFrame:  # noqa: ANN003
+    """training, rmse, mae, bias, n for each way to train, over all its pairs of training and test vehicles."""
     out = None
-    for name, train in sets.items():
-        part = stats.errors(holdout(train, test, **options), "model", "actual").withColumn("training", F.lit(name))
+    for name, pairs in sets.items():
+        rows = None
+        for train, test in pairs:
+            part = holdout(train, test, **options)
+            rows = part if rows is None else rows.unionByName(part)
+        part = stats.errors(rows, "model", "actual").withColumn("training", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -45,31 +45,31 @@ def past(s: SparkSession, d: str) -> DataFrame:
     return table(s, d).where("age_months < 40")
 
 
-def trajectory(s: SparkSession, d: str):  # noqa: ANN201
-    return md.fit_trajectory(md.trajectory_rows(past(s, d)))
+def trajectory(rows: DataFrame):  # noqa: ANN201
+    return md.fit_trajectory(md.trajectory_rows(rows))
 
 
-def forecasts(s: SparkSession, d: str) -> DataFrame:
-    return md.forecast(trajectory(s, d), md.anchors(past(s, d)), 24)
+def forecasts(rows: DataFrame) -> DataFrame:
+    return md.forecast(trajectory(rows), md.anchors(rows), 24)
 
 
 add("n01_n03_rate_model", lambda s, d: (lambda t: (lambda m: md.predict(m[0], t).select("vin", "month", "loss", (F.col("prediction") + m[1]).alias("predicted")))(md.fit_rate(t, RATE)))(transitions(s, d)))
 add("n02_quantile_forest", lambda s, d: md.quantile_forest(transitions(s, d), j.latest(transitions(s, d)).withColumn("id", F.col("vin")), RATE, "loss").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))
-add("n04_n05_trajectory_forecast", forecasts)
-add("n06_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 24))(md.fit_rate(transitions(s, d), RATE)))
-add("n07_gated_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(past(s, d)), RATE, 24, gate=(0.05, 0.4)))(md.fit_rate(transitions(s, d), RATE)))
+add("n04_n05_trajectory_forecast", lambda s, d: forecasts(table(s, d)))
+add("n06_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(table(s, d)), RATE, 24))(md.fit_rate(transitions(s, d), RATE)))
+add("n07_gated_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(table(s, d)), RATE, 24, gate=(0.05, 0.4)))(md.fit_rate(transitions(s, d), RATE)))
 add("n08_free_run", lambda s, d: (lambda m: md.free_run(m[0], m[1], table(s, d), ["age_months", *md.STRESS]))(md.fit_rate(transitions(s, d), ["age_months", *md.STRESS])))
-add("n13_reanchored", lambda s, d: md.reanchored(forecasts(s, d), j.latest(past(s, d)).select("vin", "soh", F.col("soh_raw").alias("raw"))))
-add("n16_importance", lambda s, d: md.importance(s, trajectory(s, d), md.TRAJECTORY))
-add("n17_fleet_scores", lambda s, d: md.score_fleet(forecasts(s, d), md.anchors(past(s, d)), past(s, d).select("vin").distinct().withColumn("deadline", F.lit(60.0)), 70.0)[0])
-add("n18_scored_histories", lambda s, d: md.forecast(trajectory(s, d), md.anchors(md.with_defaults(past(s, d))), 6))
+add("n13_reanchored", lambda s, d: md.reanchored(forecasts(table(s, d)), j.latest(table(s, d)).select("vin", "soh", F.col("soh_raw").alias("raw"))))
+add("n16_importance", lambda s, d: md.importance(s, trajectory(table(s, d)), md.TRAJECTORY))
+add("n17_fleet_scores", lambda s, d: md.score_fleet(forecasts(table(s, d)), md.anchors(table(s, d)), table(s, d).select("vin").distinct().withColumn("deadline", F.lit(96.0)), 60.0)[0])
+add("n18_scored_histories", lambda s, d: md.forecast(trajectory(table(s, d)), md.anchors(md.with_defaults(table(s, d))), 6))
 
 
 def registered(s: SparkSession, d: str) -> DataFrame:
     """N19: save, register, load the latest and score with it."""
     root = f"{shared_folder(s)}/models-{uuid.uuid4().hex}"
-    md.register(s, trajectory(s, d), root, "fleet", {"rmse": 0.0})
-    return md.forecast(md.load_latest(s, root, "fleet"), md.anchors(past(s, d)), 6)
+    md.register(s, trajectory(table(s, d)), root, "fleet", {"rmse": 0.0})
+    return md.forecast(md.load_latest(s, root, "fleet"), md.anchors(table(s, d)), 6)
 
 
 add("n19_registered_model", registered)
@@ -95,8 +95,17 @@ add("o02_leave_one_out", lambda s, d: loo.backtest(table(s, d)))
 add("o05_summary", lambda s, d: evl.summary(both_halves(s, d), cohorts(s, d)).withColumn("degrader", F.col("degrader").cast("int")))
 add("o03_coverage", lambda s, d: evl.coverage(both_halves(s, d), cohorts(s, d)).withColumn("degrader", F.col("degrader").cast("int")))
 add("o04_split_diagnostics", lambda s, d: evl.split_diagnostics(transitions(s, d), sm.split(kinds(s, d)), RATE))
-add("o07_acceptance_gate", lambda s, d: evl.gate(forecasts(s, d), de.sqrt_forecast(past(s, d), months=24), table(s, d).where("age_months >= 40").select("vin", "age_months", F.col("soh_raw").alias("soh")), cohorts(s, d)))
-add("o08_o09_training_sets", lambda s, d: (lambda t, c: evl.compare_training({"all": t.where("vin % 2 = 0"), "degraders": t.where("vin % 2 = 0").join(c.where("degrader").select("vin"), "vin", "left_semi")}, t.where("vin % 2 = 1")))(table(s, d), cohorts(s, d)))
+add("o07_acceptance_gate", lambda s, d: evl.gate(forecasts(past(s, d)), de.sqrt_forecast(past(s, d), months=24), table(s, d).where("age_months >= 40").select("vin", "age_months", F.col("soh_raw").alias("soh")), cohorts(s, d)))
+
+
+def training_sets(s: SparkSession, d: str) -> DataFrame:
+    """All vehicles or degraders only as training set; each half of the fleet is judged by what the other half trained."""
+    t, degraders = table(s, d), cohorts(s, d).where("degrader").select("vin")
+    half = lambda k: t.where(F.col("vin") % 2 == k)
+    return evl.compare_training({"all": [(half(k), half(1 - k)) for k in (0, 1)], "degraders": [(half(k).join(degraders, "vin", "left_semi"), half(1 - k)) for k in (0, 1)]})
+
+
+add("o08_o09_training_sets", training_sets)
 add(
     "o10_envelopes",
     lambda s, d: evl.envelope_comparison(fx.series(s, d), "soh_raw", {"greedy": sr.greedy_envelope, "isotonic": sr.robust_isotonic}),
