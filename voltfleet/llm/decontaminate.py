@@ -33,11 +33,12 @@ _WINDOWS = "item_id long, size int, low long, high long, print long"
 
 
 class Index(NamedTuple):
-    """Windows of a benchmark, sorted by ``low``, and the fingerprints of each size."""
+    """Distinct windows of a benchmark, sorted by ``low``, the items of each, on end, and the fingerprints of each size."""
 
     size: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    starts: np.ndarray
     item: np.ndarray
     prints: dict[int, np.ndarray]
 
@@ -79,9 +80,12 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
 def _index(windows: pa.Table) -> Index:
     col = {n: windows.column(n).to_numpy() for n in windows.column_names}
-    order = np.argsort(col["low"].view(np.uint64), kind="stable")
-    size, low, high = col["size"][order], col["low"].view(np.uint64)[order], col["high"].view(np.uint64)[order]
-    return Index(size, low, high, col["item_id"][order], {int(s): np.unique(col["print"].view(np.uint64)[col["size"] == s]) for s in np.unique(size)})
+    low, high, size = col["low"].view(np.uint64), col["high"].view(np.uint64), col["size"]
+    order = np.lexsort((size, high, low))
+    keys = np.stack([low[order], high[order], size[order].astype(np.uint64)])
+    first = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if len(order) else np.empty(0, dtype=np.int64)
+    at = order[first]
+    return Index(size[at], low[at], high[at], np.append(first, len(order)), col["item_id"][order], {int(s): np.unique(col["print"].view(np.uint64)[size == s]) for s in np.unique(size)})
 
 
 def _member(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -102,16 +106,16 @@ def _candidates(prints: np.ndarray, size: int, w: c.Words, low: np.ndarray) -> n
 
 
 def _matches(index: Index, size: int, starts: np.ndarray, hashes: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(start, item) of the windows among ``starts`` that are windows of an item."""
-    keep = index.size == size
-    low, high, item = index.low[keep], index.high[keep], index.item[keep]
+    """(start, number of the benchmark's window) for those of ``starts`` that begin one; a start has at most one of a size."""
+    keep = np.flatnonzero(index.size == size)
+    low = index.low[keep]
     mine_low, mine_high = (c.gram_hashes(h, size, starts) for h in hashes)
     left, right = np.searchsorted(low, mine_low), np.searchsorted(low, mine_low, "right")
-    n = right - left
+    n = right - left  # over 1 only where halves of hashes are equal by chance
     which = np.repeat(np.arange(len(starts)), n)
-    places = np.repeat(left, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    same = high[places] == mine_high[which]
-    return starts[which[same]], item[places[same]]
+    places = keep[np.repeat(left, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)]
+    same = index.high[places] == mine_high[which]
+    return starts[which[same]], places[same]
 
 
 def _split(texts: list[bytes]) -> tuple[c.Words, tuple[np.ndarray, np.ndarray]]:
@@ -119,7 +123,7 @@ def _split(texts: list[bytes]) -> tuple[c.Words, tuple[np.ndarray, np.ndarray]]:
     return w, c.word_hashes(w)
 
 
-def _with(batch: pa.RecordBatch, hits: list[bytes], items: list[list[int]]) -> pa.RecordBatch:
+def _with(batch: pa.RecordBatch, hits: list[bytes], items: list) -> pa.RecordBatch:
     new = {"hit": pa.array(hits, type=pa.binary()), "items": pa.array(items, type=pa.list_(pa.int64()))}
     names = [n for n in batch.schema.names if n not in (*new, "marks", "found")] + list(new)
     return pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names=names)
@@ -132,12 +136,15 @@ def _finder(shared):  # noqa: ANN001, ANN202
             w, hashes = _split(c.raw_texts(batch.column("text")))
             hit, pairs = np.zeros(len(w.doc), dtype=bool), [np.empty((0, 2), dtype=np.int64)]
             for size, prints in index.prints.items():
-                at, item = _matches(index, size, _candidates(prints, size, w, hashes[0]), hashes)
+                at, window = _matches(index, size, _candidates(prints, size, w, hashes[0]), hashes)
                 hit |= c.covered(at, size, len(hit))
-                pairs.append(np.stack([w.doc[at], item], axis=1).astype(np.int64))
-            found: list[list[int]] = [[] for _ in range(batch.num_rows)]
-            for d, i in np.unique(np.concatenate(pairs), axis=0).tolist():
-                found[d].append(i)
+                pairs.append(np.unique(np.stack([w.doc[at], window], axis=1).astype(np.int64), axis=0))  # a text's repeats count once
+            doc, window = np.concatenate(pairs).T
+            ends = np.searchsorted(doc, np.arange(batch.num_rows + 1), sorter=(order := np.argsort(doc, kind="stable")))
+            found = []
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                mine = [index.item[index.starts[k] : index.starts[k + 1]] for k in window[order[a:b]].tolist()]
+                found.append(np.unique(np.concatenate(mine)) if mine else np.empty(0, dtype=np.int64))
             yield _with(batch, [hit[a:b].tobytes() for a, b in zip(w.first[:-1], w.first[1:], strict=True)], found)
 
     return find

@@ -24,8 +24,10 @@ UNKNOWN = "und"
 HELD = 1 << 21
 #: Of a n-gram's code points; 0 stands for none and 1 for a word border.
 CODE_BITS = 21
-#: Texts that are ranked at once.
+#: Texts whose n-grams are counted at once.
 _ROWS = 1 << 16
+#: Numbers of ranks, n-grams times languages, that are compared at once.
+_RANKS = 1 << 21
 
 
 class Profiles(NamedTuple):
@@ -150,15 +152,21 @@ def rank_documents(texts: list[str], profiles: Profiles) -> tuple[list[str], np.
     text, gram, rank = (x[rank < TOP] for x in (text, gram, rank))
     at = np.searchsorted(profiles.grams, gram)
     at = np.where(profiles.grams[np.minimum(at, len(profiles.grams) - 1)] == gram, at, len(profiles.grams))
-    places = profiles.ranks[at]
-    out = np.where(places < TOP, np.abs(places - rank[:, None]), TOP).astype(np.int64)
     starts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
-    distance = np.add.reduceat(out, starts, axis=0)
-    best = distance.argmin(axis=1)
-    size = np.diff(np.append(starts, len(text)))
-    for i, b in zip(text[starts].tolist(), best.tolist(), strict=True):
-        names[i] = profiles.names[b]
-    scores[text[starts]] = 1 - distance[np.arange(len(best)), best] / (size * TOP)
+    ends = np.append(starts[1:], len(text))
+    first = 0
+    while first < len(starts):  # as many texts as keep within the bound, each of which has TOP n-grams at most
+        low = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, low + _RANKS // len(profiles.names), "right")))
+        mine = slice(low, ends[last - 1])
+        places = profiles.ranks[at[mine]]
+        out = np.where(places < TOP, np.abs(places - rank[mine, None]), TOP)
+        distance = np.add.reduceat(out, starts[first:last] - low, axis=0, dtype=np.int64)
+        best = distance.argmin(axis=1)
+        for i, b in zip(text[starts[first:last]].tolist(), best.tolist(), strict=True):
+            names[i] = profiles.names[b]
+        scores[text[starts[first:last]]] = 1 - distance[np.arange(len(best)), best] / ((ends[first:last] - starts[first:last]) * TOP)
+        first = last
     return names, scores
 
 

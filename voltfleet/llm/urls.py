@@ -60,10 +60,16 @@ def _judged(host: Column, path: Column, rules: tuple[Rule, ...], value) -> Colum
 
 
 def _entropy(text: Column) -> Column:
-    letters = F.filter(F.split(text, ""), lambda x: x != "")
-    n = F.size(letters).cast("double")
-    shares = F.transform(F.array_distinct(letters), lambda x: F.size(F.filter(letters, lambda y: y == x)) / n)
-    return F.aggregate(shares, F.lit(0.0), lambda total, p: total - p * F.log2(p))
+    """Shannon entropy of a text's letters in bits, by the lengths of runs of its sorted letters: n log n, however many differ."""
+    letters = F.array_sort(F.filter(F.split(text, ""), lambda x: x != ""))
+    start = F.struct(F.lit("").alias("last"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("n"))
+    whole = lambda run: F.when(run > 0, run * F.log2(run)).otherwise(0.0)
+
+    def add(seen: Column, letter: Column) -> Column:
+        again = seen["last"] == letter
+        return F.struct(letter.alias("last"), F.when(again, seen["run"] + 1).otherwise(1.0).alias("run"), F.when(again, seen["sum"]).otherwise(seen["sum"] + whole(seen["run"])).alias("sum"), (seen["n"] + 1).alias("n"))
+
+    return F.aggregate(letters, start, add, lambda seen: F.when(seen["n"] > 0, F.log2(seen["n"]) - (seen["sum"] + whole(seen["run"])) / seen["n"]).otherwise(0.0))
 
 
 def lexical(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -113,7 +119,7 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, max_train: int
     totals = judged.agg(F.count("*").alias("n"), F.coalesce(F.avg((F.col("judged") == "block").cast("double")), F.lit(0.0)).alias("blocked")).first()
     overall = totals["blocked"]
     for column in ("suffix", "site"):
-        rows = rows.join(_rates(judged, column, overall), column, "left")
+        rows = c.join_one(rows, _rates(judged, column, overall), column, "left")
     rows = rows.fillna(overall, ["suffix_rate", "site_rate"])
     rows = VectorAssembler(inputCols=list(NUMBERS), outputCol="features").transform(rows)
     if 0 < overall < 1:
