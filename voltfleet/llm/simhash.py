@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFram
     roots = components(links(kinds, tau))
     named = c.cut(kinds.join(roots, kinds["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root")))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return own.join(c.cut(c.join_one(named, names, "root").select("print", "component_id")), "print")
+    return c.join_one(own, c.cut(c.join_one(named, names, "root").select("print", "component_id")), "print")
 
 
 #: Words of a wide fingerprint, of 64 bits each, and the share of pairs at the least similarity that the probes must meet.
@@ -406,9 +406,10 @@ def _left_to_verify(members: DataFrame, near: DataFrame) -> DataFrame:
     meets each block of all. So a large group of near copies of one text costs a row for each document, and one for each block of stragglers.
     """
     main = near.groupBy("group", "b").agg(F.count("*").alias("n")).groupBy("group").agg(F.max_by("b", F.struct("n", "b")).alias("main"))
-    led = near.join(main, "group").where("b = main").select(F.col("a").alias("doc_id"), F.lit(True).alias("led"))
+    main = c.cut(main)
+    led = c.join_one(near, main, "group").where("b = main").select(F.col("a").alias("doc_id"), F.lit(True).alias("led"))
     label = F.when(F.coalesce("led", F.lit(False)) | (F.col("doc_id") == F.col("main")), F.col("main")).otherwise(F.col("doc_id"))
-    named = c.cut(members.select("doc_id", "group").join(main, "group", "left").join(led, "doc_id", "left").select("doc_id", "group", label.alias("label"), (label == F.col("main")).alias("in_main")))
+    named = c.cut(c.join_one(members.select("doc_id", "group"), main, "group", "left").join(led, "doc_id", "left").select("doc_id", "group", label.alias("label"), (label == F.col("main")).alias("in_main")))
     blocks = lambda n: F.greatest(F.ceil(n * 2 / VERIFY_BLOCK), F.lit(1))
     counts = named.groupBy("group").agg(F.count_if("in_main").alias("mains"), F.count_if(~F.coalesce("in_main", F.lit(False))).alias("others"))
     open_ = c.cut(counts.where("others > 0").select("group", blocks(F.col("mains")).alias("mains"), blocks(F.col("others")).alias("others")))
@@ -503,9 +504,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     if not big.isEmpty():
         exact = exact.unionByName(_large_groups(members.join(big, "group", "left_semi"), similarity, most))
     least = c.cut(rows.groupBy("digest").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    roots = components(exact).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
-    copies_of = rows.join(least, "digest").select("doc_id", "b").where("doc_id <> b")
-    named = copies_of.join(roots.select(F.col("doc_id").alias("b"), "component_id"), "b", "left").select("doc_id", F.coalesce("component_id", "b").alias("component_id"))
+    roots = c.cut(components(exact).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id")))
+    copies_of = c.join_one(rows.select("doc_id", "digest"), least, "digest").select("doc_id", "b").where("doc_id <> b")
+    named = c.join_one(copies_of, roots.select(F.col("doc_id").alias("b"), "component_id"), "b", "left").select("doc_id", F.coalesce("component_id", "b").alias("component_id"))
     alone = least.select(F.col("b").alias("doc_id")).join(roots, "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("component_id"))
     return roots.unionByName(named).unionByName(alone)
 
