@@ -7,6 +7,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import selection
 from . import series as sr
 
 
@@ -29,8 +30,8 @@ def _long(table: DataFrame, metrics: list[str], keep: list[str]) -> DataFrame:
 
 def distributions(table: DataFrame, metrics: list[str]) -> DataFrame:
     """metric, n, mean and deciles."""
-    q = F.percentile("value", F.array(*map(F.lit, (0.1, 0.5, 0.9))))
-    out = _long(table, metrics, []).where("value is not null").groupBy("metric").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), q.alias("q"))
+    rows = _long(table, metrics, []).where("value is not null")
+    out = rows.groupBy("metric").agg(F.avg("value").alias("mean")).join(F.broadcast(selection.exact_quantiles(rows, "value", (0.1, 0.5, 0.9), "metric")), "metric")
     return out.select("metric", "n", "mean", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p90"))
 
 

@@ -1,42 +1,28 @@
-"""Grouped maps, lookups inside functions, builders by source, and rows made of rows: small helpers run by Spark's groups."""
+"""Per-vehicle reductions as aggregates; lookups as joins; builders by source, and rows made of rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Build = Callable[[DataFrame], DataFrame]
 
 
-def per_group(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Map each group's rows as a pandas frame. ``keys`` must bound a group, such as a vehicle or a vehicle-month."""
-    return df.groupBy(*keys).applyInPandas(fn, schema)
+def net_change(value: str, order: str) -> Column:
+    """Aggregate: the value that comes first in order less the one that comes last."""
+    return F.min_by(value, order) - F.max_by(value, order)
 
 
-def net_change(group: pd.DataFrame, value: str, order: str) -> float:
-    """First value less the last one, in order."""
-    rows = group.sort_values(order)[value]
-    return float(rows.iloc[0] - rows.iloc[-1])
+def variation(value: str) -> Column:
+    """Aggregate: coefficient of variation in %; null where the mean is zero or a group has one row."""
+    return F.when(F.avg(value) != 0, F.stddev_samp(value) / F.avg(value) * 100)
 
 
-def variation(values: pd.Series) -> float:
-    """Coefficient of variation in %; not a number where the mean is zero."""
-    mean = values.mean()
-    return float("nan") if mean == 0 else float(values.std() / mean * 100)
-
-
-def looked_up(df: DataFrame, key: str, table: DataFrame, value: str, default: float) -> Column:
-    """A lookup inside a vectorised function: the small ``table`` (key, value), of sources or models, is broadcast as a dictionary."""
-    known = df.sparkSession.sparkContext.broadcast({r[0]: r[1] for r in table.select(key, value).collect()})
-
-    @F.pandas_udf("double")
-    def find(keys: pd.Series) -> pd.Series:
-        return keys.map(known.value).astype("float64").fillna(default)
-
-    return find(F.col(key))
+def looked_up(df: DataFrame, key: str, table: DataFrame, value: str, default: float) -> DataFrame:
+    """``df`` with ``value`` of the one row that its key has in ``table``, or the default; Spark broadcasts a table small enough."""
+    return df.join(table.select(key, value), key, "left").fillna(default, [value])
 
 
 def by_source(df: DataFrame, source: str, builders: dict[str, Build], default: Build) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import selection
 from .events import session_rollup
 
 
@@ -109,8 +110,7 @@ def age_band(df: DataFrame, value: str, width: int = 3, least: int = 5) -> DataF
 
 def fleet_stat(df: DataFrame, column: str, least: int = 10) -> DataFrame:
     """One row: number, median and outer deciles of a column; none with too few values."""
-    q = F.percentile(column, F.array(F.lit(0.5), F.lit(0.1), F.lit(0.9)))
-    return df.agg(F.count(column).alias("n"), q.alias("q")).where(F.col("n") >= least).select("n", F.col("q")[0].alias("median"), F.col("q")[1].alias("p10"), F.col("q")[2].alias("p90"))
+    return selection.exact_quantiles(df, column, (0.5, 0.1, 0.9)).where(F.col("n") >= least).select("n", F.col("q")[0].alias("median"), F.col("q")[1].alias("p10"), F.col("q")[2].alias("p90"))
 
 
 def feed_coverage(a: DataFrame, b: DataFrame, by: str = "month") -> DataFrame:
@@ -141,7 +141,7 @@ def positive_median(column: str) -> Column:
 def quartile_curves(df: DataFrame, value: str, usage: str) -> DataFrame:
     """Mean value by rounded age in each usage quartile of vehicles."""
     use = df.groupBy("vin").agg(F.avg(usage).alias("use"))
-    cuts = use.agg(F.percentile("use", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    cuts = selection.exact_quantiles(use, "use", (0.25, 0.5, 0.75)).select("q")
     use = use.crossJoin(F.broadcast(cuts)).withColumn("quartile", 1 + F.size(F.filter("q", lambda x: x < F.col("use"))))
     return df.join(use.select("vin", "quartile"), "vin").groupBy("quartile", F.bround("age_months").alias("age")).agg(F.avg(value).alias("mean"), F.count("*").alias("n"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import folds, stats
+from ..functions import folds, selection, stats
 from . import series as sr
 
 
@@ -84,7 +84,7 @@ def curate(df: DataFrame, soh: str = "soh", eol: float = 80.0, warranty_months:
 def recovery_inliers(df: DataFrame, soh: str = "soh_raw", margin: float = 3.5, most_per_year: float = 10.0) -> DataFrame:
     """Adds inlier: not a dip that later months recover from (but for the last two months), nor a fade from 100 steeper than
     plausible."""
-    df = df.withColumns({"later": sr.suffix_median(soh), "left": F.row_number().over(Window.partitionBy("vin").orderBy(F.desc("month")))})
+    df = selection.later_medians(df, soh, "later").withColumns({"left": F.row_number().over(Window.partitionBy("vin").orderBy(F.desc("month")))})
     dip = (F.col("left") > 2) & (F.col("later") > F.col(soh) + margin)
     fast = (100 - F.col(soh)) / F.greatest(F.col("age_months") / 12, F.lit(0.25)) > most_per_year
     return df.withColumn("inlier", ~F.coalesce(dip, F.lit(False)) & ~fast).drop("later", "left")

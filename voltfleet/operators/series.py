@@ -110,11 +110,6 @@ def recent_loss_rate(df: DataFrame, soh: str = "soh", k: int = 8, least: int = 3
     return F.when((F.count(F.lit(1)).over(recent) >= least) & (span > 0), rate).otherwise(0.0)
 
 
-def suffix_median(column: str) -> Column:
-    """Median of all later values; null at the last row."""
-    return F.percentile(column, 0.5).over(by_month().rowsBetween(1, Window.unboundedFollowing))
-
-
 def trailing_run(df: DataFrame, column: str) -> DataFrame:
     """vin, run: how many of the last rows have the last value."""
     back = Window.partitionBy("vin").orderBy(F.desc("month"))

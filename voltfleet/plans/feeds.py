@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,21 +118,9 @@ add(
     columns="vin:s ymd:s capacity_ah:d n_sessions:i temp_max:d dte_mean:d soh:d ah_throughput:d dod_mean:d odo_max:d km_month:d cum_ah:d cum_km:d inv_sqrt_age:d soh_deficit:d",
 )
 
-def fallen(rows: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"vin": [rows["vin"].iloc[0]], "fallen": [grouped.net_change(rows, "soh_raw", "month")], "spread": [grouped.variation(rows["soh_raw"])]})
-
-
-def month_swing(rows: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"vin": [rows["vin"].iloc[0]], "month": [rows["month"].iloc[0]], "swing": [rows["soc"].max() - rows["soc"].min()], "n": [len(rows)]})
-
-
-def spread(values: pd.Series) -> float:
-    return grouped.variation(values)
-
-
-add("t01_t06_per_vehicle", lambda s, d: grouped.per_group(fx.series(s, d).where("n > 2").select("vin", "month", "soh_raw"), ["vin"], fallen, "vin long, fallen double, spread double"), SERIES, select="SELECT vin, arg_min(soh_raw, month) - arg_max(soh_raw, month) AS fallen, stddev_samp(soh_raw) / avg(soh_raw) * 100 AS spread FROM ser WHERE n > 2 GROUP BY vin", columns="vin:i fallen:d spread:d")
-add("t02_per_vehicle_month", lambda s, d: grouped.per_group(fx.telemetry(s, d).select("vin", F.date_trunc("month", "t").alias("month"), "soc"), ["vin", "month"], month_swing, "vin long, month timestamp, swing double, n long"), TELEMETRY, select="SELECT vin, date_trunc('month', t)::TIMESTAMP AS month, max(soc) - min(soc) AS swing, count(*) AS n FROM tel GROUP BY 1, 2", columns="vin:i month:t swing:d n:i")
-add("t04_lookup_in_function", lambda s, d: (lambda r: r.select("vin", grouped.looked_up(r, "oem", s.createDataFrame([("ASIA", 133.0), ("EUROPE", 100.0)], "oem string, nominal double"), "nominal", 120.0).alias("nominal")))(fx.registration(s, d)), REGISTRATION, select="SELECT vin, CASE oem WHEN 'ASIA' THEN 133.0 WHEN 'EUROPE' THEN 100.0 ELSE 120.0 END AS nominal FROM reg", columns="vin:i nominal:d")
+add("t01_t06_per_vehicle", lambda s, d: fx.series(s, d).where("n > 2").groupBy("vin").agg(grouped.net_change("soh_raw", "month").alias("fallen"), grouped.variation("soh_raw").alias("spread")), SERIES, select="SELECT vin, arg_min(soh_raw, month) - arg_max(soh_raw, month) AS fallen, stddev_samp(soh_raw) / avg(soh_raw) * 100 AS spread FROM ser WHERE n > 2 GROUP BY vin", columns="vin:i fallen:d spread:d")
+add("t02_per_vehicle_month", lambda s, d: fx.telemetry(s, d).groupBy("vin", F.date_trunc("month", "t").alias("month")).agg((F.max("soc") - F.min("soc")).alias("swing"), F.count("*").alias("n")), TELEMETRY, select="SELECT vin, date_trunc('month', t)::TIMESTAMP AS month, max(soc) - min(soc) AS swing, count(*) AS n FROM tel GROUP BY 1, 2", columns="vin:i month:t swing:d n:i")
+add("t04_lookup_in_function", lambda s, d: grouped.looked_up(fx.registration(s, d), "oem", s.createDataFrame([("ASIA", 133.0), ("EUROPE", 100.0)], "oem string, nominal double"), "nominal", 120.0).select("vin", "nominal"), REGISTRATION, select="SELECT vin, CASE oem WHEN 'ASIA' THEN 133.0 WHEN 'EUROPE' THEN 100.0 ELSE 120.0 END AS nominal FROM reg", columns="vin:i nominal:d")
 add(
     "t05_builders_by_source",
     lambda s, d: grouped.by_source(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bounded as bd
 from ..functions import scalars as sc
+from ..functions import selection as sel
 from ..functions import stats as st
 from ..operators import joins as j
 from ..operators import series as sr
@@ -219,6 +220,21 @@ add(
     select="SELECT (SELECT median(low_soh) FROM low) AS median, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM mid",
     columns="median:d low:d high:d",
 )
+add(
+    "k14_bootstrap_correlation",
+    lambda s, d: sel.bootstrap_correlation(fx.series(s, d).groupBy(F.col("vin").alias("id")).agg(F.avg("temp_max").alias("heat"), F.min("soh_raw").alias("low_soh")), "heat", "low_soh"),
+    SERIES,
+    "own AS (SELECT vin AS id, avg(temp_max) AS x, min(soh_raw) AS y FROM ser GROUP BY vin)",
+    "ctr AS (SELECT id, x - (SELECT avg(x) FROM own) AS x, y - (SELECT avg(y) FROM own) AS y FROM own)",
+    f"hs1 AS (SELECT x, y, id % {sel.PRIME} AS i, b, (id % {sel.PRIME} * 16807 + b * 48271 + 12345) % {sel.PRIME} AS h FROM ctr, generate_series(1, 2000) AS g(b))",
+    f"hs2 AS (SELECT x, y, b, (h * h + i) % {sel.PRIME} AS h FROM hs1)",
+    f"hs3 AS (SELECT x, y, b, (h * h + b) % {sel.PRIME} / {sel.PRIME} AS u FROM hs2)",
+    f"wei AS (SELECT x, y, b, {' + '.join(f'(u >= {p})::INT' for p in sel.POISSON)} AS w FROM hs3)",
+    "mom AS (SELECT b, sum(w) AS w, sum(w * x) AS x, sum(w * y) AS y, sum(w * x * x) AS xx, sum(w * y * y) AS yy, sum(w * x * y) AS xy FROM wei GROUP BY b)",
+    "rho AS (SELECT (xy - x * y / w) / sqrt((xx - x * x / w) * (yy - y * y / w)) AS rho FROM mom WHERE w > 1)",
+    select="SELECT (SELECT corr(x, y) FROM own) AS rho, (SELECT count(*) FROM own) AS n, quantile_cont(rho, 0.025) AS low, quantile_cont(rho, 0.975) AS high FROM rho",
+    columns="rho:d n:i low:d high:d",
+)
 add("k15_relative_slopes", lambda s, d: st.relative_slopes(fx.series(s, d), "soh_raw"), SERIES, select="SELECT vin, regr_slope(soh_raw, age_months) / avg(soh_raw) * 100 AS rel_slope, count(*) AS n FROM ser GROUP BY vin HAVING count(*) >= 6", columns="vin:i rel_slope:d n:i")
 add("k20_errors", lambda s, d: st.errors(fx.series(s, d).withColumn("p", F.lag("soh_raw").over(sr.by_month())), "p", "soh_raw", ("vin",)), SERIES, select="SELECT vin, sqrt(avg((p - soh_raw) ** 2)) AS rmse, avg(abs(p - soh_raw)) AS mae, avg(p - soh_raw) AS bias, count(*) AS n FROM (SELECT *, lag(soh_raw) OVER (PARTITION BY vin ORDER BY month) AS p FROM ser) WHERE p IS NOT NULL GROUP BY vin", columns="vin:i rmse:d mae:d bias:d n:i")
 

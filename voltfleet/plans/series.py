@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import selection
 from ..operators import series as sr
 from ..sources import fixtures as fx
 from .base import SERIES, Book
@@ -105,7 +106,7 @@ add(
 )
 add(
     "f17_suffix_median",
-    lambda s, d: fx.series(s, d).select("vin", "month", sr.suffix_median("soh_raw").alias("later")),
+    lambda s, d: selection.later_medians(fx.series(s, d).select("vin", "month", "soh_raw"), "soh_raw", "later").select("vin", "month", "later"),
     SERIES,
     select="SELECT vin, month, median(soh_raw) OVER (PARTITION BY vin ORDER BY month ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM ser",
     columns="vin:i month:t later:d",
