@@ -26,10 +26,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the session's spark.checkpoint.dir. Where it is unset, one of this machine's own is set."""
+    """The folder that all executors share: the session's spark.checkpoint.dir. Where it is unset, a session of one machine gets one of its own, any other an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return context.getCheckpointDir()
 
 
