@@ -74,3 +74,19 @@ def test_medians_of_later_values(spark):
         assert all(out[v, m] == (np.median(mine[m + 1 :]) if m < 39 else None) for m in range(40))
     long = selection.medians_of_later(rng.normal(size=100_000).tolist())
     assert long[-1] is None and len(long) == 100_000
+
+
+def test_contrasting_pair_equals_all_pairs(spark):
+    from voltfleet.operators import joins
+
+    rng = np.random.default_rng(10)
+    rows = [(int(v), "ab"[int(v) % 2], float(n), float(f)) for v, n, f in zip(range(1, 400), rng.integers(-300, 300, 399) / 4, rng.integers(0, 12, 399), strict=True)]
+    rows += [(1000, "lone", 5.0, 1.0), (1001, "far", 0.0, 1.0), (1002, "far", 99.0, 9.0), (1003, "same", 1.0, 4.0), (1005, "same", 1.0, 4.0), (1004, "same", 2.0, 4.0), (1006, "a", None, 99.0), (1007, "a", 1.0, None)]
+    df = spark.createDataFrame(rows, "vin long, oem string, km double, low double").repartition(3)
+    got = {r["oem"]: (r["apart"], r["vin_a"], r["vin_b"]) for r in joins.contrasting_pair(df, "km", "low", 2.0, "oem").collect()}
+    want = {}
+    for v, g, n, f in rows:
+        for w, h, m, k in rows:
+            if g == h and v < w and None not in (n, m, f, k) and abs(n - m) <= 2.0:
+                want[g] = min(want.get(g, (1, 0, 0)), (-abs(f - k), v, w))
+    assert got == {g: (-a, v, w) for g, (a, v, w) in want.items()}

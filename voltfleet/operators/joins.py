@@ -94,12 +94,24 @@ def peer_rank(df: DataFrame, value: str, age: str = "age_months", by: str = "oem
 def contrasting_pair(df: DataFrame, near: str, far: str, tolerance: float, by: str) -> DataFrame:
     """Per group the two vehicles with ``near`` within a tolerance of each other and the most different ``far``.
 
-    Values are cut into cells of the tolerance's width and joined with the own and the next cell, so no group is joined whole.
+    Only a vehicle's extreme partners can be in that pair, so no pairs are listed. Values are cut into cells of the tolerance's
+    width: all of a cell are within it of each other, which makes the partners there the cell's extremes, and of the next cell
+    those up to the tolerance are a beginning, whose extremes run along as the cell's rows and the askers are gone through in
+    order. Of equally different pairs the one with the smallest vehicles is taken.
     """
-    cell = F.floor(F.col(near) / tolerance)
-    a = df.select(by, F.col("vin").alias("vin_a"), F.col(near).alias("near_a"), F.col(far).alias("far_a"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    b = df.select(by, F.col("vin").alias("vin_b"), F.col(near).alias("near_b"), F.col(far).alias("far_b"), cell.alias("cell"))
-    pairs = a.join(b, [by, "cell"]).where((F.col("vin_a") < F.col("vin_b")) & (F.abs(F.col("near_a") - F.col("near_b")) <= tolerance)).withColumn("apart", F.abs(F.col("far_a") - F.col("far_b")))
+    value = F.struct(F.col("far"), F.col("vin"))
+    rows = df.select(by, "vin", F.col(near).cast("double").alias("near"), F.col(far).cast("double").alias("far")).dropna(subset=["near", "far"]).withColumn("cell", F.floor(F.col("near") / tolerance))
+    low, high = F.min(value), F.max(F.struct(F.col("far"), (-F.col("vin")).alias("minus")))  # the smallest vehicle of equal values in both
+    own = Window.partitionBy(by, "cell")
+    same = rows.select(by, "vin", "far", low.over(own).alias("low"), high.over(own).alias("high"))
+    asks = rows.select(by, "vin", "near", "far", (F.col("near") + tolerance).alias("at"), (F.col("cell") + 1).alias("cell"), F.lit(1).alias("asks"))
+    line = rows.select(by, "vin", "near", "far", F.col("near").alias("at"), "cell", F.lit(0).alias("asks")).unionByName(asks)
+    so_far = Window.partitionBy(by, "cell").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0)
+    there = F.when(F.col("asks") == 0, value), F.when(F.col("asks") == 0, F.struct(F.col("far"), (-F.col("vin")).alias("minus")))
+    later = line.select(by, "vin", "far", "asks", F.min(there[0]).over(so_far).alias("low"), F.max(there[1]).over(so_far).alias("high")).where("asks = 1").drop("asks")
+    partners = F.explode(F.array(F.struct(F.col("low.far").alias("far"), F.col("low.vin").alias("vin")), F.struct(F.col("high.far").alias("far"), (-F.col("high.minus")).alias("vin"))))
+    pairs = same.unionByName(later).select(by, "vin", "far", partners.alias("other")).where("other.vin <> vin")
+    pairs = pairs.select(by, F.least("vin", "other.vin").alias("vin_a"), F.greatest("vin", "other.vin").alias("vin_b"), F.abs(F.col("far") - F.col("other.far")).alias("apart"))
     best = F.max_by(F.struct("vin_a", "vin_b", "apart"), F.struct("apart", -F.col("vin_a"), -F.col("vin_b")))
     return pairs.groupBy(by).agg(best.alias("best")).select(by, "best.*")
 
