@@ -188,16 +188,15 @@ def test_trajectory_trains_on_all_later_months_of_all_vehicles(spark, monkeypatc
     assert models.trajectory_rows(df).agg(F.max("horizon")).first()[0] == 36
     assert models.trajectory_rows(df).count() == 6 * sum(range(1, 37))
     seen = []
-    monkeypatch.setattr(plans, "past", lambda s, d: df)
     monkeypatch.setattr(plans.md, "fit_trajectory", seen.append)
-    plans.trajectory(spark, FOLDER)
+    plans.trajectory(df)
     assert seen[0].select("vin").distinct().count() == 6
     assert seen[0].agg(F.max("horizon")).first()[0] == 36
 
 
 def test_scored_histories_cover_all_vehicles(spark, monkeypatch):
     df = fading(spark, 6, 12)
-    monkeypatch.setattr(plans, "past", lambda s, d: df)
+    monkeypatch.setattr(plans, "table", lambda s, d: df)
     assert {(r["vin"], r["count"]) for r in plans.book.queries["n18_scored_histories"](spark, FOLDER).groupBy("vin").count().collect()} == {(v, 6) for v in range(6)}
     blank = models.with_defaults(df.withColumn("month", F.when(F.col("vin") % 2 == 0, F.col("month"))))
     assert blank.exceptAll(df).count() == 0
@@ -209,7 +208,7 @@ def test_learning_curve_covers_all_vehicles(spark):
 
 
 def test_forecast_bands_are_ordered(spark):
-    out = plans.forecasts(spark, "/root/testdata/sf0.001")
+    out = plans.forecasts(plans.table(spark, FOLDER))
     assert out.where("p10 > p50 + 1e-9 or p50 > p90 + 1e-9 or p10 < 0 or p90 > 100").count() == 0
 
 
