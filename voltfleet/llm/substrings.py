@@ -57,11 +57,11 @@ def _text_slices(table: pa.Table):  # noqa: ANN202
 
 def _anchors(w: c.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the anchors in texts that hold a window."""
-    grams = c.gram_hashes(hashes, ANCHOR)
-    doc = w.doc[: len(grams)]
-    within = np.arange(len(grams)) - w.first[:-1][doc] if len(grams) else np.empty(0, dtype=np.int64)
+    n = max(0, len(w.doc) - ANCHOR + 1)
+    doc = w.doc[:n]
+    within = np.arange(n) - w.first[:-1][doc]
     at = np.flatnonzero(np.isin(within % PERIOD, COVER) & c.whole(w, ANCHOR) & (np.diff(w.first)[doc] >= WINDOW))
-    return at, grams[at]
+    return at, c.gram_hashes(hashes, ANCHOR, at)
 
 
 def _planes(ids: np.ndarray) -> bytes:
