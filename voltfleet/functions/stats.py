@@ -1,11 +1,16 @@
-"""Robust statistics and small fits as aggregates; per-group ones read groups of a vehicle's months, so pairs stay few."""
+"""Robust statistics and small fits as aggregates; per-group ones read groups of a vehicle's months."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import series as sr
+from . import counting
 
 
 def cv(column: str) -> Column:
@@ -25,20 +30,27 @@ def mad(df: DataFrame, column: str, by: str = "vin") -> DataFrame:
 
 
 def theil_sen(df: DataFrame, x: str, y: str, by: str = "vin") -> DataFrame:
-    """by, slope (median over pairs), intercept (median of y - slope x), n; slope 0 where no two x differ."""
-    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    groups = points.groupBy(by).agg(F.collect_list(F.struct("x", "y")).alias("p"))
-    ahead = F.transform("p", lambda a, i: F.transform(F.filter(F.slice("p", i + 2, F.size("p")), lambda b: b["x"] != a["x"]), lambda b: (b["y"] - a["y"]) / (b["x"] - a["x"])))
-    groups = groups.withColumn("slopes", F.flatten(ahead)).withColumn("slope", F.coalesce(array_median(F.col("slopes")), F.lit(0.0)))
-    return groups.select(by, "slope", array_median(F.transform("p", lambda p: p["y"] - F.col("slope") * p["x"])).alias("intercept"), F.size("p").alias("n"))
-
-
-def array_median(values: Column) -> Column:
-    """Median of an array; null if it is empty."""
-    s = F.array_sort(values)
-    n = F.size(values)
-    low, high = F.floor((n - 1) / 2).cast("int") + 1, F.floor(n / 2).cast("int") + 1
-    return F.when(n > 0, (F.try_element_at(s, low) + F.try_element_at(s, high)) / 2)
+    """by, slope (median over pairs), intercept (median of y - slope x), n; slope 0 where no two x differ.
+
+    Points with a null or NaN don't count; a group without others has no row. Slopes are found by rank (``counting``), not listed.
+    """
+    number = {c: F.col(c).cast("double") for c in (x, y)}
+    good = [number[c].isNotNull() & ~F.isnan(number[c]) for c in (x, y)]
+    groups = df.where(good[0] & good[1]).groupBy(by).agg(F.collect_list(number[x]).alias("xs"), F.collect_list(number[y]).alias("ys"))
+    kind = dict(df.dtypes)[by]
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs, ys = batch.column("xs"), batch.column("ys")
+            out = []
+            for i in range(batch.num_rows):
+                u, v = xs[i].values.to_numpy(), ys[i].values.to_numpy()
+                slope = counting.median_slope(u, v) or 0.0
+                out.append((slope, float(np.median(v - slope * u)), len(u)))
+            columns = [pa.array(list(c), type=t) for c, t in zip(zip(*out, strict=True) if out else ([], [], []), (pa.float64(), pa.float64(), pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(by), *columns], names=[by, "slope", "intercept", "n"])
+
+    return groups.mapInArrow(fit, f"`{by}` {kind}, slope double, intercept double, n int")
 
 
 def decline_per_year(df: DataFrame, value: str, least: int = 4, span: float = 4.0) -> DataFrame:

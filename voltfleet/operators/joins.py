@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import dominance
 from .series import with_ranks
 
 
@@ -80,15 +81,13 @@ def fuzzy_spec(rows: DataFrame, name: str, specs: DataFrame) -> DataFrame:
 def peer_rank(df: DataFrame, value: str, age: str = "age_months", by: str = "oem", band: float = 6.0, least: int = 10) -> DataFrame:
     """Share in % of same-source vehicles of about the same age with a lower value; of the whole source with too few peers.
 
-    Ages are cut into cells of the band's width, so a vehicle meets its own and the two next cells only.
+    One row of ``df`` for each vehicle; ones without a value, an age or a source have no rank and no row. Peers are counted, not
+    met: :func:`dominance.band_counts`.
     """
-    cell = F.floor(F.col(age) / band)
-    a = df.select("vin", by, F.col(age).alias("age_a"), F.col(value).alias("value_a"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    b = df.select(by, F.col(age).alias("age_b"), F.col(value).alias("value_b"), cell.alias("cell"))
-    peers = a.join(b, [by, "cell"]).where(F.abs(F.col("age_a") - F.col("age_b")) <= band)
-    peers = peers.groupBy("vin").agg(F.count("*").alias("peers"), (F.count_if(F.col("value_b") < F.col("value_a")) / F.count("*") * 100).alias("share"))
+    counts = dominance.band_counts(df.select("vin", by, age, value), "vin", age, value, by, band).withColumnRenamed("within", "peers")
     fleet = with_ranks(df, value, [by]).withColumn("fleet", F.col("below") / F.col("of") * 100).drop("below", "ties", "of")
-    return fleet.join(peers, "vin").withColumn("rank", F.when(F.col("peers") >= least, F.col("share")).otherwise(F.col("fleet"))).drop("share", "fleet")
+    share = F.col("lower") / F.col("peers") * 100
+    return fleet.join(counts, "vin").withColumn("rank", F.when(F.col("peers") >= least, share).otherwise(F.col("fleet"))).drop("lower", "fleet")
 
 
 def contrasting_pair(df: DataFrame, near: str, far: str, tolerance: float, by: str) -> DataFrame:
