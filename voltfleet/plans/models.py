@@ -12,10 +12,11 @@ from ..operators import evaluate as evl
 from ..operators import joins as j
 from ..operators import leave_one_out as loo
 from ..operators import models as md
+from ..operators import pinball as pb
 from ..operators import samples as sm
 from ..operators import series as sr
 from ..sources import fixtures as fx
-from ..sources.shared import shared_folder
+from ..sources.shared import cut, shared_folder
 from .base import SERIES, Book
 from .quality import kinds, labelled
 from .series import HAMPEL, NUM, pava
@@ -55,6 +56,20 @@ def forecasts(rows: DataFrame) -> DataFrame:
 
 add("n01_n03_rate_model", lambda s, d: (lambda t: (lambda m: md.predict(m[0], t).select("vin", "month", "loss", (F.col("prediction") + m[1]).alias("predicted")))(md.fit_rate(t, RATE)))(transitions(s, d)))
 add("n02_quantile_forest", lambda s, d: md.quantile_forest(transitions(s, d), j.latest(transitions(s, d)).withColumn("id", F.col("vin")), RATE, "loss").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))
+add("n02_pinball_boosting", lambda s, d: (lambda t: pb.predict(pb.fit(t, RATE, "loss"), j.latest(t), "vin").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))(transitions(s, d)))
+
+
+def quantile_losses(s: SparkSession, d: str) -> DataFrame:
+    """N2: pinball losses of boosted quantiles, and of the training set's own, for vehicles (one of three folds) not fitted on."""
+    rows, levels = cut(transitions(s, d).select("vin", F.concat_ws(" ", "vin", "month").alias("id"), *RATE, "loss")), (0.1, 0.5, 0.9)
+    held = sm.fold_of(F.col("vin"), 3) == 0
+    model, asked = pb.fit(rows.where(~held), RATE, "loss", levels), rows.where(held)
+    found = {"boosted": pb.predict(model, asked, "id").join(asked.select("id", "loss"), "id"), "constant": asked.withColumn("q", F.lit(model.start.tolist()))}
+    parts = [pb.loss(r, "loss", levels).select(F.lit(name).alias("model"), F.posexplode(F.arrays_zip("loss", "under")).alias("level", "at"), "n") for name, r in found.items()]
+    return parts[0].unionByName(parts[1]).select("model", "level", "at.loss", "at.under", "n")
+
+
+add("n02_quantile_losses", quantile_losses)
 add("n04_n05_trajectory_forecast", lambda s, d: forecasts(table(s, d)))
 add("n06_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(table(s, d)), RATE, 24))(md.fit_rate(transitions(s, d), RATE)))
 add("n07_gated_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(table(s, d)), RATE, 24, gate=(0.05, 0.4)))(md.fit_rate(transitions(s, d), RATE)))
