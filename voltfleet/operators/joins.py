@@ -44,10 +44,17 @@ def nearest(rows: DataFrame, probes: DataFrame, x: str, at: str, values: list[st
 
 
 def later_pairs(df: DataFrame, order: str, by: str = "vin", most: int | None = None) -> DataFrame:
-    """Each row as anchor with every later row of its group (columns later_*), at most ``most`` rows ahead."""
+    """Each row as anchor with every later row of its group (columns later_*), at most ``most`` rows ahead.
+
+    With ``most`` a row carries the rows ahead of it, so work is rows times ``most``; without it, all pairs are the result.
+    """
     rn = df.withColumn("rn", F.row_number().over(Window.partitionBy(by).orderBy(order)))
-    ahead = rn.select(by, *[F.col(c).alias(f"later_{c}") for c in rn.columns if c != by])
-    return rn.join(ahead, by).where((F.col("later_rn") > F.col("rn")) & ((F.col("later_rn") - F.col("rn") <= most) if most else F.lit(True)))
+    own = [c for c in rn.columns if c != by]
+    later = [F.col(c).alias(f"later_{c}") for c in own]
+    if most is None:
+        return rn.join(rn.select(by, *later), by).where("later_rn > rn")
+    ahead = F.collect_list(F.struct(*later)).over(Window.partitionBy(by).orderBy("rn").rowsBetween(1, most))
+    return rn.where(F.col(by).isNotNull()).select(by, *own, ahead.alias("ahead")).select(by, *own, F.explode("ahead").alias("one")).select(by, *own, "one.*")
 
 
 def rounded_step_join(steps: DataFrame, rows: DataFrame, age: str, start: str, h: str = "h") -> DataFrame:

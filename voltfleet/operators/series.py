@@ -139,20 +139,22 @@ def percentile_below(column: str, by: str | None = None) -> Column:
     return F.when(F.col(column).isNotNull(), (F.rank().over(w.orderBy(F.col(column).asc_nulls_last())) - 1) / F.count(column).over(w) * 100)
 
 
-#: Cells that a large group's values are cut into before they are ranked.
-CELLS = 256
+#: Cells that a large group's values are cut into before they are ranked, and the rows over which a group is large.
+CELLS, LARGE = 256, 65_536
 
 
 def with_ranks(df: DataFrame, column: str, by: list[str]) -> DataFrame:
     """Rows whose value is not null, with below (values of the group that are less), ties (equal ones, itself included) and of (all).
 
-    Approximate quantiles cut each group's values into cells; counts of cells and ranks within cells add up to exact ranks, so a
+    Approximate quantiles cut each large group's values into cells; counts of cells and ranks within cells add up to exact ranks, so a
     group of all vehicles is ranked by as many tasks as it has cells. Equal values share a cell, and are counted as one row there.
     """
     rows = df.where(F.col(column).isNotNull())
-    edges = rows.groupBy(*by).agg(F.percentile_approx(column, [i / CELLS for i in range(1, CELLS)], 10 * CELLS).alias("edges"))
-    kinds = rows.groupBy(*by, column).agg(F.count("*").alias("ties")).join(F.broadcast(edges), by)  # groups are metrics or sources
-    kinds = kinds.withColumn("cell", F.size(F.filter("edges", lambda e: e < F.col(column)))).drop("edges")
+    edges = rows.groupBy(*by).agg(F.percentile_approx(column, [i / CELLS for i in range(1, CELLS)], 10 * CELLS).alias("edges"), F.count("*").alias("n"))
+    edges = edges.where(F.col("n") > LARGE).drop("n")  # at most rows / LARGE groups, however many there are
+    kinds = rows.groupBy(*by, column).agg(F.count("*").alias("ties")).join(F.broadcast(edges), by, "left")
+    cell = F.when(F.col("edges").isNull(), 0).otherwise(F.size(F.filter("edges", lambda e: e < F.col(column))))
+    kinds = kinds.withColumn("cell", cell).drop("edges")
     own = Window.partitionBy(*by)
     before = Window.partitionBy(*by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = kinds.groupBy(*by, "cell").agg(F.sum("ties").alias("n")).withColumns({"start": F.coalesce(F.sum("n").over(before), F.lit(0)), "of": F.sum("n").over(own)}).drop("n")
