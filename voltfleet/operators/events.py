@@ -132,10 +132,14 @@ def sample_per_vehicle(df: DataFrame, cap: int = 2000) -> DataFrame:
     return df.withColumn("pick", F.row_number().over(order)).where(F.col("pick") <= cap).drop("pick")
 
 
-def drive_segments(df: DataFrame, km: tuple[float, float] = (0.0, 60.0), drop: tuple[float, float] = (0.0, 100.0), most_s: float = 3600.0) -> DataFrame:
-    """Steps with the odometer up and the state of charge down, of bounded size and time: vin, t, dkm, dsoc."""
+def drive_segments(df: DataFrame, km: tuple[float, float] = (0.0, 60.0), drop: tuple[float, float] = (0.0, 100.0), most_s: float = 3600.0, digits: int | None = None) -> DataFrame:
+    """Steps with the odometer up and the state of charge down, of bounded size and time: vin, t, dkm, dsoc.
+
+    With ``digits`` steps meet their bounds rounded, so that a running sum's rounding decides no step just at a bound.
+    """
     df = with_step(df).withColumns({"dkm": F.col("odo") - F.lag("odo").over(by_time()), "dsoc": F.lag("soc").over(by_time()) - F.col("soc")})
-    good = (F.col("dkm") > km[0]) & (F.col("dkm") <= km[1]) & (F.col("dsoc") > drop[0]) & (F.col("dsoc") <= drop[1]) & (F.col("dt") > 0) & (F.col("dt") <= most_s)
+    dkm, dsoc = (F.col(c) if digits is None else F.round(c, digits) for c in ("dkm", "dsoc"))
+    good = (dkm > km[0]) & (dkm <= km[1]) & (dsoc > drop[0]) & (dsoc <= drop[1]) & (F.col("dt") > 0) & (F.col("dt") <= most_s)
     return df.where(good).select("vin", "t", "dkm", "dsoc")
 
 

@@ -105,10 +105,10 @@ add(
 )
 add(
     "c14_c15_drive_segments",
-    lambda s, d: events.drive_segments(clean_samples(s, d), (0, 200), (1, 100), GAP_S),
+    lambda s, d: events.drive_segments(clean_samples(s, d), (0, 200), (1, 100), GAP_S, 6),
     TELEMETRY,
     SESSIONS,
-    select=f"SELECT vin, t, odo - podo AS dkm, psoc - soc AS dsoc FROM stp WHERE odo - podo > 0 AND odo - podo <= 200 AND psoc - soc > 1 AND psoc - soc <= 100 AND dt > 0 AND dt <= {GAP_S}",
+    select=f"SELECT vin, t, dkm, dsoc FROM (SELECT *, odo - podo AS dkm, psoc - soc AS dsoc FROM stp) WHERE round(dkm, 6) > 0 AND round(dkm, 6) <= 200 AND round(dsoc, 6) > 1 AND round(dsoc, 6) <= 100 AND dt > 0 AND dt <= {GAP_S}",
     columns="vin:i t:t dkm:d dsoc:d",
 )
 CROSS = """crs AS (SELECT *, psoc < 30 AND soc >= 30 AS up_low, psoc < 70 AND soc >= 70 AS up_high, psoc - soc > 3 AS fall, psoc > 90 AND soc <= 90 AS down_high, psoc > 20 AND soc <= 20 AS down_low, soc - psoc > 3 AS rise FROM stp)"""
