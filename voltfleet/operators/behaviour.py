@@ -18,9 +18,14 @@ def loss_rate(df: DataFrame, soh: str = "soh", most_gap: float = 3.0, least: int
     return rows.groupBy("vin").agg(F.avg("loss").alias("loss_rate"), F.count("*").alias("k")).where(F.col("k") >= least).drop("k")
 
 
-def behaviour_table(df: DataFrame, metrics: dict[str, tuple[float, float]], soh: str = "soh") -> DataFrame:
-    """vin, lifetime mean of each metric within its plausible range, and loss_rate."""
-    means = df.groupBy("vin").agg(*[F.avg(F.when(F.col(m).between(lo, hi), F.col(m))).alias(m) for m, (lo, hi) in metrics.items()])
+#: Decimals at which values meet bounds and each other, where the rounding of means is not to decide.
+DIGITS = 9
+
+
+def behaviour_table(df: DataFrame, metrics: dict[str, tuple[float, float]], soh: str = "soh", digits: int | None = None) -> DataFrame:
+    """vin, lifetime mean of each metric within its plausible range (which it meets rounded to ``digits``, if given), and loss_rate."""
+    met = lambda m: F.col(m) if digits is None else F.round(m, digits)
+    means = df.groupBy("vin").agg(*[F.avg(F.when(met(m).between(lo, hi), F.col(m))).alias(m) for m, (lo, hi) in metrics.items()])
     return means.join(loss_rate(df, soh), "vin", "left")
 
 
@@ -36,8 +41,8 @@ def distributions(table: DataFrame, metrics: list[str]) -> DataFrame:
 
 
 def ranked_drivers(table: DataFrame, metrics: list[str], least: int = 10, distinct: int = 3) -> DataFrame:
-    """metric, rho, n: rank correlation with the loss rate, of metrics with enough vehicles and values."""
-    rows = _long(table, metrics, ["loss_rate"]).where("value is not null and loss_rate is not null")
+    """metric, rho, n: rank correlation with the loss rate, of metrics with enough vehicles and values. Values equal to nine decimals tie."""
+    rows = _long(table, metrics, ["loss_rate"]).where("value is not null and loss_rate is not null").withColumns({c: F.round(c, DIGITS) for c in ("value", "loss_rate")})
     rank = F.col("below") + (F.col("ties") + 1) / 2  # ties share their mean rank
     ranked = sr.with_ranks(rows, "value", ["metric"]).withColumn("rx", rank).drop("below", "ties", "of")
     ranked = sr.with_ranks(ranked, "loss_rate", ["metric"]).withColumn("ry", rank)
@@ -45,11 +50,11 @@ def ranked_drivers(table: DataFrame, metrics: list[str], least: int = 10, distin
 
 
 def percentiles(table: DataFrame, metrics: list[str]) -> DataFrame:
-    """vin, metric, value, pct (share of vehicles strictly below), z, verdict."""
+    """vin, metric, value, pct (share of vehicles strictly below, at nine decimals), z, verdict."""
     rows = _long(table, metrics, []).where("value is not null")
     moments = rows.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
     z = F.coalesce(F.try_divide(F.col("value") - F.col("mean"), F.col("sd")), F.lit(0.0))
-    rows = sr.with_ranks(rows, "value", ["metric"]).withColumn("pct", F.col("below") / F.col("of") * 100).drop("below", "ties", "of")
+    rows = sr.with_ranks(rows.withColumn("met", F.round("value", DIGITS)), "met", ["metric"]).withColumn("pct", F.col("below") / F.col("of") * 100).drop("met", "below", "ties", "of")
     rows = rows.join(F.broadcast(moments), "metric").withColumn("z", z).drop("mean", "sd")  # a row for each metric
     return rows.withColumn("verdict", F.when(F.col("pct") >= 80, "harsh").when(F.col("pct") >= 60, "above average").when(F.col("pct") >= 40, "typical").otherwise("gentle"))
 
@@ -59,14 +64,14 @@ def care_scores(pct: DataFrame) -> DataFrame:
     from ..functions.scalars import care_grade
 
     out = pct.groupBy("vin").agg(F.avg(100 - F.col("pct")).alias("score"))
-    return out.withColumn("grade", care_grade(F.col("score")))
+    return out.withColumn("grade", care_grade(F.round("score", DIGITS)))
 
 
 def levers(pct: DataFrame, drivers: DataFrame, k: int = 3, least: float = 60.0) -> DataFrame:
     """The k harshest habits of each vehicle, weighted by how much they go with loss: a top-k report."""
     rows = pct.where(F.col("pct") >= least).join(drivers.select("metric", "rho"), "metric")
     rows = rows.withColumn("severity", (F.col("pct") - 50) / 50 * (0.3 + F.abs(F.coalesce("rho", F.lit(0.0)))))
-    place = F.row_number().over(Window.partitionBy("vin").orderBy(F.desc("severity"), "metric"))
+    place = F.row_number().over(Window.partitionBy("vin").orderBy(F.desc(F.round("severity", DIGITS)), "metric"))
     return rows.withColumn("place", place).where(F.col("place") <= k).select("vin", "place", "metric", "severity")
 
 

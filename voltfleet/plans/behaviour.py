@@ -26,22 +26,28 @@ def table(s: SparkSession, d: str) -> DataFrame:
     return be.behaviour_table(labelled(s, d), METRICS)
 
 
+def rounded_table(s: SparkSession, d: str) -> DataFrame:
+    """The table with months that meet their ranges at nine decimals, as the SQL ``ROUNDED`` has it."""
+    return be.behaviour_table(labelled(s, d), METRICS, digits=be.DIGITS)
+
+
 LOSS = """lra AS (SELECT vin, avg(loss) AS loss_rate FROM (SELECT vin, age_months - lag(age_months) OVER w AS gap, greatest((lag(soh) OVER w - soh) / (age_months - lag(age_months) OVER w), 0) AS loss FROM lab WINDOW w AS (PARTITION BY vin ORDER BY month)) WHERE gap > 0 AND gap <= 3 GROUP BY vin HAVING count(*) >= 2)"""
 TAB = """tab AS (SELECT vin, avg(temp_max) FILTER (WHERE temp_max BETWEEN 20 AND 34.9) AS temp_max, avg(km_month) FILTER (WHERE km_month BETWEEN 100 AND 4000) AS km_month, avg(frac_soc_high) AS frac_soc_high, avg(dod_mean) FILTER (WHERE dod_mean BETWEEN 0 AND 60) AS dod_mean FROM lab GROUP BY vin),
 lon AS (SELECT vin, loss_rate, metric, value FROM (SELECT * FROM tab LEFT JOIN lra USING (vin)) UNPIVOT (value FOR metric IN (temp_max, km_month, frac_soc_high, dod_mean)))"""
 BASE = (SERIES, LAB, LOSS, TAB)
-add("q01_q02_behaviour_table", table, *BASE, select="SELECT * FROM tab LEFT JOIN lra USING (vin)", columns="vin:i temp_max:d km_month:d frac_soc_high:d dod_mean:d loss_rate:d")
+ROUNDED = (SERIES, LAB, LOSS, TAB.replace("FILTER (WHERE dod_mean BETWEEN", "FILTER (WHERE round(dod_mean, 9) BETWEEN").replace("FILTER (WHERE temp_max BETWEEN", "FILTER (WHERE round(temp_max, 9) BETWEEN").replace("FILTER (WHERE km_month BETWEEN", "FILTER (WHERE round(km_month, 9) BETWEEN"))
+add("q01_q02_behaviour_table", rounded_table, *ROUNDED, select="SELECT * FROM tab LEFT JOIN lra USING (vin)", columns="vin:i temp_max:d km_month:d frac_soc_high:d dod_mean:d loss_rate:d")
 add("q03_distributions", lambda s, d: be.distributions(table(s, d), NAMES), *BASE, select="SELECT metric, count(*) AS n, avg(value) AS mean, quantile_cont(value, 0.1) AS p10, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.9) AS p90 FROM lon GROUP BY metric", columns="metric:s n:i mean:d p10:d p50:d p90:d")
-DRV = "drv AS (SELECT metric, corr(rx, ry) AS rho, count(*) AS n FROM (SELECT metric, rank() OVER (PARTITION BY metric ORDER BY value) + (count(*) OVER (PARTITION BY metric, value) - 1) / 2 AS rx, rank() OVER (PARTITION BY metric ORDER BY loss_rate) + (count(*) OVER (PARTITION BY metric, loss_rate) - 1) / 2 AS ry FROM lon WHERE loss_rate IS NOT NULL) GROUP BY metric)"
-add("q04_ranked_drivers", lambda s, d: be.ranked_drivers(table(s, d), NAMES), *BASE, DRV, select="SELECT * FROM drv", columns="metric:s rho:d n:i")
-PCT = "pct AS (SELECT vin, metric, value, (rank() OVER (PARTITION BY metric ORDER BY value) - 1) / count(*) OVER (PARTITION BY metric) * 100 AS pct, (value - avg(value) OVER (PARTITION BY metric)) / stddev_samp(value) OVER (PARTITION BY metric) AS z FROM lon)"
-add("q07_percentiles", lambda s, d: be.percentiles(table(s, d), NAMES), *BASE, PCT, select="SELECT *, CASE WHEN pct >= 80 THEN 'harsh' WHEN pct >= 60 THEN 'above average' WHEN pct >= 40 THEN 'typical' ELSE 'gentle' END AS verdict FROM pct", columns="vin:i metric:s value:d pct:d z:d verdict:s")
-add("q08_care_scores", lambda s, d: be.care_scores(be.percentiles(table(s, d), NAMES)), *BASE, PCT, select="SELECT vin, score, CASE WHEN score >= 72 THEN 'Gentle' WHEN score >= 50 THEN 'Moderate' WHEN score >= 35 THEN 'Firm' ELSE 'Hard' END AS grade FROM (SELECT vin, avg(100 - pct) AS score FROM pct GROUP BY vin)", columns="vin:i score:d grade:s")
+DRV = "drv AS (SELECT metric, corr(rx, ry) AS rho, count(*) AS n FROM (SELECT metric, rank() OVER (PARTITION BY metric ORDER BY v) + (count(*) OVER (PARTITION BY metric, v) - 1) / 2 AS rx, rank() OVER (PARTITION BY metric ORDER BY l) + (count(*) OVER (PARTITION BY metric, l) - 1) / 2 AS ry FROM (SELECT metric, round(value, 9) AS v, round(loss_rate, 9) AS l FROM lon WHERE loss_rate IS NOT NULL)) GROUP BY metric)"
+add("q04_ranked_drivers", lambda s, d: be.ranked_drivers(rounded_table(s, d), NAMES), *ROUNDED, DRV, select="SELECT * FROM drv", columns="metric:s rho:d n:i")
+PCT = "pct AS (SELECT vin, metric, value, (rank() OVER (PARTITION BY metric ORDER BY round(value, 9)) - 1) / count(*) OVER (PARTITION BY metric) * 100 AS pct, (value - avg(value) OVER (PARTITION BY metric)) / stddev_samp(value) OVER (PARTITION BY metric) AS z FROM lon)"
+add("q07_percentiles", lambda s, d: be.percentiles(rounded_table(s, d), NAMES), *ROUNDED, PCT, select="SELECT *, CASE WHEN pct >= 80 THEN 'harsh' WHEN pct >= 60 THEN 'above average' WHEN pct >= 40 THEN 'typical' ELSE 'gentle' END AS verdict FROM pct", columns="vin:i metric:s value:d pct:d z:d verdict:s")
+add("q08_care_scores", lambda s, d: be.care_scores(be.percentiles(rounded_table(s, d), NAMES)), *ROUNDED, PCT, select="SELECT vin, score, CASE WHEN round(score, 9) >= 72 THEN 'Gentle' WHEN round(score, 9) >= 50 THEN 'Moderate' WHEN round(score, 9) >= 35 THEN 'Firm' ELSE 'Hard' END AS grade FROM (SELECT vin, avg(100 - pct) AS score FROM pct GROUP BY vin)", columns="vin:i score:d grade:s")
 add(
     "q09_levers",
-    lambda s, d: be.levers(be.percentiles(table(s, d), NAMES), be.ranked_drivers(table(s, d), NAMES)),
-    *BASE, PCT, DRV,
-    select="SELECT * FROM (SELECT vin, metric, severity, row_number() OVER (PARTITION BY vin ORDER BY severity DESC, metric) AS place FROM (SELECT vin, metric, (pct - 50) / 50 * (0.3 + abs(rho)) AS severity FROM pct JOIN drv USING (metric) WHERE pct >= 60)) WHERE place <= 3",
+    lambda s, d: be.levers(be.percentiles(rounded_table(s, d), NAMES), be.ranked_drivers(rounded_table(s, d), NAMES)),
+    *ROUNDED, PCT, DRV,
+    select="SELECT * FROM (SELECT vin, metric, severity, row_number() OVER (PARTITION BY vin ORDER BY round(severity, 9) DESC, metric) AS place FROM (SELECT vin, metric, (pct - 50) / 50 * (0.3 + abs(rho)) AS severity FROM pct JOIN drv USING (metric) WHERE pct >= 60)) WHERE place <= 3",
     columns="vin:i place:i metric:s severity:d",
 )
 add("q05_segments", lambda s, d: be.segments(table(s, d), NAMES))
