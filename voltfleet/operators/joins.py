@@ -75,13 +75,21 @@ def keyword(rows: DataFrame, text: Column, rules: DataFrame, default: Column) ->
 def fuzzy_spec(rows: DataFrame, name: str, specs: DataFrame) -> DataFrame:
     """Rows with spec_id: a spec whose model the name contains, else one of the same first word, else the source's first.
 
-    ``specs``: source, model, spec_id; ``rows``: source, ``name``.
+    ``specs``: source, model, spec_id; ``rows``: source, ``name``. Models inside a name are found by equality with the name's parts of
+    models' lengths, so no name meets all models of its source.
     """
-    names = rows.select("source", name).distinct()  # a dimension, however many rows carry the names
-    pairs = names.join(specs.select("source", "model", "spec_id"), "source")
-    low, model = F.lower(F.col(name)), F.lower(F.col("model"))
-    rank = F.when(F.contains(low, model), 0).when(F.split_part(low, F.lit(" "), F.lit(1)) == F.split_part(model, F.lit(" "), F.lit(1)), 1).otherwise(2)
-    found = pairs.groupBy("source", F.col(name).alias("spec_name")).agg(F.min_by("spec_id", F.struct(rank, "spec_id")).alias("spec_id")).withColumnRenamed("source", "spec_source")
+    names = rows.where("source is not null").select("source", F.col(name).alias("spec_name")).distinct()  # a dimension, however many rows carry the names
+    names = names.withColumn("low", F.lower("spec_name"))
+    best, word = F.min("hit"), lambda c: F.split_part(c, F.lit(" "), F.lit(1))
+    kinds = specs.groupBy("source", F.lower("model").alias("model")).agg(F.min(F.struct("spec_id")).alias("hit"))
+    lengths = kinds.agg(F.collect_set(F.length("model")).alias("lengths"))  # one row, as long as the longest model at most
+    cut = lambda n: F.transform(F.sequence(F.lit(1), F.length("low") - n + 1), lambda i: F.substr("low", i, n))
+    parts = F.array_distinct(F.flatten(F.transform(F.filter("lengths", lambda n: n <= F.length("low")), cut)))
+    inside = names.crossJoin(F.broadcast(lengths)).select("source", "spec_name", F.explode(parts).alias("model")).join(kinds, ["source", "model"]).groupBy("source", "spec_name").agg(best.alias("inside"))
+    alike = kinds.groupBy("source", word(F.col("model")).alias("word")).agg(best.alias("alike"))
+    first = kinds.groupBy("source").agg(best.alias("first"))
+    found = names.withColumn("word", word(F.col("low"))).join(first, "source").join(alike, ["source", "word"], "left").join(inside, ["source", "spec_name"], "left")
+    found = found.select(F.col("source").alias("spec_source"), "spec_name", F.coalesce("inside", "alike", "first")["spec_id"].alias("spec_id"))
     return rows.join(found, F.col("source").eqNullSafe(F.col("spec_source")) & F.col(name).eqNullSafe(F.col("spec_name")), "left").drop("spec_source", "spec_name")
 
 
