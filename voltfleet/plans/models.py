@@ -55,7 +55,7 @@ def forecasts(rows: DataFrame) -> DataFrame:
 
 
 add("n01_n03_rate_model", lambda s, d: (lambda t: (lambda m: md.predict(m[0], t).select("vin", "month", "loss", (F.col("prediction") + m[1]).alias("predicted")))(md.fit_rate(t, RATE)))(transitions(s, d)))
-add("n02_quantile_forest", lambda s, d: md.quantile_forest(transitions(s, d), j.latest(transitions(s, d)).withColumn("id", F.col("vin")), RATE, "loss").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))
+add("n02_quantile_forest", lambda s, d: (lambda t: md.quantile_forest(t, j.latest(t).withColumn("id", F.col("vin")), RATE, "loss").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))(cut(transitions(s, d).select("vin", "month", *RATE, "loss"))))
 add("n02_pinball_boosting", lambda s, d: (lambda t: pb.predict(pb.fit(t, RATE, "loss"), j.latest(t), "vin").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))(transitions(s, d)))
 
 
@@ -99,6 +99,7 @@ def both_halves(s: SparkSession, d: str) -> DataFrame:
 def estimated(s: SparkSession, d: str) -> DataFrame:
     """N20: each of three folds of vehicles estimated by a model of the other two."""
     rows, columns = sm.imputed(table(s, d).withColumn("temp_max", F.when(F.col("n") > 4, F.col("temp_max"))), ["age_months", *md.STRESS])
+    rows = cut(rows.select("vin", "month", "soh", *columns))  # read by three fits and their predictions
     fold = lambda k: sm.fold_of(F.col("vin"), 3) == k
     parts = [md.predict(md.fit_boosted(rows.where(~fold(k)), columns, "soh"), rows.where(fold(k))).select("vin", "month", "soh", "prediction") for k in range(3)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -129,6 +130,6 @@ add(
     select="SELECT envelope, avg(abs(soh - soh_raw)) AS mae, avg(CAST(still AS DOUBLE)) AS flat_share FROM env JOIN num USING (vin, rn) GROUP BY envelope",
     columns="envelope:s mae:d flat_share:d",
 )
-add("o11_transfer_matrix", lambda s, d: (lambda t: evl.transfer_matrix({"even": t.where("vin % 2 = 0"), "odd": t.where("vin % 2 = 1")}, ["age_months", *md.STRESS]))(table(s, d)))
+add("o11_transfer_matrix", lambda s, d: (lambda t: evl.transfer_matrix({"even": t.where("vin % 2 = 0"), "odd": t.where("vin % 2 = 1")}, ["age_months", *md.STRESS]))(cut(table(s, d).select("vin", "month", "soh", "age_months", *md.STRESS))))
 add("o12_o13_learning_curve", lambda s, d: evl.learning_curve(table(s, d), (6, 12, 24), 40, 2))
-add("o15_ablation", lambda s, d: evl.ablation(transitions(s, d), sm.split(kinds(s, d)), {"age": ["age_months", "soh"], "all": RATE}, (0,)))
+add("o15_ablation", lambda s, d: evl.ablation(cut(transitions(s, d).select("vin", *RATE, "loss", "weight")), sm.split(kinds(s, d)), {"age": ["age_months", "soh"], "all": RATE}, (0,)))
