@@ -59,3 +59,23 @@ def test_model_is_saved_and_predicts_null_where_a_feature_is(spark, fleet, grown
     assert models.importance(spark, model, models.TRAJECTORY).agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
     rows = models.predict(model, models.trajectory_rows(fleet)).select("prediction", *models.TRAJECTORY).withColumn("blank", F.greatest(*[F.col(c).isNull() for c in models.TRAJECTORY]))
     assert rows.where("blank <> (prediction is null)").count() == 0 and rows.select("prediction").distinct().count() > 3
+
+
+def test_horizon_bins_are_those_of_a_search():
+    for edges in (np.array([0.995, 1.005, 2.035, 79.905]), np.empty(0)):
+        horizon = np.concatenate([edges, np.nextafter(edges, 0), np.nextafter(edges, 99), np.arange(1, 4000) / 30.4, [1e-9, 1e6]])
+        assert np.array_equal(trajectory._horizon_bins(horizon, edges), np.searchsorted(edges, horizon))
+
+
+def test_a_pass_sums_weights_and_targets_of_all_pairs(fleet, grown):
+    rows = models.trajectory_rows(fleet).dropna(subset=models.TRAJECTORY).select(*models.TRAJECTORY, "cum_loss").toPandas()
+    x, loss = rows[models.TRAJECTORY].to_numpy(), rows["cum_loss"].to_numpy()
+    first = grown._replace(feature=grown.feature[:1], edge=grown.edge[:1], value=grown.value[:1])
+    predicted = models.predict(first, models.trajectory_rows(fleet).dropna(subset=models.TRAJECTORY)).select("prediction").toPandas()["prediction"].to_numpy()
+    weight = 1 + 0.15 * loss
+    for tree, target in ((0, loss), (1, np.where(loss >= predicted, 1.0, -1.0))):
+        sums = trajectory._sums(trajectory.packed(models.trajectory_histories(fleet), models.TRAJECTORY[1:], grown.edges[1:]), grown, tree, 0, 4, 0.15)
+        for f, edges in enumerate(grown.edges):
+            at = np.searchsorted(edges, x[:, f])
+            assert sums[0, 0, f, : len(edges) + 1] == pytest.approx(np.bincount(at, weight, len(edges) + 1))
+            assert sums[1, 0, f, : len(edges) + 1] == pytest.approx(np.bincount(at, weight * target, len(edges) + 1), abs=1e-9)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..sources.shared import cut
 
 #: Pairs that a task holds at once.
-PIECE = 1 << 18
+PIECE = 1 << 17
 
 
 class Trees(NamedTuple):
@@ -48,7 +48,7 @@ class Trees(NamedTuple):
         for level in range(levels):
             grown = np.empty((2 * len(out), bins.shape[1]), dtype=bool)
             for node, mask in enumerate(out):
-                f, edge = self.feature[tree, len(out) - 1 + node], self.edge[tree, len(out) - 1 + node]
+                f, edge = int(self.feature[tree, len(out) - 1 + node]), int(self.edge[tree, len(out) - 1 + node])
                 if f > 0:
                     left = bins[f] <= edge
                     np.logical_and(mask, left, out=grown[2 * node])
@@ -70,10 +70,14 @@ class Trees(NamedTuple):
             out = np.stack([out * left, out * right], axis=1).reshape(-1, len(bins))
         return out
 
-    def by_horizon(self, bins: np.ndarray, trees: int) -> np.ndarray:
-        """The first trees' prediction of each anchor for each bin of the horizon."""
-        reached = np.concatenate([self.reached(bins, t, self.depth) for t in range(trees)]).astype(float)
-        return reached.T @ np.concatenate([self.spans(t, self.depth) * self.value[t][:, None] for t in range(trees)])
+    def steps(self, trees: int) -> np.ndarray:
+        """What each leaf of the first trees adds, by bins of the horizon."""
+        return np.concatenate([self.spans(t, self.depth) * self.value[t][:, None] for t in range(trees)]).T if trees else np.empty((0, 0))
+
+    def by_horizon(self, bins: np.ndarray, steps: np.ndarray) -> np.ndarray:
+        """The prediction of those trees by bins of the horizon and anchors."""
+        trees = steps.shape[1] >> self.depth
+        return steps @ np.concatenate([self.reached(bins, t, self.depth) for t in range(trees)], dtype=float)
 
     def column(self) -> Column:
         """The prediction as an expression; null where a feature is."""
@@ -130,26 +134,83 @@ def pieces(batch: pa.RecordBatch, features: list[str], least: int) -> Iterator[P
 
     Anchors have ``least`` months or more, themselves included, and all features; later months are those of a greater age.
     """
-    months = batch.column("months")
-    if not len(months):
+    if not len(batch):
         return
-    flat, sizes = months.flatten(), np.diff(months.offsets.to_numpy())
+    sizes, age, soh, x = _columns(batch, features)
+    yield from _pieces(sizes, age, soh, x, ~np.isnan(x).any(axis=1), least)
+
+
+def _columns(batch: pa.RecordBatch, features: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of months of the vehicles; age, soh and the features of the months."""
+    months = batch.column("months")
+    flat = months.flatten()
     column = lambda name: flat.field(name).to_numpy(zero_copy_only=False).astype(float)
-    x, age, soh = np.stack([column(f) for f in features], axis=1), column("age_months"), column("soh")
+    return np.diff(months.offsets.to_numpy()), column("age_months"), column("soh"), np.stack([column(f) for f in features], axis=1)
+
+
+def _pieces(sizes: np.ndarray, age: np.ndarray, soh: np.ndarray, x: np.ndarray, known: np.ndarray, least: int) -> Iterator[Piece]:
     ends = np.repeat(np.cumsum(sizes), sizes)
     at = np.arange(len(ends))
-    at = at[(at - (ends - np.repeat(sizes, sizes)) >= least - 1) & (ends - at > 1) & ~np.isnan(x).any(axis=1)]
+    at = at[(at - (ends - np.repeat(sizes, sizes)) >= least - 1) & (ends - at > 1) & known]
     later = ends[at] - at - 1
     before = np.cumsum(later) - later
     for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(before // PIECE)) + 1):
+        part = part[np.argsort(-later[part], kind="stable")]  # so those with a k-th later month come first
         own, n = at[part], later[part]
-        anchor = np.repeat(np.arange(len(own)), n)
-        other = np.arange(len(anchor)) + np.repeat(own + 1 - (np.cumsum(n) - n), n)
-        horizon, loss = age[other] - age[own][anchor], np.maximum(soh[own][anchor] - soh[other], 0.0)
+        reach = np.searchsorted(-n, -np.arange(1, n[0] + 1 if len(n) else 1), "right")
+        stops = reach.cumsum()
+        anchor, horizon, loss = np.empty(n.sum(), dtype=np.int64), np.empty(n.sum()), np.empty(n.sum())
+        places, own_age, own_soh = np.arange(len(own)), age[own], soh[own]
+        for k, (m, stop) in enumerate(zip(reach.tolist(), stops.tolist(), strict=True), 1):
+            other = own[:m] + k
+            anchor[stop - m : stop] = places[:m]
+            np.subtract(age[other], own_age[:m], out=horizon[stop - m : stop])
+            np.subtract(own_soh[:m], soh[other], out=loss[stop - m : stop])
+        np.maximum(loss, 0.0, out=loss)
         good = (horizon > 0) & (loss >= 0)
         yield Piece(x[own], anchor, horizon, loss) if good.all() else Piece(x[own], anchor[good], horizon[good], loss[good])
 
 
+PACKED = "sizes binary, age binary, soh binary, bins binary"
+
+
+def packed(rows: DataFrame, features: list[str], edges: list[np.ndarray]) -> DataFrame:
+    """A row for each run of vehicles with about ``PIECE`` pairs: numbers of months, and by month age, soh and the features' bins (-1 unknown)."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            sizes, age, soh, x = _columns(batch, features)
+            bins = np.stack([np.where(np.isnan(x[:, i]), -1, np.searchsorted(e, x[:, i], "left")) for i, e in enumerate(edges)], axis=1).astype(np.int16)
+            pairs = np.cumsum(sizes * (sizes - 1) // 2)
+            stops = np.append(np.flatnonzero(np.diff(pairs // PIECE)) + 1, len(sizes))
+            months = np.append(0, np.cumsum(sizes))
+            for start, stop in zip(np.append(0, stops[:-1]), stops, strict=True):
+                own = slice(months[start], months[stop])
+                values = (sizes[start:stop].astype(np.int64), age[own], soh[own], bins[own])
+                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values], names=["sizes", "age", "soh", "bins"])
+
+    return rows.mapInArrow(pack, PACKED)
+
+
+def _unpacked(batch: pa.RecordBatch, features: int, least: int) -> Iterator[Piece]:
+    """The pairs of :func:`packed` rows; x has the features' bins."""
+    kinds = {"sizes": np.int64, "age": float, "soh": float, "bins": np.int16}
+    for row in zip(*(batch.column(name) for name in kinds), strict=True):
+        sizes, age, soh, bins = (np.frombuffer(v.as_buffer(), kind) for v, kind in zip(row, kinds.values(), strict=True))
+        bins = bins.reshape(-1, features)
+        yield from _pieces(sizes, age, soh, bins, (bins >= 0).all(axis=1), least)
+
+
+def _horizon_bins(horizon: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """``np.searchsorted(edges, horizon)`` for edges of :func:`_horizons`, which lie half way between hundredths, by a table of hundredths."""
+    whole = (edges * 100).astype(np.int64)
+    below = np.searchsorted(whole, np.arange((whole[-1] if len(whole) else 0) + 2), "left")
+    bins = below[np.minimum((horizon * 100).astype(np.int64), len(below) - 1)]
+    return bins + (horizon > np.append(edges, np.inf)[bins])
+
+
 def _horizons(rows: DataFrame, features: list[str], least: int, bins: int) -> np.ndarray:
     """Quantiles of the horizon, counted to a hundredth of a month."""
 
@@ -167,26 +228,32 @@ def _horizons(rows: DataFrame, features: list[str], least: int, bins: int) -> np
 
 
 def _sums(rows: DataFrame, model: Trees, tree: int, level: int, least: int, heavier: float) -> np.ndarray:
-    """Sums of weights and of weighted targets by node, feature and bin."""
+    """Sums of weights and of weighted targets by node, feature and bin; ``rows``: those of :func:`packed`."""
     width = max(len(e) for e in model.edges) + 1
     shape = (2, 1 << level, len(model.features), width)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, spans = np.zeros(shape), model.spans(tree, level)
+        out, spans, steps = np.zeros(shape), model.spans(tree, level), model.steps(tree)
         h = spans.shape[1]
         for batch in batches:
-            for p in pieces(batch, model.features[1:], least):
-                bins = np.stack([np.zeros(len(p.x), dtype=int), *(np.searchsorted(e, p.x[:, i], "left") for i, e in enumerate(model.edges[1:]))]).astype(np.int16)
-                reached, cell = model.reached(bins, tree, level), p.anchor * h + np.searchsorted(model.edges[0], p.horizon, "left")
+            for p in _unpacked(batch, len(model.features) - 1, least):
+                bins = np.concatenate([np.zeros((1, len(p.x)), dtype=np.int16), p.x.T])
+                reached, anchors = model.reached(bins, tree, level), len(p.x)
+                cell = _horizon_bins(p.horizon, model.edges[0]) * anchors + p.anchor
                 weight = 1 + heavier * p.loss
-                target = np.where(p.loss >= model.by_horizon(bins, tree).reshape(-1)[cell], 1.0, -1.0) if tree else p.loss
-                for kind, mass in enumerate((weight, weight * target)):
-                    cells = np.bincount(cell, mass, len(p.x) * h).reshape(-1, h)
-                    out[kind, :, 0, :h] += (reached.astype(float) @ cells) * spans
-                    own = reached * (spans @ cells.T)
+                if tree:
+                    under = p.loss < model.by_horizon(bins, steps).reshape(-1)[cell]
+                    over, under = np.bincount(cell + under * (h * anchors), weight, 2 * h * anchors).reshape(2, h, anchors)
+                    masses = over + under, over - under
+                else:
+                    masses = [np.bincount(cell, mass, h * anchors).reshape(h, anchors) for mass in (weight, weight * p.loss)]
+                node, anchor = np.nonzero(reached)
+                places = [node * width + bins[f, anchor] for f in range(shape[2])]
+                for kind, cells in enumerate(masses):
+                    out[kind, :, 0, :h] += (reached.astype(float) @ cells.T) * spans
+                    own = (spans @ cells)[node, anchor]
                     for f in range(1, shape[2]):
-                        for node in range(shape[1]):
-                            out[kind, node, f] += np.bincount(bins[f], own[node], width)
+                        out[kind, :, f] += np.bincount(places[f], own, shape[1] * width).reshape(shape[1], width)
         at = np.flatnonzero(out[0])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[0].reshape(-1)[at]), pa.array(out[1].reshape(-1)[at])], names=["place", "w", "s"])
 
@@ -219,12 +286,15 @@ def _split(model: Trees, tree: int, level: int, sums: np.ndarray, rate: float) -
 def fit(rows: DataFrame, features: list[str], trees: int = 12, depth: int = 4, rate: float = 0.2, bins: int = 32, least: int = 4, heavier: float = 0.15) -> Trees:
     """``rows``: a row for each vehicle, with months (array of structs in order: age_months, soh and the features but the first, the
     horizon). Pairs weigh one and ``heavier`` for each point that they lose. With no pairs predictions are 0."""
-    rows = cut(rows.select("months"))  # read once for each level of each tree
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    rows = cut(rows.select("months").repartition(parts))
     own = features[1:]
     anchor = rows.select(F.explode(F.slice("months", least, F.greatest(F.size("months") - least, F.lit(0)))).alias("m")).select("m.*")
     number = lambda c: F.nanvl(F.col(c), F.lit(None).cast("double"))
     first = anchor.agg(*[F.percentile_approx(number(f), [k / bins for k in range(1, bins)], 1000).alias(f) for f in own]).first()
     edges = [_horizons(rows, own, least, bins), *(np.unique(first[f] or []).astype(float) for f in own)]
+    rows = cut(packed(rows, own, edges[1:]))  # read once for each level of each tree
     nodes = (1 << depth) - 1
     model = Trees(list(features), edges, np.full((trees, nodes), -1), np.zeros((trees, nodes), dtype=int), np.zeros((trees, nodes)), np.zeros((trees, nodes + 1)))
     for tree in range(trees):

@@ -33,17 +33,22 @@ def table(s: SparkSession, d: str) -> DataFrame:
     return labelled(s, d).drop("cap_raw")
 
 
-def cohorts(s: SparkSession, d: str) -> DataFrame:
-    return sm.populations(table(s, d), drop=33.0)
+def stored(s: SparkSession, d: str) -> DataFrame:
+    """The table for queries that fit on it, forecast from it and judge by it."""
+    return cut(table(s, d))
+
+
+def cohorts(rows: DataFrame) -> DataFrame:
+    return sm.populations(rows, drop=33.0)
 
 
 def transitions(s: SparkSession, d: str) -> DataFrame:
     return sm.transitions(table(s, d), glitch=6.0)
 
 
-def past(s: SparkSession, d: str) -> DataFrame:
+def past(rows: DataFrame) -> DataFrame:
     """What a backtest knows of each vehicle: its first 40 months, the later ones being the truth."""
-    return table(s, d).where("age_months < 40")
+    return rows.where("age_months < 40")
 
 
 def trajectory(rows: DataFrame):  # noqa: ANN201
@@ -70,29 +75,30 @@ def quantile_losses(s: SparkSession, d: str) -> DataFrame:
 
 
 add("n02_quantile_losses", quantile_losses)
-add("n04_n05_trajectory_forecast", lambda s, d: forecasts(table(s, d)))
+add("n04_n05_trajectory_forecast", lambda s, d: forecasts(stored(s, d)))
 add("n06_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(table(s, d)), RATE, 24))(md.fit_rate(transitions(s, d), RATE)))
 add("n07_gated_roll_forward", lambda s, d: (lambda m: md.roll_forward(m[0], m[1], md.anchors(table(s, d)), RATE, 24, gate=(0.05, 0.4)))(md.fit_rate(transitions(s, d), RATE)))
 add("n08_free_run", lambda s, d: (lambda m: md.free_run(m[0], m[1], table(s, d), ["age_months", *md.STRESS]))(md.fit_rate(transitions(s, d), ["age_months", *md.STRESS])))
-add("n13_reanchored", lambda s, d: md.reanchored(forecasts(table(s, d)), j.latest(table(s, d)).select("vin", "soh", F.col("soh_raw").alias("raw"))))
+add("n13_reanchored", lambda s, d: (lambda t: md.reanchored(forecasts(t), j.latest(t).select("vin", "soh", F.col("soh_raw").alias("raw"))))(stored(s, d)))
 add("n16_importance", lambda s, d: md.importance(s, trajectory(table(s, d)), md.TRAJECTORY))
-add("n17_fleet_scores", lambda s, d: md.score_fleet(forecasts(table(s, d)), md.anchors(table(s, d)), table(s, d).select("vin").distinct().withColumn("deadline", F.lit(96.0)), 60.0)[0])
-add("n18_scored_histories", lambda s, d: md.forecast(trajectory(table(s, d)), md.anchors(md.with_defaults(table(s, d))), 6))
+add("n17_fleet_scores", lambda s, d: (lambda t: md.score_fleet(forecasts(t), md.anchors(t), t.select("vin").distinct().withColumn("deadline", F.lit(96.0)), 60.0)[0])(stored(s, d)))
+add("n18_scored_histories", lambda s, d: (lambda t: md.forecast(trajectory(t), md.anchors(md.with_defaults(t)), 6))(stored(s, d)))
 
 
 def registered(s: SparkSession, d: str) -> DataFrame:
     """N19: save, register, load the latest and score with it."""
     root = f"{shared_folder(s)}/models-{uuid.uuid4().hex}"
-    md.register(s, trajectory(table(s, d)), root, "fleet", {"rmse": 0.0})
-    return md.forecast(md.load_latest(s, root, "fleet"), md.anchors(table(s, d)), 6)
+    t = stored(s, d)
+    md.register(s, trajectory(t), root, "fleet", {"rmse": 0.0})
+    return md.forecast(md.load_latest(s, root, "fleet"), md.anchors(t), 6)
 
 
 add("n19_registered_model", registered)
 
 
-def both_halves(s: SparkSession, d: str) -> DataFrame:
+def both_halves(rows: DataFrame) -> DataFrame:
     """Held-out errors of all vehicles: each half is judged by models of the other."""
-    even, odd = table(s, d).where("vin % 2 = 0"), table(s, d).where("vin % 2 = 1")
+    even, odd = rows.where("vin % 2 = 0"), rows.where("vin % 2 = 1")
     return evl.holdout(even, odd).unionByName(evl.holdout(odd, even))
 
 
@@ -106,17 +112,18 @@ def estimated(s: SparkSession, d: str) -> DataFrame:
 
 
 add("n20_estimated_soh", estimated)
-add("o01_o02_folds_backtest", lambda s, d: evl.folds_backtest(table(s, d), 2).select("vin", "h", "actual", "model", "persistence", "trend", "fold"))
+add("o01_o02_folds_backtest", lambda s, d: evl.folds_backtest(stored(s, d), 2).select("vin", "h", "actual", "model", "persistence", "trend", "fold"))
 add("o02_leave_one_out", lambda s, d: loo.backtest(table(s, d)))
-add("o05_summary", lambda s, d: evl.summary(both_halves(s, d), cohorts(s, d)).withColumn("degrader", F.col("degrader").cast("int")))
-add("o03_coverage", lambda s, d: evl.coverage(both_halves(s, d), cohorts(s, d)).withColumn("degrader", F.col("degrader").cast("int")))
+add("o05_summary", lambda s, d: (lambda t: evl.summary(both_halves(t), cohorts(t)).withColumn("degrader", F.col("degrader").cast("int")))(stored(s, d)))
+add("o03_coverage", lambda s, d: (lambda t: evl.coverage(both_halves(t), cohorts(t)).withColumn("degrader", F.col("degrader").cast("int")))(stored(s, d)))
 add("o04_split_diagnostics", lambda s, d: evl.split_diagnostics(transitions(s, d), sm.split(kinds(s, d)), RATE))
-add("o07_acceptance_gate", lambda s, d: evl.gate(forecasts(past(s, d)), de.sqrt_forecast(past(s, d), months=24), table(s, d).where("age_months >= 40").select("vin", "age_months", F.col("soh_raw").alias("soh")), cohorts(s, d)))
+add("o07_acceptance_gate", lambda s, d: (lambda t: evl.gate(forecasts(past(t)), de.sqrt_forecast(past(t), months=24), t.where("age_months >= 40").select("vin", "age_months", F.col("soh_raw").alias("soh")), cohorts(t)))(stored(s, d)))
 
 
 def training_sets(s: SparkSession, d: str) -> DataFrame:
     """All vehicles or degraders only as training set; each half of the fleet is judged by what the other half trained."""
-    t, degraders = table(s, d), cohorts(s, d).where("degrader").select("vin")
+    t = stored(s, d)
+    degraders = cohorts(t).where("degrader").select("vin")
     half = lambda k: t.where(F.col("vin") % 2 == k)
     return evl.compare_training({"all": [(half(k), half(1 - k)) for k in (0, 1)], "degraders": [(half(k).join(degraders, "vin", "left_semi"), half(1 - k)) for k in (0, 1)]})
 
@@ -131,5 +138,5 @@ add(
     columns="envelope:s mae:d flat_share:d",
 )
 add("o11_transfer_matrix", lambda s, d: (lambda t: evl.transfer_matrix({"even": t.where("vin % 2 = 0"), "odd": t.where("vin % 2 = 1")}, ["age_months", *md.STRESS]))(cut(table(s, d).select("vin", "month", "soh", "age_months", *md.STRESS))))
-add("o12_o13_learning_curve", lambda s, d: evl.learning_curve(table(s, d), (6, 12, 24), 40, 2))
+add("o12_o13_learning_curve", lambda s, d: evl.learning_curve(stored(s, d), (6, 12, 24), 40, 2))
 add("o15_ablation", lambda s, d: evl.ablation(cut(transitions(s, d).select("vin", *RATE, "loss", "weight")), sm.split(kinds(s, d)), {"age": ["age_months", "soh"], "all": RATE}, (0,)))
