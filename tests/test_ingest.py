@@ -109,3 +109,18 @@ def test_state_written_does_not_grow_with_what_waits(spark, tmp_path):
         done = [p for p in query.recentProgress if p["numInputRows"]]
         written.append(done[0]["stateOperators"][0]["numRowsUpdated"])
     assert len(set(written[1:])) == 1
+
+
+def test_streamed_sessions_cut_at_equal_times_and_keep_a_step_of_the_gap(spark, tmp_path):
+    """Steps of the gap, of a microsecond more and of nothing; rows of one session come in two batches, the later ones first."""
+    schema, gap = "vin long, t timestamp, id long, amps double, soc double", 300
+    step = dt.timedelta(seconds=gap)
+    times = [T0, T0 + step, T0 + step, T0 + 2 * step, T0 + 3 * step + dt.timedelta(microseconds=1)]
+    data = [(1, t, i, 2.0 * i, 50.0 + i) for i, t in enumerate(times)]
+    for part in (data[2:], data[:2], [(None, T0 + dt.timedelta(days=400), None, None, None)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        query = live.ordered_sessions(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), gap, "2 days").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert not [o for p in query.recentProgress for o in p["stateOperators"] if "transformWithState" in o["operatorName"]]  # no call into Python for each vehicle
+    got = sorted(tuple(r[c] for c in ("t0", "soc0", "soc1", "n")) + (round(r["ah"], 9),) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [(times[0], 50.0, 51.0, 2, round(1 * gap / 3600, 9)), (times[2], 52.0, 53.0, 2, round(5 * gap / 3600, 9)), (times[4], 54.0, 54.0, 1, 0.0)]

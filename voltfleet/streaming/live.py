@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 
 def deduplicated(stream: DataFrame, delay: str = "3 days", keys: tuple[str, ...] = ("vin", "t")) -> DataFrame:
@@ -28,79 +25,45 @@ def gap_sessions(stream: DataFrame, gap: str = "5 minutes", delay: str = "1 day"
     return groups.agg(F.count("*").alias("n"), F.min_by("soc", "t").alias("soc0"), F.max_by("soc", "t").alias("soc1")).select("vin", F.col("w.start").alias("t0"), "n", "soc0", "soc1")
 
 
-#: Seconds of a bucket of waiting rows.
+#: Rows wait in buckets of this length.
 BUCKET_S = 3600
-_OPEN = "t0 double, t double, amps double, soc0 double, soc1 double, ah double, n long"
-
-
-def _session_processor(gap_s: float) -> StatefulProcessor:
-    """The state function as a value of its own, which workers without this package can unpickle too."""
-
-    class OrderedSessions(StatefulProcessor):
-        """A vehicle's open session, and its waiting rows as one list for each bucket of time.
-
-        A batch writes the buckets that its rows fall into, whatever else waits; a timer at a bucket's end folds it in order of time.
-        """
-
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.open = handle.getValueState("open", _OPEN)
-            self.waiting = handle.getMapState("waiting", "bucket long", "rows array<double>")
-
-        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-            for frame in rows:
-                if key[0] is None or key[0] != key[0]:
-                    continue
-                for bucket, part in frame.groupby(frame["seconds"] // BUCKET_S):
-                    at = (int(bucket),)
-                    held = list(self.waiting.getValue(at)[0]) if self.waiting.containsKey(at) else []
-                    self.waiting.updateValue(at, (held + part[["seconds", "id", "amps", "soc"]].to_numpy(dtype=float).reshape(-1).tolist(),))
-                    self.handle.registerTimer((int(bucket) + 1) * BUCKET_S * 1000)
-            return iter(())
-
-        def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-            passed = timerValues.getCurrentWatermarkInMs() / 1000
-            closed, s = [], self.open.get() if self.open.exists() else None
-            done = sorted(k[0] for k in list(self.waiting.keys()) if (k[0] + 1) * BUCKET_S <= passed)
-            for bucket in done:
-                rows = np.array(self.waiting.getValue((bucket,))[0], dtype=float).reshape(-1, 4)
-                self.waiting.removeKey((bucket,))
-                for t, _, amps, soc in rows[np.lexsort((rows[:, 1], rows[:, 0]))].tolist():
-                    if s is not None and 0 < t - s[1] <= gap_s:
-                        s = (s[0], t, amps, s[3], soc, s[5] + (amps + s[2]) / 2 * (t - s[1]) / 3600, s[6] + 1)
-                    else:
-                        closed += [s] if s is not None else []
-                        s = (t, t, amps, soc, soc, 0.0, 1)
-            # rows up to the end of the last whole bucket are known, so what can still come is later than that
-            if s is not None and s[1] + gap_s < passed // BUCKET_S * BUCKET_S:
-                closed.append(s)
-                s = None
-            if s is not None:
-                if done:
-                    self.open.update(tuple(s))
-                self.handle.registerTimer(int((s[1] + gap_s) // BUCKET_S + 1) * BUCKET_S * 1000)
-            elif self.open.exists():
-                self.open.clear()
-            if closed:
-                yield pd.DataFrame([{"vin": int(key[0]), "t0": c[0], "soc0": c[3], "soc1": c[4], "ah": c[5], "n": int(c[6])} for c in closed])
-
-        def close(self) -> None:
-            pass
-
-    return OrderedSessions()
+
+
+def _joined(runs: Column, gap_s: float) -> Column:
+    """Runs of rows in order of time, joined where the step between them is positive and at most the gap; charge by trapezoid."""
+    step = lambda a, b: b["t0"] - a["t1"]
+    starts = lambda i: (i == 1) | (step(runs[i - 2], runs[i - 1]) <= 0) | (step(runs[i - 2], runs[i - 1]) > gap_s)
+    first = F.filter(F.sequence(F.lit(1), F.size(runs)), starts)
+    parts = F.transform(first, lambda at, k: F.slice(runs, at, F.coalesce(F.get(first, k + 1), F.size(runs) + 1) - at))
+    between = lambda a, b: F.coalesce((a["amps1"] + b["amps0"]) / 2 * step(a, b) / 3600, F.lit(0.0))
+
+    def one(p: Column) -> Column:
+        head, last = p[0], F.element_at(p, -1)
+        rest = F.zip_with(F.slice(p, F.lit(1), F.size(p) - 1), F.slice(p, F.lit(2), F.size(p) - 1), lambda a, b: between(a, b) + b["ah"])
+        ah = F.aggregate(rest, head["ah"], lambda total, x: total + x)
+        n = F.aggregate(p, F.lit(0).cast("long"), lambda total, x: total + x["n"])
+        return F.struct(head["t0"].alias("t0"), head["id"].alias("id"), last["t1"].alias("t1"), head["amps0"].alias("amps0"), last["amps1"].alias("amps1"), head["soc0"].alias("soc0"), last["soc1"].alias("soc1"), ah.alias("ah"), n.alias("n"))
+
+    return F.transform(parts, one)
 
 
 def ordered_sessions(stream: DataFrame, gap_s: float = 300.0, delay: str = "1 day") -> DataFrame:
     """Sessions with trapezoid charge, as the batch operator cuts them: at gaps and at steps that are not positive.
 
-    Rows may come in any order within the delay. They wait in buckets of time until the watermark has passed a bucket's end. A
-    session is given out when the next one starts or the watermark has passed the bucket of its end; rows without a vin only
-    move the watermark, see :func:`heartbeat`. The session's streams keep their state in RocksDB from then on.
+    Rows may come in any order within the delay. They wait in buckets of time until the watermark has passed a bucket's end, and
+    are joined to runs there. A vehicle's runs wait while its buckets follow each other within the gap and a bucket's length; a
+    batch writes the buckets that its rows are of, whatever else waits. Rows without a vin only move the watermark, see
+    :func:`heartbeat`.
     """
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    marked = stream.withWatermark("t", delay).select("vin", "t", "id", "amps", "soc", (F.unix_micros("t") / 1e6).alias("seconds"))
-    done = marked.groupBy("vin").transformWithStateInPandas(_session_processor(gap_s), "vin long, t0 double, soc0 double, soc1 double, ah double, n long", "Append", "EventTime")
-    return done.withColumn("t0", F.timestamp_micros((F.col("t0") * 1e6).cast("long")))
+    seconds = F.unix_micros("t") / 1e6
+    row = F.struct(seconds.alias("t0"), F.col("id"), seconds.alias("t1"), F.col("amps").alias("amps0"), F.col("amps").alias("amps1"), F.col("soc").alias("soc0"), F.col("soc").alias("soc1"), F.lit(0.0).alias("ah"), F.lit(1).cast("long").alias("n"))
+    # a filter on the vin would be pushed below the watermark, where the heartbeat must pass; a bucket without rows gives no run
+    rows = F.collect_list(F.when(F.col("vin").isNotNull(), row))
+    buckets = stream.withWatermark("t", delay).groupBy("vin", F.window("t", f"{BUCKET_S} seconds").alias("w")).agg(F.array_sort(rows).alias("rows"))
+    runs = buckets.where(F.size("rows") > 0).select("vin", F.window_time("w").alias("at"), _joined(F.col("rows"), gap_s).alias("runs"))
+    chains = runs.groupBy("vin", F.session_window("at", f"{math.ceil(gap_s) + BUCKET_S} seconds")).agg(F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"))
+    done = chains.select("vin", F.explode(_joined(F.col("runs"), gap_s)).alias("s"))
+    return done.select("vin", F.timestamp_micros((F.col("s.t0") * 1e6).cast("long")).alias("t0"), "s.soc0", "s.soc1", "s.ah", "s.n")
 
 
 def heartbeat(samples: DataFrame, ahead: str = "3650 days") -> DataFrame:
