@@ -125,8 +125,11 @@ def _run(s: SparkSession, samples: DataFrame, build, mode: str = "append", flush
     """Deliver samples in four steps in order of time, stream each to its end from one checkpoint, and return what the sink holds.
 
     A step's files come in no order, but all in one batch. ``flush`` adds a last step of one row that ends what is still open.
+    The samples are computed once and stored, since the cuts and each step read them.
     """
     root = f"{shared_folder(s)}/stream-{uuid.uuid4().hex}"
+    samples.write.parquet(f"{root}/samples")
+    samples = s.read.schema(samples.schema).parquet(f"{root}/samples")
     cuts = samples.select(F.percentile_approx(F.unix_micros("t"), [0.25, 0.5, 0.75], 1000).alias("q")).first()["q"] or []
     step = F.size(F.filter(F.array(*[F.lit(q).cast("long") for q in cuts]), lambda q: q < F.unix_micros("t"))) if cuts else F.lit(0)
     steps = [samples.where(step == k) for k in range(len(cuts) + 1)]
@@ -148,7 +151,7 @@ add(
 )
 add(
     "s11_stream_gap_sessions",
-    lambda s, d: _run(s, clean_samples(s, d), lambda x: live.gap_sessions(x, "12 hours", "2 days"), flush=True).where("vin is not null"),
+    lambda s, d: _run(s, clean_samples(s, d).select("vin", "t", "soc"), lambda x: live.gap_sessions(x, "12 hours", "2 days"), flush=True).where("vin is not null"),
     TELEMETRY,
     "gp AS (SELECT *, sum(CAST(coalesce(epoch_us(t) - epoch_us(before) >= 43200000000, true) AS BIGINT)) OVER (PARTITION BY vin ORDER BY t, id) AS sid FROM (SELECT *, lag(t) OVER (PARTITION BY vin ORDER BY t, id) AS before FROM ok))",
     select="SELECT vin, min(t) AS t0, count(*) AS n FROM gp GROUP BY vin, sid",
@@ -156,7 +159,7 @@ add(
 )
 add(
     "s11_stream_ordered_sessions",
-    lambda s, d: _run(s, clean_samples(s, d), lambda x: live.ordered_sessions(x, GAP_S, "2 days"), flush=True),
+    lambda s, d: _run(s, clean_samples(s, d).select("vin", "t", "id", "amps", "soc"), lambda x: live.ordered_sessions(x, GAP_S, "2 days"), flush=True),
     TELEMETRY,
     "os0 AS (SELECT *, epoch_us(t) / 1e6 - epoch_us(lag(t) OVER w) / 1e6 AS dt, lag(amps) OVER w AS prev FROM ok WINDOW w AS (PARTITION BY vin ORDER BY t, id))",
     f"os1 AS (SELECT *, dt IS NULL OR dt > {GAP_S} OR dt <= 0 AS start FROM os0)",
