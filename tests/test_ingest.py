@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltfleet.operators import events
+from voltfleet.plans import incremental
+from voltfleet.sources import fixtures as fx
 from voltfleet.sources import store as st
 from voltfleet.streaming import ingest, live
 
@@ -124,3 +126,27 @@ def test_streamed_sessions_cut_at_equal_times_and_keep_a_step_of_the_gap(spark,
         assert not [o for p in query.recentProgress for o in p["stateOperators"] if "transformWithState" in o["operatorName"]]  # no call into Python for each vehicle
     got = sorted(tuple(r[c] for c in ("t0", "soc0", "soc1", "n")) + (round(r["ah"], 9),) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == [(times[0], 50.0, 51.0, 2, round(1 * gap / 3600, 9)), (times[2], 52.0, 53.0, 2, round(5 * gap / 3600, 9)), (times[4], 54.0, 54.0, 1, 0.0)]
+
+
+def test_merge_splits_a_large_month_by_its_rows(spark, tmp_path):
+    """A month is staged by more tasks as its rows grow, those of earlier batches included."""
+    store = st.MonthStore(spark, str(tmp_path), ("vin", "t"), "load", parts=1, file_rows=100)
+    days = lambda low, high, day: spark.range(low, high).select(F.col("id").alias("vin"), F.lit(T0 + dt.timedelta(days=day)).alias("t"), F.lit(1).alias("load"), F.lit(1.0).alias("soc"))
+    st.merge(store, 1, days(0, 300, 0).unionByName(days(0, 50, 40)))
+    st.merge(store, 2, days(200, 700, 1))
+    staged = [spark.read.parquet(str(p)).count() for p in Path(f"{tmp_path}/staged/2/month=2024-01-01").glob("*.parquet")]
+    assert sum(staged) == 800 and max(staged) < 400
+    assert store.read().count() == 850
+
+
+def test_stream_steps_compute_their_samples_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    samples = fx.telemetry(spark, "/root/testdata/sf0.001").select("vin", "t", "id").mapInArrow(counted, "vin long, t timestamp, id long")
+    out = incremental._run(spark, samples, lambda x: live.deduplicated(x, "40 days"))
+    assert out.count() == read.value > 0
