@@ -172,12 +172,13 @@ add("s12_late_rows", lambda s, d: live.split_late(fx.telemetry(s, d), "2024-01-0
 
 def ingested(s: SparkSession, d: str) -> MonthStore:
     """Samples that come in four micro-batches: every seventh two batches late, every fifth once more with another reading."""
-    samples = fx.telemetry(s, d).select("vin", "t", "id", "soc")
+    root = f"{shared_folder(s)}/ingest-{uuid.uuid4().hex}"
+    fx.telemetry(s, d).select("vin", "t", "id", "soc").write.parquet(f"{root}/samples")  # read by each step
+    samples = s.read.parquet(f"{root}/samples")
     last = samples.agg(F.max("id")).first()[0] or 0
     step = F.floor(F.col("id") * 4 / (last + 1))
     first = samples.withColumns({"load": F.lit(0), "step": F.least(step + F.when(F.col("id") % 7 == 0, 2).otherwise(0), F.lit(3))})
     again = samples.where("id % 5 = 0").withColumns({"soc": F.col("soc") + 1, "load": F.lit(1), "step": F.least(step + 1, F.lit(3))})
-    root = f"{shared_folder(s)}/ingest-{uuid.uuid4().hex}"
     store, rows = MonthStore(s, f"{root}/store", ("vin", "t"), "load", parts=1), first.unionByName(again)
     for k in range(4):
         part = rows.where(F.col("step") == k).drop("step")
