@@ -61,7 +61,7 @@ def forecasts(rows: DataFrame) -> DataFrame:
 
 add("n01_n03_rate_model", lambda s, d: (lambda t: (lambda m: md.predict(m[0], t).select("vin", "month", "loss", (F.col("prediction") + m[1]).alias("predicted")))(md.fit_rate(t, RATE)))(transitions(s, d)))
 add("n02_quantile_forest", lambda s, d: (lambda t: md.quantile_forest(t, j.latest(t).withColumn("id", F.col("vin")), RATE, "loss").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))(cut(transitions(s, d).select("vin", "month", *RATE, "loss"))))
-add("n02_pinball_boosting", lambda s, d: (lambda t: pb.predict(pb.fit(t, RATE, "loss"), j.latest(t), "vin").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))(transitions(s, d)))
+add("n02_pinball_boosting", lambda s, d: (lambda t: pb.predict(pb.fit(t, RATE, "loss"), j.latest(t), "vin").select("vin", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90")))(cut(transitions(s, d).select("vin", "month", *RATE, "loss"))))
 
 
 def quantile_losses(s: SparkSession, d: str) -> DataFrame:
