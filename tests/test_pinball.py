@@ -88,3 +88,35 @@ def test_odd_tables(spark):
     assert pinball.predict(model, df.where("false"), "id").count() == 0
     same = pinball.fit(df.selectExpr("id", "a", "b", "c", "5.0D as y"), ["a", "b", "c"], "y", Q, trees=2)
     assert pinball.predict(same, df, "id").selectExpr("q").distinct().collect()[0]["q"] == [5.0, 5.0, 5.0]
+
+
+def test_fit_computes_its_rows_twice_only(spark):
+    """Once for the bins' edges and once to store the bins, each feature a column of its own, whatever the number of passes."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = frame(spark, made(300, 5)).mapInArrow(counted, "id long, a double, b double, c double, y double")
+    pinball.fit(df, ["a", "b", "c"], "y", Q, trees=2, depth=2)
+    assert read.value == 600
+
+
+def test_a_node_is_one_compare_for_each_cut(spark):
+    """Columns of the packed bins are contiguous, and nodes equal a walk of each row."""
+    model = pinball.fit(frame(spark, made(700, 6)), ["a", "b", "c"], "y", Q, trees=2, depth=3)
+    bins = model.bins(np.array([r[1:4] for r in made(200, 7)]))
+    for m in range(3):
+        walked = []
+        for row in bins:
+            at = 0
+            for level in range(3):
+                place = (1 << level) - 1 + at
+                at = 2 * at + int(row[model.feature[m, 1, place]] > model.cut[m, 1, place])
+            walked.append(at)
+        assert model.node(bins, m, 1, 3).tolist() == walked
+    batch = pinball.pa.RecordBatch.from_pydict({"y": [1.0, 2.0], "bin0": [3, 4], "bin1": [5, 6]})
+    y, columns = pinball._unpacked(batch)
+    assert columns.tolist() == [[3, 5], [4, 6]] and columns[:, 1].flags.c_contiguous

@@ -41,11 +41,14 @@ class Boosted(NamedTuple):
         return np.where(np.isnan(x), np.array([len(e) + 1 for e in self.edges]), out).astype(np.int64)
 
     def node(self, bins: np.ndarray, model: int, tree: int, levels: int) -> np.ndarray:
-        """The node of each row on a level, numbered from its left."""
-        at, row = np.zeros(len(bins), dtype=np.int64), np.arange(len(bins))
+        """The node of each row on a level, numbered from its left. A compare for each node; columns of ``bins`` should be contiguous."""
+        at = np.zeros(len(bins), dtype=np.int16)
         for level in range(levels):
-            place = (1 << level) - 1 + at
-            at = 2 * at + (bins[row, self.feature[model, tree, place]] > self.cut[model, tree, place])
+            right = np.zeros(len(bins), dtype=bool)
+            for k in range(1 << level):
+                place = (1 << level) - 1 + k
+                right |= (bins[:, self.feature[model, tree, place]] > int(self.cut[model, tree, place])) & (at == k)
+            at = 2 * at + right
         return at
 
     def predict(self, bins: np.ndarray, model: int, trees: int | None = None) -> np.ndarray:
@@ -56,8 +59,8 @@ class Boosted(NamedTuple):
 
 
 def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    flat = batch.column("bins").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    return batch.column("y").to_numpy(), flat.reshape(batch.num_rows, -1)
+    """Labels, and bins with each feature's on end."""
+    return batch.column("y").to_numpy(), np.stack([batch.column(i).to_numpy() for i in range(1, batch.num_columns)]).T
 
 
 def _counts(rows: DataFrame, model: Boosted, tree: int, level: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,16 +68,18 @@ def _counts(rows: DataFrame, model: Boosted, tree: int, level: int, width: int)
     shape = (len(model.quantiles), 1 << level, len(model.features), width)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        above, every = np.zeros(np.prod(shape), dtype=np.int64), np.zeros(np.prod(shape), dtype=np.int64)
+        sums = np.zeros((*shape, 2), dtype=np.int64)
         for batch in batches:
             y, bins = _unpacked(batch)
             if not len(y):
                 continue
+            twice = 2 * bins.T.astype(np.int64)
             for m in range(shape[0]):
                 over = y > model.predict(bins, m, tree)
-                place = (((m * shape[1] + model.node(bins, m, tree, level))[:, None] * shape[2]) + np.arange(shape[2])) * width + bins
-                every += np.bincount(place.reshape(-1), minlength=len(every))
-                above += np.bincount(place[over].reshape(-1), minlength=len(above))
+                node = model.node(bins, m, tree, level).astype(np.int64) * (2 * width) + over
+                for f in range(shape[2]):
+                    sums[m, :, f] += np.bincount(node + twice[f], minlength=shape[1] * width * 2).reshape(shape[1], width, 2)
+        above, every = sums[..., 1].reshape(-1), sums.sum(axis=-1).reshape(-1)
         at = np.flatnonzero(every)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(above[at]), pa.array(every[at])], names=["place", "above", "every"])
 
@@ -110,7 +115,7 @@ def _leaves(rows: DataFrame, model: Boosted, tree: int, rate: float) -> None:
         for batch in batches:
             y, bins = _unpacked(batch)
             for m in range(len(model.quantiles)):
-                yield pa.RecordBatch.from_arrays([pa.array(m * leaves + model.node(bins, m, tree, model.depth)), pa.array(y - model.predict(bins, m, tree))], names=["leaf", "rest"])
+                yield pa.RecordBatch.from_arrays([pa.array(m * leaves + model.node(bins, m, tree, model.depth).astype(np.int64)), pa.array(y - model.predict(bins, m, tree))], names=["leaf", "rest"])
 
     found = rows.mapInArrow(rest, "leaf long, rest double").groupBy("leaf").agg(F.percentile_approx("rest", list(model.quantiles), 10_000).alias("q")).collect()
     for r in found:
@@ -133,13 +138,14 @@ def fit(rows: DataFrame, features: list[str], label: str, quantiles: tuple[float
     if first["y"] is None:
         return model
 
+    names = [f"bin{i}" for i in range(len(model.features))]
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = model.bins(matrix(batch, model.features)).astype(np.int16)
-            ends = np.arange(0, flat.size + 1, flat.shape[1], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.reshape(-1)))], names=["y", "bins"])
+            found = model.bins(matrix(batch, model.features)).astype(np.int16)
+            yield pa.RecordBatch.from_arrays([batch.column("y"), *(pa.array(column) for column in found.T)], names=["y", *names])
 
-    packed = cut(rows.mapInArrow(pack, "y double, bins array<smallint>"))  # read once for each level of each tree
+    packed = cut(rows.mapInArrow(pack, ", ".join(["y double", *(f"{n} smallint" for n in names)])))  # read once for each level of each tree
     for tree in range(trees):
         for level in range(depth):
             _split(model, tree, level, *_counts(packed, model, tree, level, bins + 2), least)
