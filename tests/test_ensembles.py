@@ -1,6 +1,10 @@
 """Flattened and additive ensembles: against MLlib's own predictions, and against a fit without each vehicle."""
 
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +98,24 @@ def test_five_forecasters_on_every_vehicle(fleet):
     assert got["trajectory"]["rmse"] < 0.6 * got["persistence"]["rmse"] and got["rate_raw"]["rmse"] < got["persistence"]["rmse"]
     folds = evaluate.folds_backtest(fleet, 3)
     assert rows.count() == folds.count()
+
+
+def test_leave_one_out_reads_sums_without_an_object_for_each():
+    """A task's memory stays near its batch's own buffers; a vehicle without sums gets the models of all."""
+    trees = ensembles.Additive(["horizon", "soh"], np.zeros((48, 6), dtype=np.int64), np.full((48, 6), 5.0))
+    n, cells = 48 * trees.leaves, 1000
+    all_, rows = ensembles.Sums(np.full(n, 8.0), np.full(n, 4.0)), 60
+    flat = pa.StructArray.from_arrays([pa.array(np.tile(np.arange(cells), rows)), pa.array(np.ones(cells * rows)), pa.array(np.ones(cells * rows))], ["cell", "s", "w"])
+    own = pa.ListArray.from_arrays(pa.array(np.append(np.arange(rows + 1) * cells, rows * cells).astype(np.int32), mask=np.array([False] * rows + [True, False])), flat)
+    assert own.null_count == 1 and len(own) == rows + 1
+    column = pa.array(np.full(rows + 1, 50.0))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(rows + 1)), column, column, column, own, own], names=["vin", "soh", "age_months", "recent_loss", "far", "near"])
+    near = trees._replace(features=["age_months", "soh"])
+    run = leave_one_out._steps(SimpleNamespace(value=(trees, all_, near, all_)), 2, 1.2, (0.05, 0.4))
+    tracemalloc.start()
+    out = next(run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5e6  # 120,000 sums as objects take over 30 MB
+    raw = out.column("raw").to_numpy().reshape(rows + 1, 2)
+    assert np.allclose(raw[-1], [2.0, 4.0]) and (raw[0] > raw[-1]).all()

@@ -212,3 +212,15 @@ def totals(sums: DataFrame, trees: Additive) -> Sums:
 def own_sums(sums: DataFrame, name: str) -> DataFrame:
     """vin and its sums as one array."""
     return sums.groupBy("vin").agg(F.collect_list(F.struct("cell", "s", "w")).alias(name))
+
+
+class Lists:
+    """Cells, sums and weights of each row of a column of :func:`own_sums`, as views of the column's own buffers; a null has none."""
+
+    def __init__(self, column: pa.ListArray) -> None:
+        self.ends, self.valid = column.offsets.to_numpy(), column.is_valid().to_numpy(zero_copy_only=False)
+        self.parts = [column.values.field(name).to_numpy(zero_copy_only=False) for name in ("cell", "s", "w")]
+
+    def __getitem__(self, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = slice(self.ends[row], self.ends[row + 1]) if self.valid[row] else slice(0)
+        return tuple(part[at] for part in self.parts)

@@ -37,12 +37,9 @@ def _steps(shared, months: int, most: float, gate: tuple[float, float]):  # noqa
             far_x, near_x = ensembles.matrix(batch, [f for f in far_trees.features if f != "horizon"]), ensembles.matrix(batch, near_trees.features)
             start = ensembles.matrix(batch, ["soh", "age_months", "recent_loss"])
             out = {name: np.empty((batch.num_rows, months)) for name in ("raw", "rate_gated", "rate_raw")}
-            held = [batch.column(c).to_pylist() for c in ("far", "near")]
+            held = [ensembles.Lists(batch.column(c)) for c in ("far", "near")]
             for i in range(batch.num_rows):
-                far, near = (
-                    all_.without(np.array([r["cell"] for r in own], dtype=np.int64), np.array([r["s"] for r in own]), np.array([r["w"] for r in own])) if own else all_
-                    for all_, own in ((far_all, held[0][i]), (near_all, held[1][i]))
-                )
+                far, near = (all_.without(*own[i]) for all_, own in ((far_all, held[0]), (near_all, held[1])))
                 x = np.repeat(far_x[i : i + 1], months, axis=0)
                 at = far_trees.features.index("horizon")
                 out["raw"][i] = horizon * far.predict(far_trees, np.concatenate([x[:, :at], horizon[:, None], x[:, at:]], axis=1))
