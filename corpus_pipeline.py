@@ -1,7 +1,7 @@
 """Corpus preparation in five stages; each stage's rows are written as Parquet and reread as the next stage's documents.
 
 language: documents without a recognised language go. near_dedup: of documents with a Jaccard similarity of 0.8 or more over
-five-word shingles the one with the smallest id stays. decontaminate: documents with a benchmark window go. secrets: documents
+five-word shingles the one with the smallest id stays; they meet by SimHash, first of all by the pigeonhole, and are then compared. decontaminate: documents with a benchmark window go. secrets: documents
 with a secret go. tokens: what is left is encoded, and the decoded text's digest shows that nothing was lost.
 """
 

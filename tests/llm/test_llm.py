@@ -352,6 +352,26 @@ def test_near_copies_that_repeat_a_line_are_found(spark):
     assert {r["doc_id"] for r in simhash.one_of_each(docs).collect()} == set(range(0, len(texts), 2))
 
 
+def test_near_copies_within_four_bits_meet_by_the_pigeonhole(spark, monkeypatch):
+    """Wide probes that meet few pairs, and small sets without shared shingles to meet by."""
+    monkeypatch.setattr(simhash, "plan_wide", lambda n, similarity: (24, 1))
+    monkeypatch.setattr(simhash, "rarest", lambda hashes, similarity, common: hashes[:0])
+    rng = np.random.default_rng(21)
+    texts = []
+    for size in (300, 40):
+        for _ in range(12):
+            base = " ".join(f"w{x}" for x in rng.integers(0, 10**9, size))
+            texts += [base, f"{base} more"]
+    salt = common.mix(np.arange(1, 2, dtype=np.uint64) << np.uint64(32))
+    own = np.array([simhash.majority(common.mix(np.unique(simhash.shingle_hashes(t.encode(), 5)) ^ salt))[0] for t in texts])
+    near = np.bitwise_count(own[::2] ^ own[1::2]) <= 4
+    assert near.sum() > 15
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.one_of_each(docs).collect()}
+    assert set(range(0, len(texts), 2)) <= kept
+    assert not kept & {2 * k + 1 for k in np.flatnonzero(near).tolist()}
+
+
 def test_near_copies_of_few_shingles_are_all_found(spark):
     """Pairs at the least similarity: n shingles against the same and a quarter more, beside a line that many of them have."""
     rng = np.random.default_rng(8)

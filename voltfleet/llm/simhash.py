@@ -223,6 +223,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, tau: int = 4) -> DataFram
     return c.join_one(own, c.cut(c.join_one(named, names, "root").select("print", "component_id")), "print")
 
 
+#: Bits up to which documents meet by the pigeonhole before their shingles are compared.
+TAU = 4
 #: Words of a wide fingerprint, of 64 bits each, and the share of pairs at the least similarity that the probes must meet.
 WIDE, MEET = 8, 0.999
 #: How much less than the least similarity the estimate of a pair to verify may be: 3.7 standard errors of 512 bits.
@@ -295,8 +297,9 @@ def common_shingles(texts: DataFrame, n: int, shingle: int, largest: int) -> tup
 
 
 def _wide(shingle: int, width: int, parts: int, similarity: float, common):  # noqa: ANN001, ANN202
-    """Digest, size, wide fingerprint with its keys, and parity map with rarest shingles, of each document's set of shingles; like the
-    similarity they take a repeated one once. Sets of up to ``SMALL`` have no keys, and those that are too large to be similar to one no shingles."""
+    """Digest, size, fingerprint, wide fingerprint with its keys, and parity map with rarest shingles, of each document's set of shingles;
+    like the similarity they take a repeated one once. The fingerprint is the wide one's first word. Sets of up to ``SMALL`` have no keys
+    and of the wide one only that word, and those that are too large to be similar to one have no shingles."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salts, largest = c.mix(np.arange(1, WIDE + 1, dtype=np.uint64) << np.uint64(32)), int(SMALL / similarity + 1e-9)
@@ -304,8 +307,8 @@ def _wide(shingle: int, width: int, parts: int, similarity: float, common):  # n
             prints, digests, sizes, maps, rare = np.zeros((batch.num_rows, WIDE), dtype="<u8"), [], [], [], []
             for i, text in enumerate(c.raw_texts(batch.column("text"))):
                 hashes = np.unique(shingle_hashes(text, shingle))
-                if len(hashes) > SMALL:
-                    prints[i] = [majority(c.mix(hashes ^ salt))[0] for salt in salts]
+                words = WIDE if len(hashes) > SMALL else 1
+                prints[i, :words] = [majority(c.mix(hashes ^ salt))[0] for salt in salts[:words]]
                 digests.append(_digest(hashes))
                 sizes.append(len(hashes))
                 maps.append(parity(hashes))
@@ -314,7 +317,8 @@ def _wide(shingle: int, width: int, parts: int, similarity: float, common):  # n
             keys = bits.astype(np.int64) @ (1 << np.arange(width)) + np.arange(parts) * (1 << width)
             columns = [pa.array(digests, type=pa.binary()), pa.array([p.tobytes() for p in prints], type=pa.binary()), pa.array([k if n > SMALL else [] for k, n in zip(keys.tolist(), sizes, strict=True)], type=pa.list_(pa.int64()))]
             columns += [pa.array(sizes, type=pa.int32()), pa.array(np.array(maps, dtype=np.uint64).view(np.int64)), pa.array(rare, type=pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "digest", "print", "keys", "size", "map", "rare"])
+            columns.append(pa.array(prints[:, 0].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "digest", "print", "keys", "size", "map", "rare", "own"])
 
     return rows
 
@@ -439,7 +443,8 @@ def _verifier(similarity: float, most: int):  # noqa: ANN202
         pairs = [np.empty((0, 3), dtype=np.int64)]
         for i in range(len(ids) - 1):
             apart = np.bitwise_count(prints[i + 1 :] ^ prints[i]).sum(axis=1, dtype=np.int64)
-            near = np.where(np.minimum(sizes[i], sizes[i + 1 :]) <= SMALL, may_be_similar(sizes[i], sizes[i + 1 :], maps[i + 1 :] ^ maps[i], similarity), apart <= most)
+            close = (apart <= most) | (np.bitwise_count(prints[i + 1 :, 0] ^ prints[i, 0]) <= TAU)
+            near = np.where(np.minimum(sizes[i], sizes[i + 1 :]) <= SMALL, may_be_similar(sizes[i], sizes[i + 1 :], maps[i + 1 :] ^ maps[i], similarity), close)
             j = np.flatnonzero(near & (labels[i + 1 :] != labels[i]))
             pairs.append(np.stack([apart[j], np.full(len(j), i), j + i + 1], axis=1))
         _, root = np.unique(labels, return_index=True)  # documents of a label are connected already
@@ -473,13 +478,24 @@ def _large_groups(members: DataFrame, similarity: float, most: int) -> DataFrame
     return near.select("a", "b").unionByName(_left_to_verify(members, near).groupBy("task").applyInArrow(_verifier(similarity, most), "a long, b long"))
 
 
+def within_bits(rows: DataFrame, tau: int) -> DataFrame:
+    """Links a-b that connect all documents whose fingerprints (column own) differ in at most tau bits, by the probes of :func:`links`."""
+    each = c.cut(rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("own").alias("own")))
+    kinds = c.cut(each.groupBy(F.col("own").alias("print")).agg(F.min("doc_id").alias("least")))
+    ends = [kinds.select(F.col("print").alias(x), F.col("least").alias(f"least_{x}")) for x in "ab"]
+    near = c.join_one(c.join_one(c.cut(links(kinds, tau)), ends[0], "a"), ends[1], "b").select(F.col("least_a").alias("a"), F.col("least_b").alias("b"))
+    equal = c.join_one(each.select("doc_id", "own"), kinds.withColumnRenamed("print", "own"), "own").where("doc_id <> least")
+    return near.unionByName(equal.select(F.col("doc_id").alias("a"), F.col("least").alias("b")))
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id of the documents that have a similar one; component_id is the smallest id of the group.
 
-    Similarity is the Jaccard similarity of word shingles. Candidates come from 512 SimHash bits: at 0.8 pairs differ in a
+    Similarity is the Jaccard similarity of word shingles. Candidates are, first, all pairs whose 64-bit fingerprints differ in at
+    most ``TAU`` bits, by the generalised pigeonhole. For pairs farther apart there are 512 SimHash bits: at 0.8 they differ in a
     seventh of their bits, too many for a pigeonhole guarantee, so the parts have threshold 0 and meet 999 in 1000 of such pairs,
     and more of nearer ones. Bits of few shingles say too little, so pairs whose smaller set has at most ``SMALL`` are all found, by
-    a shared one of their rarest shingles. Groups of candidates are then verified by their exact shingles: of large ones each document
+    a shared one of their rarest shingles, too. Groups of candidates are then verified by their exact shingles: of large ones each document
     with a few leaders, then what these leave apart with all others, in blocks. Texts of equal shingle sets are folded
     before probing; those that only have equal bits are not. Documents with a null id or without words have no group.
     """
@@ -489,13 +505,14 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     buckets = max(LEAST_BUCKETS, n * parts // (BUCKET_ROWS // 8))
     most = int(turned(similarity - MARGIN) * WIDE * BITS)
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, n, shingle, int(SMALL / similarity + 1e-9)))
-    rows = c.cut(texts.mapInArrow(_wide(shingle, width, parts, similarity, common), "doc_id long, digest binary, print binary, keys array<long>, size int, map long, rare array<long>"))
+    rows = c.cut(texts.mapInArrow(_wide(shingle, width, parts, similarity, common), "doc_id long, digest binary, print binary, keys array<long>, size int, map long, rare array<long>, own long"))
     copies = rows.where(F.size("keys") > 0).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *[F.first(x).alias(x) for x in ("print", "keys")])
     tasks = _in_blocks(copies.select("doc_id", "print", F.explode("keys").alias("key")), "key", BLOCK, "doc_id").select("doc_id", "print", F.col("task").alias("key"))
     found = tasks.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(buckets))).groupBy("bucket").applyInArrow(_wide_linker(most), "a long, b long")
     few = rows.where(F.size("rare") > 0).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *[F.first(x).alias(x) for x in ("size", "map", "rare")])
     tasks = _in_blocks(few.select("doc_id", "size", "map", F.explode("rare").alias("key")), "key", BLOCK, "doc_id").select("doc_id", "size", "map", F.col("task").alias("key"))
     found = found.unionByName(tasks.withColumn("bucket", F.pmod(F.shiftright("key", 20), F.lit(buckets))).groupBy("bucket").applyInArrow(_small_linker(similarity), "a long, b long"))
+    found = within_bits(rows, TAU).unionByName(found)
     groups = components(found).select(F.col("node").alias("doc_id"), F.col("root").alias("group"))
     members = c.cut(rows.select("doc_id", "print").join(groups, "doc_id").join(texts, "doc_id").mapInArrow(_sets(shingle), "doc_id long, group long, print binary, shingles binary"))
     big = c.cut(groups.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > VERIFY_BLOCK).select("group"))
