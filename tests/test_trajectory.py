@@ -3,7 +3,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from voltfleet.operators import models, trajectory
+from voltfleet.functions import stats
+from voltfleet.operators import evaluate, models, trajectory
 
 from .test_operators import fading
 
@@ -79,3 +80,38 @@ def test_a_pass_sums_weights_and_targets_of_all_pairs(fleet, grown):
             at = np.searchsorted(edges, x[:, f])
             assert sums[0, 0, f, : len(edges) + 1] == pytest.approx(np.bincount(at, weight, len(edges) + 1))
             assert sums[1, 0, f, : len(edges) + 1] == pytest.approx(np.bincount(at, weight * target, len(edges) + 1), abs=1e-9)
+
+
+def test_models_of_the_same_passes_equal_those_fitted_alone(spark, fleet, monkeypatch):
+    """Sets of vehicles that overlap, and one that is empty; sums of few tasks come as they are, those of many by way of others."""
+    sets = {"all": F.lit(True), "even": F.col("vin") % 2 == 0, "late": F.col("vin") > 2, "none": F.lit(False)}
+    rows = models.trajectory_histories(fleet).withColumn("vin", F.when(F.col("vin") != 1, F.col("vin")))  # a condition may be null
+    alone = [trajectory.fit(rows.where(one), models.TRAJECTORY, trees=2, depth=2) for one in sets.values()]
+    for few in (64, 0):
+        monkeypatch.setattr(trajectory, "FEW", few)
+        got = trajectory.fit_each(rows, models.TRAJECTORY, list(sets.values()), trees=2, depth=2)
+        for a, b in zip(got, alone, strict=True):
+            assert all(np.array_equal(x, y) for x, y in zip(a.edges, b.edges, strict=True))
+            assert np.array_equal(a.feature, b.feature) and np.array_equal(a.edge, b.edge)
+            assert a.value == pytest.approx(b.value) and a.gain == pytest.approx(b.gain)
+    assert (got[0].feature >= 0).any() and not (got[3].feature >= 0).any()
+
+
+def test_passes_are_dealt_by_pairs_and_cores():
+    piece = trajectory.PIECE
+    assert [trajectory._tasks(n * piece, 8) for n in (0, 3, 7, 24, 143, 1430)] == [1, 1, 3, 8, 8, 96]
+
+
+def test_training_sets_are_fitted_by_the_passes_of_one_fit(spark, fleet, monkeypatch):
+    passes = []
+    monkeypatch.setattr(trajectory, "_sums_each", lambda *a, f=trajectory._sums_each: passes.append(1) or f(*a))
+    monkeypatch.setattr(models, "fit_trajectories", lambda rows, sets, f=models.fit_trajectories: f(rows, sets, 2))
+    kinds = fleet.select("vin").distinct().withColumn("degrader", F.col("vin") > 1)
+    sets = {"all": F.lit(True), "degraders": F.col("degrader")}
+    got = {r["training"]: r for r in evaluate.compare_training(fleet.drop("degrader"), kinds, sets, F.col("vin") % 2).collect()}
+    assert len(passes) == 8
+    monkeypatch.setattr(models, "fit_trajectory", lambda rows, f=models.fit_trajectory: f(rows, 2))
+    for name, train in (("all", fleet), ("degraders", fleet.where("vin > 1"))):
+        rows = evaluate.holdout(train.where("vin % 2 = 0"), fleet.where("vin % 2 = 1")).unionByName(evaluate.holdout(train.where("vin % 2 = 1"), fleet.where("vin % 2 = 0")))
+        want = stats.errors(rows, "model", "actual").first()
+        assert all(got[name][c] == pytest.approx(want[c], abs=2e-6) for c in want.asDict())

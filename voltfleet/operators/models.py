@@ -81,6 +81,11 @@ def fit_trajectory(rows: DataFrame, trees: int = 12) -> trajectory.Trees:
     return trajectory.fit(rows, TRAJECTORY, trees)
 
 
+def fit_trajectories(rows: DataFrame, sets: dict, trees: int = 12) -> dict:
+    """:func:`fit_trajectory` of the vehicles that meet each of the conditions, by the same passes over all of them."""
+    return dict(zip(sets, trajectory.fit_each(rows, TRAJECTORY, list(sets.values()), trees), strict=True))
+
+
 def forecast(model: PipelineModel | trajectory.Trees, at: DataFrame, months: int = 36, band: tuple[float, float] = (1.5, 1.5), flat_drop: float = 1.0) -> DataFrame:
     """vin, h, age_months, p10, p50, p90: all vehicles and steps in one pass.
 

@@ -11,6 +11,8 @@ present prediction that a pair lies on, and adds ``rate`` of it.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -19,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import cut
+from ..sources.shared import cut_once
 
 #: Pairs that a task holds at once.
 PIECE = 1 << 17
+#: Models that are fitted by the same passes, and tasks whose sums come to the driver as they are.
+TOGETHER, FEW = 16, 64
 
 
 class Trees(NamedTuple):
@@ -42,22 +46,19 @@ class Trees(NamedTuple):
     def depth(self) -> int:
         return self.value.shape[1].bit_length() - 1
 
-    def reached(self, bins: np.ndarray, tree: int, levels: int) -> np.ndarray:
-        """Nodes of a level by anchors: whether the anchor's own features lead to the node at some horizon. ``bins``: features by anchors."""
-        out = np.ones((1, bins.shape[1]), dtype=bool)
+    def reached(self, bins: np.ndarray, trees: slice, levels: int) -> np.ndarray:
+        """Nodes of a level of the trees by anchors: whether the anchor's own features lead to the node at some horizon.
+
+        ``bins``: features by anchors, the horizon's being 0.
+        """
+        f, edge = self.feature[trees, : (1 << levels) - 1], self.edge[trees, : (1 << levels) - 1]
+        left = bins[np.maximum(f, 0)] <= edge[:, :, None].astype(bins.dtype)
+        right = ~left | (f == 0)[:, :, None]
+        out = np.ones((len(f), 1, bins.shape[1]), dtype=bool)
         for level in range(levels):
-            grown = np.empty((2 * len(out), bins.shape[1]), dtype=bool)
-            for node, mask in enumerate(out):
-                f, edge = int(self.feature[tree, len(out) - 1 + node]), int(self.edge[tree, len(out) - 1 + node])
-                if f > 0:
-                    left = bins[f] <= edge
-                    np.logical_and(mask, left, out=grown[2 * node])
-                    np.greater(mask, left, out=grown[2 * node + 1])
-                else:
-                    grown[2 * node] = mask
-                    grown[2 * node + 1] = mask & (f == 0)
-            out = grown
-        return out
+            own, n = slice((1 << level) - 1, (2 << level) - 1), 1 << level
+            out = np.stack([out & left[:, own], out & right[:, own]], axis=2).reshape(len(f), 2 * n, -1)
+        return out.reshape(-1, bins.shape[1])
 
     def spans(self, tree: int, levels: int) -> np.ndarray:
         """Nodes of a level by bins of the horizon: 1 where the horizon leads to the node for some anchor."""
@@ -76,28 +77,23 @@ class Trees(NamedTuple):
 
     def by_horizon(self, bins: np.ndarray, steps: np.ndarray) -> np.ndarray:
         """The prediction of those trees by bins of the horizon and anchors."""
-        trees = steps.shape[1] >> self.depth
-        return steps @ np.concatenate([self.reached(bins, t, self.depth) for t in range(trees)], dtype=float)
+        return steps @ self.reached(bins, slice(steps.shape[1] >> self.depth), self.depth).astype(float)
 
     def column(self) -> Column:
-        """The prediction as an expression; null where a feature is."""
+        """The prediction as an expression, in SQL since a call of the JVM for each node takes seconds; null where a feature is."""
+        name = [f"`{f.replace('`', '``')}`" for f in self.features]
 
-        def node(tree: int, place: int) -> Column:
+        def node(tree: int, place: int) -> str:
             if place >= self.feature.shape[1]:
-                return F.lit(float(self.value[tree, place - self.feature.shape[1]]))
+                return f"{float(self.value[tree, place - self.feature.shape[1]])!r}D"
             f = int(self.feature[tree, place])
             if f < 0:
                 return node(tree, 2 * place + 1)
             edge = float(self.edges[f][self.edge[tree, place]])
-            return F.when(F.col(self.features[f]) <= edge, node(tree, 2 * place + 1)).otherwise(node(tree, 2 * place + 2))
+            return f"CASE WHEN {name[f]} <= {edge!r}D THEN {node(tree, 2 * place + 1)} ELSE {node(tree, 2 * place + 2)} END"
 
-        total = node(0, 0)
-        for tree in range(1, len(self.feature)):
-            total = total + node(tree, 0)
-        known = F.lit(True)
-        for f in self.features:
-            known = known & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
-        return F.when(known, total)
+        known = " AND ".join(f"{f} IS NOT NULL AND NOT isnan(CAST({f} AS DOUBLE))" for f in name)
+        return F.expr(f"CASE WHEN {known} THEN {' + '.join(node(tree, 0) for tree in range(len(self.feature)))} END")
 
     def transform(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("prediction", self.column())
@@ -171,36 +167,61 @@ def _pieces(sizes: np.ndarray, age: np.ndarray, soh: np.ndarray, x: np.ndarray,
         yield Piece(x[own], anchor, horizon, loss) if good.all() else Piece(x[own], anchor[good], horizon[good], loss[good])
 
 
-PACKED = "sizes binary, age binary, soh binary, bins binary"
+PACKED = "sets long, sizes binary, age binary, soh binary, bins binary"
+
+
+def _by_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The vehicles of a batch by the models that they train, whose numbers are the bits of sets; without that column they train one."""
+    if "sets" not in batch.schema.names:
+        yield 1, batch
+        return
+    sets = batch.column("sets").to_numpy()
+    kinds = np.unique(sets).tolist()
+    for kind in kinds:
+        yield kind, batch if len(kinds) == 1 else batch.take(pa.array(np.flatnonzero(sets == kind)))
+
+
+def _numbers(sets: int) -> list[int]:
+    return [k for k in range(sets.bit_length()) if sets >> k & 1]
 
 
 def packed(rows: DataFrame, features: list[str], edges: list[np.ndarray]) -> DataFrame:
-    """A row for each run of vehicles with about ``PIECE`` pairs: numbers of months, and by month age, soh and the features' bins (-1 unknown)."""
+    """:func:`packed_each` for one model, which all vehicles train."""
+    return packed_each(rows, features, [edges])
+
+
+def packed_each(rows: DataFrame, features: list[str], edges: list[list[np.ndarray]]) -> DataFrame:
+    """A row for each run of vehicles that train the same models, with about ``PIECE`` pairs: those models, numbers of months, and by
+    month age, soh and the features' bins (-1 unknown) in each of the models. ``edges``: of each model."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            sizes, age, soh, x = _columns(batch, features)
-            bins = np.stack([np.where(np.isnan(x[:, i]), -1, np.searchsorted(e, x[:, i], "left")) for i, e in enumerate(edges)], axis=1).astype(np.int16)
-            pairs = np.cumsum(sizes * (sizes - 1) // 2)
-            stops = np.append(np.flatnonzero(np.diff(pairs // PIECE)) + 1, len(sizes))
-            months = np.append(0, np.cumsum(sizes))
-            for start, stop in zip(np.append(0, stops[:-1]), stops, strict=True):
-                own = slice(months[start], months[stop])
-                values = (sizes[start:stop].astype(np.int64), age[own], soh[own], bins[own])
-                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values], names=["sizes", "age", "soh", "bins"])
+        for whole in batches:
+            for sets, batch in _by_sets(whole):
+                if not len(batch):
+                    continue
+                sizes, age, soh, x = _columns(batch, features)
+                own = [(i, e) for k in _numbers(sets) for i, e in enumerate(edges[k])]
+                bins = np.stack([np.where(np.isnan(x[:, i]), -1, np.searchsorted(e, x[:, i], "left")) for i, e in own], axis=1).astype(np.int16)
+                pairs = np.cumsum(sizes * (sizes - 1) // 2)
+                stops = np.append(np.flatnonzero(np.diff(pairs // PIECE)) + 1, len(sizes))
+                months = np.append(0, np.cumsum(sizes))
+                for start, stop in zip(np.append(0, stops[:-1]), stops, strict=True):
+                    run = slice(months[start], months[stop])
+                    values = (sizes[start:stop].astype(np.int64), age[run], soh[run], bins[run])
+                    yield pa.RecordBatch.from_arrays([pa.array([sets]), *(pa.array([v.tobytes()], pa.binary()) for v in values)], names=["sets", "sizes", "age", "soh", "bins"])
 
     return rows.mapInArrow(pack, PACKED)
 
 
-def _unpacked(batch: pa.RecordBatch, features: int, least: int) -> Iterator[Piece]:
-    """The pairs of :func:`packed` rows; x has the features' bins."""
+def _unpacked(batch: pa.RecordBatch, features: int, least: int) -> Iterator[tuple[list[int], Piece]]:
+    """Of :func:`packed_each` rows the models, and the pairs; x has the features' bins in each of the models, in order."""
     kinds = {"sizes": np.int64, "age": float, "soh": float, "bins": np.int16}
-    for row in zip(*(batch.column(name) for name in kinds), strict=True):
+    for sets, *row in zip(batch.column("sets").to_pylist(), *(batch.column(name) for name in kinds), strict=True):
         sizes, age, soh, bins = (np.frombuffer(v.as_buffer(), kind) for v, kind in zip(row, kinds.values(), strict=True))
-        bins = bins.reshape(-1, features)
-        yield from _pieces(sizes, age, soh, bins, (bins >= 0).all(axis=1), least)
+        own = _numbers(sets)
+        bins = bins.reshape(-1, len(own) * features)
+        for piece in _pieces(sizes, age, soh, bins, (bins[:, :features] >= 0).all(axis=1), least):
+            yield own, piece
 
 
 def _horizon_bins(horizon: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -211,57 +232,85 @@ def _horizon_bins(horizon: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return bins + (horizon > np.append(edges, np.inf)[bins])
 
 
-def _horizons(rows: DataFrame, features: list[str], least: int, bins: int) -> np.ndarray:
-    """Quantiles of the horizon, counted to a hundredth of a month."""
+def _horizons(rows: DataFrame, features: list[str], least: int, bins: int, models: int) -> list[np.ndarray]:
+    """Quantiles of the horizon of each model's pairs, counted to a hundredth of a month."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for p in pieces(batch, features, least):
-                at, n = np.unique(np.rint(p.horizon * 100).astype(np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], names=["at", "n"])
+        for whole in batches:
+            for sets, batch in _by_sets(whole):
+                for p in pieces(batch, features, least):
+                    at, n = np.unique(np.rint(p.horizon * 100).astype(np.int64), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), sets)), pa.array(at), pa.array(n)], names=["sets", "at", "n"])
 
-    found = rows.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).orderBy("at").toArrow()
-    at, n = found.column("at").to_numpy(), found.column("n").to_numpy()
-    if not len(at):
-        return np.empty(0)
-    return np.unique(at[np.searchsorted(n.cumsum(), n.sum() * np.arange(1, bins) / bins)]) / 100 + 0.005
+    found = rows.mapInArrow(count, "sets long, at long, n long").groupBy("sets", "at").agg(F.sum("n").alias("n")).orderBy("at").toArrow()
+    sets, at, n = (found.column(name).to_numpy() for name in ("sets", "at", "n"))
+
+    def quantiles(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.unique(at[np.searchsorted(n.cumsum(), n.sum() * np.arange(1, bins) / bins)]) / 100 + 0.005 if len(at) else np.empty(0)
+
+    return [quantiles(at[own], n[own]) for own in (sets >> k & 1 == 1 for k in range(models))]
 
 
 def _sums(rows: DataFrame, model: Trees, tree: int, level: int, least: int, heavier: float) -> np.ndarray:
-    """Sums of weights and of weighted targets by node, feature and bin; ``rows``: those of :func:`packed`."""
-    width = max(len(e) for e in model.edges) + 1
-    shape = (2, 1 << level, len(model.features), width)
+    """:func:`_sums_each` for one model."""
+    return _sums_each(rows, [model], tree, level, least, heavier)[0]
+
+
+def _sums_each(rows: DataFrame, models: list[Trees], tree: int, level: int, least: int, heavier: float, tasks: int = 1) -> np.ndarray:
+    """Sums of weights and of weighted targets by model, node, feature and bin; ``rows``: those of :func:`packed_each`, in ``tasks`` parts.
+
+    A task gives its sums as one row. Those of over ``FEW`` tasks are added up by others before they come to the driver.
+    """
+    features = len(models[0].features)
+    width = max(len(e) for model in models for e in model.edges) + 1
+    shape = (2, 1 << level, features, width)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, spans, steps = np.zeros(shape), model.spans(tree, level), model.steps(tree)
-        h = spans.shape[1]
+        out, spans, steps = np.zeros((len(models), *shape)), [m.spans(tree, level) for m in models], [m.steps(tree) for m in models]
+        alike = [next(j for j, other in enumerate(models) if np.array_equal(other.edges[0], m.edges[0])) for m in models]
+        for batch in batches:
+            for own, p in _unpacked(batch, features - 1, least):
+                anchors, weight, horizons = len(p.x), 1 + heavier * p.loss, {}
+                for i, k in enumerate(own):
+                    model, h = models[k], spans[k].shape[1]
+                    bins = np.concatenate([np.zeros((1, anchors), dtype=np.int16), p.x[:, i * (features - 1) : (i + 1) * (features - 1)].T])
+                    reached = model.reached(bins, slice(tree, tree + 1), level)
+                    if alike[k] not in horizons:
+                        horizons[alike[k]] = _horizon_bins(p.horizon, model.edges[0]) * anchors + p.anchor
+                    cell = horizons[alike[k]]
+                    if tree:
+                        under = p.loss < model.by_horizon(bins, steps[k]).reshape(-1)[cell]
+                        over, under = np.bincount(cell + under * (h * anchors), weight, 2 * h * anchors).reshape(2, h, anchors)
+                        masses = over + under, over - under
+                    else:
+                        masses = [np.bincount(cell, mass, h * anchors).reshape(h, anchors) for mass in (weight, weight * p.loss)]
+                    node, anchor = np.nonzero(reached)
+                    places = [node * width + bins[f, anchor] for f in range(features)]
+                    for kind, cells in enumerate(masses):
+                        out[k, kind, :, 0, :h] += (reached.astype(float) @ cells.T) * spans[k]
+                        mass = (spans[k] @ cells)[node, anchor]
+                        for f in range(1, features):
+                            out[k, kind, :, f] += np.bincount(places[f], mass, shape[1] * width).reshape(shape[1], width)
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
+
+    def add_more(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((len(models), *shape))
         for batch in batches:
-            for p in _unpacked(batch, len(model.features) - 1, least):
-                bins = np.concatenate([np.zeros((1, len(p.x)), dtype=np.int16), p.x.T])
-                reached, anchors = model.reached(bins, tree, level), len(p.x)
-                cell = _horizon_bins(p.horizon, model.edges[0]) * anchors + p.anchor
-                weight = 1 + heavier * p.loss
-                if tree:
-                    under = p.loss < model.by_horizon(bins, steps).reshape(-1)[cell]
-                    over, under = np.bincount(cell + under * (h * anchors), weight, 2 * h * anchors).reshape(2, h, anchors)
-                    masses = over + under, over - under
-                else:
-                    masses = [np.bincount(cell, mass, h * anchors).reshape(h, anchors) for mass in (weight, weight * p.loss)]
-                node, anchor = np.nonzero(reached)
-                places = [node * width + bins[f, anchor] for f in range(shape[2])]
-                for kind, cells in enumerate(masses):
-                    out[kind, :, 0, :h] += (reached.astype(float) @ cells.T) * spans
-                    own = (spans @ cells)[node, anchor]
-                    for f in range(1, shape[2]):
-                        out[kind, :, f] += np.bincount(places[f], own, shape[1] * width).reshape(shape[1], width)
-        at = np.flatnonzero(out[0])
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[0].reshape(-1)[at]), pa.array(out[1].reshape(-1)[at])], names=["place", "w", "s"])
-
-    total = rows.mapInArrow(add_up, "place long, w double, s double").groupBy("place").agg(F.sum("w").alias("w"), F.sum("s").alias("s")).toArrow()
-    out = np.zeros((2, int(np.prod(shape[1:]))))
-    for kind, name in enumerate(("w", "s")):
-        out[kind, total.column("place").to_numpy()] = total.column(name).to_numpy()
-    return out.reshape(shape)
+            _add_rows(out, batch.column("sums"))
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
+
+    parts = rows.mapInArrow(add_up, "sums binary")
+    if tasks > FEW:
+        parts = parts.repartition(math.isqrt(tasks)).mapInArrow(add_more, "sums binary")
+    out = np.zeros((len(models), *shape))
+    for column in parts.toArrow().column("sums").chunks:
+        _add_rows(out, column)
+    return out
+
+
+def _add_rows(out: np.ndarray, column: pa.Array) -> None:
+    for row in column:
+        out += np.frombuffer(row.as_buffer()).reshape(out.shape)
 
 
 def _split(model: Trees, tree: int, level: int, sums: np.ndarray, rate: float) -> None:
@@ -286,18 +335,40 @@ def _split(model: Trees, tree: int, level: int, sums: np.ndarray, rate: float) -
 def fit(rows: DataFrame, features: list[str], trees: int = 12, depth: int = 4, rate: float = 0.2, bins: int = 32, least: int = 4, heavier: float = 0.15) -> Trees:
     """``rows``: a row for each vehicle, with months (array of structs in order: age_months, soh and the features but the first, the
     horizon). Pairs weigh one and ``heavier`` for each point that they lose. With no pairs predictions are 0."""
-    spark = rows.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    rows = cut(rows.select("months").repartition(parts))
-    own = features[1:]
-    anchor = rows.select(F.explode(F.slice("months", least, F.greatest(F.size("months") - least, F.lit(0)))).alias("m")).select("m.*")
-    number = lambda c: F.nanvl(F.col(c), F.lit(None).cast("double"))
-    first = anchor.agg(*[F.percentile_approx(number(f), [k / bins for k in range(1, bins)], 1000).alias(f) for f in own]).first()
-    edges = [_horizons(rows, own, least, bins), *(np.unique(first[f] or []).astype(float) for f in own)]
-    rows = cut(packed(rows, own, edges[1:]))  # read once for each level of each tree
+    return fit_each(rows, features, [F.lit(True)], trees, depth, rate, bins, least, heavier)[0]
+
+
+def fit_each(
+    rows: DataFrame, features: list[str], sets: list[Column], trees: int = 12, depth: int = 4, rate: float = 0.2, bins: int = 32, least: int = 4, heavier: float = 0.15
+) -> list[Trees]:
+    """A model for each condition on ``rows``, of the vehicles that meet it; else as :func:`fit`.
+
+    ``TOGETHER`` models are fitted by the same passes, which make a vehicle's pairs once for all of them.
+    """
+    if len(sets) > TOGETHER:
+        return [m for k in range(0, len(sets), TOGETHER) for m in fit_each(rows, features, sets[k : k + TOGETHER], trees, depth, rate, bins, least, heavier)]
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    bits = [F.when(one, F.lit(1 << k)).otherwise(F.lit(0)) for k, one in enumerate(sets)]
+    rows = cut_once(rows.select("months", functools.reduce(Column.__add__, bits).cast("long").alias("sets")).where("sets > 0"))
+    own, models = features[1:], range(len(sets))
+    anchor = rows.select("sets", F.size("months").alias("n"), F.posexplode(F.slice("months", least, F.greatest(F.size("months") - least, F.lit(0)))).alias("at", "m")).select("sets", (F.col("n") - least - F.col("at")).alias("later"), "m.*")
+    number = lambda k, c: F.when(F.col("sets").bitwiseAND(1 << k) > 0, F.nanvl(F.col(c), F.lit(None).cast("double")))
+    shares = F.array(*[F.lit(k / bins) for k in range(1, bins)])
+    first = anchor.agg(F.sum("later").alias("pairs"), *[F.percentile_approx(number(k, f), shares, 1000).alias(f"{f}_{k}") for k in models for f in own]).first()
+    horizons = _horizons(rows, own, least, bins, len(sets))
+    edges = [[horizons[k], *(np.unique(first[f"{f}_{k}"] or []).astype(float) for f in own)] for k in models]
+    tasks = _tasks(first["pairs"] or 0, slots)
+    rows = cut_once(packed_each(rows.repartition(tasks), own, [e[1:] for e in edges]))  # read once for each level of each tree
     nodes = (1 << depth) - 1
-    model = Trees(list(features), edges, np.full((trees, nodes), -1), np.zeros((trees, nodes), dtype=int), np.zeros((trees, nodes)), np.zeros((trees, nodes + 1)))
+    grown = [Trees(list(features), e, np.full((trees, nodes), -1), np.zeros((trees, nodes), dtype=int), np.zeros((trees, nodes)), np.zeros((trees, nodes + 1))) for e in edges]
     for tree in range(trees):
         for level in range(depth):
-            _split(model, tree, level, _sums(rows, model, tree, level, least, heavier), rate if tree else 1.0)
-    return model
+            for model, sums in zip(grown, _sums_each(rows, grown, tree, level, least, heavier, tasks), strict=True):
+                _split(model, tree, level, sums, rate if tree else 1.0)
+    return grown
+
+
+def _tasks(pairs: int, slots: int) -> int:
+    """Tasks of a pass: some work in each, no more than 16 pieces, and where there are more than slots a whole number for each."""
+    least = max(min(slots, pairs // (2 * PIECE)), pairs // (16 * PIECE), 1)
+    return least if least < slots else -(-least // slots) * slots

@@ -16,7 +16,7 @@ from ..operators import pinball as pb
 from ..operators import samples as sm
 from ..operators import series as sr
 from ..sources import fixtures as fx
-from ..sources.shared import cut, shared_folder
+from ..sources.shared import cut, cut_once, shared_folder
 from .base import SERIES, Book
 from .quality import kinds, labelled
 from .series import HAMPEL, NUM, pava
@@ -35,7 +35,7 @@ def table(s: SparkSession, d: str) -> DataFrame:
 
 def stored(s: SparkSession, d: str) -> DataFrame:
     """The table for queries that fit on it, forecast from it and judge by it."""
-    return cut(table(s, d))
+    return cut_once(table(s, d))
 
 
 def cohorts(rows: DataFrame) -> DataFrame:
@@ -123,9 +123,7 @@ add("o07_acceptance_gate", lambda s, d: (lambda t: evl.gate(forecasts(past(t)),
 def training_sets(s: SparkSession, d: str) -> DataFrame:
     """All vehicles or degraders only as training set; each half of the fleet is judged by what the other half trained."""
     t = stored(s, d)
-    degraders = cohorts(t).where("degrader").select("vin")
-    half = lambda k: t.where(F.col("vin") % 2 == k)
-    return evl.compare_training({"all": [(half(k), half(1 - k)) for k in (0, 1)], "degraders": [(half(k).join(degraders, "vin", "left_semi"), half(1 - k)) for k in (0, 1)]})
+    return evl.compare_training(t, cohorts(t), {"all": F.lit(True), "degraders": F.col("degrader")}, F.pmod("vin", F.lit(2)))
 
 
 add("o08_o09_training_sets", training_sets)

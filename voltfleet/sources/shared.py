@@ -22,3 +22,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def cut_once(df: DataFrame) -> DataFrame:
+    """:func:`cut` for rows that are dear to make: a checkpoint makes its rows twice, to count and to write them, unless they are cached meanwhile."""
+    kept = df.persist()
+    try:
+        return cut(kept)
+    finally:
+        kept.unpersist()
