@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltfleet.functions import stats
-from voltfleet.operators import evaluate, models, trajectory
+from voltfleet.operators import evaluate, joins, models, samples, series, trajectory
 
 from .test_operators import fading
 
@@ -115,3 +115,22 @@ def test_training_sets_are_fitted_by_the_passes_of_one_fit(spark, fleet, monkeyp
         rows = evaluate.holdout(train.where("vin % 2 = 0"), fleet.where("vin % 2 = 1")).unionByName(evaluate.holdout(train.where("vin % 2 = 1"), fleet.where("vin % 2 = 0")))
         want = stats.errors(rows, "model", "actual").first()
         assert all(got[name][c] == pytest.approx(want[c], abs=2e-6) for c in want.asDict())
+
+
+def test_learning_curve_is_fitted_by_the_passes_of_one_fit(spark, fleet, monkeypatch):
+    passes = []
+    monkeypatch.setattr(trajectory, "_sums_each", lambda *a, f=trajectory._sums_each: passes.append(1) or f(*a))
+    monkeypatch.setattr(models, "fit_trajectories", lambda rows, sets, f=models.fit_trajectories: f(rows, sets, 2))
+    got = {r["history"]: (r["mae"], r["n"]) for r in evaluate.learning_curve(fleet, (5, 9), 14, 2).collect()}
+    assert len(passes) == 8
+    rows, fold = fleet.withColumn("rn", F.row_number().over(series.by_month())), samples.fold_of(F.col("vin"), 2)
+    late = rows.where("rn > 14").select("vin", F.col("age_months").alias("age"), F.col("soh").alias("actual"))
+    off = {5: [], 9: []}
+    for i in range(2):
+        model = models.fit_trajectory(models.trajectory_histories(fleet.where(fold != i)), 2)
+        for months, all_off in off.items():
+            at = models.anchors(rows.where((fold == i) & (F.col("rn") <= months)).drop("rn"))
+            steps = models.forecast(model, at, 90).select("vin", "h", "p50")
+            asked = late.join(at.select("vin", F.col("age_months").alias("start")), "vin")
+            all_off += [r[0] for r in joins.rounded_step_join(steps, asked, "age", "start").select(F.abs(F.col("p50") - F.col("actual"))).collect()]
+    assert got == {months: (pytest.approx(np.mean(x)), len(x)) for months, x in off.items()}
