@@ -1,11 +1,17 @@
 """Flattened and additive ensembles: against MLlib's own predictions, and against a fit without each vehicle."""
 
+import datetime as dt
 import tracemalloc
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.test_operators import fading
@@ -119,3 +125,30 @@ def test_leave_one_out_reads_sums_without_an_object_for_each():
     assert peak < 5e6  # 120,000 sums as objects take over 30 MB
     raw = out.column("raw").to_numpy().reshape(rows + 1, 2)
     assert np.allclose(raw[-1], [2.0, 4.0]) and (raw[0] > raw[-1]).all()
+
+
+def test_forest_quantiles_are_those_of_joined_leaves(spark):
+    """As by a join of each row's leaves with their labels, but without one; a row with a null feature has none."""
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, dt.datetime(2024, 1 + i % 12, 1), float(a), float(b), float(round(a * 2 + c, 3))) for i, (a, b, c) in enumerate(rng.normal(size=(700, 3)))], "id long, t timestamp, a double, b double, y double").cache()
+    asked = rows.where("id < 90").withColumn("b", F.when(F.col("id") != 7, F.col("b")))
+    out = models.quantile_forest(rows, asked, ["a", "b"], "y", trees=4, depth=3, seed=5)
+    assert "Join" not in out._jdf.queryExecution().toString() and out.columns == [*asked.columns, "q"]
+    got = {r["id"]: r["q"] for r in out.collect()}
+    assert len(got) == 90 and got.pop(7) is None
+    forest = RandomForestRegressor(labelCol="y", numTrees=4, maxDepth=3, leafCol="leaf", seed=5)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"), forest]).fit(rows)
+    leaves = lambda df, *keep: model.transform(df).select(*keep, F.posexplode(vector_to_array("leaf")).alias("tree", "leaf"))
+    held = leaves(rows, F.round("y", 2).alias("y")).groupBy("tree", "leaf", "y").agg(F.count("*").alias("k"))
+    held = held.withColumn("share", F.col("k") / F.sum("k").over(Window.partitionBy("tree", "leaf")))
+    found = leaves(asked.dropna(), "id").join(held, ["tree", "leaf"]).groupBy("id", "y").agg(F.sum("share").alias("w"))
+    want = found.groupBy("id").agg(F.percentile("y", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)), F.ceil(F.col("w") * 1000).cast("long")).alias("q")).collect()
+    assert got == {r["id"]: pytest.approx(r["q"], abs=0.0101) for r in want} and sum(got[r["id"]] == pytest.approx(r["q"]) for r in want) > 85
+
+
+def test_leaf_labels_are_counted_before_they_are_shuffled(spark):
+    rows = spark.createDataFrame([(float(i % 5), round(i % 3 + 0.004, 3)) for i in range(600)], "a double, y double").coalesce(1)
+    flat = ensembles.Flat(*(np.array(v) for v in ([0, -1, -1], [2.0, 0, 0], [1, -1, -1], [2, -1, -1], [0.0, 1, 2], [0])), 1)
+    for most in (1, 1 << 17):
+        counts = {(r["leaf"], r["y"]): r["k"] for r in ensembles.leaf_labels(rows, flat, ["a"], F.col("y"), most).collect()}
+        assert counts == {(leaf, y): k for leaf, k in ((1, 120), (2, 80)) for y in (0.0, 1.0, 2.0)}

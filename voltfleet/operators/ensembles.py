@@ -15,7 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,8 +30,8 @@ class Flat(NamedTuple):
     roots: np.ndarray
     depth: int
 
-    def __call__(self, x: np.ndarray) -> np.ndarray:
-        """Predictions for rows of features; NaN where a feature is."""
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """The node that is each row's leaf in each tree; a NaN goes right."""
         node = np.repeat(self.roots[None, :], len(x), axis=0)
         row = np.arange(len(x))[:, None]
         for _ in range(self.depth):
@@ -39,7 +39,11 @@ class Flat(NamedTuple):
             inner = f >= 0
             goes_left = x[row, np.maximum(f, 0)] <= self.cut[node]
             node = np.where(inner, np.where(goes_left, self.left[node], self.right[node]), node)
-        out = self.value[node].sum(axis=1)
+        return node
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """Predictions for rows of features; NaN where a feature is."""
+        out = self.value[self.leaves(x)].sum(axis=1)
         return np.where(np.isnan(x).any(axis=1), np.nan, out)
 
 
@@ -81,6 +85,70 @@ def flatten(model) -> Flat:  # noqa: ANN001
     return Flat(*(np.array(x) for x in (feature, cut, left, right, value, roots)), deepest)
 
 
+def leaf_labels(rows: DataFrame, trees: Flat, features: list[str], label: Column, most: int = 1 << 17) -> DataFrame:
+    """leaf, y (the label, rounded to a hundredth), k: rows with it in each leaf of each tree, counted for about ``most`` rows at once
+    before they are shuffled."""
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
+
+    def counted(x: list[np.ndarray], y: list[np.ndarray]) -> pa.RecordBatch:
+        values, place = np.unique(np.concatenate(y), return_inverse=True)
+        key, k = np.unique(np.concatenate(x).astype(np.int64) * len(values) + place[:, None], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(key // len(values)), pa.array(values[key % len(values)]), pa.array(k)], names=["leaf", "y", "k"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, y, n = [], [], 0
+        for batch in batches:
+            x.append(shared.value.leaves(matrix(batch, features)).astype(np.int32))
+            y.append(batch.column("_label").to_numpy(zero_copy_only=False))
+            n += batch.num_rows
+            if n >= most:
+                yield counted(x, y)
+                x, y, n = [], [], 0
+        if n:
+            yield counted(x, y)
+
+    taken = rows.select(*features, F.round(label, 2).cast("double").alias("_label")).where("_label is not null")
+    return taken.mapInArrow(count, "leaf long, y double, k long").groupBy("leaf", "y").agg(F.sum("k").alias("k"))
+
+
+class Shares(NamedTuple):
+    """The labels in order, and the share of each among the rows of a leaf; ``at``: places of the nodes' shares, which are 0 without rows."""
+
+    labels: np.ndarray
+    at: np.ndarray
+    share: np.ndarray
+
+    @staticmethod
+    def of(counts: DataFrame, trees: Flat) -> Shares:
+        """From :func:`leaf_labels`, which come to the driver."""
+        found = counts.toArrow()
+        leaf, y, k = (found.column(name).to_numpy() for name in ("leaf", "y", "k"))
+        labels, place = np.unique(y, return_inverse=True)
+        leaves, row = np.unique(leaf, return_inverse=True)
+        share = np.zeros((len(leaves) + 1, len(labels)))
+        share[row, place] = k
+        at = np.full(len(trees.feature), len(leaves))
+        at[leaves] = np.arange(len(leaves))
+        return Shares(labels, at, share / np.maximum(share.sum(axis=1, keepdims=True), 1))
+
+    def quantiles(self, leaf: np.ndarray, wanted: tuple[float, ...]) -> np.ndarray:
+        """Quantiles of the labels in the rows' leaves, each leaf weighing one, as ``percentile`` has them of whole thousandths of weights;
+        NaN without any."""
+        out = np.full((len(leaf), len(wanted)), np.nan)
+        step = max((1 << 21) // max(len(self.labels), 1), 1)
+        for start in range(0, len(leaf), step):
+            weight = np.zeros((len(leaf[start : start + step]), len(self.labels)))
+            for tree in self.at[leaf[start : start + step]].T:
+                weight += self.share[tree]
+            upto = np.ceil(weight * 1000).cumsum(axis=1)
+            for i, q in enumerate(wanted):
+                place = (upto[:, -1] - 1) * q
+                low, high = (self.labels[(upto <= edge[:, None]).sum(axis=1)] for edge in (np.floor(place), np.ceil(place)))
+                down = np.ceil(place) - place
+                out[start : start + step, i] = np.where(upto[:, -1] == 0, np.nan, np.where(low == high, low, down * low + (1 - down) * high))
+        return out
+
+
 def next_loss(predicted: np.ndarray, observed: np.ndarray, most: float, gate: tuple[float, float] | None) -> np.ndarray:
     """A step's loss: between 0 and ``most``; with ``gate`` flat vehicles lose 0.35 of it, fast ones at least 1.25 of what was observed."""
     step = np.clip(predicted, 0.0, most)

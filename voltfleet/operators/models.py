@@ -5,12 +5,16 @@ MLlib vectors take neither null nor NaN, so nullable features are imputed beside
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from . import ensembles, joins, samples, trajectory
 from . import series as sr
@@ -42,16 +46,26 @@ def fit_rate(rows: DataFrame, features: list[str]) -> tuple[PipelineModel, float
 def quantile_forest(train: DataFrame, asked: DataFrame, features: list[str], label: str, quantiles: tuple[float, ...] = (0.1, 0.5, 0.9), trees: int = 10, depth: int = 5, seed: int = 0) -> DataFrame:
     """``asked`` rows (with a key column id) with q: quantiles of the training labels that share leaves, each leaf weighing one.
 
-    A leaf's labels are kept as counts by label rounded to a hundredth, so the join carries no training rows.
+    A leaf's labels are kept as counts by label rounded to a hundredth. Those, at most leaves times labels in hundredths however many
+    the rows, are broadcast, and a row's leaves are added up where it is: no row meets its leaves' labels in a join. A row with a
+    null among its features has no q (null).
     """
-    forest = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, leafCol="leaf", seed=seed)
+    forest = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
     model = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), forest]).fit(train)
-    leaves = lambda df, *keep: model.transform(df).select(*keep, F.posexplode(vector_to_array("leaf")).alias("tree", "leaf"))
-    held = leaves(train, F.round(label, 2).alias("y")).groupBy("tree", "leaf", "y").agg(F.count("*").alias("k"))
-    held = held.withColumn("share", F.col("k") / F.sum("k").over(Window.partitionBy("tree", "leaf")))
-    found = leaves(asked, "id").join(held, ["tree", "leaf"]).groupBy("id", "y").agg(F.sum("share").alias("w"))
-    q = F.percentile("y", F.array(*map(F.lit, quantiles)), F.ceil(F.col("w") * 1000).cast("long"))
-    return asked.join(found.groupBy("id").agg(q.alias("q")), "id")
+    flat = ensembles.flatten(model.stages[-1])
+    shares = ensembles.Shares.of(ensembles.leaf_labels(train, flat, features, F.col(label)), flat)
+    shared = asked.sparkSession.sparkContext.broadcast((flat, shares))
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, shares = shared.value
+        for batch in batches:
+            x = ensembles.matrix(batch, features)
+            found = shares.quantiles(flat.leaves(x), quantiles)
+            blank = np.isnan(x).any(axis=1) | np.isnan(found).any(axis=1)
+            q = pa.array([None if b else row for b, row in zip(blank, found.tolist(), strict=True)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, q], names=[*batch.schema.names, "q"])
+
+    return asked.mapInArrow(predict, StructType([*asked.schema.fields, StructField("q", ArrayType(DoubleType()))]))
 
 
 def anchors(df: DataFrame, soh: str = "soh") -> DataFrame:
