@@ -134,3 +134,14 @@ def test_learning_curve_is_fitted_by_the_passes_of_one_fit(spark, fleet, monkeyp
             asked = late.join(at.select("vin", F.col("age_months").alias("start")), "vin")
             all_off += [r[0] for r in joins.rounded_step_join(steps, asked, "age", "start").select(F.abs(F.col("p50") - F.col("actual"))).collect()]
     assert got == {months: (pytest.approx(np.mean(x)), len(x)) for months, x in off.items()}
+
+
+def test_steps_ahead_equal_the_expression_and_leave_it_out_of_the_plan(spark, fleet, grown):
+    at = models.anchors(fleet).withColumn("recent_temp_max", F.when(F.col("vin") != 2, F.col("recent_temp_max"))).withColumn("vin", F.struct("vin", F.lit(6).alias("history")))
+    at = at.select("vin", "soh", "age_months", "recent_loss", "history_drop", *grown.features[4:])
+    got = {(*r["vin"], r["h"], r["horizon"]): r["raw"] for r in grown.ahead(at, 30).collect()}
+    steps = at.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(30)))).withColumn("horizon", F.col("h").cast("double"))
+    assert got == {(*r["vin"], r["h"], r["horizon"]): r["raw"] for r in models.predict(grown, steps, "raw").collect()}
+    assert len(got) == 180 and sum(v is None for v in got.values()) == 30 and len(set(got.values())) > 3
+    plan = models.forecast(grown, models.anchors(fleet), 6)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and plan.count("CASE WHEN") < 40
